@@ -14,8 +14,14 @@ def with_level(parsed: DataFrame) -> DataFrame:
 
 
 def level_counts(parsed: DataFrame) -> DataFrame:
-    """``log_level, count`` over lines with a level (AGG1); partial + final aggregate."""
-    return with_level(parsed).groupBy("log_level").agg(F.count(F.lit(1)).alias("count"))
+    """``log_level, count`` over lines with a level (AGG1); partial + final aggregate.
+
+    Grouping first and dropping the ``''`` group afterwards gives the same rows
+    as filtering first, but evaluates the level regex once per line (a filter
+    on a derived column is pushed below the projection and re-evaluates it).
+    """
+    counts = parsed.groupBy("log_level").agg(F.count(F.lit(1)).alias("count"))
+    return counts.filter(F.col("log_level") != "")
 
 
 def level_share(parsed: DataFrame) -> DataFrame:

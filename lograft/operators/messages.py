@@ -69,7 +69,7 @@ def task_events(parsed: DataFrame, line_col: str = "line") -> DataFrame:
     line = F.col(line_col)
     running = line.contains("Running task ")
     finished = line.contains("Finished task ")
-    rows = parsed.filter((running | finished) & (F.col("application_id") != ""))
+    rows = parsed.filter(running | finished)
     return rows.select(
         "application_id",
         F.when(running, F.lit("running")).otherwise(F.lit("finished")).alias("kind"),
@@ -80,7 +80,7 @@ def task_events(parsed: DataFrame, line_col: str = "line") -> DataFrame:
         F.coalesce(_num(line, P.TASK_RUNNING, 1, "int"), _num(line, P.TASK_FINISHED, 1, "int")).alias("task_index"),
         _num(line, P.TASK_RESULT_BYTES, 1).alias("result_bytes"),
         "event_time",
-    ).filter(F.col("tid").isNotNull())
+    )
 
 
 def task_table(events: DataFrame) -> DataFrame:
@@ -91,6 +91,7 @@ def task_table(events: DataFrame) -> DataFrame:
     """
     is_run = F.col("kind") == "running"
     is_fin = F.col("kind") == "finished"
+    keep = (F.col("application_id") != "") & F.col("tid").isNotNull()
     return events.groupBy("application_id", "tid").agg(
         F.min(F.when(is_run, F.col("stage_id"))).alias("stage_id"),
         F.min(F.when(is_run, F.col("event_time"))).alias("start_time"),
@@ -98,7 +99,7 @@ def task_table(events: DataFrame) -> DataFrame:
         F.max(F.when(is_fin, F.col("result_bytes"))).alias("result_bytes"),
         F.count_if(is_run).alias("_runs"),
         F.count_if(is_fin).alias("_fins"),
-    )
+    ).filter(keep)
 
 
 def task_durations(events: DataFrame) -> DataFrame:

@@ -25,11 +25,14 @@ def app_timeline(parsed: DataFrame) -> DataFrame:
 
     Partial aggregation collapses each input split to one row per application
     before the shuffle, so a cluster holding most applications is no hot spot.
+    ``min``/``max`` skip NULL times, so grouping first and then dropping the
+    ``''`` application and all-NULL groups equals filtering lines first, with
+    each regex evaluated once per line.
     """
     return (
-        app_events(parsed)
-        .groupBy("cluster_id", "application_id")
+        parsed.groupBy("cluster_id", "application_id")
         .agg(F.min("event_time").alias("start_time"), F.max("event_time").alias("end_time"))
+        .filter((F.col("application_id") != "") & F.col("start_time").isNotNull())
         .withColumn("app_number", app_number("application_id"))
     )
 

@@ -22,7 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def lines(spark: SparkSession, root: str) -> DataFrame:
     use_utc(spark)
-    return log_lines_from_events(table(spark, root, "events"))
+    return log_lines_from_events(table(spark, root, "events", spread=True))
 
 
 def parsed(spark: SparkSession, root: str) -> DataFrame:
@@ -48,7 +48,7 @@ def _tasks(spark, root):
 
 def _trips(spark, root):
     use_utc(spark)
-    return daily.trips_from_lineitem(table(spark, root, "lineitem"))
+    return daily.trips_from_lineitem(table(spark, root, "lineitem", spread=True))
 
 
 TRIP_YEAR = 1996

@@ -23,8 +23,7 @@ Rule (all arithmetic on ``event_id``; fixed values):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # Fixed values of the view.
 CLUSTER_BASE = 1485248649253
@@ -32,105 +31,60 @@ APPS = 150
 CLUSTERS = 6
 
 
-def _cat(*parts: str | Column) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-
-
-def _app(n: Column) -> Column:
-    return _cat("application_", F.lit(CLUSTER_BASE) + n % CLUSTERS, "_", F.lpad(n.cast("string"), 4, "0"))
-
-
-def _message(i: Column) -> Column:
-    p = i - 1
-    mem = F.lit(1024) * (F.lit(1) + i % 28)
-    host = F.when(i % 3 == 0, F.lit("Any")).otherwise(_cat("node-", i % 4))
-    m = i % 13
-    return (
-        F.when(m == 0, _cat("executor.Executor: Running task ", i % 8, ".0 in stage ", i % 5, ".0 (TID ", i, ")"))
-        .when(
-            m == 1,
-            _cat(
-                "executor.Executor: Finished task ", p % 8, ".0 in stage ", p % 5, ".0 (TID ", p, "). ",
-                F.lit(1000) + i % 900, " bytes result sent to driver",
-            ),
-        )
-        .when(
-            m == 2,
-            _cat(
-                "python.PythonRunner: Times: total = ", i % 5000, ", boot = ", i % 70,
-                ", init = ", i % 50, ", finish = ", i % 900,
-            ),
-        )
-        .when(
-            m == 3,
-            _cat(
-                "YarnAllocator: Will request ", F.lit(1) + i % 16, " executor containers, each with ",
-                F.lit(1) + i % 5, " cores and ", mem, " MB memory",
-                F.when(i % 2 == 0, F.lit(" including 2560 MB overhead")).otherwise(F.lit("")),
-            ),
-        )
-        .when(
-            m == 4,
-            _cat(
-                "YarnAllocator: Container request (host: ", host, ", capability: <memory:", mem,
-                ", vCores:", F.lit(1) + i % 5, ">)",
-            ),
-        )
-        .when(
-            m == 5,
-            _cat("rdd.HadoopRDD: Input split: hdfs://10.0.0.1:9000/in/f", i % 9, ".txt:", i * 100, "+", F.lit(1000) + i % 500),
-        )
-        .when(m == 6, _cat("storage.MemoryStore: MemoryStore started with capacity ", F.lit(1) + i % 30, ".5 GB"))
-        .when(
-            m == 7,
-            _cat(
-                "storage.MemoryStore: Block broadcast_", i % 40, " stored as bytes in memory (estimated size ",
-                F.lit(1) + i % 90, ".5 KB, free 2.5 GB)",
-            ),
-        )
-        .when(
-            m == 8,
-            _cat(
-                "storage.MemoryStore: Block rdd_", i % 40, "_", i % 6, " stored as bytes in memory (estimated size ",
-                F.lit(1) + i % 90, ".0 MB, free 2.5 GB)",
-            ),
-        )
-        .when(m == 9, _cat("broadcast.TorrentBroadcast: Started reading broadcast variable ", i % 40))
-        .when(
-            m == 10,
-            _cat(
-                "storage.BlockManagerInfo: Added broadcast_", i % 40, "_piece", i % 3, " in memory on node-", i % 7,
-                ":52848 (size: ", F.lit(1) + i % 8, ".0 MB, free: 2.5 GB)",
-            ),
-        )
-        .when(m == 11, _cat("storage.BlockManager: Found block rdd_", i % 40, "_", i % 6, " locally"))
-        .otherwise(_cat("ApplicationMaster: step ", i))
-    )
+def _s(expr: str) -> str:
+    return f"CAST({expr} AS STRING)"
+
+
+def _app(n: str) -> str:
+    return f"concat('application_', {_s(f'{CLUSTER_BASE} + ({n}) % {CLUSTERS}')}, '_', lpad({_s(n)}, 4, '0'))"
+
+
+# The message of an event, chosen by ``i % 13`` (one Spark SQL expression).
+_MESSAGE = f"""CASE i % 13
+  WHEN 0 THEN concat('executor.Executor: Running task ', {_s('i % 8')}, '.0 in stage ', {_s('i % 5')},
+                     '.0 (TID ', {_s('i')}, ')')
+  WHEN 1 THEN concat('executor.Executor: Finished task ', {_s('(i - 1) % 8')}, '.0 in stage ', {_s('(i - 1) % 5')},
+                     '.0 (TID ', {_s('i - 1')}, '). ', {_s('1000 + i % 900')}, ' bytes result sent to driver')
+  WHEN 2 THEN concat('python.PythonRunner: Times: total = ', {_s('i % 5000')}, ', boot = ', {_s('i % 70')},
+                     ', init = ', {_s('i % 50')}, ', finish = ', {_s('i % 900')})
+  WHEN 3 THEN concat('YarnAllocator: Will request ', {_s('1 + i % 16')}, ' executor containers, each with ',
+                     {_s('1 + i % 5')}, ' cores and ', {_s('1024 * (1 + i % 28)')}, ' MB memory',
+                     IF(i % 2 = 0, ' including 2560 MB overhead', ''))
+  WHEN 4 THEN concat('YarnAllocator: Container request (host: ', IF(i % 3 = 0, 'Any', concat('node-', {_s('i % 4')})),
+                     ', capability: <memory:', {_s('1024 * (1 + i % 28)')}, ', vCores:', {_s('1 + i % 5')}, '>)')
+  WHEN 5 THEN concat('rdd.HadoopRDD: Input split: hdfs://10.0.0.1:9000/in/f', {_s('i % 9')}, '.txt:',
+                     {_s('i * 100')}, '+', {_s('1000 + i % 500')})
+  WHEN 6 THEN concat('storage.MemoryStore: MemoryStore started with capacity ', {_s('1 + i % 30')}, '.5 GB')
+  WHEN 7 THEN concat('storage.MemoryStore: Block broadcast_', {_s('i % 40')},
+                     ' stored as bytes in memory (estimated size ', {_s('1 + i % 90')}, '.5 KB, free 2.5 GB)')
+  WHEN 8 THEN concat('storage.MemoryStore: Block rdd_', {_s('i % 40')}, '_', {_s('i % 6')},
+                     ' stored as bytes in memory (estimated size ', {_s('1 + i % 90')}, '.0 MB, free 2.5 GB)')
+  WHEN 9 THEN concat('broadcast.TorrentBroadcast: Started reading broadcast variable ', {_s('i % 40')})
+  WHEN 10 THEN concat('storage.BlockManagerInfo: Added broadcast_', {_s('i % 40')}, '_piece', {_s('i % 3')},
+                      ' in memory on node-', {_s('i % 7')}, ':52848 (size: ', {_s('1 + i % 8')}, '.0 MB, free: 2.5 GB)')
+  WHEN 11 THEN concat('storage.BlockManager: Found block rdd_', {_s('i % 40')}, '_', {_s('i % 6')}, ' locally')
+  ELSE concat('ApplicationMaster: step ', {_s('i')})
+END"""
+
+_TIME = """CASE WHEN i % 11 = 0 THEN '24/13/45 10:00:00'
+     WHEN i % 17 = 0 THEN concat(date_format(ts, 'yy/MM/dd'), '  ', date_format(ts, 'HH:mm:ss'))
+     ELSE date_format(ts, 'yy/MM/dd HH:mm:ss') END"""
+
+_LEVEL = """CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARN'
+                       WHEN 'purchase' THEN 'DEBUG' ELSE 'INFO' END"""
+
+LINE = f"""CASE WHEN i % 10 = 0 THEN concat('    at frame(', {_s('i')}, ')', IF(i % 20 = 0, ' INFORMATION', ''))
+ELSE concat({_TIME}, IF(i % 19 = 0, '  ', ' '), {_LEVEL}, ' ', {_MESSAGE},
+            IF(i % 23 = 0, ' after ERROR', ''), ' for ', {_app('n0')},
+            IF(i % 7 = 0, concat(' and ', {_app('n0 + 1')}), ''))
+END"""
 
 
 def log_lines_from_events(events: DataFrame) -> DataFrame:
-    """``events`` -> ``(event_id bigint, line string)``, one line per event."""
-    i = F.col("event_id")
-    ts = F.col("ts")
-    time_text = (
-        F.when(i % 11 == 0, F.lit("24/13/45 10:00:00"))
-        .when(i % 17 == 0, _cat(F.date_format(ts, "yy/MM/dd"), "  ", F.date_format(ts, "HH:mm:ss")))
-        .otherwise(F.date_format(ts, "yy/MM/dd HH:mm:ss"))
-    )
-    gap = F.when(i % 19 == 0, F.lit("  ")).otherwise(F.lit(" "))
-    lvl = (
-        F.when(F.col("event_type") == "error", F.lit("ERROR"))
-        .when(F.col("event_type") == "signup", F.lit("WARN"))
-        .when(F.col("event_type") == "purchase", F.lit("DEBUG"))
-        .otherwise(F.lit("INFO"))
-    )
-    n0 = F.expr("(event_id div 26) % 150")
-    header = _cat(
-        time_text, gap, lvl, " ", _message(i),
-        F.when(i % 23 == 0, F.lit(" after ERROR")).otherwise(F.lit("")),
-        " for ", _app(n0),
-        F.when(i % 7 == 0, _cat(" and ", _app(n0 + 1))).otherwise(F.lit("")),
-    )
-    continuation = _cat("    at frame(", i, ")", F.when(i % 20 == 0, F.lit(" INFORMATION")).otherwise(F.lit("")))
-    line = F.when(i % 10 == 0, continuation).otherwise(header)
-    return events.select(i.alias("event_id"), line.alias("line"))
+    """``events`` -> ``(event_id bigint, line string)``, one line per event.
+
+    The rule is one SQL expression: it is parsed and analysed once, and the
+    whole line is built in a single generated projection.
+    """
+    base = events.selectExpr("event_id AS i", "ts", "event_type", f"(event_id div 26) % {APPS} AS n0")
+    return base.selectExpr("i AS event_id", f"{LINE} AS line")

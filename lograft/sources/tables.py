@@ -8,9 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One driver table: ``<root>/<name>.parquet``."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, root: str, name: str, spread: bool = False) -> DataFrame:
+    """One driver table: ``<root>/<name>.parquet``; see ``spread_input``."""
+    df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    return spread_input(df) if spread else df
+
+
+def spread_input(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster when the scan has fewer splits than cores.
+
+    A single-row-group Parquet file or a gzip log file is one split, so every
+    regex on it would run in one task. When the planned scan has fewer
+    partitions than ``defaultParallelism`` one cheap shuffle of the raw rows
+    spreads the CPU-heavy parsing; a large input (many splits) is left as it is.
+    """
+    sc = df.sparkSession.sparkContext
+    want = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
 
 
 def parquet_set(spark: SparkSession, paths: Iterable[str], merge_schema: bool = False) -> DataFrame:
