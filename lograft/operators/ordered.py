@@ -23,17 +23,17 @@ from pyspark.sql import functions as F
 _COMBINE = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def running_total(
+def running_totals(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str | Column],
     bucket: str,
-    value: str,
-    out: str,
+    outputs: dict[str, str],
     how: str = "sum",
 ) -> DataFrame:
-    """``out`` = ``how``-aggregate of ``value`` over all rows of the same ``keys``
-    up to and including this row in ``order``.
+    """For each ``out -> value`` in ``outputs``: ``out`` = ``how``-aggregate of
+    ``value`` over the rows of the same ``keys`` up to and including this row
+    in ``order``. All outputs share one bucket summary, one window and one join.
 
     ``bucket`` must be non-decreasing along ``order``, and ``order`` must be a
     total order within ``keys`` for the result to be deterministic.
@@ -42,20 +42,34 @@ def running_total(
     keys = list(keys)
     inner = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        df.groupBy(*keys, bucket)
-        .agg(combine(value).alias("_bucket_total"))
-        .withColumn("_before", combine("_bucket_total").over(before))
-        .drop("_bucket_total")
+    offsets = df.groupBy(*keys, bucket).agg(*[combine(v).alias(f"_tot_{o}") for o, v in outputs.items()])
+    offsets = offsets.select(
+        *keys, bucket, *[combine(f"_tot_{o}").over(before).alias(f"_before_{o}") for o in outputs]
     )
-    local = df.withColumn("_local", combine(value).over(inner))
-    if how == "sum":
-        merged = F.coalesce(F.col("_before"), F.lit(0)) + F.col("_local")
-    else:
-        merged = F.coalesce(
-            (F.greatest if how == "max" else F.least)(F.col("_before"), F.col("_local")), F.col("_local")
-        )
-    return local.join(offsets, [*keys, bucket], "inner").withColumn(out, merged).drop("_local", "_before")
+    local = df.withColumns({f"_local_{o}": combine(v).over(inner) for o, v in outputs.items()})
+    out = local.join(offsets, [*keys, bucket], "inner")
+    merged = {}
+    for o in outputs:
+        lc, bc = F.col(f"_local_{o}"), F.col(f"_before_{o}")
+        if how == "sum":
+            merged[o] = F.coalesce(bc, F.lit(0)) + lc
+        else:
+            merged[o] = F.coalesce((F.greatest if how == "max" else F.least)(bc, lc), lc)
+    out = out.withColumns(merged)
+    return out.drop(*[f"_local_{o}" for o in outputs], *[f"_before_{o}" for o in outputs])
+
+
+def running_total(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    bucket: str,
+    value: str,
+    out: str,
+    how: str = "sum",
+) -> DataFrame:
+    """Single-output form of ``running_totals``."""
+    return running_totals(df, keys, order, bucket, {out: value}, how)
 
 
 def previous_row(

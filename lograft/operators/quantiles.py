@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lograft.session import materialize
+
 
 def approx_percentile(
     df: DataFrame, keys: Sequence[str], value: str, p: float, out: str, accuracy: int = 10000
@@ -43,14 +45,15 @@ def exact_percentile(
     stats = vals.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
     ).withColumn("_k", F.greatest(F.lit(1), F.least(F.col("_n"), F.ceil(F.lit(p) * F.col("_n")))))
-    binned = vals.join(stats.select(*keys, "_lo", "_hi"), keys).withColumn(
+    # one row per group: computed once, read by both passes below
+    stats = materialize(stats)
+    binned = vals.join(stats.select(*keys, "_lo", "_hi", "_k"), keys).withColumn(
         "_bin", _bin(F.col("_v"), F.col("_lo"), F.col("_hi"), bins)
     )
-    per_bin = binned.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_c"))
+    per_bin = binned.groupBy(*keys, "_k", "_bin").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
     target = (
         per_bin.withColumn("_cum", F.sum("_c").over(w))
-        .join(stats.select(*keys, "_k"), keys)
         .filter((F.col("_cum") >= F.col("_k")) & (F.col("_cum") - F.col("_c") < F.col("_k")))
         .select(*keys, "_bin", (F.col("_k") - (F.col("_cum") - F.col("_c"))).alias("_r"))
     )

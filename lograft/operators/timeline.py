@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lograft.functions.parse import app_number, cluster_start
-from lograft.operators.ordered import previous_row, running_total
+from lograft.operators.ordered import previous_row, running_totals
 
 
 def app_events(parsed: DataFrame) -> DataFrame:
@@ -128,12 +128,16 @@ def peak_concurrency(timeline: DataFrame) -> DataFrame:
     intervals are closed, so a start at the same instant as an end counts as
     overlapping (+1 before -1). The running sum uses the bucketed prefix sum.
     """
-    starts = timeline.select("cluster_id", F.col("start_time").alias("t"), F.lit(1).alias("delta"))
-    ends = timeline.select("cluster_id", F.col("end_time").alias("t"), F.lit(-1).alias("delta"))
-    events = starts.unionByName(ends).withColumn("_day", _day_bucket("t"))
-    swept = running_total(
-        events, ["cluster_id"], [F.col("t"), F.desc("delta")], "_day", "delta", "running", how="sum"
-    )
+    events = timeline.select(
+        "cluster_id",
+        F.explode(
+            F.array(
+                F.struct(F.col("start_time").alias("t"), F.lit(1).alias("delta")),
+                F.struct(F.col("end_time").alias("t"), F.lit(-1).alias("delta")),
+            )
+        ).alias("ev"),
+    ).select("cluster_id", "ev.t", "ev.delta").withColumn("_day", _day_bucket("t"))
+    swept = running_totals(events, ["cluster_id"], [F.col("t"), F.desc("delta")], "_day", {"running": "delta"})
     return swept.groupBy("cluster_id").agg(
         F.max("running").alias("peak_concurrency"),
         F.min_by("t", F.struct(F.negative("running"), F.col("t"))).alias("peak_at"),
@@ -148,22 +152,26 @@ def app_overlap_counts(timeline: DataFrame) -> DataFrame:
     sweep over start/end/query points, so no pair of applications is ever
     materialised (the interval self-join would emit O(n^2) rows on a busy cluster).
     """
-    base = timeline.select("cluster_id", "application_id", "start_time", "end_time")
-    # prio orders events at the same instant: start < query(ends before) < query(starts upto) < end
-    pts = (
-        base.select("cluster_id", F.col("start_time").alias("t"), F.lit(0).alias("prio"),
-                    F.lit(1).alias("s"), F.lit(0).alias("e"), F.lit(None).cast("string").alias("q_app"))
-        .unionByName(base.select("cluster_id", F.col("end_time").alias("t"), F.lit(3).alias("prio"),
-                                 F.lit(0).alias("s"), F.lit(1).alias("e"), F.lit(None).cast("string").alias("q_app")))
-        .unionByName(base.select("cluster_id", F.col("start_time").alias("t"), F.lit(1).alias("prio"),
-                                 F.lit(0).alias("s"), F.lit(0).alias("e"), F.col("application_id").alias("q_app")))
-        .unionByName(base.select("cluster_id", F.col("end_time").alias("t"), F.lit(2).alias("prio"),
-                                 F.lit(0).alias("s"), F.lit(0).alias("e"), F.col("application_id").alias("q_app")))
-        .withColumn("_day", _day_bucket("t"))
-    )
+    # prio orders points at one instant: start < query(ends before) < query(starts up to) < end
+    def point(t, prio, s, e, app):
+        return F.struct(
+            F.col(t).alias("t"), F.lit(prio).alias("prio"), F.lit(s).alias("s"), F.lit(e).alias("e"),
+            (F.col("application_id") if app else F.lit(None).cast("string")).alias("q_app"),
+        )
+
+    pts = timeline.select(
+        "cluster_id",
+        F.explode(
+            F.array(
+                point("start_time", 0, 1, 0, False),
+                point("end_time", 3, 0, 1, False),
+                point("start_time", 1, 0, 0, True),
+                point("end_time", 2, 0, 0, True),
+            )
+        ).alias("p"),
+    ).select("cluster_id", "p.*").withColumn("_day", _day_bucket("t"))
     order = [F.col("t"), F.col("prio"), F.col("q_app")]
-    swept = running_total(pts, ["cluster_id"], order, "_day", "s", "starts_upto", how="sum")
-    swept = running_total(swept, ["cluster_id"], order, "_day", "e", "ends_upto", how="sum")
+    swept = running_totals(pts, ["cluster_id"], order, "_day", {"starts_upto": "s", "ends_upto": "e"})
     q = swept.filter(F.col("q_app").isNotNull())
     counts = q.groupBy("cluster_id", F.col("q_app").alias("application_id")).agg(
         F.max(F.when(F.col("prio") == 2, F.col("starts_upto"))).alias("_starts_le_end"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lograft.functions.parse import parse_lines
 from lograft.operators import daily, distribution, levels, messages, multiline, quantiles, timeline
-from lograft.session import use_utc
+from lograft.session import materialize, use_utc
 from lograft.sources.event_lines import log_lines_from_events
 from lograft.sources.tables import sql_on, table
 
@@ -30,11 +30,14 @@ def parsed(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _timeline(spark, root):
-    return timeline.app_timeline(parsed(spark, root))
+    """The timeline (one row per application), computed once per query: the
+    sweeps, lookups and distributions below read it several times."""
+    return materialize(timeline.app_timeline(parsed(spark, root)))
 
 
-def _summary(spark, root):
-    return timeline.cluster_summary(_timeline(spark, root))
+def _lookup(spark, root):
+    tl = _timeline(spark, root)
+    return timeline.with_cluster_lookup(tl, timeline.cluster_summary(tl))
 
 
 def _durations(spark, root):
@@ -75,16 +78,16 @@ QUERIES: dict[str, Query] = {
     "log_sample": lambda s, r: levels.sample_lines(parsed(s, r), 10, "42"),
     "error_lines": lambda s, r: levels.lines_containing(lines(s, r), "ERROR").select("event_id", "line"),
     # application timeline and cluster usage
-    "app_timeline": lambda s, r: _timeline(s, r).select(
+    "app_timeline": lambda s, r: timeline.app_timeline(parsed(s, r)).select(
         "cluster_id", "application_id", "app_number", "start_time", "end_time"
     ),
-    "cluster_summary": lambda s, r: _summary(s, r),
-    "cluster_stats": lambda s, r: timeline.cluster_stats(_summary(s, r)),
-    "cluster_rank": lambda s, r: timeline.cluster_rank(_summary(s, r)),
+    "cluster_summary": lambda s, r: timeline.cluster_summary(timeline.app_timeline(parsed(s, r))),
+    "cluster_stats": lambda s, r: timeline.cluster_stats(timeline.cluster_summary(timeline.app_timeline(parsed(s, r)))),
+    "cluster_rank": lambda s, r: timeline.cluster_rank(timeline.cluster_summary(timeline.app_timeline(parsed(s, r)))),
     "app_gaps": lambda s, r: timeline.app_gaps(_timeline(s, r)),
     "peak_concurrency": lambda s, r: timeline.peak_concurrency(_timeline(s, r)),
     "app_overlaps": lambda s, r: timeline.app_overlap_counts(_timeline(s, r)),
-    "cluster_start_lookup": lambda s, r: timeline.with_cluster_lookup(_timeline(s, r), _summary(s, r)),
+    "cluster_start_lookup": lambda s, r: _lookup(s, r),
     "duration_histogram": lambda s, r: distribution.histogram(_durations(s, r), 30),
     "duration_density": lambda s, r: distribution.density(_durations(s, r), 200, 3.0),
     # daily KPIs

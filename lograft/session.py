@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall clock (log times carry no zone),
@@ -71,3 +72,23 @@ def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     spark = spark or df.sparkSession
     checkpoint_dir(spark)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a small intermediate that several later steps read, once.
+
+    Spark only reuses a shared sub-plan when every consumer prunes and filters
+    it identically, which rarely holds (a window on one side, an aggregate on
+    the other). With ``spark.checkpoint.dir`` set the result is written there
+    (lineage cut, survives any executor loss); without it the result is cached
+    in memory and on disk, and lost blocks are recomputed from lineage.
+    Use it for results that are small next to their input (one row per
+    application, per group), not for raw-scale data, which is cheaper to re-scan.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None):
+        checkpoint_dir(spark)
+        return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.count()
+    return cached
