@@ -3,15 +3,19 @@
 ``approx_percentile`` is Spark's bounded-memory sketch (partial + final merge).
 
 ``exact_percentile`` returns the k-th smallest value, ``k = ceil(p * n)``
-(nearest rank, the same value as ``percentile_disc`` / ``quantile_disc``),
-without ever holding a whole group in one task:
+(nearest rank, the value of ``percentile_disc`` / ``quantile_disc``), without
+ever ordering a whole group in one task:
 
-1. per group: count, min, max (map-side partial aggregate);
-2. every value falls in one of ``bins`` equal-width bins of its group; counts
-   per ``(group, bin)`` are aggregated map-side, and a window over those few
-   rows finds the bin that holds rank ``k`` and the rank left inside it;
-3. only the values of that one bin are counted per distinct value and ordered,
-   so the last step sees about ``n / bins`` values of a group, not ``n``.
+1. per group: ``n`` and two sketch quantiles at ``p - band`` and ``p + band``;
+   the sketch's rank error is at most ``n / accuracy``, far below ``band * n``,
+   so the answer lies between them;
+2. one pass counts the values below the lower cut and up to the upper cut,
+   which checks the bracket and gives the rank left inside it;
+3. only the values inside the bracket (about ``2 * band * n`` of a group) are
+   counted per distinct value and ordered by a window.
+
+A group whose bracket fails the check falls back to ordering all its values,
+so the result is exact in every case.
 """
 
 from __future__ import annotations
@@ -30,40 +34,53 @@ def approx_percentile(
     return df.groupBy(*keys).agg(F.percentile_approx(value, p, accuracy).alias(out))
 
 
-def _bin(v, lo, hi, bins: int):
-    width = hi - lo
-    raw = F.floor((v - lo) * F.lit(float(bins)) / width)
-    return F.when(width == 0, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
-
-
 def exact_percentile(
-    df: DataFrame, keys: Sequence[str], value: str, p: float, out: str, bins: int = 1024
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    p: float,
+    out: str,
+    accuracy: int = 10000,
+    band: float = 5e-4,
 ) -> DataFrame:
     """``keys..., out``: nearest-rank ``p``-quantile of non-null ``value`` per group."""
     keys = list(keys)
     vals = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    stats = vals.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    ).withColumn("_k", F.greatest(F.lit(1), F.least(F.col("_n"), F.ceil(F.lit(p) * F.col("_n")))))
-    # one row per group: computed once, read by both passes below
-    stats = materialize(stats)
-    binned = vals.join(stats.select(*keys, "_lo", "_hi", "_k"), keys).withColumn(
-        "_bin", _bin(F.col("_v"), F.col("_lo"), F.col("_hi"), bins)
+    cuts = [max(0.0, p - band), min(1.0, p + band)]
+    stats = (
+        vals.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", cuts, accuracy).alias("_cuts"))
+        .select(
+            *keys,
+            F.greatest(F.lit(1), F.least(F.col("_n"), F.ceil(F.lit(p) * F.col("_n")))).alias("_k"),
+            F.col("_cuts")[0].alias("_c_lo"),
+            F.col("_cuts")[1].alias("_c_hi"),
+        )
+    )
+    stats = materialize(stats)  # one row per group, read by the two passes below
+    counted = (
+        vals.join(stats, keys)
+        .groupBy(*keys, "_k", "_c_lo", "_c_hi")
+        .agg(
+            F.count_if(F.col("_v") < F.col("_c_lo")).alias("_below"),
+            F.count_if(F.col("_v") <= F.col("_c_hi")).alias("_upto"),
+        )
     )
-    per_bin = binned.groupBy(*keys, "_k", "_bin").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    target = (
-        per_bin.withColumn("_cum", F.sum("_c").over(w))
-        .filter((F.col("_cum") >= F.col("_k")) & (F.col("_cum") - F.col("_c") < F.col("_k")))
-        .select(*keys, "_bin", (F.col("_k") - (F.col("_cum") - F.col("_c"))).alias("_r"))
+    ok = (F.col("_below") < F.col("_k")) & (F.col("_k") <= F.col("_upto"))
+    bounds = materialize(
+        counted.select(
+            *keys,
+            F.when(ok, F.col("_c_lo")).alias("_lo"),
+            F.when(ok, F.col("_c_hi")).alias("_hi"),
+            F.when(ok, F.col("_k") - F.col("_below")).otherwise(F.col("_k")).alias("_r"),
+        )
     )
-    inside = binned.join(target, [*keys, "_bin"], "left_semi").groupBy(*keys, "_v").agg(
+    inside = F.col("_lo").isNull() | ((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+    band_counts = vals.join(bounds, keys).filter(inside).groupBy(*keys, "_r", "_v").agg(
         F.count(F.lit(1)).alias("_vc")
     )
-    wv = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    picked = (
-        inside.withColumn("_vcum", F.sum("_vc").over(wv))
-        .join(target.select(*keys, "_r"), keys)
-        .filter((F.col("_vcum") >= F.col("_r")) & (F.col("_vcum") - F.col("_vc") < F.col("_r")))
+    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    picked = band_counts.withColumn("_cum", F.sum("_vc").over(w)).filter(
+        (F.col("_cum") >= F.col("_r")) & (F.col("_cum") - F.col("_vc") < F.col("_r"))
     )
     return picked.select(*keys, F.col("_v").alias(out))

@@ -66,7 +66,9 @@ def test_exact_percentile_brute_force(spark):
     df = spark.createDataFrame(rows, "g string, x double")
     pdf = pd.DataFrame(rows, columns=["g", "x"]).dropna()
     for p in (0.5, 0.95, 0.99, 0.0, 1.0):
-        got = {r["g"]: r["q"] for r in exact_percentile(df, ["g"], "x", p, "q", bins=16).collect()}
+        got = {r["g"]: r["q"] for r in exact_percentile(df, ["g"], "x", p, "q").collect()}
+        narrow = {r["g"]: r["q"] for r in exact_percentile(df, ["g"], "x", p, "q", accuracy=50, band=0.001).collect()}
+        assert narrow == got
         want = {g: _nearest_rank(s.tolist(), p) for g, s in pdf.groupby("g")["x"]}
         assert got == want, p
     # Spark's own exact percentile_disc agrees
