@@ -82,3 +82,23 @@ def lines_containing(lines: DataFrame, text: str, line_col: str = "line") -> Dat
 def lines_matching(lines: DataFrame, pattern: str, line_col: str = "line") -> DataFrame:
     """Lines that match a regular expression (FLT7)."""
     return lines.filter(F.col(line_col).rlike(pattern))
+
+
+def only_application(parsed: DataFrame, application_id: str, col: str = "application_id") -> DataFrame:
+    """Lines of one application: a development sample that stays a filter (SRC14)."""
+    return parsed.filter(F.col(col) == application_id)
+
+
+def log_inventory(files: DataFrame, approximate: bool = False) -> DataFrame:
+    """Distinct applications, log files and lines (AGG16) in one aggregate.
+
+    ``files`` has ``file_application_id`` and ``path`` (one row per line).
+    ``approximate`` uses HyperLogLog sketches, whose memory does not grow with
+    the number of distinct values.
+    """
+    distinct = (lambda c: F.approx_count_distinct(c)) if approximate else F.count_distinct
+    return files.agg(
+        distinct(F.when(F.col("file_application_id") != "", F.col("file_application_id"))).alias("applications"),
+        distinct("path").alias("log_files"),
+        F.count(F.lit(1)).alias("lines"),
+    )

@@ -39,6 +39,18 @@ def build_session(
     return builder.getOrCreate()
 
 
+def s3a_conf(credential_providers: list[str] | None = None) -> dict[str, str]:
+    """Settings for reading ``s3a://`` paths (SRC8), to pass as ``build_session(conf=...)``.
+
+    The object-store connector jars come with the deployment; nothing here
+    opens a connection until a path is read.
+    """
+    conf = {"spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem"}
+    if credential_providers:
+        conf["spark.hadoop.fs.s3a.aws.credentials.provider"] = ",".join(credential_providers)
+    return conf
+
+
 def use_utc(spark: SparkSession) -> None:
     """Log timestamps have no zone; every parse and format assumes UTC."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":

@@ -29,12 +29,21 @@ def spread_input(df: DataFrame) -> DataFrame:
     return df
 
 
-def parquet_set(spark: SparkSession, paths: Iterable[str], merge_schema: bool = False) -> DataFrame:
-    """Several Parquet files or directories read as one table (SRC3, implicit UNION ALL)."""
+def parquet_set(
+    spark: SparkSession, paths: Iterable[str], merge_schema: bool = False, ignore_missing: bool = False
+) -> DataFrame:
+    """Several Parquet files or directories read as one table (SRC3, implicit UNION ALL).
+
+    ``ignore_missing`` skips files that vanish between listing and reading
+    (SRC7: a month that failed to arrive does not fail the job).
+    """
     paths = list(paths)
     if not paths:
         raise ValueError("no input paths")
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    if ignore_missing:
+        reader = reader.option("ignoreMissingFiles", "true")
+    return reader.parquet(*paths)
 
 
 def partitioned_parquet(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
@@ -76,6 +85,11 @@ CLUSTER_SUMMARY_SCHEMA = T.StructType(
 )
 
 
+def id_range(spark: SparkSession, n: int) -> DataFrame:
+    """``id`` 0..n-1 (SRC9), e.g. to check a session end to end."""
+    return spark.range(n)
+
+
 def sql_on(spark: SparkSession, df: DataFrame, view: str, query: str) -> DataFrame:
     """Register ``df`` as a temp view and run SQL on it (SRC10)."""
     df.createOrReplaceTempView(view)

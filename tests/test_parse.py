@@ -53,3 +53,23 @@ def test_size_to_bytes(spark):
     df = spark.createDataFrame([("4.0", "MB"), ("2.5", "GB"), ("512", "B"), ("1.5", "KB"), ("x", "MB")], "n string, u string")
     got = [r[0] for r in df.select(size_to_bytes(F.col("n"), F.col("u"))).collect()]
     assert got == [4.0 * 1024**2, 2.5 * 1024**3, 512.0, 1536.0, None]
+
+
+def test_unfinished_anti_equals_grouped(spark):
+    from conftest import SF001
+    from lograft.operators import messages
+    from lograft.plans.catalog import parsed
+
+    events = messages.task_events(parsed(spark, SF001))
+    a = sorted(messages.unfinished_tasks(events).collect())
+    b = sorted(messages.unfinished_tasks_anti(events).select("application_id", "tid", "stage_id", "start_time").collect())
+    assert a == b and len(a) == 77
+
+
+def test_histogram_log_scale(spark):
+    from lograft.operators.distribution import histogram
+
+    df = spark.createDataFrame([("c", float(x)) for x in [0, 1, 9, 99, 999, 9999]], "cluster_id string, x double")
+    rows = histogram(df, bins=4, log_scale=True).orderBy("bin").collect()
+    assert [r["count"] for r in rows] == [2, 1, 1, 2]
+    assert abs(rows[0]["bin_lo"]) < 1e-9 and abs(rows[-1]["bin_hi"] - 9999) < 1e-6

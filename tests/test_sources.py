@@ -96,3 +96,24 @@ def test_csv_round_trip_and_error_lines(spark, logdir):
     errors = levels.lines_containing(read_log_lines(spark, logdir), "ERROR")
     write_lines(errors, os.path.join(out, "errors"))
     assert spark.read.text(os.path.join(out, "errors")).count() == 1
+
+
+def test_inventory_and_single_app(spark, logdir):
+    from lograft.operators.levels import log_inventory, only_application
+
+    df = with_file_identity(read_log_lines(spark, logdir, with_path=True))
+    inv = log_inventory(df).first()
+    assert (inv["applications"], inv["log_files"], inv["lines"]) == (2, 3, 9)
+    approx = log_inventory(df, approximate=True).first()
+    assert (approx["applications"], approx["log_files"]) == (2, 3)
+    assert only_application(df, APP2, "file_application_id").count() == 2
+
+
+def test_parquet_set_and_range(spark):
+    from lograft.sources.tables import id_range, month_paths, parquet_set
+
+    paths = month_paths("/root/testdata", [(0, 1)], "{root}/sf0.001/orders.parquet")
+    assert parquet_set(spark, paths * 2).count() == 2 * spark.read.parquet(paths[0]).count()
+    assert parquet_set(spark, paths, ignore_missing=True).count() > 0
+    df = id_range(spark, 1000)
+    assert df.filter(df.id % 2 == 0).select((df.id * 2).alias("x")).count() == 500
