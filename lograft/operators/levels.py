@@ -89,6 +89,19 @@ def only_application(parsed: DataFrame, application_id: str, col: str = "applica
     return parsed.filter(F.col(col) == application_id)
 
 
+def line_inventory(parsed: DataFrame) -> DataFrame:
+    """Distinct applications and clusters named in the text, lines, lines with
+    a level, and parsable timestamps, in one aggregate (AGG16 over line text)."""
+    named = F.col("application_id") != ""
+    return parsed.agg(
+        F.count_distinct(F.when(named, F.col("application_id"))).alias("applications"),
+        F.count_distinct(F.when(named, F.col("cluster_id"))).alias("clusters"),
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("log_level") != "").alias("lines_with_level"),
+        F.count("event_time").alias("lines_with_time"),
+    )
+
+
 def log_inventory(files: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct applications, log files and lines (AGG16) in one aggregate.
 

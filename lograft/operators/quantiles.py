@@ -9,13 +9,14 @@ ever ordering a whole group in one task:
 1. per group: ``n`` and two sketch quantiles at ``p - band`` and ``p + band``;
    the sketch's rank error is at most ``n / accuracy``, far below ``band * n``,
    so the answer lies between them;
-2. one pass counts the values below the lower cut and up to the upper cut,
-   which checks the bracket and gives the rank left inside it;
-3. only the values inside the bracket (about ``2 * band * n`` of a group) are
-   counted per distinct value and ordered by a window.
-
-A group whose bracket fails the check falls back to ordering all its values,
-so the result is exact in every case.
+2. one aggregate pass keys every value by ``(side, value)``: values below the
+   lower cut collapse into one "below" row, values above the upper cut into
+   one "above" row, values inside keep one row per distinct value (about
+   ``2 * band * n`` of a group); a window over these few rows gives every
+   cumulative count and picks rank ``k``;
+3. a group whose rank falls on the "below"/"above" row (the bracket missed,
+   which the sketch bound rules out) is recomputed by ordering all its
+   values; that pass only runs when such a group exists.
 """
 
 from __future__ import annotations
@@ -34,6 +35,13 @@ def approx_percentile(
     return df.groupBy(*keys).agg(F.percentile_approx(value, p, accuracy).alias(out))
 
 
+def _pick(counts: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return counts.withColumn("_cum", F.sum("_c").over(w)).filter(
+        (F.col("_cum") >= F.col("_k")) & (F.col("_cum") - F.col("_c") < F.col("_k"))
+    )
+
+
 def exact_percentile(
     df: DataFrame,
     keys: Sequence[str],
@@ -47,7 +55,7 @@ def exact_percentile(
     keys = list(keys)
     vals = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     cuts = [max(0.0, p - band), min(1.0, p + band)]
-    stats = (
+    stats = materialize(
         vals.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", cuts, accuracy).alias("_cuts"))
         .select(
@@ -57,30 +65,18 @@ def exact_percentile(
             F.col("_cuts")[1].alias("_c_hi"),
         )
     )
-    stats = materialize(stats)  # one row per group, read by the two passes below
-    counted = (
-        vals.join(stats, keys)
-        .groupBy(*keys, "_k", "_c_lo", "_c_hi")
-        .agg(
-            F.count_if(F.col("_v") < F.col("_c_lo")).alias("_below"),
-            F.count_if(F.col("_v") <= F.col("_c_hi")).alias("_upto"),
-        )
-    )
-    ok = (F.col("_below") < F.col("_k")) & (F.col("_k") <= F.col("_upto"))
-    bounds = materialize(
-        counted.select(
-            *keys,
-            F.when(ok, F.col("_c_lo")).alias("_lo"),
-            F.when(ok, F.col("_c_hi")).alias("_hi"),
-            F.when(ok, F.col("_k") - F.col("_below")).otherwise(F.col("_k")).alias("_r"),
-        )
-    )
-    inside = F.col("_lo").isNull() | ((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-    band_counts = vals.join(bounds, keys).filter(inside).groupBy(*keys, "_r", "_v").agg(
-        F.count(F.lit(1)).alias("_vc")
-    )
-    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    picked = band_counts.withColumn("_cum", F.sum("_vc").over(w)).filter(
-        (F.col("_cum") >= F.col("_r")) & (F.col("_cum") - F.col("_vc") < F.col("_r"))
+    side = F.when(F.col("_v") < F.col("_c_lo"), F.lit(-1)).when(F.col("_v") > F.col("_c_hi"), F.lit(1)).otherwise(F.lit(0))
+    marked = vals.join(stats, keys).select(
+        *keys, "_k", side.alias("_side"), F.when(side == 0, F.col("_v")).alias("_val")
     )
-    return picked.select(*keys, F.col("_v").alias(out))
+    counts = marked.groupBy(*keys, "_k", "_side", "_val").agg(F.count(F.lit(1)).alias("_c"))
+    picked = materialize(_pick(counts, keys, ["_side", "_val"]).select(*keys, "_side", F.col("_val").alias(out)))
+    result = picked.filter(F.col("_side") == 0).drop("_side")
+    missed = picked.filter(F.col("_side") != 0).select(*keys)
+    if missed.isEmpty():
+        return result
+    # fallback for groups whose bracket missed: order all of their values
+    again = vals.join(missed, keys, "left_semi").join(stats.select(*keys, "_k"), keys)
+    full = again.groupBy(*keys, "_k", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    fixed = _pick(full, keys, ["_v"]).select(*keys, F.col("_v").alias(out))
+    return result.unionByName(fixed)

@@ -76,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "level_tokens_all": lambda s, r: levels.level_token_counts(lines(s, r)),
     "component_counts": lambda s, r: levels.component_counts(parsed(s, r), 20),
     "log_sample": lambda s, r: levels.sample_lines(parsed(s, r), 10, "42"),
+    "line_inventory": lambda s, r: levels.line_inventory(parsed(s, r)),
     "error_lines": lambda s, r: levels.lines_containing(lines(s, r), "ERROR").select("event_id", "line"),
     # application timeline and cluster usage
     "app_timeline": lambda s, r: timeline.app_timeline(parsed(s, r)).select(
@@ -84,6 +85,9 @@ QUERIES: dict[str, Query] = {
     "cluster_summary": lambda s, r: timeline.cluster_summary(timeline.app_timeline(parsed(s, r))),
     "cluster_stats": lambda s, r: timeline.cluster_stats(timeline.cluster_summary(timeline.app_timeline(parsed(s, r)))),
     "cluster_rank": lambda s, r: timeline.cluster_rank(timeline.cluster_summary(timeline.app_timeline(parsed(s, r)))),
+    "top_clusters": lambda s, r: timeline.most_used_clusters(
+        timeline.cluster_summary(timeline.app_timeline(parsed(s, r))), 5
+    ),
     "app_gaps": lambda s, r: timeline.app_gaps(_timeline(s, r)),
     "peak_concurrency": lambda s, r: timeline.peak_concurrency(_timeline(s, r)),
     "app_overlaps": lambda s, r: timeline.app_overlap_counts(_timeline(s, r)),

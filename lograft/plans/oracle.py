@@ -164,6 +164,13 @@ SELECT log_level, count, 100.0 * count / sum(count) OVER () AS pct FROM c""",
        coalesce(CAST(sum(num_applications) AS DOUBLE) / nullif(count(*), 0), 0.0) AS avg_apps_per_cluster FROM summary""",
     "cluster_rank": _with(*_SUM)
     + "SELECT cluster_id, num_applications, CAST(rank() OVER (ORDER BY num_applications DESC) AS INTEGER) AS usage_rank FROM summary",
+    "top_clusters": _with(*_SUM)
+    + "SELECT * FROM summary ORDER BY num_applications DESC, cluster_id LIMIT 5",
+    "line_inventory": _with(*_LOG)
+    + """SELECT count(DISTINCT CASE WHEN application_id <> '' THEN application_id END) AS applications,
+       count(DISTINCT CASE WHEN application_id <> '' THEN cluster_id END) AS clusters,
+       count(*) AS lines, count(*) FILTER (WHERE log_level <> '') AS lines_with_level,
+       count(event_time) AS lines_with_time FROM parsed""",
     "app_gaps": _with(*_TL)
     + """SELECT cluster_id, application_id, start_time,
        lag(application_id) OVER w AS prev_application_id, lag(end_time) OVER w AS prev_end_time,

@@ -75,6 +75,14 @@ def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     return sc.getCheckpointDir()
 
 
+def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        current = None
+    return current or spark.conf.get("spark.checkpoint.dir", None)
+
+
 def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and return the re-read frame.
 
@@ -98,7 +106,7 @@ def materialize(df: DataFrame) -> DataFrame:
     application, per group), not for raw-scale data, which is cheaper to re-scan.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None):
+    if _configured_checkpoint_dir(spark):
         checkpoint_dir(spark)
         return df.checkpoint(eager=True)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)

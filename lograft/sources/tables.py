@@ -22,11 +22,12 @@ def spread_input(df: DataFrame) -> DataFrame:
     partitions than ``defaultParallelism`` one cheap shuffle of the raw rows
     spreads the CPU-heavy parsing; a large input (many splits) is left as it is.
     """
-    sc = df.sparkSession.sparkContext
-    want = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no local SparkContext (Spark Connect): leave the scan as it is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def parquet_set(
