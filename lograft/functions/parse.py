@@ -30,6 +30,13 @@ def parse_log_time(text: str | Column) -> Column:
     return F.try_to_timestamp(_c(text), F.lit(P.TS_FORMAT)).cast("timestamp_ntz")
 
 
+def parse_log_time_strict(text: str | Column) -> Column:
+    """Strict parse (T9): raises ``CANNOT_PARSE_TIMESTAMP`` on bad text under ANSI
+    mode, also on ``''``. Only for columns already known to hold valid times;
+    raw log text goes through ``parse_log_time``."""
+    return F.to_timestamp(_c(text), P.TS_FORMAT).cast("timestamp_ntz")
+
+
 def level(line: str | Column) -> Column:
     """First whole-word level token anywhere in the line."""
     return extract(line, P.LEVEL_WORD)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,15 +62,21 @@ def component_counts(parsed: DataFrame, k: int = 20) -> DataFrame:
     return counts.orderBy(F.desc("count"), F.asc("component")).limit(k)
 
 
-def sample_lines(parsed: DataFrame, n: int = 10, seed: str = "42", key_col: str = "line") -> DataFrame:
-    """Reproducible random sample of ``n`` lines with a level (SRT5).
+def sample_lines(
+    parsed: DataFrame, n: int = 10, seed: str = "42", key_col: str = "line", method: str = "md5"
+) -> DataFrame:
+    """Random sample of ``n`` lines with a level (SRT5, T20).
 
-    Order by ``md5(seed || line)``: a per-row hash, so every task keeps a local
-    top-``n`` heap and only ``n`` rows per task reach the final merge
-    (TakeOrderedAndProject), whatever the input size.
+    ``md5``: order by ``md5(seed || line)``, reproducible whatever the
+    partitioning. ``rand``: order by ``rand(seed)``, reproducible only for the
+    same input splits. Either way every task keeps a local top-``n`` heap and
+    only ``n`` rows per task reach the final merge (TakeOrderedAndProject).
     """
     rows = with_level(parsed)
-    order = F.md5(F.concat(F.lit(seed), F.col(key_col)))
+    if method == "rand":
+        order = F.rand(int(seed) if str(seed).isdigit() else zlib.crc32(str(seed).encode()))
+    else:
+        order = F.md5(F.concat(F.lit(seed), F.col(key_col)))
     return rows.orderBy(order, F.col(key_col)).limit(n).select(
         F.col(key_col).alias("log_entry"), F.col("log_level")
     )

@@ -73,3 +73,16 @@ def test_histogram_log_scale(spark):
     rows = histogram(df, bins=4, log_scale=True).orderBy("bin").collect()
     assert [r["count"] for r in rows] == [2, 1, 1, 2]
     assert abs(rows[0]["bin_lo"]) < 1e-9 and abs(rows[-1]["bin_hi"] - 9999) < 1e-6
+
+
+def test_strict_parse_and_rand_sample(spark):
+    import pytest
+    from lograft.functions.parse import parse_log_time_strict
+
+    ok = spark.createDataFrame([("24/01/05 10:00:00",)], "s string").select(parse_log_time_strict("s")).first()[0]
+    assert ok == dt.datetime(2024, 1, 5, 10, 0, 0)
+    with pytest.raises(Exception):
+        spark.createDataFrame([("24/13/45 10:00:00",)], "s string").select(parse_log_time_strict("s")).collect()
+    p = _parsed(spark)
+    s = levels.sample_lines(p, 3, "7", method="rand").collect()
+    assert len(s) == 3 and all(r["log_level"] != "" for r in s)

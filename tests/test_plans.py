@@ -61,3 +61,20 @@ def test_streaming_level_counts(spark):
 
     want = {r["log_level"]: r["count"] for r in level_counts(parse_lines(lines)).collect()}
     assert got == want
+
+
+def test_streaming_timeline(spark):
+    from lograft.functions.parse import parse_lines
+    from lograft.operators.timeline import app_timeline
+    from lograft.streaming.logs import streaming_timeline
+
+    src = tempfile.mkdtemp(prefix="lograft-stream-src-", dir="/tmp")
+    lines = event_lines(spark, SF0001)
+    lines.select("line").write.mode("overwrite").text(os.path.join(src, "batch1"))
+    stream = log_line_stream(spark, src, glob="part-*")
+    q = start_to_table(streaming_timeline(stream), "timeline_stream",
+                       tempfile.mkdtemp(prefix="lograft-ckpt-", dir="/tmp"), mode="complete")
+    q.awaitTermination(120)
+    got = sorted(spark.sql("SELECT cluster_id, application_id, start_time, end_time FROM timeline_stream").collect())
+    want = sorted(app_timeline(parse_lines(lines)).select("cluster_id", "application_id", "start_time", "end_time").collect())
+    assert got == want and len(got) > 0
