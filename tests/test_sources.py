@@ -117,3 +117,21 @@ def test_parquet_set_and_range(spark):
     assert parquet_set(spark, paths, ignore_missing=True).count() > 0
     df = id_range(spark, 1000)
     assert df.filter(df.id % 2 == 0).select((df.id * 2).alias("x")).count() == 500
+
+
+def test_glob_read_and_partition_pruning(spark, logdir):
+    from lograft.sources import read_log_glob
+    from lograft.sources.tables import partitioned_parquet
+
+    assert read_log_glob(spark, os.path.join(logdir, "application_*/*.log")).count() == 9
+    out = tempfile.mkdtemp(prefix="lograft-part-", dir="/tmp")
+    spark.range(100).selectExpr("id", "IF(id < 40, 2021, 2022) AS yyyy").write.partitionBy("yyyy").parquet(
+        os.path.join(out, "t")
+    )
+    df = partitioned_parquet(spark, os.path.join(out, "t"))
+    q = df.filter(F.col("yyyy") == 2021)
+    assert q.count() == 40
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(yyyy" in plan and "(yyyy" in plan
+    only = partitioned_parquet(spark, os.path.join(out, "t"), "yyyy=2022/*.parquet")
+    assert only.count() == 60 and "yyyy" in only.columns
