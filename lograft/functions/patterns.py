@@ -30,6 +30,7 @@ EXECUTOR_REQUEST = (
 CONTAINER_REQUEST = r"Container request \(host: ([^,]+), capability: <memory:(\d+), vCores:(\d+)>"
 TASK_RUNNING = r"Running task (\d+)\.(\d+) in stage (\d+)\.(\d+) \(TID (\d+)\)"
 TASK_FINISHED = r"Finished task (\d+)\.(\d+) in stage (\d+)\.(\d+) \(TID (\d+)\)"
+TASK_LINE = r"(Running|Finished) task (\d+)\.(\d+) in stage (\d+)\.(\d+) \(TID (\d+)\)"
 TASK_RESULT_BYTES = r"\(TID \d+\)\. (\d+) bytes result sent to driver"
 INPUT_SPLIT = r"Input split: (\S+):(\d+)\+(\d+)"
 PYTHON_TIMES = r"Times: total = (\d+), boot = (\d+), init = (\d+), finish = (\d+)"

@@ -65,19 +65,20 @@ def requests_per_host(requests: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X3, J2, J4
 def task_events(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    """One row per ``Running task`` / ``Finished task`` line."""
+    """One row per ``Running task`` / ``Finished task`` line.
+
+    One pattern covers both formats: group 1 is the kind, so each line is
+    matched by a single regex instead of one per format and field.
+    """
     line = F.col(line_col)
-    running = line.contains("Running task ")
-    finished = line.contains("Finished task ")
-    rows = parsed.filter(running | finished)
+    rows = parsed.filter(line.contains("Running task ") | line.contains("Finished task "))
+    kind = extract(line, P.TASK_LINE, 1)
     return rows.select(
         "application_id",
-        F.when(running, F.lit("running")).otherwise(F.lit("finished")).alias("kind"),
-        F.coalesce(
-            _num(line, P.TASK_RUNNING, 5), _num(line, P.TASK_FINISHED, 5)
-        ).alias("tid"),
-        F.coalesce(_num(line, P.TASK_RUNNING, 3, "int"), _num(line, P.TASK_FINISHED, 3, "int")).alias("stage_id"),
-        F.coalesce(_num(line, P.TASK_RUNNING, 1, "int"), _num(line, P.TASK_FINISHED, 1, "int")).alias("task_index"),
+        F.when(kind == "Running", F.lit("running")).when(kind == "Finished", F.lit("finished")).alias("kind"),
+        _num(line, P.TASK_LINE, 6).alias("tid"),
+        _num(line, P.TASK_LINE, 4, "int").alias("stage_id"),
+        _num(line, P.TASK_LINE, 2, "int").alias("task_index"),
         _num(line, P.TASK_RESULT_BYTES, 1).alias("result_bytes"),
         "event_time",
     )
