@@ -5,6 +5,7 @@ from lograft.sources.logs import (  # noqa: F401
     read_log_glob,
     read_log_lines,
     read_numbered_lines,
+    read_ordered_lines,
     with_file_identity,
 )
 from lograft.sources.tables import csv_with_schema, parquet_set, partitioned_parquet, table  # noqa: F401

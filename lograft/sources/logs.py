@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lograft.functions.parse import file_identity
@@ -50,6 +50,33 @@ def read_numbered_lines(spark: SparkSession, path: str, glob: str | None = "*.lo
     return df.select("path", F.posexplode(F.split(body, "\n")).alias("line_no", "line"))
 
 
+def read_ordered_lines(spark: SparkSession, path: str, glob: str | None = "*.log") -> DataFrame:
+    """``path, line_no, line`` with 0-based line numbers, without reading files whole.
+
+    The text source reads each split of a file in order, and a line belongs to
+    exactly one split (the one it starts in). A line's number is the count of
+    lines in the earlier splits of its file (a small per-split count and a
+    window over the few splits of each file) plus its position inside its
+    split (``monotonically_increasing_id`` is contiguous within one split).
+    Files of any size are numbered in parallel, one task per split.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    rows = reader.text(path).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_rid"),
+        F.col("value").alias("line"),
+    )
+    splits = rows.groupBy("path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_first"))
+    before = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    return rows.join(splits.drop("_n"), ["path", "_block"]).select(
+        "path", (F.col("_offset") + F.col("_rid") - F.col("_first")).alias("line_no"), "line"
+    )
+
+
 def with_file_identity(df: DataFrame, path_col: str = "path") -> DataFrame:
     """Add application, container, attempt and role parsed from the file path."""
     return df.withColumns(file_identity(path_col))

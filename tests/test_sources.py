@@ -135,3 +135,28 @@ def test_glob_read_and_partition_pruning(spark, logdir):
     assert "PartitionFilters: [isnotnull(yyyy" in plan and "(yyyy" in plan
     only = partitioned_parquet(spark, os.path.join(out, "t"), "yyyy=2022/*.parquet")
     assert only.count() == 60 and "yyyy" in only.columns
+
+
+def test_ordered_lines_match_whole_file_numbering(spark):
+    from lograft.sources import read_ordered_lines
+
+    logdir = tempfile.mkdtemp(prefix="lograft-biglog-", dir="/tmp")
+    for rel, lines in FILES.items():
+        os.makedirs(os.path.dirname(os.path.join(logdir, rel)), exist_ok=True)
+        with open(os.path.join(logdir, rel), "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+    big = os.path.join(logdir, "application_1485248649253_0003")
+    os.makedirs(big, exist_ok=True)
+    with open(os.path.join(big, "container_1485248649253_0003_01_000002.log"), "w") as fh:
+        for i in range(5000):
+            fh.write(f"17/01/24 17:{i // 60 % 60:02d}:{i % 60:02d} INFO X: line {i}\n" if i % 7 else f"    at frame({i})\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # many splits per file
+    try:
+        ordered = read_ordered_lines(spark, logdir)
+        whole = read_numbered_lines(spark, logdir)
+        assert sorted(ordered.collect()) == sorted(whole.collect())
+        n_splits = spark.read.text(big).select("_metadata.file_block_start").distinct().count()
+        assert n_splits > 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
