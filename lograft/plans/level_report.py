@@ -43,8 +43,8 @@ def run_level_report(
     total = all_counts.agg(F.sum("count")).first()[0] or 0
     with_level = sum(c for _, c in rows)
 
-    write_single_csv(counts, os.path.join(out_dir, "problem1_counts.csv"))
-    write_single_csv(sample_lines(parsed, sample_n, seed), os.path.join(out_dir, "problem1_sample.csv"))
+    write_single_csv(counts, os.path.join(out_dir, "level_counts.csv"))
+    write_single_csv(sample_lines(parsed, sample_n, seed), os.path.join(out_dir, "level_sample.csv"))
     text = level_summary_text(total, with_level, rows)
-    write_report(spark, text, os.path.join(out_dir, "problem1_summary.txt"))
+    write_report(spark, text, os.path.join(out_dir, "level_summary.txt"))
     return {"total_lines": total, "lines_with_level": with_level, "counts": rows, "summary": text}

@@ -40,22 +40,22 @@ def run_usage_report(spark: SparkSession, lines: DataFrame, out_dir: str, top_k:
         tl.select("cluster_id", "application_id", "app_number", "start_time", "end_time").orderBy(
             "cluster_id", "start_time", "application_id"
         ),
-        os.path.join(out_dir, "problem2_timeline.csv"),
+        os.path.join(out_dir, "app_timeline.csv"),
         TS_FORMAT,
     )
     write_single_csv(
         summary.orderBy(F.desc("num_applications"), F.asc("cluster_id")),
-        os.path.join(out_dir, "problem2_cluster_summary.csv"),
+        os.path.join(out_dir, "cluster_summary.csv"),
         TS_FORMAT,
     )
     stats = timeline.cluster_stats(summary).first()
     top = [(r["cluster_id"], r["num_applications"]) for r in timeline.most_used_clusters(summary, top_k).collect()]
     text = stats_text(stats["total_clusters"], stats["total_applications"], stats["avg_apps_per_cluster"], top)
-    write_report(spark, text, os.path.join(out_dir, "problem2_stats.txt"))
+    write_report(spark, text, os.path.join(out_dir, "usage_stats.txt"))
 
     durations = distribution.top_cluster_durations(tl, summary)
-    write_single_csv(distribution.histogram(durations, 30).orderBy("bin"), os.path.join(out_dir, "problem2_histogram.csv"))
-    write_single_csv(distribution.density(durations).orderBy("point"), os.path.join(out_dir, "problem2_density.csv"))
+    write_single_csv(distribution.histogram(durations, 30).orderBy("bin"), os.path.join(out_dir, "duration_histogram.csv"))
+    write_single_csv(distribution.density(durations).orderBy("point"), os.path.join(out_dir, "duration_density.csv"))
     return {
         "total_clusters": stats["total_clusters"],
         "total_applications": stats["total_applications"],

@@ -24,9 +24,9 @@ def test_level_report(spark):
     assert res["total_lines"] == 10000 and res["lines_with_level"] == 9000
     assert sum(c for _, c in res["counts"]) == 9000
     assert "Unique log levels found: 4" in res["summary"]
-    sample = spark.read.option("header", True).csv(os.path.join(out, "problem1_sample.csv"))
+    sample = spark.read.option("header", True).csv(os.path.join(out, "level_sample.csv"))
     assert sample.count() == 10 and sample.columns == ["log_entry", "log_level"]
-    text = spark.read.text(os.path.join(out, "problem1_summary.txt")).collect()
+    text = spark.read.text(os.path.join(out, "level_summary.txt")).collect()
     assert text[0][0].startswith("Total log lines processed: 10,000")
 
 
@@ -35,7 +35,7 @@ def test_usage_report(spark):
     res = run_usage_report(spark, event_lines(spark, SF001), out)
     assert res["total_clusters"] == 6 and res["total_applications"] == 150
     assert abs(res["avg_apps_per_cluster"] - 25.0) < 1e-12
-    hist = spark.read.option("header", True).option("inferSchema", True).csv(os.path.join(out, "problem2_histogram.csv"))
+    hist = spark.read.option("header", True).option("inferSchema", True).csv(os.path.join(out, "duration_histogram.csv"))
     assert hist.count() == 30 and sum(r["count"] for r in hist.collect()) == 25
 
 
