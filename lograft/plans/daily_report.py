@@ -15,7 +15,7 @@ def run_daily_report(
     spark: SparkSession, trips: DataFrame, year: int, out_dir: str, exact_p95: bool = False
 ) -> dict:
     days = cut_lineage(daily.daily_summary(trips, year, exact_p95=exact_p95))
-    write_single_csv(daily.sort_days_desc(days), os.path.join(out_dir, "daily_averages.csv"))
+    write_single_csv(daily.sort_days_desc(days), os.path.join(out_dir, "daily_kpis.csv"))
     totals = daily.daily_totals(days).first()
     span = daily.daily_range(days).first()
     text = "\n".join(
