@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +37,10 @@ def in_year(df: DataFrame, ts_col: str, year: int) -> DataFrame:
     ``year(ts) = 2021`` only pushes ``IsNotNull`` into the Parquet scan; a range
     on the column itself pushes ``>=``/``<`` and lets row groups be skipped.
     """
-    ts_type = dict(df.dtypes)[ts_col]
-    cast_to = "timestamp_ntz" if ts_type == "timestamp_ntz" else "timestamp"
-    lo = F.lit(dt.datetime(year, 1, 1)).cast(cast_to)
-    hi = F.lit(dt.datetime(year + 1, 1, 1)).cast(cast_to)
+    # typed SQL literals: zone-free for TIMESTAMP_NTZ, session zone for TIMESTAMP
+    kind = "TIMESTAMP_NTZ" if dict(df.dtypes)[ts_col] == "timestamp_ntz" else "TIMESTAMP"
+    lo = F.expr(f"{kind} '{year:04d}-01-01 00:00:00'")
+    hi = F.expr(f"{kind} '{year + 1:04d}-01-01 00:00:00'")
     return df.filter((F.col(ts_col) >= lo) & (F.col(ts_col) < hi))
 
 
