@@ -1,6 +1,7 @@
 """Text sources on real nested directories, file identity, multi-line entries, sinks."""
 
 import os
+import re
 import tempfile
 
 import pytest
@@ -160,3 +161,28 @@ def test_ordered_lines_match_whole_file_numbering(spark):
         assert n_splits > 10
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_text_tree_matches_catalog(spark):
+    """The same lines read back from a nested log tree give the same answers."""
+    from conftest import SF0001
+    from lograft.plans.catalog import lines as event_lines
+    from lograft.plans.catalog import parsed as event_parsed
+
+    rows = event_lines(spark, SF0001).orderBy("event_id").collect()
+    root = tempfile.mkdtemp(prefix="lograft-tree-", dir="/tmp")
+    by_app = {}
+    for r in rows:
+        m = re.search(r"application_(\d+_\d+)", r["line"])
+        app = f"application_{m.group(1) if m else '1485248649253_9999'}"
+        by_app.setdefault(app, []).append(r["line"])
+    for app, lines in by_app.items():
+        d = os.path.join(root, app)
+        os.makedirs(d, exist_ok=True)
+        with open(os.path.join(d, f"container_{app[len('application_'):]}_01_000001.log"), "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+    from_files = parse_lines(read_log_lines(spark, root))
+    assert sorted(levels.level_counts(from_files).collect()) == sorted(levels.level_counts(event_parsed(spark, SF0001)).collect())
+    assert sorted(timeline.app_timeline(from_files).collect()) == sorted(
+        timeline.app_timeline(event_parsed(spark, SF0001)).collect()
+    )
