@@ -42,7 +42,24 @@ def streaming_timeline(lines: DataFrame) -> DataFrame:
 
 
 def start_to_table(agg: DataFrame, name: str, checkpoint: str, mode: str = "complete", available_now: bool = True):
-    """Run an aggregate stream into an in-memory table ``name`` (tests, notebooks)."""
+    """Run an aggregate stream into an in-memory table ``name`` (tests, notebooks only:
+    the memory sink lives in the driver)."""
     writer = agg.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
+
+
+def start_to_parquet(agg: DataFrame, path: str, checkpoint: str, available_now: bool = False):
+    """Keep ``path`` holding the current complete aggregate as Parquet.
+
+    Each micro-batch of a complete-mode aggregate carries the whole (small)
+    result; ``foreachBatch`` overwrites the table with it. A retried batch
+    rewrites the same result, so the output stays correct after failures.
+    """
+
+    def overwrite(batch: DataFrame, _batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    writer = agg.writeStream.outputMode("complete").foreachBatch(overwrite).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()

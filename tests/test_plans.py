@@ -78,3 +78,17 @@ def test_streaming_timeline(spark):
     got = sorted(spark.sql("SELECT cluster_id, application_id, start_time, end_time FROM timeline_stream").collect())
     want = sorted(app_timeline(parse_lines(lines)).select("cluster_id", "application_id", "start_time", "end_time").collect())
     assert got == want and len(got) > 0
+
+
+def test_streaming_to_parquet(spark):
+    from lograft.streaming.logs import start_to_parquet
+
+    src = tempfile.mkdtemp(prefix="lograft-stream-src-", dir="/tmp")
+    out = tempfile.mkdtemp(prefix="lograft-stream-out-", dir="/tmp")
+    lines = event_lines(spark, SF0001)
+    lines.select("line").write.mode("overwrite").text(os.path.join(src, "b1"))
+    q = start_to_parquet(streaming_level_counts(log_line_stream(spark, src, glob="part-*")),
+                         os.path.join(out, "levels"), os.path.join(out, "ckpt"), available_now=True)
+    q.awaitTermination(120)
+    got = {r["log_level"]: r["count"] for r in spark.read.parquet(os.path.join(out, "levels")).collect()}
+    assert sum(got.values()) == 900 and set(got) == {"INFO", "WARN", "ERROR", "DEBUG"}
