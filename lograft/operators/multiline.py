@@ -68,5 +68,5 @@ def line_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         id_col,
         F.size(parts).cast("bigint").alias("n_lines"),
         F.size(F.filter(parts, lambda x: F.trim(x) == "")).cast("bigint").alias("blank_lines"),
-        F.array_max(F.transform(parts, lambda x: F.length(x))).alias("max_line_chars"),
+        F.array_max(F.transform(parts, lambda x: F.length(x))).cast("bigint").alias("max_line_chars"),
     )
