@@ -48,11 +48,24 @@ def _rows(cols, rows, digits):
     return sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
 def compare(spark_df, con, sql: str, digits: int | None = 12) -> dict:
     s_cols = spark_df.columns
+    s_types = dict(spark_df.dtypes)
     s_rows = [tuple(r) for r in spark_df.collect()]
     rel = con.sql(sql)
     d_cols = [c for c in rel.columns]
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     d_rows = rel.fetchall()
     res = {
         "rows_spark": len(s_rows),
@@ -67,5 +80,8 @@ def compare(spark_df, con, sql: str, digits: int | None = 12) -> dict:
         sa, sb = set(a), set(b)
         res["only_spark"] = sorted(sa - sb, key=str)[:3]
         res["only_oracle"] = sorted(sb - sa, key=str)[:3]
-    res["ok"] = res["values_match"] and res["rows_spark"] == res["rows_oracle"]
+    res["types_match"] = all(SPARK_TO_DUCK.get(s_types[c], s_types[c]) == d_types.get(c) for c in s_cols)
+    if not res["types_match"]:
+        res["types"] = {c: (s_types[c], d_types.get(c)) for c in s_cols}
+    res["ok"] = res["values_match"] and res["types_match"] and res["rows_spark"] == res["rows_oracle"]
     return res
