@@ -92,3 +92,15 @@ def test_streaming_to_parquet(spark):
     q.awaitTermination(120)
     got = {r["log_level"]: r["count"] for r in spark.read.parquet(os.path.join(out, "levels")).collect()}
     assert sum(got.values()) == 900 and set(got) == {"INFO", "WARN", "ERROR", "DEBUG"}
+
+
+def test_empty_input(spark):
+    from lograft.functions.parse import parse_lines
+    from lograft.operators import timeline
+
+    empty = spark.createDataFrame([], "event_id bigint, line string")
+    stats = timeline.cluster_stats(timeline.cluster_summary(timeline.app_timeline(parse_lines(empty)))).first()
+    assert (stats["total_clusters"], stats["total_applications"], stats["avg_apps_per_cluster"]) == (0, 0, 0.0)
+    res = run_level_report(spark, empty.select("line"), _out())
+    assert res["total_lines"] == 0 and res["counts"] == []
+    assert "Unique log levels found: 0" in res["summary"]
