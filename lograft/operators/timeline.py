@@ -95,11 +95,13 @@ def most_used_clusters(summary: DataFrame, k: int = 5) -> DataFrame:
     return summary.orderBy(F.desc("num_applications"), F.asc("cluster_id")).limit(k)
 
 
-def _day_bucket(col: str) -> F.Column:
-    return F.to_date(F.col(col))
+def _bucket(col: str, unit: str) -> F.Column:
+    """Order bucket for the skew-safe windows: the timestamp truncated to ``unit``
+    (``day`` by default; ``hour`` when single clusters run very many applications a day)."""
+    return F.date_trunc(unit, F.col(col))
 
 
-def app_gaps(timeline: DataFrame) -> DataFrame:
+def app_gaps(timeline: DataFrame, bucket_unit: str = "day") -> DataFrame:
     """Idle time between consecutive applications of a cluster.
 
     ``gap_sec`` = this start minus the previous application's end (negative
@@ -107,7 +109,7 @@ def app_gaps(timeline: DataFrame) -> DataFrame:
     per ``(cluster, day)`` with a carry from the previous day, so a cluster
     that runs most applications does not land in one task.
     """
-    rows = timeline.withColumn("_day", _day_bucket("start_time"))
+    rows = timeline.withColumn("_day", _bucket("start_time", bucket_unit))
     prev = previous_row(
         rows, ["cluster_id"], ["start_time", "application_id"], "_day", ["application_id", "end_time"]
     )
@@ -121,7 +123,7 @@ def app_gaps(timeline: DataFrame) -> DataFrame:
     )
 
 
-def peak_concurrency(timeline: DataFrame) -> DataFrame:
+def peak_concurrency(timeline: DataFrame, bucket_unit: str = "day") -> DataFrame:
     """Largest number of applications running at once per cluster, and when.
 
     Sweep: +1 at every start, -1 at every end, running sum in time order;
@@ -136,7 +138,7 @@ def peak_concurrency(timeline: DataFrame) -> DataFrame:
                 F.struct(F.col("end_time").alias("t"), F.lit(-1).alias("delta")),
             )
         ).alias("ev"),
-    ).select("cluster_id", "ev.t", "ev.delta").withColumn("_day", _day_bucket("t"))
+    ).select("cluster_id", "ev.t", "ev.delta").withColumn("_day", _bucket("t", bucket_unit))
     swept = running_totals(events, ["cluster_id"], [F.col("t"), F.desc("delta")], "_day", {"running": "delta"})
     return swept.groupBy("cluster_id").agg(
         F.max("running").alias("peak_concurrency"),
@@ -144,7 +146,7 @@ def peak_concurrency(timeline: DataFrame) -> DataFrame:
     )
 
 
-def app_overlap_counts(timeline: DataFrame) -> DataFrame:
+def app_overlap_counts(timeline: DataFrame, bucket_unit: str = "day") -> DataFrame:
     """For each application, how many other applications of its cluster overlap it.
 
     Overlap of closed intervals: ``b.start <= a.end AND a.start <= b.end``. The
@@ -169,7 +171,7 @@ def app_overlap_counts(timeline: DataFrame) -> DataFrame:
                 point("end_time", 2, 0, 0, True),
             )
         ).alias("p"),
-    ).select("cluster_id", "p.*").withColumn("_day", _day_bucket("t"))
+    ).select("cluster_id", "p.*").withColumn("_day", _bucket("t", bucket_unit))
     order = [F.col("t"), F.col("prio"), F.col("q_app")]
     swept = running_totals(pts, ["cluster_id"], order, "_day", {"starts_upto": "s", "ends_upto": "e"})
     q = swept.filter(F.col("q_app").isNotNull())

@@ -75,3 +75,14 @@ def test_exact_percentile_brute_force(spark):
     disc = df.groupBy("g").agg(F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY x)").alias("q"))
     ours = exact_percentile(df, ["g"], "x", 0.95, "q")
     assert sorted(disc.collect()) == sorted(ours.collect())
+
+
+def test_timeline_sweeps_with_hour_buckets(spark):
+    """Finer buckets give the same answers as day buckets."""
+    from conftest import SF001
+    from lograft.operators import timeline
+    from lograft.plans.catalog import _timeline
+
+    tl = _timeline(spark, SF001)
+    for fn in (timeline.app_gaps, timeline.peak_concurrency, timeline.app_overlap_counts):
+        assert sorted(fn(tl, "hour").collect()) == sorted(fn(tl, "day").collect())
