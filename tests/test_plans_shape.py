@@ -26,3 +26,17 @@ def test_year_filter_reaches_parquet(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in plan
     assert "ReadSchema: struct<l_linenumber:int,l_quantity:double,l_extendedprice:double" in plan
+
+
+@pytest.mark.parametrize("key", ["app_gaps", "peak_concurrency", "app_overlaps", "multiline_entries"])
+def test_windows_are_bucketed(spark, key):
+    """No window partitions by a bare (possibly hot) key: each one carries the
+    order bucket, either as a partition column or as the order of the small
+    per-bucket summary."""
+    df = E.queries()[key](spark, SF0001)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window [" in line]
+    assert windows
+    for line in windows:
+        assert "_day" in line or "_bucket" in line, line
