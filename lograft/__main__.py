@@ -3,6 +3,8 @@
     python -m lograft levels --input s3a://bucket/data/ --output s3a://bucket/output/
     python -m lograft usage  --input s3a://bucket/data/ --output s3a://bucket/output/
     python -m lograft daily  --input s3a://bucket/trips/2021/ --output out/ --year 2021
+    python -m lograft errors --input s3a://bucket/data/ --output s3a://bucket/output/errors/
+    python -m lograft grep   --input s3a://bucket/data/ --output out/times/ --pattern "PythonRunner: Times"
 
 ``--master`` is optional (spark-submit normally supplies it). Logs are read
 recursively below ``--input`` (``*.log``); trips are every Parquet file below it.
@@ -14,16 +16,19 @@ import argparse
 import json
 import sys
 
+from lograft.operators.levels import lines_containing, lines_matching
 from lograft.plans.daily_report import run_daily_report
 from lograft.plans.level_report import run_level_report
 from lograft.plans.usage_report import run_usage_report
 from lograft.session import build_session, checkpoint_dir, s3a_conf
+from lograft.sinks import write_csv
 from lograft.sources.logs import read_log_lines
 
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="lograft", description=__doc__.splitlines()[0])
-    ap.add_argument("job", choices=["levels", "usage", "daily"])
+    ap.add_argument("job", choices=["levels", "usage", "daily", "errors", "grep"])
+    ap.add_argument("--pattern", default=None, help="grep: regular expression a line must match")
     ap.add_argument("--input", required=True)
     ap.add_argument("--output", required=True)
     ap.add_argument("--master", default=None)
@@ -42,6 +47,17 @@ def main(argv: list[str] | None = None) -> int:
             res = run_level_report(spark, read_log_lines(spark, args.input, args.glob), args.output)
         elif args.job == "usage":
             res = run_usage_report(spark, read_log_lines(spark, args.input, args.glob), args.output)
+        elif args.job in ("errors", "grep"):
+            lines = read_log_lines(spark, args.input, args.glob, with_path=True)
+            if args.job == "errors":
+                hits = lines_containing(lines, "ERROR")
+            else:
+                if not args.pattern:
+                    ap.error("grep needs --pattern")
+                hits = lines_matching(lines, args.pattern)
+            # written by every task in parallel: this output grows with the input
+            write_csv(hits.select("path", "line"), args.output)
+            res = {"output": args.output}
         else:
             if args.year is None:
                 ap.error("daily needs --year")

@@ -16,12 +16,23 @@ LOG = (
 )
 
 
-def test_cli_levels():
+def _tree():
     d = tempfile.mkdtemp(prefix="lograft-cli-", dir="/tmp")
     app = os.path.join(d, "logs", "application_1485248649253_0001")
     os.makedirs(app)
     with open(os.path.join(app, "container_1485248649253_0001_01_000001.log"), "w") as fh:
         fh.write(LOG)
+    return d
+
+
+def _run(*args):
+    env = dict(os.environ, PYTHONPATH=ROOT)
+    return subprocess.run([sys.executable, "-m", "lograft", *args, "--master", "local[2]"],
+                          capture_output=True, text=True, env=env, timeout=300, check=True)
+
+
+def test_cli_levels_and_grep():
+    d = _tree()
     env = dict(os.environ, PYTHONPATH=ROOT)
     out = subprocess.run(
         [sys.executable, "-m", "lograft", "levels", "--input", os.path.join(d, "logs"), "--output",
@@ -31,3 +42,10 @@ def test_cli_levels():
     res = json.loads(out.stdout)
     assert res["total_lines"] == 4 and res["lines_with_level"] == 3
     assert sorted(res["counts"]) == [["ERROR", 1], ["INFO", 1], ["WARN", 1]]
+
+    _run("grep", "--input", os.path.join(d, "logs"), "--output", os.path.join(d, "grep"), "--pattern", "WARN|ERROR")
+    import csv
+    import glob
+
+    rows = [r for f in glob.glob(os.path.join(d, "grep", "*.csv")) for r in csv.DictReader(open(f))]
+    assert sorted(r["line"].split()[2] for r in rows) == ["ERROR", "WARN"]
