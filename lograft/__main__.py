@@ -29,6 +29,8 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="lograft", description=__doc__.splitlines()[0])
     ap.add_argument("job", choices=["levels", "usage", "daily", "errors", "grep"])
     ap.add_argument("--pattern", default=None, help="grep: regular expression a line must match")
+    ap.add_argument("--identity", choices=["mention", "file"], default="mention",
+                    help="usage: application of a line from its text or from its file path")
     ap.add_argument("--input", required=True)
     ap.add_argument("--output", required=True)
     ap.add_argument("--master", default=None)
@@ -46,7 +48,8 @@ def main(argv: list[str] | None = None) -> int:
         if args.job == "levels":
             res = run_level_report(spark, read_log_lines(spark, args.input, args.glob), args.output)
         elif args.job == "usage":
-            res = run_usage_report(spark, read_log_lines(spark, args.input, args.glob), args.output)
+            lines = read_log_lines(spark, args.input, args.glob, with_path=args.identity == "file")
+            res = run_usage_report(spark, lines, args.output, identity=args.identity)
         elif args.job in ("errors", "grep"):
             lines = read_log_lines(spark, args.input, args.glob, with_path=True)
             if args.job == "errors":

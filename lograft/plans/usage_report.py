@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lograft.functions.parse import parse_lines
 from lograft.operators import distribution, timeline
 from lograft.session import cut_lineage
+from lograft.sources.logs import with_file_identity
 from lograft.sinks import write_report, write_single_csv
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -32,8 +33,17 @@ def stats_text(total_clusters: int, total_apps: int, avg: float, top: list[tuple
     return "\n".join(lines) + "\n"
 
 
-def run_usage_report(spark: SparkSession, lines: DataFrame, out_dir: str, top_k: int = 5) -> dict:
-    tl = cut_lineage(timeline.app_timeline(parse_lines(lines)))
+def run_usage_report(
+    spark: SparkSession, lines: DataFrame, out_dir: str, top_k: int = 5, identity: str = "mention"
+) -> dict:
+    """``identity='mention'``: an application spans the lines that name it (the
+    original job's rule); ``'file'``: every line of its container files counts
+    (needs a ``path`` column, e.g. ``read_log_lines(..., with_path=True)``)."""
+    if identity == "file":
+        tl = timeline.timeline_by_file(parse_lines(with_file_identity(lines)))
+    else:
+        tl = timeline.app_timeline(parse_lines(lines))
+    tl = cut_lineage(tl)
     summary = cut_lineage(timeline.cluster_summary(tl))
 
     write_single_csv(

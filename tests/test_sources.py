@@ -186,3 +186,11 @@ def test_text_tree_matches_catalog(spark):
     assert sorted(timeline.app_timeline(from_files).collect()) == sorted(
         timeline.app_timeline(event_parsed(spark, SF0001)).collect()
     )
+
+
+def test_usage_report_by_file(spark, logdir):
+    from lograft.plans.usage_report import run_usage_report
+
+    out = tempfile.mkdtemp(prefix="lograft-usage-file-", dir="/tmp")
+    res = run_usage_report(spark, read_log_lines(spark, logdir, with_path=True), out, identity="file")
+    assert res["total_applications"] == 2 and res["total_clusters"] == 2
