@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lograft.session import materialize
@@ -50,21 +50,33 @@ def exact_percentile(
     out: str,
     accuracy: int = 10000,
     band: float = 5e-4,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """``keys..., out``: nearest-rank ``p``-quantile of non-null ``value`` per group."""
+    """``keys..., out``: nearest-rank ``p``-quantile of non-null ``value`` per group.
+
+    ``extra``: other aggregates of ``df`` per group (aliased columns), computed
+    in the same pass as the sketch and returned next to ``out``. Groups whose
+    ``value`` is all NULL then still appear, with ``out`` NULL.
+    """
     keys = list(keys)
-    vals = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    extra = list(extra)
+    v = F.col(value).cast("double")
+    vals = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull())
     cuts = [max(0.0, p - band), min(1.0, p + band)]
+    source = df.withColumn("_v", v) if extra else vals
+    first = source.groupBy(*keys).agg(
+        F.count("_v").alias("_n"), F.percentile_approx("_v", cuts, accuracy).alias("_cuts"), *extra
+    )
     stats = materialize(
-        vals.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", cuts, accuracy).alias("_cuts"))
-        .select(
-            *keys,
-            F.greatest(F.lit(1), F.least(F.col("_n"), F.ceil(F.lit(p) * F.col("_n")))).alias("_k"),
-            F.col("_cuts")[0].alias("_c_lo"),
-            F.col("_cuts")[1].alias("_c_hi"),
-        )
+        first.withColumns(
+            {
+                "_k": F.greatest(F.lit(1), F.least(F.col("_n"), F.ceil(F.lit(p) * F.col("_n")))),
+                "_c_lo": F.col("_cuts")[0],
+                "_c_hi": F.col("_cuts")[1],
+            }
+        ).drop("_cuts")
     )
+    extra_cols = [c for c in stats.columns if c not in keys and not c.startswith("_")]
     side = F.when(F.col("_v") < F.col("_c_lo"), F.lit(-1)).when(F.col("_v") > F.col("_c_hi"), F.lit(1)).otherwise(F.lit(0))
     marked = vals.join(stats, keys).select(
         *keys, "_k", side.alias("_side"), F.when(side == 0, F.col("_v")).alias("_val")
@@ -73,10 +85,11 @@ def exact_percentile(
     picked = materialize(_pick(counts, keys, ["_side", "_val"]).select(*keys, "_side", F.col("_val").alias(out)))
     result = picked.filter(F.col("_side") == 0).drop("_side")
     missed = picked.filter(F.col("_side") != 0).select(*keys)
-    if missed.isEmpty():
+    if not missed.isEmpty():
+        # fallback for groups whose bracket missed: order all of their values
+        again = vals.join(missed, keys, "left_semi").join(stats.select(*keys, "_k"), keys)
+        full = again.groupBy(*keys, "_k", "_v").agg(F.count(F.lit(1)).alias("_c"))
+        result = result.unionByName(_pick(full, keys, ["_v"]).select(*keys, F.col("_v").alias(out)))
+    if not extra_cols:
         return result
-    # fallback for groups whose bracket missed: order all of their values
-    again = vals.join(missed, keys, "left_semi").join(stats.select(*keys, "_k"), keys)
-    full = again.groupBy(*keys, "_k", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    fixed = _pick(full, keys, ["_v"]).select(*keys, F.col("_v").alias(out))
-    return result.unionByName(fixed)
+    return stats.select(*keys, *extra_cols).join(result, keys, "left").select(*keys, out, *extra_cols)

@@ -86,3 +86,12 @@ def test_timeline_sweeps_with_hour_buckets(spark):
     tl = _timeline(spark, SF001)
     for fn in (timeline.app_gaps, timeline.peak_concurrency, timeline.app_overlap_counts):
         assert sorted(fn(tl, "hour").collect()) == sorted(fn(tl, "day").collect())
+
+
+def test_exact_percentile_extra_aggregates(spark):
+    df = spark.createDataFrame(
+        [("a", 1.0), ("a", 2.0), ("a", 3.0), ("b", None), ("b", None)], "g string, x double"
+    )
+    got = {r["g"]: r for r in exact_percentile(df, ["g"], "x", 0.5, "q", extra=[F.count(F.lit(1)).alias("rows")]).collect()}
+    assert got["a"]["q"] == 2.0 and got["a"]["rows"] == 3
+    assert got["b"]["q"] is None and got["b"]["rows"] == 2
