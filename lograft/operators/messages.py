@@ -296,10 +296,16 @@ def local_hits_per_rdd(hits: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X10
 def error_rate(parsed: DataFrame) -> DataFrame:
-    """ERROR lines over lines with a level, per application."""
-    rows = parsed.filter((F.col("application_id") != "") & (F.col("log_level") != ""))
-    g = rows.groupBy("application_id").agg(
-        F.count(F.lit(1)).alias("level_lines"),
+    """ERROR lines over lines with a level, per application.
+
+    Levels are counted conditionally inside the aggregate (no filter on the
+    derived level column, which would evaluate its regex a second time);
+    applications without a levelled line are dropped afterwards.
+    """
+    has_level = F.col("log_level") != ""
+    g = parsed.groupBy("application_id").agg(
+        F.count_if(has_level).alias("level_lines"),
         F.count_if(F.col("log_level") == "ERROR").alias("error_lines"),
     )
+    g = g.filter((F.col("application_id") != "") & (F.col("level_lines") > 0))
     return g.withColumn("error_rate", F.col("error_lines") / F.col("level_lines"))
