@@ -17,18 +17,18 @@ from pyspark.sql import functions as F
 from lograft.operators.ordered import running_total
 
 
-def assemble_entries(
+def tag_entries(
     parsed: DataFrame,
     keys: Sequence[str] = (),
     order_col: str = "event_id",
     line_col: str = "line",
     bucket_rows: int = 1 << 16,
 ) -> DataFrame:
-    """One row per entry: ``keys..., entry_id, n_lines, log_level, text``.
+    """Every line with the position of the header it belongs to (W4): ``keys...,
+    order_col, line_col, log_level, entry`` (``-1`` for lines before the first header).
 
-    ``order_col`` is a non-negative integer position (event id or line number
-    within a file named by ``keys``). Lines before the first header form their
-    own entry. ``text`` joins the entry's lines with ``\\n`` in order.
+    Line-level and fully parallel: nothing is collected, so this is the form to
+    use when entries can be arbitrarily long.
     """
     keys = list(keys)
     is_header = F.col("ts_head") != ""
@@ -37,10 +37,28 @@ def assemble_entries(
         F.when(is_header, F.col(order_col)).alias("_hdr"),
         F.floor(F.col(order_col) / F.lit(bucket_rows)).alias("_bucket"),
     )
-    tagged = running_total(rows, keys, [F.col(order_col)], "_bucket", "_hdr", "_entry", how="max")
-    tagged = tagged.withColumn("_entry", F.coalesce(F.col("_entry"), F.lit(-1)))
+    tagged = running_total(rows, keys, [F.col(order_col)], "_bucket", "_hdr", "entry", how="max")
+    return tagged.withColumn("entry", F.coalesce(F.col("entry"), F.lit(-1))).drop("_hdr", "_bucket")
+
+
+def assemble_entries(
+    parsed: DataFrame,
+    keys: Sequence[str] = (),
+    order_col: str = "event_id",
+    line_col: str = "line",
+    bucket_rows: int = 1 << 16,
+) -> DataFrame:
+    """One row per entry: ``keys..., entry_id, n_lines, log_level, text``.
+
+    ``order_col`` is a non-negative integer position (event id or line number
+    within a file named by ``keys``). Lines before the first header form their
+    own entry. ``text`` joins the entry's lines with ``\\n`` in order; one entry
+    (a header and its stack frames) is assembled in one task.
+    """
+    keys = list(keys)
+    tagged = tag_entries(parsed, keys, order_col, line_col, bucket_rows)
     first = F.min_by(F.col("log_level"), F.col(order_col))
-    return tagged.groupBy(*keys, "_entry").agg(
+    return tagged.groupBy(*keys, "entry").agg(
         F.min(order_col).alias("entry_id"),
         F.count(F.lit(1)).alias("n_lines"),
         first.alias("log_level"),
@@ -49,7 +67,7 @@ def assemble_entries(
                         lambda x: x["l"]),
             "\n",
         ).alias("text"),
-    ).drop("_entry")
+    ).drop("entry")
 
 
 def numbered_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
