@@ -15,18 +15,33 @@ from lograft.functions.parse import parse_lines
 from lograft.operators import daily, distribution, levels, messages, multiline, quantiles, timeline
 from lograft.session import materialize, use_utc
 from lograft.sources.event_lines import log_lines_from_events
+from lograft.sources.staging import stage
 from lograft.sources.tables import sql_on, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def lines(spark: SparkSession, root: str) -> DataFrame:
-    use_utc(spark)
-    return log_lines_from_events(table(spark, root, "events", spread=True))
+PARSED_COLUMNS = [
+    "event_id", "line", "ts_head", "log_level", "level_loose", "component",
+    "cluster_id", "application_id", "event_time",
+]
 
 
 def parsed(spark: SparkSession, root: str) -> DataFrame:
-    return parse_lines(lines(spark, root))
+    """The log lines of ``root`` with every parsed column, staged once per session
+    and input (``sources.staging``): later queries read columns, not regexes."""
+    use_utc(spark)
+
+    def build() -> DataFrame:
+        raw = log_lines_from_events(table(spark, root, "events", spread=True))
+        return parse_lines(raw).select(*PARSED_COLUMNS)
+
+    return stage(spark, f"parsed-lines:{root}", build)
+
+
+def lines(spark: SparkSession, root: str) -> DataFrame:
+    """``event_id, line``: the raw log lines (read from the staged table)."""
+    return parsed(spark, root).select("event_id", "line")
 
 
 def _timeline(spark, root):

@@ -104,3 +104,23 @@ def test_empty_input(spark):
     res = run_level_report(spark, empty.select("line"), _out())
     assert res["total_lines"] == 0 and res["counts"] == []
     assert "Unique log levels found: 0" in res["summary"]
+
+
+def test_staging_builds_once(spark):
+    from lograft.sources.staging import forget, stage
+
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(10).withColumnRenamed("id", "x")
+
+    a = stage(spark, "test-stage", build)
+    b = stage(spark, "test-stage", build)
+    assert a is b and len(calls) == 1 and a.count() == 10
+    # staged under the session's checkpoint folder, not recomputed from the plan
+    assert "lograft-stage" in a.inputFiles()[0]
+    forget(spark)
+    stage(spark, "test-stage", build)
+    assert len(calls) == 2
+    forget(spark)
