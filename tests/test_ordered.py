@@ -95,3 +95,31 @@ def test_exact_percentile_extra_aggregates(spark):
     got = {r["g"]: r for r in exact_percentile(df, ["g"], "x", 0.5, "q", extra=[F.count(F.lit(1)).alias("rows")]).collect()}
     assert got["a"]["q"] == 2.0 and got["a"]["rows"] == 3
     assert got["b"]["q"] is None and got["b"]["rows"] == 2
+
+
+def test_bucketed_helpers_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(
+        rows=st.lists(
+            st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b"]), st.integers(0, 500), st.integers(-9, 9)),
+            min_size=1, max_size=300,
+        ),
+        width=st.integers(1, 60),
+    )
+    def check(rows, width):
+        data = [(k, i, t, v) for i, (k, t, v) in enumerate(rows)]
+        df = spark.createDataFrame(data, "k string, id bigint, t int, v int").withColumn(
+            "b", F.floor(F.col("t") / width)
+        )
+        w = Window.partitionBy("k").orderBy("t", "id")
+        got = running_total(df, ["k"], [F.col("t"), F.col("id")], "b", "v", "rs")
+        want = df.withColumn("rs", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        assert sorted(got.select("id", "rs").collect()) == sorted(want.select("id", "rs").collect())
+        prev = previous_row(df, ["k"], ["t", "id"], "b", ["v"])
+        lag = df.withColumn("prev_v", F.lag("v").over(w))
+        assert sorted(prev.select("id", "prev_v").collect()) == sorted(lag.select("id", "prev_v").collect())
+
+    check()
