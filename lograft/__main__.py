@@ -5,6 +5,8 @@
     python -m lograft daily  --input s3a://bucket/trips/2021/ --output out/ --year 2021
     python -m lograft errors --input s3a://bucket/data/ --output s3a://bucket/output/errors/
     python -m lograft grep   --input s3a://bucket/data/ --output out/times/ --pattern "PythonRunner: Times"
+    python -m lograft stage  --input s3a://bucket/data/ --output s3a://bucket/parsed/
+    python -m lograft levels --input s3a://bucket/parsed/ --parsed --output s3a://bucket/output/
 
 ``--master`` is optional (spark-submit normally supplies it). Logs are read
 recursively below ``--input`` (``*.log``); trips are every Parquet file below it.
@@ -16,6 +18,7 @@ import argparse
 import json
 import sys
 
+from lograft.functions.parse import parse_lines
 from lograft.operators.levels import lines_containing, lines_matching
 from lograft.plans.daily_report import run_daily_report
 from lograft.plans.level_report import run_level_report
@@ -27,7 +30,9 @@ from lograft.sources.logs import read_log_lines
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="lograft", description=__doc__.splitlines()[0])
-    ap.add_argument("job", choices=["levels", "usage", "daily", "errors", "grep"])
+    ap.add_argument("job", choices=["levels", "usage", "daily", "errors", "grep", "stage"])
+    ap.add_argument("--parsed", action="store_true",
+                    help="levels/usage: --input is a parsed table written by the stage job")
     ap.add_argument("--pattern", default=None, help="grep: regular expression a line must match")
     ap.add_argument("--identity", choices=["mention", "file"], default="mention",
                     help="usage: application of a line from its text or from its file path")
@@ -45,11 +50,21 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(args.master, f"lograft-{args.job}", args.shuffle_partitions, conf)
     checkpoint_dir(spark, default=args.checkpoint_dir)
     try:
+        def logs(with_path: bool = False):
+            if args.parsed:
+                return spark.read.parquet(args.input)
+            return read_log_lines(spark, args.input, args.glob, with_path=with_path)
+
         if args.job == "levels":
-            res = run_level_report(spark, read_log_lines(spark, args.input, args.glob), args.output)
+            res = run_level_report(spark, logs(), args.output)
         elif args.job == "usage":
-            lines = read_log_lines(spark, args.input, args.glob, with_path=args.identity == "file")
-            res = run_usage_report(spark, lines, args.output, identity=args.identity)
+            res = run_usage_report(spark, logs(args.identity == "file"), args.output, identity=args.identity)
+        elif args.job == "stage":
+            # parse once: every typed column next to the raw line and its file
+            parse_lines(read_log_lines(spark, args.input, args.glob, with_path=True)).write.mode(
+                "overwrite"
+            ).parquet(args.output)
+            res = {"output": args.output}
         elif args.job in ("errors", "grep"):
             lines = read_log_lines(spark, args.input, args.glob, with_path=True)
             if args.job == "errors":

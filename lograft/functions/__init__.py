@@ -2,6 +2,7 @@ from lograft.functions.parse import (  # noqa: F401
     app_number,
     cluster_start,
     component,
+    ensure_parsed,
     extract,
     file_identity,
     level,

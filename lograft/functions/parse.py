@@ -91,6 +91,17 @@ def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     )
 
 
+PARSED_COLUMNS = ("ts_head", "log_level", "level_loose", "component", "cluster_id", "application_id", "event_time")
+
+
+def ensure_parsed(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    """``lines`` with the parsed columns: parsed here unless they are already
+    present (a staged table written by ``python -m lograft stage``)."""
+    if all(c in lines.columns for c in PARSED_COLUMNS):
+        return lines
+    return parse_lines(lines, line_col)
+
+
 def file_identity(path: str | Column) -> dict[str, Column]:
     """Application, container, attempt and role from a log file path."""
     p = _c(path)

@@ -13,7 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lograft.functions.parse import parse_lines
+from lograft.functions.parse import ensure_parsed
 from lograft.operators.levels import sample_lines
 from lograft.session import cut_lineage
 from lograft.sinks import write_report, write_single_csv
@@ -36,7 +36,7 @@ def level_summary_text(total: int, with_level: int, counts: list[tuple[str, int]
 def run_level_report(
     spark: SparkSession, lines: DataFrame, out_dir: str, sample_n: int = 10, seed: str = "42"
 ) -> dict:
-    parsed = parse_lines(lines).select("line", "log_level")
+    parsed = ensure_parsed(lines).select("line", "log_level")
     all_counts = cut_lineage(parsed.groupBy("log_level").agg(F.count(F.lit(1)).alias("count")))
     counts = all_counts.filter(F.col("log_level") != "").orderBy(F.desc("count"), F.asc("log_level"))
     rows = [(r["log_level"], r["count"]) for r in counts.collect()]

@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lograft.functions.parse import parse_lines
+from lograft.functions.parse import ensure_parsed
 from lograft.operators import distribution, timeline
 from lograft.session import cut_lineage
 from lograft.sources.logs import with_file_identity
@@ -40,9 +40,9 @@ def run_usage_report(
     original job's rule); ``'file'``: every line of its container files counts
     (needs a ``path`` column, e.g. ``read_log_lines(..., with_path=True)``)."""
     if identity == "file":
-        tl = timeline.timeline_by_file(parse_lines(with_file_identity(lines)))
+        tl = timeline.timeline_by_file(ensure_parsed(with_file_identity(lines)))
     else:
-        tl = timeline.app_timeline(parse_lines(lines))
+        tl = timeline.app_timeline(ensure_parsed(lines))
     tl = cut_lineage(tl)
     summary = cut_lineage(timeline.cluster_summary(tl))
 

@@ -49,3 +49,12 @@ def test_cli_levels_and_grep():
 
     rows = [r for f in glob.glob(os.path.join(d, "grep", "*.csv")) for r in csv.DictReader(open(f))]
     assert sorted(r["line"].split()[2] for r in rows) == ["ERROR", "WARN"]
+
+
+def test_cli_stage_then_levels():
+    d = _tree()
+    _run("stage", "--input", os.path.join(d, "logs"), "--output", os.path.join(d, "parsed"))
+    out = _run("levels", "--input", os.path.join(d, "parsed"), "--parsed", "--output", os.path.join(d, "out"),
+               "--checkpoint-dir", os.path.join(d, "ckpt"))
+    res = json.loads(out.stdout)
+    assert res["total_lines"] == 4 and sorted(res["counts"]) == [["ERROR", 1], ["INFO", 1], ["WARN", 1]]
