@@ -79,15 +79,20 @@ def cluster_stats(summary: DataFrame) -> DataFrame:
 
 
 def cluster_rank(summary: DataFrame) -> DataFrame:
-    """Rank of clusters by number of applications (W5, AGG12).
+    """Rank of clusters by number of applications, ties sharing a rank (W5, AGG12).
 
-    Runs on the per-cluster summary (one row per cluster), so the global
-    ``OVER (ORDER BY ...)`` touches a handful of rows.
+    ``rank = 1 + #clusters with more applications``, taken from the histogram
+    of distinct application counts: distinct positive counts that sum to at
+    most the number of applications N are at most sqrt(2N) values, so the one
+    ordered window runs over a provably small table, not over all clusters.
     """
-    w = Window.orderBy(F.desc("num_applications"))
-    return summary.select(
-        "cluster_id", "num_applications", F.rank().over(w).alias("usage_rank")
+    hist = summary.groupBy("num_applications").agg(F.count(F.lit(1)).alias("_c"))
+    above = Window.orderBy(F.desc("num_applications")).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = hist.select(
+        "num_applications",
+        (F.lit(1) + F.coalesce(F.sum("_c").over(above), F.lit(0))).cast("int").alias("usage_rank"),
     )
+    return summary.join(ranks, "num_applications").select("cluster_id", "num_applications", "usage_rank")
 
 
 def most_used_clusters(summary: DataFrame, k: int = 5) -> DataFrame:

@@ -123,3 +123,13 @@ def test_bucketed_helpers_property(spark):
         assert sorted(prev.select("id", "prev_v").collect()) == sorted(lag.select("id", "prev_v").collect())
 
     check()
+
+
+def test_cluster_rank_with_ties(spark):
+    from lograft.operators.timeline import cluster_rank
+
+    counts = [5, 9, 9, 1, 5, 5, 12]
+    summary = spark.createDataFrame([(f"c{i}", n) for i, n in enumerate(counts)], "cluster_id string, num_applications bigint")
+    got = {r["cluster_id"]: r["usage_rank"] for r in cluster_rank(summary).collect()}
+    want = {f"c{i}": 1 + sum(1 for m in counts if m > n) for i, n in enumerate(counts)}
+    assert got == want
