@@ -41,6 +41,36 @@ def streaming_timeline(lines: DataFrame) -> DataFrame:
     )
 
 
+def app_sessions(lines: DataFrame, gap: str = "1 hour") -> DataFrame:
+    """Activity sessions per application: runs of mentions no more than ``gap``
+    apart, with first and last time and line count. Works on batch and
+    streaming frames alike."""
+    parsed = parse_lines(lines).filter((F.col("application_id") != "") & F.col("event_time").isNotNull())
+    return parsed.groupBy("cluster_id", "application_id", F.session_window("event_time", gap).alias("session")).agg(
+        F.min("event_time").alias("start_time"),
+        F.max("event_time").alias("end_time"),
+        F.count(F.lit(1)).alias("lines"),
+    )
+
+
+def streaming_app_sessions(lines: DataFrame, gap: str = "1 hour", delay: str = "1 hour") -> DataFrame:
+    """``app_sessions`` with bounded state: the watermark (``delay`` behind the
+    newest time seen) closes a session once no line can extend it, emits it in
+    append mode and drops its state. Lines later than the watermark are not
+    counted."""
+    parsed = parse_lines(lines).filter((F.col("application_id") != "") & F.col("event_time").isNotNull())
+    # watermarks need a zoned timestamp; the (UTC) session makes the cast exact
+    parsed = parsed.withColumn("event_time", F.col("event_time").cast("timestamp")).withWatermark("event_time", delay)
+    agg = parsed.groupBy("cluster_id", "application_id", F.session_window("event_time", gap).alias("session")).agg(
+        F.min("event_time").alias("start_time"),
+        F.max("event_time").alias("end_time"),
+        F.count(F.lit(1)).alias("lines"),
+    )
+    return agg.withColumns(
+        {"start_time": F.col("start_time").cast("timestamp_ntz"), "end_time": F.col("end_time").cast("timestamp_ntz")}
+    )
+
+
 def start_to_table(agg: DataFrame, name: str, checkpoint: str, mode: str = "complete", available_now: bool = True):
     """Run an aggregate stream into an in-memory table ``name`` (tests, notebooks only:
     the memory sink lives in the driver)."""

@@ -124,3 +124,24 @@ def test_staging_builds_once(spark):
     stage(spark, "test-stage", build)
     assert len(calls) == 2
     forget(spark)
+
+
+def test_streaming_sessions_match_batch(spark):
+    import datetime as dt
+
+    from lograft.streaming.logs import app_sessions, streaming_app_sessions
+
+    src = tempfile.mkdtemp(prefix="lograft-stream-src-", dir="/tmp")
+    lines = event_lines(spark, SF0001)
+    lines.select("line").write.mode("overwrite").text(os.path.join(src, "b1"))
+    stream = log_line_stream(spark, src, glob="part-*")
+    q = start_to_table(streaming_app_sessions(stream, "6 hours", "1 hour"), "sessions_stream",
+                       tempfile.mkdtemp(prefix="lograft-ckpt-", dir="/tmp"), mode="append")
+    q.awaitTermination(120)
+    cols = ["cluster_id", "application_id", "start_time", "end_time", "lines"]
+    got = set(spark.sql("SELECT * FROM sessions_stream").select(*cols).collect())
+    want = set(app_sessions(lines, "6 hours").select(*cols).collect())
+    newest = max(r["end_time"] for r in want)
+    # a session is emitted (and its state dropped) once the watermark passes its end
+    closed = {r for r in want if r["end_time"] + dt.timedelta(hours=7) <= newest}
+    assert closed and closed <= got <= want
