@@ -99,7 +99,8 @@ QUERIES: dict[str, Query] = {
     ),
     "cluster_summary": lambda s, r: timeline.cluster_summary(timeline.app_timeline(parsed(s, r))),
     "cluster_stats": lambda s, r: timeline.cluster_stats(timeline.cluster_summary(timeline.app_timeline(parsed(s, r)))),
-    "cluster_rank": lambda s, r: timeline.cluster_rank(timeline.cluster_summary(timeline.app_timeline(parsed(s, r)))),
+    # the summary is read twice (clusters and their count histogram): built on the materialised timeline
+    "cluster_rank": lambda s, r: timeline.cluster_rank(timeline.cluster_summary(_timeline(s, r))),
     "top_clusters": lambda s, r: timeline.most_used_clusters(
         timeline.cluster_summary(timeline.app_timeline(parsed(s, r))), 5
     ),
