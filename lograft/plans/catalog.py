@@ -1,7 +1,9 @@
 """Named queries over the driver tables: one callable ``(spark, root) -> DataFrame`` per key.
 
-Log queries read ``events`` and derive log lines from it; trip queries read
-``lineitem``; text queries read ``documents``. Every query scans its whole table.
+Log queries read ``events``, derive log lines from it and parse them; the
+parsed lines are staged once per session and input (``sources.staging``), so
+each log query reads only the columns it needs. Trip queries read
+``lineitem``; text queries read ``documents``. Every query covers its whole table.
 """
 
 from __future__ import annotations
