@@ -133,3 +133,43 @@ def test_cluster_rank_with_ties(spark):
     got = {r["cluster_id"]: r["usage_rank"] for r in cluster_rank(summary).collect()}
     want = {f"c{i}": 1 + sum(1 for m in counts if m > n) for i, n in enumerate(counts)}
     assert got == want
+
+
+def test_sweeps_match_brute_force(spark):
+    """Overlap counts and peak concurrency on random closed intervals with many
+    same-instant starts and ends, against brute force."""
+    import datetime as dt
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from lograft.operators.timeline import app_overlap_counts, peak_concurrency
+
+    base = dt.datetime(2024, 1, 1)
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(
+        st.lists(
+            st.tuples(st.sampled_from(["c1", "c1", "c2"]), st.integers(0, 40), st.integers(0, 12)),
+            min_size=1, max_size=60,
+        )
+    )
+    def check(spans):
+        rows = [(c, f"app_{i:03d}", base + dt.timedelta(hours=s), base + dt.timedelta(hours=s + d))
+                for i, (c, s, d) in enumerate(spans)]
+        tl = spark.createDataFrame(rows, "cluster_id string, application_id string, start_time timestamp_ntz, end_time timestamp_ntz")
+        got = {r["application_id"]: r["overlapping_apps"] for r in app_overlap_counts(tl, "hour").collect()}
+        want = {
+            a: sum(1 for c2, b, s2, e2 in rows if c2 == c and b != a and s2 <= e and s <= e2)
+            for c, a, s, e in rows
+        }
+        assert got == want
+        peaks = {r["cluster_id"]: (r["peak_concurrency"], r["peak_at"]) for r in peak_concurrency(tl, "hour").collect()}
+        for c in {r[0] for r in rows}:
+            mine = [(s, e) for c2, _, s, e in rows if c2 == c]
+            times = sorted({t for se in mine for t in se})
+            live = {t: sum(1 for s, e in mine if s <= t <= e) for t in times}
+            best = max(live.values())
+            assert peaks[c] == (best, min(t for t in times if live[t] == best))
+
+    check()
