@@ -173,3 +173,42 @@ def test_sweeps_match_brute_force(spark):
             assert peaks[c] == (best, min(t for t in times if live[t] == best))
 
     check()
+
+
+def test_multiline_entries_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from lograft.functions.parse import parse_lines
+    from lograft.operators.multiline import assemble_entries
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(
+        files=st.lists(st.lists(st.booleans(), min_size=1, max_size=40), min_size=1, max_size=3),
+        bucket=st.integers(1, 7),
+    )
+    def check(files, bucket):
+        rows = []
+        for f, flags in enumerate(files):
+            for n, is_header in enumerate(flags):
+                text = f"24/01/05 10:00:{n % 60:02d} INFO f{f} line {n}" if is_header else f"    at frame {f}.{n}"
+                rows.append((f"file{f}", n, text))
+        df = spark.createDataFrame(rows, "path string, line_no bigint, line string")
+        got = sorted(
+            (r["path"], r["entry_id"], r["n_lines"], r["text"])
+            for r in assemble_entries(parse_lines(df), ["path"], "line_no", bucket_rows=bucket).collect()
+        )
+        want = []
+        for f, flags in enumerate(files):
+            groups, cur = [], None
+            for n, is_header in enumerate(flags):
+                if is_header or cur is None:
+                    cur = [n]
+                    groups.append(cur)
+                else:
+                    cur.append(n)
+            texts = {n: t for p, n, t in rows if p == f"file{f}"}
+            want += [(f"file{f}", g[0], len(g), "\n".join(texts[n] for n in g)) for g in groups]
+        assert got == sorted(want)
+
+    check()
