@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lograft.llm import bpe, packing
+from lograft.llm import bpe, language, ngram_join, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,19 @@ def op1_bpe(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op3_ngram_join(spark: SparkSession, root: str) -> DataFrame:
+    """Every document's class, links and group at a Jaccard similarity of 0.8 over five-word shingles."""
+    return ngram_join.jaccard_join(_table(spark, root, "documents"))
+
+
+def op6_language(spark: SparkSession, root: str) -> DataFrame:
+    """Every document's language, learned from the rows that aren't held out."""
+    docs = _table(spark, root, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.where(~language.held_out()))
+    found = language.identify(docs, model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op5_packing(spark: SparkSession, root: str) -> DataFrame:
     """Every document's pieces in sequences of at most 1024 tokens."""
     return packing.pieces_digest(packing.pack_documents(_table(spark, root, "documents"), vocabulary_path()))
@@ -40,7 +53,9 @@ def op5_packing(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op3_ngram_join": op3_ngram_join,
     "op5_packing": op5_packing,
+    "op6_language": op6_language,
 }
 
 ORACLE: dict[str, str] = {}
