@@ -224,10 +224,15 @@ def identify(
     id_col: str = "doc_id",
     text_col: str = "text",
     penalty: float = SWITCH_PENALTY,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """``id_col, lang_pred, score, spans``: spans are code points, end exclusive, of one language each."""
-    docs = docs.select(id_col, text_col)
-    kind = docs.schema[id_col].dataType.simpleString()
+    """``id_col, lang_pred, score, spans``: spans are code points, end exclusive, of one language each.
+
+    ``carry`` names more columns that come through (the text, say, so that no join is needed for it).
+    """
+    docs = docs.select(id_col, F.col(text_col).alias("_text"), *carry)
+    through = [id_col, *carry]
+    names = [*through, "lang_pred", "score", "spans"]
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages x 2 ** bits numbers
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
@@ -235,7 +240,7 @@ def identify(
         model = sent.value
         langs = model.langs
         for b in batches:
-            texts = b.column(1).to_pylist()
+            texts = b.column("_text").to_pylist()
             for i, j in chunks(texts, CHUNK):
                 n = j - i
                 if langs:
@@ -265,12 +270,18 @@ def identify(
                 else:
                     pred, score, spans = [UNKNOWN] * n, np.zeros(n), pa.array([[]] * n, span_type)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0)[i:j], pa.array(pred, pa.string()), pa.array(score, pa.float64()), spans],
-                    names=[id_col, "lang_pred", "score", "spans"],
+                    [
+                        *(b.column(c)[i:j] for c in through),
+                        pa.array(pred, pa.string()),
+                        pa.array(score, pa.float64()),
+                        spans,
+                    ],
+                    names=names,
                 )
 
-    schema = f"`{id_col}` {kind}, lang_pred string, score double, spans array<struct<start:bigint,end:bigint,lang:string>>"
-    return docs.mapInArrow(run, schema)
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in through)
+    found = "lang_pred string, score double, spans array<struct<start:bigint,end:bigint,lang:string>>"
+    return docs.mapInArrow(run, kinds + found)
 
 
 def held_out(id_col: str = "doc_id"):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lograft.llm import bpe, language, ngram_join, packing
+from lograft.llm import bpe, language, ngram_join, packing, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,11 @@ def op1_bpe(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op2_secrets(spark: SparkSession, root: str) -> DataFrame:
+    """Every document's secrets: a first scan, with an empty ledger."""
+    return secret_scan.digests(secret_scan.scan(_table(spark, root, "documents")).findings)
+
+
 def op3_ngram_join(spark: SparkSession, root: str) -> DataFrame:
     """Every document's class, links and group at a Jaccard similarity of 0.8 over five-word shingles."""
     return ngram_join.jaccard_join(_table(spark, root, "documents"))
@@ -53,9 +58,12 @@ def op5_packing(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op2_secrets": op2_secrets,
     "op3_ngram_join": op3_ngram_join,
     "op5_packing": op5_packing,
     "op6_language": op6_language,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_secrets": secret_scan.oracle_sql(),
+}
