@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lograft.llm.shared import components, cut
+from lograft.llm.shared import complete_groups, components, cut, linked_rows
 from lograft.llm.spans import TextBatch, chunks, mix64
 
 WORDS = 5
@@ -176,25 +176,6 @@ def exact_links(sets: list[np.ndarray], threshold: float, split: int | None = No
     return i[hit], j[hit]
 
 
-def forest(n: int, pairs) -> list[tuple[int, int]]:
-    """Those of the pairs that join two trees: at most ``n - 1``."""
-    root = list(range(n))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    out = []
-    for a, b in pairs:
-        x, y = find(a), find(b)
-        if x != y:
-            root[max(x, y)] = min(x, y)
-            out.append((a, b))
-    return out
-
-
 def _features(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     """``doc_id, set_key, size, sig, band_keys`` of all documents; only the id where there is no shingle."""
 
@@ -237,27 +218,6 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
-def complete_groups(batches, keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Whole groups of a sorted partition, several at a time: a table and the edges of its groups."""
-    held: pa.Table | None = None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        table = pa.Table.from_batches([b])
-        if held is not None:
-            table = pa.concat_tables([held, table])
-        change = np.zeros(table.num_rows - 1, dtype=bool)
-        for k in keys:
-            column = table.column(k).to_numpy()
-            change |= column[1:] != column[:-1]
-        edges = np.flatnonzero(change) + 1
-        if len(edges):
-            yield table.slice(0, edges[-1]).combine_chunks(), np.concatenate(([0], edges))
-        held = table.slice(edges[-1]) if len(edges) else table
-    if held is not None:
-        yield held.combine_chunks(), np.array([0, held.num_rows])
-
-
 def _candidate_edges(members: DataFrame, least: list[int]) -> DataFrame:
     """``a, b``: classes of a bucket joined by pairs that are not ruled out."""
 
@@ -306,22 +266,7 @@ def _verified(members: DataFrame, threshold: float) -> DataFrame:
         if not len(i):
             return None
         copies = np.array([rows[k][1] for k in names], dtype=np.int64)
-        links = np.bincount(i, weights=copies[j], minlength=len(names)) + np.bincount(
-            j, weights=copies[i], minlength=len(names)
-        )
-        at = np.flatnonzero(links)
-        tree = forest(len(names), zip(i.tolist(), j.tolist(), strict=True))
-        ids = np.array(names, dtype=np.int64)
-        first, second = (ids[list(x)] for x in zip(*tree, strict=True))
-        nothing = pa.nulls(len(at), pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate((ids[at], first))),
-                pa.concat_arrays([nothing, pa.array(second, pa.int64())]),
-                pa.concat_arrays([pa.array(links[at].astype(np.int64)), pa.nulls(len(first), pa.int64())]),
-            ],
-            names=["a", "b", "links"],
-        )
+        return linked_rows(np.array(names, dtype=np.int64), copies, i, j)
 
     keys = ["component", "low", "high"]
     dealt = members.repartition(*keys).sortWithinPartitions(*keys)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lograft.llm import bpe, language, ngram_join, packing, secret_scan
+from lograft.llm import bpe, embed_dedup, language, ngram_join, packing, secret_scan, topk, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,19 +51,38 @@ def op6_language(spark: SparkSession, root: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op4_url_filter(spark: SparkSession, root: str) -> DataFrame:
+    """Every page's host, path, rule and verdict."""
+    return url_filter.judge(_table(spark, root, "pages"), url_filter.rules_frame(spark, url_filter.RULES))
+
+
 def op5_packing(spark: SparkSession, root: str) -> DataFrame:
     """Every document's pieces in sequences of at most 1024 tokens."""
     return packing.pieces_digest(packing.pack_documents(_table(spark, root, "documents"), vocabulary_path()))
 
 
+def op9_topk(spark: SparkSession, root: str) -> DataFrame:
+    """The five best others of every vector whose id is divisible by 50."""
+    return topk.search(_table(spark, root, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op10_embed_dedup(spark: SparkSession, root: str) -> DataFrame:
+    """Every vector's links within its label at a cosine of 0.98, and its group."""
+    return embed_dedup.link_vectors(_table(spark, root, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
     "op3_ngram_join": op3_ngram_join,
+    "op4_url_filter": op4_url_filter,
     "op5_packing": op5_packing,
     "op6_language": op6_language,
+    "op9_topk": op9_topk,
+    "op10_embed_dedup": op10_embed_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op2_secrets": secret_scan.oracle_sql(),
+    "op4_url_filter": url_filter.oracle_sql(),
 }

@@ -22,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lograft.llm.shared import join_hot
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -130,7 +132,7 @@ def scan(
     )
     entries = scan_blobs(texts.select("blob", "text").dropDuplicates(["blob"]), ledger, rules)
     found = spans_by_blob(entries if ledger is None else entries.unionByName(ledger.select(*entries.columns)), rules)
-    findings = texts.drop("text").join(found, "blob", "left")
+    findings = join_hot(texts.drop("text"), found, "blob", id_col)
     none = F.array().cast(ALL_SPANS)
     return Scan(findings.select(id_col, "blob", F.coalesce("spans", none).alias("spans")), entries)
 
@@ -184,16 +186,18 @@ def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, tail)).otherwise(text)
 
 
-def redact(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def redact(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES
+) -> DataFrame:
     """``docs`` with the secrets in ``text_col`` replaced; each distinct text is scanned once. A null
-    text stays null. Columns of the names ``_blob`` and ``_clean`` are in use here."""
+    text stays null. Columns of the names ``_blob``, ``_clean`` and ``_salt`` are in use here."""
     docs = docs.withColumn("_blob", blob_of(text_col))
     blobs = docs.select(F.col("_blob").alias("blob"), F.col(text_col).alias("text")).where("text is not null")
     blobs = blobs.dropDuplicates(["blob"])
     found = F.array(*[F.transform(spans_of(F.col("text"), r), lambda s: s) for r in rules])
     blobs = blobs.withColumn("spans", F.array_sort(F.flatten(found))).where(F.size("spans") > 0)
     clean = blobs.select(F.col("blob").alias("_blob"), redacted(F.col("text"), F.col("spans")).alias("_clean"))
-    joined = docs.join(clean, "_blob", "left").withColumn(text_col, F.coalesce("_clean", F.col(text_col)))
+    joined = join_hot(docs, clean, "_blob", id_col).withColumn(text_col, F.coalesce("_clean", F.col(text_col)))
     return joined.drop("_blob", "_clean")
 
 

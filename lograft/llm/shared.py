@@ -1,9 +1,12 @@
-"""Checkpoints in the shared folder, and connected components."""
+"""Checkpoints in the shared folder, whole groups inside tasks, links and connected components."""
 
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+SALTS = 32
+
+
+def join_hot(rows: DataFrame, found: DataFrame, key: str, spread: str, salts: int = SALTS) -> DataFrame:
+    """``rows`` left-joined to the few rows of ``found``, at most one per key. Rows of one key are dealt
+    over ``salts`` tasks by a hash of ``spread``, so that a key may hold any share of them."""
+    many = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    few = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return many.join(few, [key, "_salt"], "left").drop("_salt")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``id, component``: every node of ``edges (a, b)`` with the smallest node that it reaches.
 
@@ -44,3 +58,61 @@ def components(edges: DataFrame) -> DataFrame:
         current = cut(least.select("a", F.col("m").alias("b")).unionByName(moved).distinct())
     roots = current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return current.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
+
+
+def complete_groups(batches, keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Whole groups of a sorted partition, several at a time: a table and the edges of its groups."""
+    held: pa.Table | None = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        table = pa.Table.from_batches([b])
+        if held is not None:
+            table = pa.concat_tables([held, table])
+        change = np.zeros(table.num_rows - 1, dtype=bool)
+        for k in keys:
+            column = table.column(k).to_numpy()
+            change |= column[1:] != column[:-1]
+        edges = np.flatnonzero(change) + 1
+        if len(edges):
+            yield table.slice(0, edges[-1]).combine_chunks(), np.concatenate(([0], edges))
+        held = table.slice(edges[-1]) if len(edges) else table
+    if held is not None:
+        yield held.combine_chunks(), np.array([0, held.num_rows])
+
+
+def forest(n: int, pairs) -> list[tuple[int, int]]:
+    """Those of the pairs that join two trees: at most ``n - 1``."""
+    root = list(range(n))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for a, b in pairs:
+        x, y = find(a), find(b)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append((a, b))
+    return out
+
+
+def linked_rows(ids: np.ndarray, copies: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch | None:
+    """``a, b, links`` of linked pairs ``i, j``: for each node ``a`` how many rows (``copies`` of the other
+    nodes) it is linked with (``b`` null), and those pairs that join what is linked (``links`` null)."""
+    if not len(i):
+        return None
+    links = np.bincount(i, weights=copies[j], minlength=len(ids)) + np.bincount(j, weights=copies[i], minlength=len(ids))
+    at = np.flatnonzero(links)
+    tree = np.array(forest(len(ids), zip(i.tolist(), j.tolist(), strict=True)))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate((ids[at], ids[tree[:, 0]]))),
+            pa.concat_arrays([pa.nulls(len(at), pa.int64()), pa.array(ids[tree[:, 1]], pa.int64())]),
+            pa.concat_arrays([pa.array(links[at].astype(np.int64)), pa.nulls(len(tree), pa.int64())]),
+        ],
+        names=["a", "b", "links"],
+    )
