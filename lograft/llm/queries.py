@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lograft.llm import bpe, embed_dedup, language, ngram_join, packing, secret_scan, topk, url_filter
+from lograft.llm import bpe, embed_dedup, language, licenses, ngram_join, packing, pii, secret_scan, topk, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,19 @@ def op5_packing(spark: SparkSession, root: str) -> DataFrame:
     return packing.pieces_digest(packing.pack_documents(_table(spark, root, "documents"), vocabulary_path()))
 
 
+def op7_pii(spark: SparkSession, root: str) -> DataFrame:
+    """Every document with its personal data replaced by surrogates."""
+    return pii.replace_entities(_table(spark, root, "documents"), key="lograft")
+
+
+def op8_licenses(spark: SparkSession, root: str) -> DataFrame:
+    """Every document's licence: its own, or that of the nearest directory above it."""
+    docs = _table(spark, root, "documents")
+    files = docs.select("doc_id", licenses.document_path().alias("path"), "text")
+    found = licenses.scan(files, F.col("path").endswith("/LICENSE"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op9_topk(spark: SparkSession, root: str) -> DataFrame:
     """The five best others of every vector whose id is divisible by 50."""
     return topk.search(_table(spark, root, "embeddings"), F.col("id") % 50 == 0)
@@ -78,6 +91,8 @@ QUERIES: dict[str, Query] = {
     "op4_url_filter": op4_url_filter,
     "op5_packing": op5_packing,
     "op6_language": op6_language,
+    "op7_pii": op7_pii,
+    "op8_licenses": op8_licenses,
     "op9_topk": op9_topk,
     "op10_embed_dedup": op10_embed_dedup,
 }
