@@ -237,3 +237,24 @@ def link_vectors(
     )
     kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept")
     return linked.unionByName(alone).select("vec_id", "n_links", "component_id", kept)
+
+
+def oracle_sql(threshold: float = THRESHOLD) -> str:
+    """The same links and groups in DuckDB SQL, by comparing all pairs within a label."""
+    return f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS n
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.n > 0 AND b.n > 0
+    AND list_sum(list_transform(range(1, len(a.e) + 1), lambda i: a.e[i] * b.e[i])) / (a.n * b.n) >= {threshold}),
+reached(id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, l.b FROM reached r JOIN links l ON r.other = l.a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+least AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e LEFT JOIN counts c ON e.vec_id = c.a LEFT JOIN least l ON e.vec_id = l.id
+"""

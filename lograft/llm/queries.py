@@ -100,4 +100,6 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "op2_secrets": secret_scan.oracle_sql(),
     "op4_url_filter": url_filter.oracle_sql(),
+    "op9_topk": topk.oracle_sql(),
+    "op10_embed_dedup": embed_dedup.oracle_sql(),
 }

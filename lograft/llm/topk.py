@@ -138,3 +138,20 @@ def search(
     best = dealt.mapInArrow(run, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def oracle_sql(every: int = 50, k: int = 5, scale: int = 256) -> str:
+    """The same search in DuckDB SQL, by comparing every query with every row."""
+    return f"""
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS t
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         coalesce(list_sum(list_transform(range(1, least(len(q.t), len(c.t)) + 1), lambda i: q.t[i] * c.t[i])), 0)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % {every} = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {k}
+"""

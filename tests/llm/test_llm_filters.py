@@ -1,0 +1,201 @@
+"""Secret scans, URL filters, personal data and licences: oracles, brute force, defined cases."""
+
+import re
+
+import pytest
+from conftest import SF001
+from oracle_check import compare, duck
+from pyspark.sql import functions as F
+
+from lograft.llm import licenses, pii, queries, secret_scan, url_filter
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF001)
+
+
+@pytest.mark.parametrize("key", sorted(queries.ORACLE))
+def test_query_matches_oracle(spark, con, key):
+    res = compare(queries.QUERIES[key](spark, SF001), con, queries.ORACLE[key], digits=None)
+    assert res["ok"], res
+
+
+# ---------------------------------------------------------------- secrets
+HEX, KEY = "0123456789abcdef" * 3, "AKIA" + "Z" * 16
+SECRETS = [
+    (1, f"ñ password = 'short' token=secret: xyz12345 {HEX}é{KEY} AKIASHORT"),
+    (2, f"API-key Api_Key:\"{HEX}\""),
+    (3, None),
+    (4, ""),
+    (5, f"-----BEGIN RSA PRIVATE KEY-----\n ghp_{'a1' * 20}"),
+    (5, f"-----BEGIN RSA PRIVATE KEY-----\n ghp_{'a1' * 20}"),
+    (6, "password=abcdefgh " * 400),
+    (None, f"x {HEX}"),
+]
+
+
+def spans_by_hand(text):
+    text, out = text or "", []
+    assign = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    for no, (kind, pattern, group, least) in enumerate(
+        [("assign", assign, 2, 8), ("access", r"AKIA[A-Z0-9]+", 0, 16), ("hex", r"[0-9a-f]+", 0, 32),
+         ("pem", secret_scan.MORE_RULES[0].pattern, 0, 1), ("forge", secret_scan.MORE_RULES[1].pattern, 0, 1)]):
+        out += [(m.start(), no, m.end(), kind) for m in re.finditer(pattern, text) if len(m[group]) >= least]
+    return ",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(out))
+
+
+def test_secret_spans_by_hand(spark):
+    docs = spark.createDataFrame([(i, t, "b") for i, t in SECRETS], "doc_id long, text string, blob string")
+    got = secret_scan.digests(secret_scan.scan(docs).findings).collect()
+    assert sorted((str(r["doc_id"]), r["spans"]) for r in got) == sorted((str(i), spans_by_hand(t)) for i, t in SECRETS)
+    assert secret_scan.scan(docs.limit(0)).findings.count() == 0
+
+
+def test_ledger_scans_only_what_it_lacks(spark):
+    docs = spark.createDataFrame(SECRETS, "doc_id long, text string")
+    first = secret_scan.scan(docs, rules=secret_scan.BASE_RULES)
+    ledger = spark.createDataFrame(first.entries.collect(), first.entries.schema)
+    assert ledger.count() == 3 * 6  # each distinct text once, under three rules
+    more = spark.createDataFrame([*SECRETS, (9, f"new {KEY}")], "doc_id long, text string")
+    second = secret_scan.scan(more, ledger, secret_scan.BASE_RULES)
+    assert {r["blob"] for r in second.entries.collect()} == {
+        r["b"] for r in more.where("doc_id = 9").select(secret_scan.blob_of().alias("b")).collect()
+    }
+    # two new rules: each known text is scanned under those alone
+    third = secret_scan.scan(docs, ledger)
+    assert {r["kind"] for r in third.entries.collect()} == {"pem", "forge"}
+    whole = secret_scan.digests(secret_scan.scan(docs).findings)
+    key = lambda d: sorted(map(str, d.collect()))
+    assert key(secret_scan.digests(third.findings)) == key(whole)
+
+
+def test_redaction(spark):
+    docs = spark.createDataFrame(SECRETS, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
+    assert got[1] == "ñ password = 'short' token=secret: xyz12345 [secret]é[secret] AKIASHORT"
+    assert got[2] == 'API-key [secret]"' and got[3] is None and got[4] == ""
+    assert got[6] == "[secret] " * 400 and got[None] == "x [secret]"
+
+
+# ---------------------------------------------------------------- urls
+def test_cascade_is_exact(spark):
+    """Many rules and urls, in several shards, against a plain search."""
+    rules = [("block" if i % 3 else "allow", f"h{i}.example.net" if i % 2 else f"h{i}.org", f"/{'ab'[i % 2] * (i % 4)}") for i in range(60)]
+    rules += [("allow", "example.net", "/"), ("block", "example.net", "/b")]
+    urls = [f"http://{s}h{i}.{d}/{p}" for i in range(0, 90, 3) for s in ("", "x.", "x") for d in ("org", "example.net") for p in ("", "a", "bb?q", "bbb#f")]
+    urls += [None, "", "nothing", "http://", "http://EXAMPLE.net", "https://example.net/b", "x://ÀB.example.net/c?://", "a://b://c/d"]
+    pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")
+    frame = url_filter.rules_frame(spark, rules)
+    for shard_keys in (1000, 30):
+        got = {r["page_id"]: r for r in url_filter.judge(pages, frame, shard_keys=shard_keys).collect()}
+        for i, u in enumerate(urls):
+            rest = u.split("://", 1)[1] if u and "://" in u else ""
+            host = re.match(r"[^/?#]*", rest)[0]
+            path = re.match(r"[^?#]*", rest[len(host) :])[0]
+            host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+            fits = [(len(h + p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+            _, rule, verdict = max(fits, default=(0, None, "allow"))
+            assert (got[i]["host"], got[i]["path"], got[i]["rule"], got[i]["verdict"]) == (host, path, rule, verdict), u
+    assert url_filter.judge(pages.limit(0), frame).count() == 0
+    none = url_filter.judge(pages, frame.limit(0)).collect()
+    assert {r["verdict"] for r in none} == {"allow"}
+
+
+# ---------------------------------------------------------------- personal data
+PRIVATE = [
+    (1, "Write to ana.b42@mail8.example.com or Ana.B42@mail8.example.com, +1 (265) 555-5428 or +1 265-555-5428."),
+    (2, "Card 4111 1111 1111 1111 and 4111-1111-1111-1111, ip 42.144.35.254."),
+    (3, "Mrs. Maria Lopez and Mr Lopez met Frau Maria Stern; 536-90-4399; госпожа Иванова."),
+    (4, None),
+    (5, ""),
+    (6, "Nothing here: 12.5, 2024-01-02, a@b, version 2.0.1"),
+    (7, "DE89 3704 0044 0532 0130 00 then joe@x.org " + "y" * 50_000),
+    (7, "DE89 3704 0044 0532 0130 00 then joe@x.org " + "y" * 50_000),
+    (None, "ip 42.144.35.254"),
+]
+
+
+def shape(text):
+    text = re.sub(r"\d", "9", text)
+    return "".join("A" if c.isupper() else "a" if c.isalpha() else c for c in text)
+
+
+def test_surrogates(spark):
+    docs = spark.createDataFrame([(i, t, "e") for i, t in PRIVATE], "doc_id long, text string, entities string")
+    rows = pii.replace_entities(docs, "k").collect()
+    assert len(rows) == len(PRIVATE)
+    got = {r["doc_id"]: r for r in rows}
+    new = {k: r["text"] for k, r in got.items()}
+    assert [new[k] for k in (4, 5, 6)] == [dict(PRIVATE)[k] for k in (4, 5, 6)]
+    for k in (2, 7, None):
+        assert shape(new[k]) == shape(dict(PRIVATE)[k]) and new[k] != dict(PRIVATE)[k]
+    one, other, phone, again = (e["surrogate"] for e in got[1]["entities"])
+    assert one == other and re.fullmatch(r"[a-z]{3}\.[a-z]\d\d@[a-z]{4}\d\.[a-z]{7}\.com", one)
+    assert re.sub(r"\D", "", phone) == re.sub(r"\D", "", again) and phone.startswith("+1 (")
+    card, dashed, ip = (e["surrogate"] for e in got[2]["entities"])
+    digits = [int(c) for c in card if c.isdigit()]
+    assert card.replace(" ", "") == dashed.replace("-", "") and digits[0] == 4
+    assert sum(d if i % 2 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits)) % 10 == 0
+    assert got[None]["entities"][0]["surrogate"] == ip  # the same entity in another text
+    mrs, mr, frau, _, russian = (e["surrogate"].split() for e in got[3]["entities"])
+    assert mrs[0] == "Mrs." and mrs[1] == frau[1] and mrs[1].endswith("a")
+    assert mrs[2] == mr[1] and len(mrs[2]) == 5 and frau[2] != mrs[2]
+    assert re.fullmatch(r"[А-Я][а-я]{6}", russian[1]) and russian[1] != "Иванова"
+    assert pii.replace_entities(docs, "other").where("doc_id = 1").first()["text"] != new[1]
+    assert pii.replace_entities(docs.limit(0), "k").count() == 0
+
+
+def test_surrogates_stay_distinct(spark):
+    """All one-digit addresses of a kind: a hundred entities want a hundred surrogates."""
+    forms = [(f"{a}.{b}.0.0",) for a in range(10) for b in range(10)]
+    entities = spark.createDataFrame(forms, "form string").select(F.lit("ip").alias("type"), "form")
+    given = pii.give_surrogates(entities, "k").collect()
+    assert {r["form"] for r in given} == {f for (f,) in forms}
+    assert len({r["surrogate"] for r in given}) == 100 and not {r["surrogate"] for r in given} & {f for (f,) in forms}
+
+
+# ---------------------------------------------------------------- licences
+def test_licences_and_inheritance(spark):
+    apache, mit = "Licensed under the Apache License, Version 2.0.", "Released under the MIT License."
+    rows = [
+        (1, "LICENSE", apache), (2, "a/LICENSE", f"\n{mit.upper()}\nmore words of another kind"), (3, "a/b/c.txt", "plain words"),
+        (4, "a/b/d.txt", f"some text\n{apache}\nsome more"), (5, "x/y.txt", None), (6, None, "plain"), (7, None, mit),
+        (8, "a/b/", "plain"), (9, "aa/z", ""), (9, "aa/z", ""), (10, "a/x/LICENSE", "no notice at all"), (11, "a/x/f", "w " * 60_000),
+        (12, "top.txt", "plain"), (None, "a/n.txt", "plain"),
+    ]
+    files = spark.createDataFrame([(*r, "o") for r in rows], "doc_id long, path string, text string, own string")
+    got = licenses.scan(files, F.col("path").endswith("LICENSE")).collect()
+    assert len(got) == len(rows)
+    by = {(r["id"], r["path"]): (r["licence"], r["licence_from"]) for r in got}
+    assert by[1, "LICENSE"] == ("Apache-2.0", None) and by[2, "a/LICENSE"] == ("MIT", None)
+    assert by[3, "a/b/c.txt"] == by[8, "a/b/"] == by[None, "a/n.txt"] == ("MIT", "a/LICENSE")
+    assert by[4, "a/b/d.txt"] == ("Apache-2.0", None) and by[7, None] == ("MIT", None) and by[6, None] == (None, None)
+    assert by[5, "x/y.txt"] == by[9, "aa/z"] == by[12, "top.txt"] == ("Apache-2.0", "LICENSE")
+    assert by[10, "a/x/LICENSE"] == by[11, "a/x/f"] == ("MIT", "a/LICENSE")
+    assert licenses.scan(files.limit(0), F.col("path").endswith("LICENSE")).count() == 0
+
+
+def test_cosine_by_hand():
+    import math
+
+    import numpy as np
+
+    model = licenses.Templates(licenses.TEMPLATES)
+    model.weigh(1000, np.arange(len(model.terms)) % 50)
+    texts = ["licensed under the the mit licence and other words other", "all rights reserved", "nothing", "",
+             "Licensed under the Apache License, Version 2.0!"]
+    words = licenses.Words(texts)
+    which, score = model.best(words.names, words.doc, len(texts), 0.05)
+    weigh = lambda counts: {k: n * (model.idf[model.number(np.array([k], dtype=np.uint64))[0]]
+                                    if k in model.terms else model.other) for k, n in counts.items()}
+    for d in range(len(texts)):
+        own = words.names[words.doc == d].tolist()
+        mine = weigh({k: own.count(k) for k in own})
+        best = 0.0
+        for _, template in licenses.TEMPLATES:
+            t = licenses.Words([template]).names.tolist()
+            theirs = weigh({k: t.count(k) for k in t})
+            size = math.sqrt(sum(x * x for x in mine.values()) * sum(x * x for x in theirs.values()))
+            best = max(best, sum(x * theirs.get(k, 0) for k, x in mine.items()) / size if size else 0)
+        assert score[d] == pytest.approx(best if best >= 0.05 else 0, abs=1e-9) and (which[d] >= 0) == (best >= 0.05)
