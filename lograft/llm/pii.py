@@ -157,7 +157,7 @@ def surrogate_of(key: str, kind: Column, form: Column, turn: Column) -> Column:
     last = F.substring(swapped, -1, 1)
     ends = {"f": ("a", "α", "а"), "m": ("n", "ν", "н")}
     for g, (latin, greek, cyrillic) in ends.items():
-        wrong = F.lit(vowels).contains(last) if g == "m" else ~F.lit(vowels).contains(last)
+        wrong = F.lit(vowels).contains(last) if g == "m" else ~last.isin(latin, greek, cyrillic)
         sign = F.when(last.rlike(r"\p{IsCyrillic}"), cyrillic).when(last.rlike(r"\p{IsGreek}"), greek).otherwise(latin)
         changed = F.concat(F.substring(swapped, F.lit(1), F.length(swapped) - 1), sign)
         swapped = F.when((kind == f"given-{g}") & wrong, changed).otherwise(swapped)
