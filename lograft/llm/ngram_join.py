@@ -218,26 +218,39 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
-def _candidate_edges(members: DataFrame, least: list[int]) -> DataFrame:
-    """``a, b``: classes of a bucket joined by pairs that are not ruled out."""
+def met_before(left: np.ndarray, right: np.ndarray, band: np.ndarray, rows: int) -> np.ndarray:
+    """Which pairs of signatures agree in a whole band before the given one: the buckets of that band
+    have joined them already."""
+    out = np.zeros(len(left), dtype=bool)
+    for i in range(0, len(left), 1 << 16):
+        part = slice(i, i + (1 << 16))
+        same = (left[part] == right[part]).reshape(len(left[part]), -1, rows).all(axis=2)
+        out[part] = (same & (np.arange(same.shape[1]) < band[part, None])).any(axis=1)
+    return out
+
+
+def _candidate_edges(members: DataFrame, least: list[int], rows: int) -> DataFrame:
+    """``a, b``: classes of a bucket joined by pairs that are not ruled out, each in its first bucket."""
 
     def run(batches):
         for table, edges in complete_groups(batches, keys):
-            ids = table.column("class_id").to_numpy()
+            ids, band = table.column("class_id").to_numpy(), table.column("band").to_numpy()
             sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
             sizes = np.diff(edges)
             twos = edges[:-1][sizes == 2]
             hit = twos[alike(sigs[twos], sigs[twos + 1], least)]
-            found = [np.stack((ids[hit], ids[hit + 1]), axis=1)]
+            found = [np.stack((hit, hit + 1), axis=1)]
             for begin, size in zip(edges[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
                 pairs = list(bucket_links(sigs[begin : begin + size], least))
                 if pairs:
-                    found.append(ids[begin + np.array(pairs)])
-            pairs = np.unique(np.concatenate(found), axis=0)
+                    found.append(begin + np.array(pairs))
+            i, j = np.concatenate(found).T
+            new = ~met_before(sigs[i], sigs[j], band[i], rows)
+            pairs = np.unique(np.stack((ids[i[new]], ids[j[new]]), axis=1), axis=0)
             if len(pairs):
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    keys = ["bucket", "low", "high"]
+    keys = ["band", "bucket", "low", "high"]
     dealt = members.repartition(*keys).sortWithinPartitions(*keys)
     return dealt.select(*keys, "class_id", "sig").mapInArrow(run, "a long, b long")
 
@@ -315,11 +328,11 @@ def jaccard_join(
     heads = shingled.join(classes.withColumnRenamed("class_id", "doc_id"), ["set_key", "doc_id"])
     heads = cut(heads.dropDuplicates(["set_key", "doc_id"]).withColumnRenamed("doc_id", "class_id"))
 
-    keys = heads.select("class_id", F.explode("band_keys").alias("bucket"))
-    buckets = keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("blocks")
-    members = keys.join(buckets.select("bucket", blocks), "bucket").join(heads.select("class_id", "sig"), "class_id")
-    alike_pairs = _candidate_edges(_block_pairs(members), least_matches(threshold, tolerance, bands * rows))
+    keys = heads.select("class_id", F.posexplode("band_keys").alias("band", "bucket"))
+    buckets = keys.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = buckets.select("band", "bucket", F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("blocks"))
+    members = keys.join(buckets, ["band", "bucket"]).join(heads.select("class_id", "sig"), "class_id")
+    alike_pairs = _candidate_edges(_block_pairs(members), least_matches(threshold, tolerance, bands * rows), rows)
     candidates = cut(components(alike_pairs).withColumnRenamed("id", "class_id"))
 
     own = candidates.join(heads.select("class_id", "set_key", "copies", "size"), "class_id")
