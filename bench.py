@@ -36,7 +36,7 @@ JOBS = {
     "job_levels": lambda spark, root, out: run_level_report(spark, lines(spark, root), out),
     "job_usage": lambda spark, root, out: run_usage_report(spark, lines(spark, root), out),
     "job_daily": lambda spark, root, out: run_daily_report(
-        spark, trips_from_lineitem(table(spark, root, "lineitem", spread=True)), TRIP_YEAR, out
+        spark, trips_from_lineitem(table(spark, root, "lineitem")), TRIP_YEAR, out
     ),
 }
 

@@ -26,6 +26,7 @@ from lograft.plans.usage_report import run_usage_report
 from lograft.session import build_session, checkpoint_dir, s3a_conf
 from lograft.sinks import write_csv
 from lograft.sources.logs import read_log_lines
+from lograft.sources.tables import partitioned_parquet
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -41,6 +42,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", default=None)
     ap.add_argument("--year", type=int, default=None, help="daily: calendar year to summarise")
     ap.add_argument("--exact-p95", action="store_true", help="daily: exact nearest-rank p95")
+    ap.add_argument("--recursive", action="store_true", help="daily: read every file below --input, whatever its directory")
     ap.add_argument("--glob", default="*.log", help="log file name filter")
     ap.add_argument("--shuffle-partitions", type=int, default=None)
     ap.add_argument("--checkpoint-dir", default=None, help="used only when the session names none")
@@ -79,7 +81,9 @@ def main(argv: list[str] | None = None) -> int:
         else:
             if args.year is None:
                 ap.error("daily needs --year")
-            trips = spark.read.option("recursiveFileLookup", "true").parquet(args.input)
+            # key=value directories stay columns, so a filter on them prunes; --recursive for other trees
+            reader = spark.read.option("recursiveFileLookup", "true") if args.recursive else None
+            trips = reader.parquet(args.input) if reader else partitioned_parquet(spark, args.input)
             res = run_daily_report(spark, trips, args.year, args.output, exact_p95=args.exact_p95)
         print(json.dumps(res, default=str, indent=2))
         return 0

@@ -24,10 +24,16 @@ def extract(col: str | Column, pattern: str, group: int = 1) -> Column:
 def parse_log_time(text: str | Column) -> Column:
     """``yy/MM/dd HH:mm:ss`` text -> TIMESTAMP_NTZ (NULL when unparsable).
 
-    Parsed in the (UTC) session zone and stored zone-less, since the log
-    format carries no zone.
+    The log format carries no zone: the text is read as UTC and written out as UTC,
+    whatever the session's zone.
     """
-    return F.try_to_timestamp(_c(text), F.lit(P.TS_FORMAT)).cast("timestamp_ntz")
+    at_utc = F.try_to_timestamp(F.concat(_c(text), F.lit(" +0000")), F.lit(P.TS_FORMAT + " Z"))
+    return _zone_free(F.unix_seconds(at_utc))
+
+
+def _zone_free(seconds: Column) -> Column:
+    """Seconds since the epoch as a TIMESTAMP_NTZ in UTC."""
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
 
 
 def parse_log_time_strict(text: str | Column) -> Column:
@@ -67,7 +73,7 @@ def size_to_bytes(number: str | Column, unit: str | Column) -> Column:
 
 def cluster_start(cluster_id: str | Column) -> Column:
     """The cluster id is the resource manager start in epoch milliseconds."""
-    return F.timestamp_millis(_c(cluster_id).cast("bigint")).cast("timestamp_ntz")
+    return _zone_free((_c(cluster_id).cast("decimal(18,0)") / F.lit(1000)).cast("decimal(18,6)"))
 
 
 def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
@@ -102,6 +108,23 @@ def ensure_parsed(lines: DataFrame, line_col: str = "line") -> DataFrame:
     return parse_lines(lines, line_col)
 
 
+def with_identity(parsed: DataFrame, path_col: str = "path") -> DataFrame:
+    """The application of every line by its file's path, else by the ids in its text; with the
+    attempt and container that the path names (``''`` where it names none).
+
+    Lines of the documented format name no application themselves: the path does.
+    """
+    of_file = file_identity(path_col)
+    app = F.when(of_file["file_application_id"] != "", of_file["file_application_id"]).otherwise(F.col("application_id"))
+    return parsed.withColumns(
+        {
+            **of_file,
+            "application_id": app,
+            "cluster_id": extract(app, P.CLUSTER_IN_APP),
+        }
+    )
+
+
 def file_identity(path: str | Column) -> dict[str, Column]:
     """Application, container, attempt and role from a log file path."""
     p = _c(path)

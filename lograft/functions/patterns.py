@@ -28,10 +28,10 @@ EXECUTOR_REQUEST = (
     r"(?: including (\d+) MB overhead)?"
 )
 CONTAINER_REQUEST = r"Container request \(host: ([^,]+), capability: <memory:(\d+), vCores:(\d+)>"
-TASK_RUNNING = r"Running task (\d+)\.(\d+) in stage (\d+)\.(\d+) \(TID (\d+)\)"
-TASK_FINISHED = r"Finished task (\d+)\.(\d+) in stage (\d+)\.(\d+) \(TID (\d+)\)"
-TASK_LINE = r"(Running|Finished) task (\d+)\.(\d+) in stage (\d+)\.(\d+) \(TID (\d+)\)"
-TASK_RESULT_BYTES = r"\(TID \d+\)\. (\d+) bytes result sent to driver"
+TASK_LINE = (
+    r"(Running|Finished) task (\d+)\.(\d+) in stage (\d+)\.(\d+) \(TID (\d+)\)"
+    r"(?:\. (\d+) bytes result sent to driver)?"
+)
 INPUT_SPLIT = r"Input split: (\S+):(\d+)\+(\d+)"
 PYTHON_TIMES = r"Times: total = (\d+), boot = (\d+), init = (\d+), finish = (\d+)"
 MEMORY_STORE = r"MemoryStore started with capacity ([\d.]+) ([KMGT]?B)"
@@ -46,5 +46,19 @@ BLOCK_ADDED = (
 )
 BLOCK_LOCAL = r"Found block rdd_(\d+)_(\d+) locally"
 
+# --- fixed values: text that every line of a message format contains -------
+MARKERS = {
+    EXECUTOR_REQUEST: ("Will request ",),
+    CONTAINER_REQUEST: ("Container request (",),
+    TASK_LINE: ("Running task ", "Finished task "),
+    INPUT_SPLIT: ("Input split: ",),
+    PYTHON_TIMES: ("PythonRunner: Times: ",),
+    MEMORY_STORE: ("MemoryStore started with capacity",),
+    BLOCK_STORED: (" stored as ",),
+    BROADCAST_READ: ("Started reading broadcast variable",),
+    BLOCK_ADDED: ("Added ",),
+    BLOCK_LOCAL: ("Found block rdd_",),
+}
+
 # --- fixed values: size units (powers of 1024) ----------------------------
 SIZE_UNITS = {"B": 1, "KB": 1024, "MB": 1024**2, "GB": 1024**3, "TB": 1024**4}

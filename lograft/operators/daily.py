@@ -2,22 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lograft.operators.quantiles import exact_percentile
 
-# Column names of the trip schema the daily job reads (fixed values).
-TRIP_COLUMNS = (
-    "tpep_pickup_datetime",
-    "trip_distance",
-    "mta_tax",
-    "fare_amount",
-    "tip_amount",
-    "passenger_count",
-)
-
-
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Trip view over ``lineitem``: ship date as pickup time, quantity as distance,
     tax as MTA tax, extended price as fare, discount as tip, line number as passengers."""
@@ -80,9 +69,11 @@ def daily_summary(trips: DataFrame, year: int | None = None, exact_p95: bool = F
     )
 
 
-def sort_days_desc(daily: DataFrame) -> DataFrame:
-    """Newest day first (SRT4); only for output, never before another aggregate."""
-    return daily.orderBy(*[F.desc(k) for k in DAY_KEYS])
+def newest_days(daily: DataFrame, n: int) -> DataFrame:
+    """The ``n`` newest days with their position in that order (SRT4, SRT8)."""
+    first = daily.orderBy(*[F.desc(k) for k in DAY_KEYS]).limit(n)
+    order = Window.orderBy(*[F.desc(k) for k in DAY_KEYS])  # n rows
+    return first.withColumn("position", F.row_number().over(order))
 
 
 def daily_totals(daily: DataFrame) -> DataFrame:
@@ -105,13 +96,12 @@ def daily_metrics(
 ) -> DataFrame:
     """The same daily KPI shape over any table: count, mean/max/p95/min of one
     measure, and the rounded-up mean of a count-like column."""
-    rows = in_year(df, ts_col, year) if year is not None else df
-    rows = with_day(rows, ts_col)
-    return rows.groupBy(*DAY_KEYS).agg(
+    rows = with_day(in_year(df, ts_col, year) if year is not None else df, ts_col)
+    aggs = [
         F.count(F.lit(1)).alias("num_rows"),
         F.round(F.avg(value_col), 6).alias("mean_value"),
         F.max(value_col).alias("max_value"),
-        F.percentile_approx(value_col, 0.95).alias("q95_value"),
         F.min(value_col).alias("min_value"),
         F.ceil(F.avg(count_col)).alias("mean_count"),
-    )
+    ]
+    return exact_percentile(rows, DAY_KEYS, value_col, 0.95, "q95_value", extra=aggs)

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lograft.operators.joins import join_groups
 from lograft.operators.timeline import with_duration
 
 
@@ -26,6 +27,13 @@ def top_cluster_durations(timeline: DataFrame, summary: DataFrame) -> DataFrame:
     ).filter(F.col("x").isNotNull())
 
 
+def all_durations(timeline: DataFrame) -> DataFrame:
+    """Durations (seconds) of every cluster's applications, for one distribution per cluster."""
+    return with_duration(timeline).select(
+        "cluster_id", "application_id", F.col("duration_sec").cast("double").alias("x")
+    ).filter(F.col("x").isNotNull())
+
+
 def _stats(values: DataFrame) -> DataFrame:
     return values.groupBy("cluster_id").agg(
         F.count(F.lit(1)).alias("n"),
@@ -35,20 +43,27 @@ def _stats(values: DataFrame) -> DataFrame:
     )
 
 
+def _weighted(values: DataFrame) -> DataFrame:
+    """Equal values of a cluster as one row with their number (durations are whole seconds)."""
+    return values.groupBy("cluster_id", "x").agg(F.count(F.lit(1)).alias("_w"))
+
+
 def histogram(values: DataFrame, bins: int = 30, log_scale: bool = False) -> DataFrame:
     """Equal-width bins over ``[min, max]`` of ``x`` per ``cluster_id``; last bin right-closed.
 
     Empty bins are kept (zero count). With ``log_scale`` the bins are equal in
-    ``log10(1 + x)`` and the edges are reported back in ``x`` units.
+    ``log10(1 + x)`` and the edges are reported back in ``x`` units. Equal values are
+    counted first; the one row of a cluster's bounds goes to them.
     """
     v = values.withColumn("x", F.log10(F.lit(1.0) + F.col("x"))) if log_scale else values
-    stats = _stats(v).select("cluster_id", "lo", "hi")
+    weighted = _weighted(v)
+    stats = weighted.groupBy("cluster_id").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     width = F.col("hi") - F.col("lo")
     raw = F.floor((F.col("x") - F.col("lo")) * F.lit(float(bins)) / width)
-    binned = v.join(stats, "cluster_id").withColumn(
+    binned = join_groups(weighted, stats, ["cluster_id"]).withColumn(
         "bin", F.when(width == 0, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
     )
-    counts = binned.groupBy("cluster_id", "bin").agg(F.count(F.lit(1)).alias("count"))
+    counts = binned.groupBy("cluster_id", "bin").agg(F.sum("_w").alias("count"))
     edges = stats.select(
         "cluster_id", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
     ).select(
@@ -60,8 +75,8 @@ def histogram(values: DataFrame, bins: int = 30, log_scale: bool = False) -> Dat
     if log_scale:
         edges = edges.withColumns(
             {
-                "bin_lo": F.pow(F.lit(10.0), F.col("bin_lo")) - F.lit(1.0),
-                "bin_hi": F.pow(F.lit(10.0), F.col("bin_hi")) - F.lit(1.0),
+                "bin_lo": F.round(F.pow(F.lit(10.0), F.col("bin_lo")) - F.lit(1.0), 6),
+                "bin_hi": F.round(F.pow(F.lit(10.0), F.col("bin_hi")) - F.lit(1.0), 6),
             }
         )
     return edges.join(counts, ["cluster_id", "bin"], "left").select(
@@ -73,11 +88,11 @@ def density(values: DataFrame, points: int = 200, cut: float = 3.0, digits: int
     """Gaussian kernel density of ``x`` per ``cluster_id`` on an even grid (AGG20).
 
     Bandwidth by Scott's rule ``h = sd * n^(-1/5)``; the grid spans
-    ``[min - cut*h, max + cut*h]`` in ``points`` steps. Each value emits one
-    row per grid point (``explode``), summed map-side by grid point: the work
-    is ``points`` x rows, spread over all tasks, and the shuffle carries at most
-    ``points`` rows per task. Needs at least two distinct values.
+    ``[min - cut*h, max + cut*h]`` in ``points`` steps. Equal values are counted first;
+    each distinct one emits a row per grid point, summed map-side by grid point, so the
+    work is ``points`` x distinct values. Needs at least two distinct values.
     """
+    weighted = _weighted(values)
     stats = (
         _stats(values)
         .withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
@@ -85,12 +100,12 @@ def density(values: DataFrame, points: int = 200, cut: float = 3.0, digits: int
         .withColumn("g_lo", F.col("lo") - F.lit(cut) * F.col("h"))
         .withColumn("g_step", (F.col("hi") - F.col("lo") + F.lit(2 * cut) * F.col("h")) / F.lit(float(points - 1)))
     )
-    grid = values.join(stats.select("cluster_id", "n", "h", "g_lo", "g_step"), "cluster_id")
+    grid = join_groups(weighted, stats.select("cluster_id", "n", "h", "g_lo", "g_step"), ["cluster_id"])
     grid = grid.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     gx = F.col("g_lo") + F.col("point") * F.col("g_step")
     z = (gx - F.col("x")) / F.col("h")
     summed = grid.groupBy("cluster_id", "point", "n", "h", "g_lo", "g_step").agg(
-        F.sum(F.exp(F.lit(-0.5) * z * z)).alias("k")
+        F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z)).alias("k")
     )
     norm = F.col("n") * F.col("h") * F.lit(math.sqrt(2.0 * math.pi))
     return summed.select(

@@ -99,14 +99,24 @@ def only_application(parsed: DataFrame, application_id: str, col: str = "applica
 
 def line_inventory(parsed: DataFrame) -> DataFrame:
     """Distinct applications and clusters named in the text, lines, lines with
-    a level, and parsable timestamps, in one aggregate (AGG16 over line text)."""
-    named = F.col("application_id") != ""
-    return parsed.agg(
-        F.count_distinct(F.when(named, F.col("application_id"))).alias("applications"),
-        F.count_distinct(F.when(named, F.col("cluster_id"))).alias("clusters"),
-        F.count(F.lit(1)).alias("lines"),
-        F.count_if(F.col("log_level") != "").alias("lines_with_level"),
-        F.count("event_time").alias("lines_with_time"),
+    a level, and parsable timestamps (AGG16 over line text): grouped by
+    application first, so that no line is counted twice over."""
+    per_app = parsed.groupBy("application_id", "cluster_id").agg(
+        F.count(F.lit(1)).alias("_lines"),
+        F.count_if(F.col("log_level") != "").alias("_levels"),
+        F.count("event_time").alias("_times"),
+    )
+    per_cluster = per_app.groupBy("cluster_id").agg(
+        F.count_if(F.col("application_id") != "").alias("_apps"),
+        *[F.sum(c).alias(c) for c in ("_lines", "_levels", "_times")],
+    )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return per_cluster.agg(
+        total("_apps").alias("applications"),
+        F.count_if(F.col("_apps") > 0).alias("clusters"),
+        total("_lines").alias("lines"),
+        total("_levels").alias("lines_with_level"),
+        total("_times").alias("lines_with_time"),
     )
 
 
@@ -115,11 +125,19 @@ def log_inventory(files: DataFrame, approximate: bool = False) -> DataFrame:
 
     ``files`` has ``file_application_id`` and ``path`` (one row per line).
     ``approximate`` uses HyperLogLog sketches, whose memory does not grow with
-    the number of distinct values.
+    the number of distinct values; else lines are grouped by file first.
     """
-    distinct = (lambda c: F.approx_count_distinct(c)) if approximate else F.count_distinct
-    return files.agg(
-        distinct(F.when(F.col("file_application_id") != "", F.col("file_application_id"))).alias("applications"),
-        distinct("path").alias("log_files"),
-        F.count(F.lit(1)).alias("lines"),
+    named = F.when(F.col("file_application_id") != "", F.col("file_application_id"))
+    if approximate:
+        return files.agg(
+            F.approx_count_distinct(named).alias("applications"),
+            F.approx_count_distinct("path").alias("log_files"),
+            F.count(F.lit(1)).alias("lines"),
+        )
+    per_file = files.groupBy(named.alias("_app"), "path").agg(F.count(F.lit(1)).alias("_lines"))
+    per_app = per_file.groupBy("_app").agg(F.count("path").alias("_files"), F.sum("_lines").alias("_lines"))
+    return per_app.agg(
+        F.count("_app").alias("applications"),
+        F.coalesce(F.sum("_files"), F.lit(0)).alias("log_files"),
+        F.coalesce(F.sum("_lines"), F.lit(0)).alias("lines"),
     )

@@ -1,33 +1,59 @@
 """Typed columns from documented message formats, and the queries on top.
 
-Each extractor is ``filter(contains(marker)) -> regexp_extract -> cast``: the
-cheap substring test runs first so the regexes only see matching lines.
+Each extractor tests a cheap substring first, then matches the line once: the match's
+groups become an array, from which the columns are taken. The application of a line is
+the column ``application_id``, whether it comes from the text or from the file's path
+(``functions.parse.with_identity``); with an ``attempt`` column, tasks are told apart by
+attempt too, since their ids start anew with each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lograft.functions import patterns as P
-from lograft.functions.parse import extract, size_to_bytes
+from lograft.functions.parse import size_to_bytes
+
+_MARK = "\x01"
+
+
+def _matched(parsed: DataFrame, pattern: str, line_col: str) -> DataFrame:
+    """The lines that match a message format, with its groups as array ``_g`` (``_g[1]`` is the
+    first; a group that took no part is ``''``)."""
+    line = F.col(line_col)
+    likely = F.lit(False)
+    for marker in P.MARKERS[pattern]:
+        likely = likely | line.contains(marker)
+    n = re.compile(pattern).groups
+    groups = F.regexp_replace(line, f"(?s)^.*?{pattern}.*$", "".join(f"{_MARK}${i}" for i in range(1, n + 1)))
+    rows = parsed.filter(likely).withColumn("_g", F.split(groups, _MARK))
+    return rows.filter(F.size("_g") == n + 1)
+
 
+def _text(i: int) -> Column:
+    return F.col("_g")[i]
 
-def _num(col, pattern: str, group: int, to: str = "bigint"):
-    return extract(col, pattern, group).try_cast(to)
+
+def _num(i: int, to: str = "bigint") -> Column:
+    return _text(i).try_cast(to)
+
+
+def _ids(parsed: DataFrame) -> list[str]:
+    return [c for c in ("application_id", "attempt") if c in parsed.columns]
 
 
 # ---------------------------------------------------------------- X1
 def executor_requests(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    line = F.col(line_col)
-    rows = parsed.filter(line.contains("Will request ")).filter(line.rlike(P.EXECUTOR_REQUEST))
-    overhead = extract(line, P.EXECUTOR_REQUEST, 4)
+    rows = _matched(parsed, P.EXECUTOR_REQUEST, line_col)
     return rows.select(
         "application_id",
-        _num(line, P.EXECUTOR_REQUEST, 1).alias("executors"),
-        _num(line, P.EXECUTOR_REQUEST, 2).alias("cores"),
-        _num(line, P.EXECUTOR_REQUEST, 3).alias("memory_mb"),
-        F.when(overhead == "", F.lit(None)).otherwise(overhead).try_cast("bigint").alias("overhead_mb"),
+        _num(1).alias("executors"),
+        _num(2).alias("cores"),
+        _num(3).alias("memory_mb"),
+        _num(4).alias("overhead_mb"),
     )
 
 
@@ -45,14 +71,8 @@ def requested_resources(requests: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X2
 def container_requests(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    line = F.col(line_col)
-    rows = parsed.filter(line.contains("Container request (")).filter(line.rlike(P.CONTAINER_REQUEST))
-    return rows.select(
-        "application_id",
-        extract(line, P.CONTAINER_REQUEST, 1).alias("host"),
-        _num(line, P.CONTAINER_REQUEST, 2).alias("memory_mb"),
-        _num(line, P.CONTAINER_REQUEST, 3).alias("vcores"),
-    )
+    rows = _matched(parsed, P.CONTAINER_REQUEST, line_col)
+    return rows.select("application_id", _text(1).alias("host"), _num(2).alias("memory_mb"), _num(3).alias("vcores"))
 
 
 def requests_per_host(requests: DataFrame) -> DataFrame:
@@ -65,27 +85,22 @@ def requests_per_host(requests: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X3, J2, J4
 def task_events(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    """One row per ``Running task`` / ``Finished task`` line.
-
-    One pattern covers both formats: group 1 is the kind, so each line is
-    matched by a single regex instead of one per format and field.
-    """
-    line = F.col(line_col)
-    rows = parsed.filter(line.contains("Running task ") | line.contains("Finished task "))
-    kind = extract(line, P.TASK_LINE, 1)
+    """One row per ``Running task`` / ``Finished task`` line."""
+    rows = _matched(parsed, P.TASK_LINE, line_col)
     return rows.select(
-        "application_id",
-        F.when(kind == "Running", F.lit("running")).when(kind == "Finished", F.lit("finished")).alias("kind"),
-        _num(line, P.TASK_LINE, 6).alias("tid"),
-        _num(line, P.TASK_LINE, 4, "int").alias("stage_id"),
-        _num(line, P.TASK_LINE, 2, "int").alias("task_index"),
-        _num(line, P.TASK_RESULT_BYTES, 1).alias("result_bytes"),
+        *_ids(parsed),
+        F.lower(_text(1)).alias("kind"),
+        _num(6).alias("tid"),
+        _num(4, "int").alias("stage_id"),
+        _num(2, "int").alias("task_index"),
+        _num(7).alias("result_bytes"),
         "event_time",
     )
 
 
 def task_table(events: DataFrame) -> DataFrame:
-    """Start and finish of every task id in one shuffle keyed by ``(application_id, tid)``.
+    """Start and finish of every task in one shuffle keyed by application, attempt (where known)
+    and task id (J2).
 
     Conditional aggregates replace a self-join of start lines with finish
     lines: one exchange instead of two, and no join fan-out on repeated lines.
@@ -93,7 +108,7 @@ def task_table(events: DataFrame) -> DataFrame:
     is_run = F.col("kind") == "running"
     is_fin = F.col("kind") == "finished"
     keep = (F.col("application_id") != "") & F.col("tid").isNotNull()
-    return events.groupBy("application_id", "tid").agg(
+    return events.groupBy(*_ids(events), "tid").agg(
         F.min(F.when(is_run, F.col("stage_id"))).alias("stage_id"),
         F.min(F.when(is_run, F.col("event_time"))).alias("start_time"),
         F.max(F.when(is_fin, F.col("event_time"))).alias("end_time"),
@@ -107,7 +122,7 @@ def task_durations(events: DataFrame) -> DataFrame:
     """Tasks with both a start and a finish line, and their duration in seconds."""
     t = task_table(events).filter((F.col("_runs") > 0) & (F.col("_fins") > 0))
     return t.select(
-        "application_id", "tid", "stage_id", "start_time", "end_time",
+        *_ids(t), "tid", "stage_id", "start_time", "end_time",
         F.expr("timestampdiff(SECOND, start_time, end_time)").alias("duration_sec"),
         "result_bytes",
     )
@@ -116,59 +131,44 @@ def task_durations(events: DataFrame) -> DataFrame:
 def unfinished_tasks(events: DataFrame) -> DataFrame:
     """Tasks that started but have no finish line."""
     t = task_table(events).filter((F.col("_runs") > 0) & (F.col("_fins") == 0))
-    return t.select("application_id", "tid", "stage_id", "start_time")
-
-
-def unfinished_tasks_anti(events: DataFrame) -> DataFrame:
-    """The same as ``unfinished_tasks`` written as a ``left_anti`` join of start
-    lines against finish lines (J4). Two shuffles instead of one; kept for
-    callers that already hold the two line sets apart."""
-    keys = ["application_id", "tid"]
-    valid = (F.col("application_id") != "") & F.col("tid").isNotNull()
-    starts = events.filter(valid & (F.col("kind") == "running")).groupBy(*keys).agg(
-        F.min("stage_id").alias("stage_id"), F.min("event_time").alias("start_time")
-    )
-    finishes = events.filter(valid & (F.col("kind") == "finished")).select(*keys)
-    return starts.join(finishes, keys, "left_anti")
+    return t.select(*_ids(t), "tid", "stage_id", "start_time")
 
 
 def stage_skew(durations: DataFrame, threshold: float = 2.0) -> DataFrame:
     """Duration spread per stage (X11): max, median, p95, max/median, skew flag.
 
-    Percentiles are mergeable sketches, so a stage with millions of tasks is
-    summarised without gathering its tasks in one place.
+    Durations are whole seconds, so a stage has few distinct ones: they are counted
+    first, and the exact percentiles come from the counts. A median below one second
+    counts as one second, so a stage of many short tasks and a long one is skewed.
     """
     d = durations.filter(F.col("duration_sec").isNotNull())
-    g = d.groupBy("application_id", "stage_id").agg(
-        F.count(F.lit(1)).alias("num_tasks"),
+    keys = [*_ids(d), "stage_id"]
+    counts = d.groupBy(*keys, "duration_sec").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(*keys).orderBy("duration_sec").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumns({"_upto": F.sum("_n").over(upto), "_all": F.sum("_n").over(Window.partitionBy(*keys))})
+    at = lambda p: F.min(F.when(F.col("_upto") >= F.ceil(F.lit(p) * F.col("_all")), F.col("duration_sec")))
+    g = ranked.groupBy(*keys).agg(
+        F.sum("_n").alias("num_tasks"),
         F.max("duration_sec").alias("max_sec"),
-        F.percentile_approx("duration_sec", 0.5).alias("median_sec"),
-        F.percentile_approx("duration_sec", 0.95).alias("p95_sec"),
-    )
-    ratio = F.try_divide(F.col("max_sec").cast("double"), F.col("median_sec").cast("double"))
-    return g.withColumn("max_over_median", ratio).withColumn(
-        "is_skewed", F.coalesce(F.col("max_over_median") > F.lit(threshold), F.lit(False))
+        at(0.5).alias("median_sec"),
+        at(0.95).alias("p95_sec"),
     )
+    ratio = F.col("max_sec").cast("double") / F.greatest(F.col("median_sec"), F.lit(1)).cast("double")
+    return g.withColumn("max_over_median", ratio).withColumn("is_skewed", F.col("max_over_median") > F.lit(threshold))
 
 
 def slow_tasks(durations: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` slowest tasks overall (X12): a top-k, per-task heaps then one merge."""
     d = durations.filter(F.col("duration_sec").isNotNull())
-    return d.orderBy(F.desc("duration_sec"), F.asc("application_id"), F.asc("tid")).limit(k).select(
-        "application_id", "tid", "stage_id", "duration_sec"
+    return d.orderBy(F.desc("duration_sec"), *[F.asc(c) for c in _ids(d)], F.asc("tid")).limit(k).select(
+        *_ids(d), "tid", "stage_id", "duration_sec"
     )
 
 
 # ---------------------------------------------------------------- X4
 def input_splits(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    line = F.col(line_col)
-    rows = parsed.filter(line.contains("Input split: ")).filter(line.rlike(P.INPUT_SPLIT))
-    return rows.select(
-        "application_id",
-        extract(line, P.INPUT_SPLIT, 1).alias("uri"),
-        _num(line, P.INPUT_SPLIT, 2).alias("offset"),
-        _num(line, P.INPUT_SPLIT, 3).alias("length"),
-    )
+    rows = _matched(parsed, P.INPUT_SPLIT, line_col)
+    return rows.select("application_id", _text(1).alias("uri"), _num(2).alias("offset"), _num(3).alias("length"))
 
 
 def bytes_per_input(splits: DataFrame) -> DataFrame:
@@ -182,12 +182,9 @@ def bytes_per_input(splits: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X5
 def python_times(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    line = F.col(line_col)
-    rows = parsed.filter(line.contains("PythonRunner: Times: ")).filter(line.rlike(P.PYTHON_TIMES))
-    return rows.select(
-        "application_id",
-        *[_num(line, P.PYTHON_TIMES, i + 1).alias(n) for i, n in enumerate(["total_ms", "boot_ms", "init_ms", "finish_ms"])],
-    )
+    rows = _matched(parsed, P.PYTHON_TIMES, line_col)
+    names = ["total_ms", "boot_ms", "init_ms", "finish_ms"]
+    return rows.select("application_id", *[_num(i).alias(n) for i, n in enumerate(names, 1)])
 
 
 def python_time_stats(times: DataFrame) -> DataFrame:
@@ -203,12 +200,8 @@ def python_time_stats(times: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X6
 def memory_capacity(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    line = F.col(line_col)
-    rows = parsed.filter(line.contains("MemoryStore started with capacity")).filter(line.rlike(P.MEMORY_STORE))
-    return rows.select(
-        "application_id",
-        size_to_bytes(extract(line, P.MEMORY_STORE, 1), extract(line, P.MEMORY_STORE, 2)).alias("capacity_bytes"),
-    )
+    rows = _matched(parsed, P.MEMORY_STORE, line_col)
+    return rows.select("application_id", size_to_bytes(_text(1), _text(2)).alias("capacity_bytes"))
 
 
 def capacity_per_app(capacity: DataFrame) -> DataFrame:
@@ -221,14 +214,13 @@ def capacity_per_app(capacity: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X7
 def stored_blocks(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    line = F.col(line_col)
-    rows = parsed.filter(line.contains(" stored as ")).filter(line.rlike(P.BLOCK_STORED))
+    rows = _matched(parsed, P.BLOCK_STORED, line_col)
     return rows.select(
         "application_id",
-        extract(line, P.BLOCK_STORED, 1).alias("block"),
-        extract(line, P.BLOCK_STORED, 2).alias("kind"),
-        size_to_bytes(extract(line, P.BLOCK_STORED, 3), extract(line, P.BLOCK_STORED, 4)).alias("size_bytes"),
-        size_to_bytes(extract(line, P.BLOCK_STORED, 5), extract(line, P.BLOCK_STORED, 6)).alias("free_bytes"),
+        _text(1).alias("block"),
+        _text(2).alias("kind"),
+        size_to_bytes(_text(3), _text(4)).alias("size_bytes"),
+        size_to_bytes(_text(5), _text(6)).alias("free_bytes"),
     )
 
 
@@ -243,11 +235,8 @@ def cached_bytes_per_kind(blocks: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X8
 def broadcast_reads(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    line = F.col(line_col)
-    rows = parsed.filter(line.contains("Started reading broadcast variable"))
-    return rows.select("application_id", _num(line, P.BROADCAST_READ, 1).alias("broadcast_id")).filter(
-        F.col("broadcast_id").isNotNull()
-    )
+    rows = _matched(parsed, P.BROADCAST_READ, line_col)
+    return rows.select("application_id", _num(1).alias("broadcast_id"))
 
 
 def broadcast_reads_per_app(reads: DataFrame) -> DataFrame:
@@ -259,14 +248,13 @@ def broadcast_reads_per_app(reads: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X9
 def added_blocks(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    line = F.col(line_col)
-    rows = parsed.filter(line.contains("Added ")).filter(line.rlike(P.BLOCK_ADDED))
+    rows = _matched(parsed, P.BLOCK_ADDED, line_col)
     return rows.select(
         "application_id",
-        extract(line, P.BLOCK_ADDED, 1).alias("block"),
-        extract(line, P.BLOCK_ADDED, 2).alias("host"),
-        _num(line, P.BLOCK_ADDED, 3, "int").alias("port"),
-        size_to_bytes(extract(line, P.BLOCK_ADDED, 4), extract(line, P.BLOCK_ADDED, 5)).alias("size_bytes"),
+        _text(1).alias("block"),
+        _text(2).alias("host"),
+        _num(3, "int").alias("port"),
+        size_to_bytes(_text(4), _text(5)).alias("size_bytes"),
     )
 
 
@@ -278,13 +266,8 @@ def blocks_per_host(blocks: DataFrame) -> DataFrame:
 
 
 def local_block_hits(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    line = F.col(line_col)
-    rows = parsed.filter(line.contains("Found block rdd_")).filter(line.rlike(P.BLOCK_LOCAL))
-    return rows.select(
-        "application_id",
-        _num(line, P.BLOCK_LOCAL, 1).alias("rdd_id"),
-        _num(line, P.BLOCK_LOCAL, 2).alias("partition"),
-    )
+    rows = _matched(parsed, P.BLOCK_LOCAL, line_col)
+    return rows.select("application_id", _num(1).alias("rdd_id"), _num(2).alias("partition"))
 
 
 def local_hits_per_rdd(hits: DataFrame) -> DataFrame:

@@ -36,9 +36,11 @@ def tag_entries(
         *keys, order_col, line_col, "log_level",
         F.when(is_header, F.col(order_col)).alias("_hdr"),
         F.floor(F.col(order_col) / F.lit(bucket_rows)).alias("_bucket"),
+        F.floor(F.col(order_col) / F.lit(bucket_rows * bucket_rows)).alias("_bucket_2"),
     )
-    tagged = running_total(rows, keys, [F.col(order_col)], "_bucket", "_hdr", "entry", how="max")
-    return tagged.withColumn("entry", F.coalesce(F.col("entry"), F.lit(-1))).drop("_hdr", "_bucket")
+    buckets = ["_bucket", "_bucket_2"]
+    tagged = running_total(rows, keys, [F.col(order_col)], buckets, "_hdr", "entry", how="max")
+    return tagged.withColumn("entry", F.coalesce(F.col("entry"), F.lit(-1))).drop("_hdr", *buckets)
 
 
 def assemble_entries(

@@ -9,17 +9,6 @@ from lograft.functions.parse import app_number, cluster_start
 from lograft.operators.ordered import previous_row, running_totals
 
 
-def app_events(parsed: DataFrame) -> DataFrame:
-    """Lines that name an application and carry a valid time (FLT2, FLT3).
-
-    Identity comes from the first application id in the line text (T5, T6);
-    the time is the first ``yy/MM/dd HH:mm:ss`` anywhere in the line (T7, T8).
-    """
-    return parsed.filter((F.col("application_id") != "") & F.col("event_time").isNotNull()).select(
-        "cluster_id", "application_id", "event_time"
-    )
-
-
 def app_timeline(parsed: DataFrame) -> DataFrame:
     """First and last mention of each application (AGG4), plus ``app_number``.
 
@@ -47,12 +36,10 @@ def timeline_by_file(parsed_with_files: DataFrame) -> DataFrame:
 
     Expects ``file_application_id`` (from ``file_identity``) and ``event_time``.
     """
-    rows = parsed_with_files.filter(
-        (F.col("file_application_id") != "") & F.col("event_time").isNotNull()
-    )
     return (
-        rows.groupBy(F.col("file_application_id").alias("application_id"))
+        parsed_with_files.groupBy(F.col("file_application_id").alias("application_id"))
         .agg(F.min("event_time").alias("start_time"), F.max("event_time").alias("end_time"))
+        .filter((F.col("application_id") != "") & F.col("start_time").isNotNull())
         .withColumn("cluster_id", F.regexp_extract("application_id", r"application_(\d+)_\d+", 1))
         .withColumn("app_number", app_number("application_id"))
     )
@@ -92,7 +79,8 @@ def cluster_rank(summary: DataFrame) -> DataFrame:
         "num_applications",
         (F.lit(1) + F.coalesce(F.sum("_c").over(above), F.lit(0))).cast("int").alias("usage_rank"),
     )
-    return summary.join(ranks, "num_applications").select("cluster_id", "num_applications", "usage_rank")
+    # at most sqrt(2N) rows, whatever share of the clusters one count holds
+    return summary.join(F.broadcast(ranks), "num_applications").select("cluster_id", "num_applications", "usage_rank")
 
 
 def most_used_clusters(summary: DataFrame, k: int = 5) -> DataFrame:
@@ -100,23 +88,26 @@ def most_used_clusters(summary: DataFrame, k: int = 5) -> DataFrame:
     return summary.orderBy(F.desc("num_applications"), F.asc("cluster_id")).limit(k)
 
 
-def _bucket(col: str, unit: str) -> F.Column:
-    """Order bucket for the skew-safe windows: the timestamp truncated to ``unit``
-    (``day`` by default; ``hour`` when single clusters run very many applications a day)."""
-    return F.date_trunc(unit, F.col(col))
+# Order buckets of the skew-safe windows, fine to coarse: no task holds more of a
+# cluster than one minute's rows, or one day's minutes.
+UNITS = {"_minute": "minute", "_day": "day"}
+
+
+def _buckets(col: str, units: dict[str, str]) -> dict[str, F.Column]:
+    return {name: F.date_trunc(unit, F.col(col)) for name, unit in units.items()}
 
 
-def app_gaps(timeline: DataFrame, bucket_unit: str = "day") -> DataFrame:
+def app_gaps(timeline: DataFrame, units: dict[str, str] = UNITS) -> DataFrame:
     """Idle time between consecutive applications of a cluster.
 
     ``gap_sec`` = this start minus the previous application's end (negative
     when they overlap), ordered by ``(start_time, application_id)``. Computed
-    per ``(cluster, day)`` with a carry from the previous day, so a cluster
+    per ``(cluster, minute)`` with a carry from what came before, so a cluster
     that runs most applications does not land in one task.
     """
-    rows = timeline.withColumn("_day", _bucket("start_time", bucket_unit))
+    rows = timeline.withColumns(_buckets("start_time", units))
     prev = previous_row(
-        rows, ["cluster_id"], ["start_time", "application_id"], "_day", ["application_id", "end_time"]
+        rows, ["cluster_id"], ["start_time", "application_id"], list(units), ["application_id", "end_time"]
     )
     return prev.select(
         "cluster_id",
@@ -128,7 +119,7 @@ def app_gaps(timeline: DataFrame, bucket_unit: str = "day") -> DataFrame:
     )
 
 
-def peak_concurrency(timeline: DataFrame, bucket_unit: str = "day") -> DataFrame:
+def peak_concurrency(timeline: DataFrame, units: dict[str, str] = UNITS) -> DataFrame:
     """Largest number of applications running at once per cluster, and when.
 
     Sweep: +1 at every start, -1 at every end, running sum in time order;
@@ -143,15 +134,15 @@ def peak_concurrency(timeline: DataFrame, bucket_unit: str = "day") -> DataFrame
                 F.struct(F.col("end_time").alias("t"), F.lit(-1).alias("delta")),
             )
         ).alias("ev"),
-    ).select("cluster_id", "ev.t", "ev.delta").withColumn("_day", _bucket("t", bucket_unit))
-    swept = running_totals(events, ["cluster_id"], [F.col("t"), F.desc("delta")], "_day", {"running": "delta"})
+    ).select("cluster_id", "ev.t", "ev.delta").withColumns(_buckets("t", units))
+    swept = running_totals(events, ["cluster_id"], [F.col("t"), F.desc("delta")], list(units), {"running": "delta"})
     return swept.groupBy("cluster_id").agg(
         F.max("running").alias("peak_concurrency"),
         F.min_by("t", F.struct(F.negative("running"), F.col("t"))).alias("peak_at"),
     )
 
 
-def app_overlap_counts(timeline: DataFrame, bucket_unit: str = "day") -> DataFrame:
+def app_overlap_counts(timeline: DataFrame, units: dict[str, str] = UNITS) -> DataFrame:
     """For each application, how many other applications of its cluster overlap it.
 
     Overlap of closed intervals: ``b.start <= a.end AND a.start <= b.end``. The
@@ -176,9 +167,9 @@ def app_overlap_counts(timeline: DataFrame, bucket_unit: str = "day") -> DataFra
                 point("end_time", 2, 0, 0, True),
             )
         ).alias("p"),
-    ).select("cluster_id", "p.*").withColumn("_day", _bucket("t", bucket_unit))
+    ).select("cluster_id", "p.*").withColumns(_buckets("t", units))
     order = [F.col("t"), F.col("prio"), F.col("q_app")]
-    swept = running_totals(pts, ["cluster_id"], order, "_day", {"starts_upto": "s", "ends_upto": "e"})
+    swept = running_totals(pts, ["cluster_id"], order, list(units), {"starts_upto": "s", "ends_upto": "e"})
     q = swept.filter(F.col("q_app").isNotNull())
     counts = q.groupBy("cluster_id", F.col("q_app").alias("application_id")).agg(
         F.max(F.when(F.col("prio") == 2, F.col("starts_upto"))).alias("_starts_le_end"),

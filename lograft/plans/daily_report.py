@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lograft.operators import daily
 from lograft.session import cut_lineage
@@ -15,7 +16,7 @@ def run_daily_report(
     spark: SparkSession, trips: DataFrame, year: int, out_dir: str, exact_p95: bool = False
 ) -> dict:
     days = cut_lineage(daily.daily_summary(trips, year, exact_p95=exact_p95))
-    write_single_csv(daily.sort_days_desc(days), os.path.join(out_dir, "daily_kpis.csv"))
+    write_single_csv(days, os.path.join(out_dir, "daily_kpis.csv"), [F.desc(k) for k in daily.DAY_KEYS])
     totals = daily.daily_totals(days).first()
     span = daily.daily_range(days).first()
     text = "\n".join(

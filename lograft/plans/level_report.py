@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lograft.functions.parse import ensure_parsed
@@ -19,18 +19,28 @@ from lograft.session import cut_lineage
 from lograft.sinks import write_report, write_single_csv
 
 
-def level_summary_text(total: int, with_level: int, counts: list[tuple[str, int]]) -> str:
-    lines = [
-        f"Total log lines processed: {total:,}",
-        f"Total lines with log levels: {with_level:,}",
-        f"Unique log levels found: {len(counts)}",
-        "",
-        "Log level distribution:",
-    ]
-    for lvl, cnt in counts:
-        pct = 100.0 * cnt / with_level if with_level else 0.0
-        lines.append(f"  {lvl:<5}: {cnt:>10,} ({pct:5.2f}%)")
-    return "\n".join(lines)
+# Labels and widths of the published summary.
+SUMMARY_HEAD = "Total log lines processed: %s\nTotal lines with log levels: %s\nUnique log levels found: %s\n\nLog level distribution:"
+SUMMARY_ROW = "  %-5s: %10s (%5s%%)"
+
+
+def level_summary(counts: DataFrame) -> DataFrame:
+    """The summary text (T21), one row, from the counts of all levels (``''``: no level)."""
+    named = F.col("log_level") != ""
+    levelled = F.sum(F.when(named, F.col("count")).otherwise(0)).over(Window.partitionBy())  # a row per level
+    share = F.coalesce(F.try_divide(F.lit(100.0) * F.col("count"), levelled), F.lit(0.0))
+    row = F.format_string(SUMMARY_ROW, "log_level", F.format_number("count", 0), F.format_number(share, 2))
+    rows = counts.withColumn("row", F.when(named, F.struct(-F.col("count"), "log_level", row.alias("text"))))
+    whole = rows.agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(F.when(named, F.col("count"))), F.lit(0)).alias("levelled"),
+        F.array_sort(F.collect_list("row")).alias("rows"),
+    )
+    head = F.format_string(
+        SUMMARY_HEAD, F.format_number("total", 0), F.format_number("levelled", 0), F.size("rows").cast("string")
+    )
+    body = F.transform("rows", lambda r: r["text"])
+    return whole.select("total", "levelled", F.array_join(F.concat(F.array(head), body), "\n").alias("text"))
 
 
 def run_level_report(
@@ -38,13 +48,13 @@ def run_level_report(
 ) -> dict:
     parsed = ensure_parsed(lines).select("line", "log_level")
     all_counts = cut_lineage(parsed.groupBy("log_level").agg(F.count(F.lit(1)).alias("count")))
-    counts = all_counts.filter(F.col("log_level") != "").orderBy(F.desc("count"), F.asc("log_level"))
-    rows = [(r["log_level"], r["count"]) for r in counts.collect()]
-    total = all_counts.agg(F.sum("count")).first()[0] or 0
-    with_level = sum(c for _, c in rows)
+    order = [F.desc("count"), F.asc("log_level")]
+    counts = all_counts.filter(F.col("log_level") != "")
+    rows = [(r["log_level"], r["count"]) for r in counts.orderBy(*order).collect()]
+    summary = level_summary(all_counts).first()
+    text = summary["text"]
 
-    write_single_csv(counts, os.path.join(out_dir, "level_counts.csv"))
+    write_single_csv(counts, os.path.join(out_dir, "level_counts.csv"), order)
     write_single_csv(sample_lines(parsed, sample_n, seed), os.path.join(out_dir, "level_sample.csv"))
-    text = level_summary_text(total, with_level, rows)
     write_report(spark, text, os.path.join(out_dir, "level_summary.txt"))
-    return {"total_lines": total, "lines_with_level": with_level, "counts": rows, "summary": text}
+    return {"total_lines": summary["total"], "lines_with_level": summary["levelled"], "counts": rows, "summary": text}

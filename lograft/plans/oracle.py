@@ -110,6 +110,41 @@ td AS (
 )"""
 
 
+FILE_LINES = f"""flines AS (
+  SELECT i AS event_id, 'logs/application_' || app || '/container_' || app || '_0' || {_s('1 + (b % 4) // 2')} || '_00000' || {_s('1 + b % 2')} || '.log' AS path,
+    (i // 7760) * 10 + j AS line_no,
+    CASE WHEN (b % 3 = 0 AND j BETWEEN 4 AND 6) OR (b % 5 = 1 AND j = 0) THEN '    at frame(' || {_s('i')} || ')'
+    ELSE strftime(TIMESTAMP '2017-03-29 10:00:00' + to_seconds(b * 100 + j * (1 + b % 9) + CASE WHEN j = 8 AND b % 50 = 0 THEN 600 ELSE 0 END), '%y/%m/%d %H:%M:%S')
+      || ' ' || CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARN' WHEN 'purchase' THEN 'DEBUG' ELSE 'INFO' END || ' '
+      || CASE j
+        WHEN 0 THEN 'YarnAllocator: Will request ' || {_s('1 + b % 16')} || ' executor containers, each with ' || {_s('1 + b % 5')} || ' cores and ' || {_s('1024 * (1 + b % 28)')} || ' MB memory'
+        WHEN 1 THEN 'executor.Executor: Running' || task
+        WHEN 2 THEN 'python.PythonRunner: Times: total = ' || {_s('b % 5000')} || ', boot = ' || {_s('b % 70')} || ', init = ' || {_s('b % 50')} || ', finish = ' || {_s('b % 900')}
+        WHEN 3 THEN CASE WHEN b % 7 = 3 THEN 'executor.Executor: waiting' ELSE 'executor.Executor: Finished' || task || '. ' || {_s('1000 + b % 900')} || ' bytes result sent to driver' END
+        WHEN 4 THEN 'storage.MemoryStore: MemoryStore started with capacity ' || {_s('1 + b % 30')} || '.5 GB'
+        WHEN 5 THEN 'broadcast.TorrentBroadcast: Started reading broadcast variable ' || {_s('b % 40')}
+        WHEN 6 THEN 'storage.BlockManager: Found block rdd_' || {_s('b % 40')} || '_' || {_s('b % 6')} || ' locally'
+        WHEN 7 THEN 'executor.Executor: Running' || task
+        WHEN 8 THEN 'executor.Executor: Finished' || task || '. ' || {_s('1000 + b % 900')} || ' bytes result sent to driver'
+        ELSE 'ApplicationMaster: step ' || {_s('i')} END END AS line
+  FROM (SELECT *, ' task ' || {_s('j')} || '.0 in stage ' || {_s('b % 3')} || '.0 (TID ' || {_s('(i // 7760) * 4 + (b % 2) * 2 + CASE WHEN j >= 7 THEN 1 ELSE 0 END')} || ')' AS task,
+          {_s('1485248649253 + CASE WHEN a < 181 THEN 0 WHEN a < 189 THEN 1 WHEN a < 191 THEN 2 ELSE a - 188 END')} || '_' || lpad({_s('a + 1')}, 4, '0') AS app
+        FROM (SELECT event_id AS i, event_type, event_id // 10 AS b, CAST(event_id % 10 AS INTEGER) AS j, (event_id // 10 // 4) % 194 AS a FROM events))
+),
+lines AS (SELECT event_id, path, line_no, line FROM flines)"""
+
+FILE_PARSED = r"""parsed AS (
+  SELECT event_id, path, line_no, line,
+    regexp_extract(line, '^(\d{2}/\d{2}/\d{2}\s+\d{2}:\d{2}:\d{2})', 1) AS ts_head,
+    regexp_extract(line, '\b(INFO|WARN|ERROR|DEBUG)\b', 1) AS log_level,
+    split_part(path, '/', 2) AS application_id, split_part(split_part(path, '/', 2), '_', 2) AS cluster_id,
+    replace(split_part(path, '/', 3), '.log', '') AS container_id, split_part(split_part(path, '/', 3), '_', 4) AS attempt,
+    CASE WHEN ends_with(path, '_000001.log') THEN 'AM' ELSE 'EXECUTOR' END AS container_role,
+    try_strptime(regexp_extract(line, '(\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2})', 1), '%y/%m/%d %H:%M:%S') AS event_time
+  FROM lines
+)"""
+
+
 def _bytes(num: str, unit: str) -> str:
     return (
         f"(TRY_CAST({num} AS DOUBLE) * CASE {unit} WHEN 'B' THEN 1.0 WHEN 'KB' THEN 1024.0 "
@@ -233,7 +268,7 @@ SELECT min(make_date(dt_year, dt_month, dt_day)) AS first_day, max(make_date(dt_
        CAST(day(ts) AS INTEGER) AS dt_day, count(*) AS num_rows, round(avg(value), 6) AS mean_value,
        max(value) AS max_value, quantile_disc(value, 0.95) AS q95_value, min(value) AS min_value,
        CAST(ceil(avg(user_id)) AS BIGINT) AS mean_count
-FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2025-01-01' GROUP BY 1, 2, 3""",
+FROM events GROUP BY 1, 2, 3""",
         "price_p95_exact": """SELECT l_returnflag, l_linestatus, quantile_disc(l_extendedprice, 0.95) AS p95_price
 FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1, 2""",
         "task_durations": _with(*_LOG, TASKS) + "SELECT * FROM td",
@@ -243,8 +278,8 @@ FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1, 2""",
         + """, g AS (SELECT application_id, stage_id, count(*) AS num_tasks, max(duration_sec) AS max_sec,
        quantile_disc(duration_sec, 0.5) AS median_sec, quantile_disc(duration_sec, 0.95) AS p95_sec
   FROM td WHERE duration_sec IS NOT NULL GROUP BY 1, 2)
-SELECT *, CASE WHEN median_sec = 0 THEN NULL ELSE CAST(max_sec AS DOUBLE) / CAST(median_sec AS DOUBLE) END AS max_over_median,
-       coalesce(CASE WHEN median_sec = 0 THEN NULL ELSE CAST(max_sec AS DOUBLE) / CAST(median_sec AS DOUBLE) END > 2.0, false) AS is_skewed
+SELECT *, CAST(max_sec AS DOUBLE) / CAST(greatest(median_sec, 1) AS DOUBLE) AS max_over_median,
+       CAST(max_sec AS DOUBLE) / CAST(greatest(median_sec, 1) AS DOUBLE) > 2.0 AS is_skewed
 FROM g""",
         "slow_tasks": _with(*_LOG, TASKS)
         + """SELECT application_id, tid, stage_id, duration_sec FROM td WHERE duration_sec IS NOT NULL
@@ -317,3 +352,82 @@ FROM documents""",
 FROM orders WHERE o_orderkey % 2 = 0""",
     }
 )
+
+# ---------------------------------------------------------------- container files
+_FILE = (FILE_LINES, FILE_PARSED)
+_FILE_TL = (*_FILE, TIMELINE)
+_FILE_TASKS = (*_FILE, TASKS.replace("application_id, tid", "application_id, attempt, tid").replace(
+    "SELECT application_id,\n    CASE", "SELECT application_id, attempt,\n    CASE").replace("GROUP BY 1, 2", "GROUP BY 1, 2, 3"))
+
+for _name in ("executor_requests", "python_times", "memory_capacity", "broadcast_reads", "error_rate"):
+    ORACLE[f"file_{_name}"] = ORACLE[_name].replace(_with(*_LOG), _with(*_FILE))
+
+
+def _cluster_histogram(bins: int, values: str) -> str:
+    return f""", st AS (SELECT cluster_id, min(x) AS lo, max(x) AS hi FROM {values} GROUP BY 1),
+b AS (SELECT v.cluster_id, CASE WHEN hi = lo THEN 0 ELSE CAST(least(floor((x - lo) * {bins}.0 / (hi - lo)), {bins - 1}) AS INTEGER) END AS bin
+      FROM {values} v JOIN st USING (cluster_id)),
+c AS (SELECT cluster_id, bin, count(*) AS cnt FROM b GROUP BY 1, 2),
+e AS (SELECT cluster_id, lo, hi, CAST(r.i AS INTEGER) AS bin, lo + r.i * (hi - lo) / {bins}.0 AS bin_lo, lo + (r.i + 1) * (hi - lo) / {bins}.0 AS bin_hi
+      FROM st, range(0, {bins}) r(i))
+"""
+
+
+_ALL = """v AS (SELECT cluster_id, application_id, CAST(date_diff('second', start_time, end_time) AS DOUBLE) AS x FROM timeline)"""
+
+ORACLE.update(
+    {
+        "file_inventory": _with(*_FILE)
+        + "SELECT count(DISTINCT application_id) AS applications, count(DISTINCT path) AS log_files, count(*) AS lines FROM parsed",
+        "files_per_application": _with(*_FILE)
+        + "SELECT application_id, count(DISTINCT path) AS num_files FROM parsed GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",
+        "container_roles": _with(*_FILE)
+        + """SELECT attempt, container_role, count(DISTINCT path) AS files, count(DISTINCT container_id) AS containers,
+       count(*) AS lines FROM parsed GROUP BY 1, 2""",
+        "file_timeline": _with(*_FILE_TL) + "SELECT * FROM timeline",
+        "file_cluster_rank": _with(*_FILE_TL, SUMMARY)
+        + "SELECT cluster_id, num_applications, CAST(rank() OVER (ORDER BY num_applications DESC) AS INTEGER) AS usage_rank FROM summary",
+        "file_task_durations": _with(*_FILE_TASKS) + "SELECT * FROM td",
+        "file_unfinished_tasks": _with(*_FILE_TASKS)
+        + "SELECT application_id, attempt, tid, stage_id, start_time FROM tt WHERE runs > 0 AND fins = 0",
+        "file_stage_skew": _with(*_FILE_TASKS)
+        + """, g AS (SELECT application_id, attempt, stage_id, count(*) AS num_tasks, max(duration_sec) AS max_sec,
+       quantile_disc(duration_sec, 0.5) AS median_sec, quantile_disc(duration_sec, 0.95) AS p95_sec FROM td GROUP BY 1, 2, 3)
+SELECT *, CAST(max_sec AS DOUBLE) / greatest(median_sec, 1) AS max_over_median,
+       CAST(max_sec AS DOUBLE) / greatest(median_sec, 1) > 2.0 AS is_skewed FROM g""",
+        "file_slow_tasks": _with(*_FILE_TASKS)
+        + """SELECT application_id, attempt, tid, stage_id, duration_sec FROM td
+ORDER BY duration_sec DESC, application_id, attempt, tid LIMIT 10""",
+        "file_entries": _with(*_FILE)
+        + """, m AS (SELECT path, line_no, line, log_level, max(CASE WHEN ts_head <> '' THEN line_no END)
+       OVER (PARTITION BY path ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS e FROM parsed)
+SELECT path, min(line_no) AS entry_id, count(*) AS n_lines, arg_min(log_level, line_no) AS log_level,
+       string_agg(line, chr(10) ORDER BY line_no) AS text FROM m GROUP BY path, coalesce(e, -1)""",
+        "file_line_entries": _with(*_FILE)
+        + """SELECT path, line_no, log_level, coalesce(max(CASE WHEN ts_head <> '' THEN line_no END)
+       OVER (PARTITION BY path ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), -1) AS entry FROM parsed""",
+        "document_lines": """SELECT doc_id, CAST(unnest(range(0, len(string_split(text, chr(10))))) AS INTEGER) AS line_no,
+       unnest(string_split(text, chr(10))) AS line FROM documents""",
+        "duration_histogram_log": _with(*_FILE_TL, SUMMARY, DURATIONS.replace("v AS (", "v0 AS ("))
+        + ", vl AS (SELECT cluster_id, log10(1.0 + x) AS x FROM v0)" + _cluster_histogram(20, "vl")
+        + """SELECT e.cluster_id, e.bin, round(pow(10.0, bin_lo) - 1.0, 6) AS bin_lo, round(pow(10.0, bin_hi) - 1.0, 6) AS bin_hi,
+       CAST(coalesce(c.cnt, 0) AS BIGINT) AS count FROM e LEFT JOIN c ON c.cluster_id = e.cluster_id AND c.bin = e.bin""",
+        "duration_histogram_clusters": _with(*_TL, _ALL)
+        + _cluster_histogram(30, "v")
+        + """SELECT e.cluster_id, e.bin, bin_lo, bin_hi, CAST(coalesce(c.cnt, 0) AS BIGINT) AS count
+FROM e LEFT JOIN c ON c.cluster_id = e.cluster_id AND c.bin = e.bin""",
+        "duration_density_clusters": _with(*_TL, _ALL)
+        + ORACLE["duration_density"].split(DURATIONS + "\n", 1)[1].replace("199.0", "99.0").replace("range(0, 200)", "range(0, 100)").replace(", 12) AS density", ", 9) AS density"),
+        "level_order": _with(*_LOG)
+        + """, c AS (SELECT log_level, count(*) AS n FROM parsed WHERE log_level <> '' GROUP BY 1)
+SELECT CAST(row_number() OVER (ORDER BY n DESC, log_level) - 1 AS INTEGER) AS position, log_level FROM c""",
+        "strict_times": """SELECT event_type, date_trunc('second', min(ts)) AS first, date_trunc('second', max(ts)) AS last,
+       count(*) AS n FROM events GROUP BY 1""",
+        "daily_newest": f"""WITH d AS ({_DAILY})
+SELECT CAST(row_number() OVER (ORDER BY dt_year DESC, dt_month DESC, dt_day DESC) AS INTEGER) AS position, dt_year, dt_month, dt_day,
+       num_trips FROM d ORDER BY position LIMIT 10""",
+        "price_p95_approx": """SELECT l_returnflag, l_linestatus, count(l_extendedprice) AS n, true AS close
+FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1, 2""",
+        "table_union": """SELECT o_orderstatus, count(*) AS n FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders) GROUP BY 1""",
+    }
+)

@@ -16,11 +16,12 @@ from lograft.functions.parse import ensure_parsed
 from lograft.operators import distribution, timeline
 from lograft.session import cut_lineage
 from lograft.sources.logs import with_file_identity
-from lograft.sinks import write_report, write_single_csv
+from lograft.sinks import write_csv, write_report, write_single_csv
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
+# The labels below are those of the published report (fixed values).
 def stats_text(total_clusters: int, total_apps: int, avg: float, top: list[tuple[str, int]]) -> str:
     lines = [
         f"Total unique clusters: {total_clusters}",
@@ -46,7 +47,8 @@ def run_usage_report(
     tl = cut_lineage(tl)
     summary = cut_lineage(timeline.cluster_summary(tl))
 
-    write_single_csv(
+    # one row per application: written by many tasks, each a range of the order
+    write_csv(
         tl.select("cluster_id", "application_id", "app_number", "start_time", "end_time").orderBy(
             "cluster_id", "start_time", "application_id"
         ),
@@ -54,8 +56,9 @@ def run_usage_report(
         TS_FORMAT,
     )
     write_single_csv(
-        summary.orderBy(F.desc("num_applications"), F.asc("cluster_id")),
+        summary,
         os.path.join(out_dir, "cluster_summary.csv"),
+        [F.desc("num_applications"), F.asc("cluster_id")],
         TS_FORMAT,
     )
     stats = timeline.cluster_stats(summary).first()
@@ -64,8 +67,8 @@ def run_usage_report(
     write_report(spark, text, os.path.join(out_dir, "usage_stats.txt"))
 
     durations = distribution.top_cluster_durations(tl, summary)
-    write_single_csv(distribution.histogram(durations, 30).orderBy("bin"), os.path.join(out_dir, "duration_histogram.csv"))
-    write_single_csv(distribution.density(durations).orderBy("point"), os.path.join(out_dir, "duration_density.csv"))
+    write_single_csv(distribution.histogram(durations, 30), os.path.join(out_dir, "duration_histogram.csv"), ["bin"])
+    write_single_csv(distribution.density(durations), os.path.join(out_dir, "duration_density.csv"), ["point"])
     return {
         "total_clusters": stats["total_clusters"],
         "total_applications": stats["total_applications"],

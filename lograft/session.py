@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall clock (log times carry no zone),
@@ -51,12 +52,6 @@ def s3a_conf(credential_providers: list[str] | None = None) -> dict[str, str]:
     return conf
 
 
-def use_utc(spark: SparkSession) -> None:
-    """Log timestamps have no zone; every parse and format assumes UTC."""
-    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -75,14 +70,6 @@ def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     return sc.getCheckpointDir()
 
 
-def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
-    try:
-        current = spark.sparkContext.getCheckpointDir()
-    except Exception:  # sessions without a local SparkContext (Spark Connect)
-        current = None
-    return current or spark.conf.get("spark.checkpoint.dir", None)
-
-
 def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and return the re-read frame.
 
@@ -99,16 +86,13 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Spark only reuses a shared sub-plan when every consumer prunes and filters
     it identically, which rarely holds (a window on one side, an aggregate on
-    the other). With ``spark.checkpoint.dir`` set the result is written there
-    (lineage cut, survives any executor loss); without it the result is cached
-    in memory and on disk, and lost blocks are recomputed from lineage.
+    the other). The result is written to the shared folder that the session
+    names (``spark.checkpoint.dir``), so it survives the loss of any executor; a
+    folder of our own is set only where the session names none, as in tests.
     Use it for results that are small next to their input (one row per
     application, per group), not for raw-scale data, which is cheaper to re-scan.
     """
     spark = df.sparkSession
-    if _configured_checkpoint_dir(spark):
-        checkpoint_dir(spark)
-        return df.checkpoint(eager=True)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    cached.count()
-    return cached
+    if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lograft-"))
+    return cut_lineage(df)

@@ -2,39 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
 
+from pyspark.sql import Column, DataFrame, SparkSession
 
-def write_single_csv(df: DataFrame, path: str, timestamp_format: str | None = None) -> None:
+
+def write_single_csv(
+    df: DataFrame, path: str, order: Sequence[str | Column] = (), timestamp_format: str | None = None
+) -> None:
     """One CSV file with a header, overwriting ``path`` (SNK1, SNK2, SNK3).
 
     For small, already aggregated results only. ``repartition(1)`` (not
     ``coalesce(1)``) so the work before it keeps all its tasks and only the
-    final rows meet in one writer.
+    final rows meet in one writer, which sorts them by ``order``.
     """
-    writer = df.repartition(1).write.mode("overwrite").option("header", "true")
+    one = df.repartition(1)
+    writer = (one.sortWithinPartitions(*order) if order else one).write.mode("overwrite").option("header", "true")
     if timestamp_format:
         writer = writer.option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format)
     writer.csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Parallel CSV, one file per task: for results that grow with the input."""
-    df.write.mode("overwrite").option("header", "true").csv(path)
-
-
-def write_lines(df: DataFrame, path: str, line_col: str = "line") -> None:
-    """Text file(s) of one column, e.g. every ERROR line (SNK9), written in parallel."""
-    df.select(line_col).write.mode("overwrite").text(path)
+def write_csv(df: DataFrame, path: str, timestamp_format: str | None = None) -> None:
+    """Parallel CSV, one file per task: for results that grow with the input. The files
+    of an ordered frame are in order by name."""
+    writer = df.write.mode("overwrite").option("header", "true")
+    if timestamp_format:
+        writer = writer.option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format)
+    writer.csv(path)
 
 
 def write_report(spark: SparkSession, text: str, path: str) -> None:
     """A short text report (a few lines built from aggregated values) as one text file (SNK4)."""
     spark.createDataFrame([(text,)], "value string").repartition(1).write.mode("overwrite").text(path)
-
-
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)

@@ -4,7 +4,6 @@ from lograft.sources.logs import (  # noqa: F401
     list_files,
     read_log_glob,
     read_log_lines,
-    read_numbered_lines,
     read_ordered_lines,
     with_file_identity,
 )

@@ -88,3 +88,67 @@ def log_lines_from_events(events: DataFrame) -> DataFrame:
     """
     base = events.selectExpr("event_id AS i", "ts", "event_type", f"(event_id div 26) % {APPS} AS n0")
     return base.selectExpr("i AS event_id", f"{LINE} AS line")
+
+
+# ---------------------------------------------------------------- lines of container files
+# Fixed values of the file view: how many applications each cluster has (a skewed split),
+# and one line in ten per position of a container's block.
+FILE_CLUSTERS = (181, 8, 2, 1, 1, 1)
+FILE_APPS = sum(FILE_CLUSTERS)
+BLOCK = 10
+CYCLE = 4 * BLOCK * FILE_APPS
+
+
+def _cluster_number(a: str) -> str:
+    upto, cases = 0, []
+    for k, n in enumerate(FILE_CLUSTERS):
+        upto += n
+        cases.append(f"WHEN {a} < {upto} THEN {k}")
+    return f"CASE {' '.join(cases)} END"
+
+
+_FILE_TASK = f"""concat(' task ', {_s('j')}, '.0 in stage ', {_s('b % 3')}, '.0 (TID ', {_s('tid')}, ')')"""
+
+_FILE_MESSAGE = f"""CASE j
+  WHEN 0 THEN concat('YarnAllocator: Will request ', {_s('1 + b % 16')}, ' executor containers, each with ',
+                     {_s('1 + b % 5')}, ' cores and ', {_s('1024 * (1 + b % 28)')}, ' MB memory')
+  WHEN 1 THEN concat('executor.Executor: Running', {_FILE_TASK})
+  WHEN 2 THEN concat('python.PythonRunner: Times: total = ', {_s('b % 5000')}, ', boot = ', {_s('b % 70')},
+                     ', init = ', {_s('b % 50')}, ', finish = ', {_s('b % 900')})
+  WHEN 3 THEN IF(b % 7 = 3, 'executor.Executor: waiting',
+                 concat('executor.Executor: Finished', {_FILE_TASK}, '. ', {_s('1000 + b % 900')}, ' bytes result sent to driver'))
+  WHEN 4 THEN concat('storage.MemoryStore: MemoryStore started with capacity ', {_s('1 + b % 30')}, '.5 GB')
+  WHEN 5 THEN concat('broadcast.TorrentBroadcast: Started reading broadcast variable ', {_s('b % 40')})
+  WHEN 6 THEN concat('storage.BlockManager: Found block rdd_', {_s('b % 40')}, '_', {_s('b % 6')}, ' locally')
+  WHEN 7 THEN concat('executor.Executor: Running', {_FILE_TASK})
+  WHEN 8 THEN concat('executor.Executor: Finished', {_FILE_TASK}, '. ', {_s('1000 + b % 900')}, ' bytes result sent to driver')
+  ELSE concat('ApplicationMaster: step ', {_s('i')})
+END"""
+
+_FILE_SECONDS = "b * 100 + j * (1 + b % 9) + IF(j = 8 AND b % 50 = 0, 600, 0)"
+
+
+def container_lines_from_events(events: DataFrame) -> DataFrame:
+    """``events`` -> ``(event_id, path, line_no, line)``: lines of container files in the documented
+    layout ``application_<cluster>_<app>/container_<cluster>_<app>_<attempt>_<n>.log``.
+
+    No line names its application. Ten consecutive events are one block of a file; every
+    application has two attempts of two containers, and its tasks' ids start anew with each
+    attempt. Rule (fixed values): with ``b = id div 10`` and ``j = id % 10``, application
+    ``a = (b div 4) % 194`` (clusters hold 181, 8, 2, 1, 1 and 1 of them), attempt
+    ``1 + (b % 4) div 2``, container ``1 + b % 2``, line ``(id div 7760) * 10 + j`` of the
+    file. Lines 4 to 6 of every third block are a run of stack frames, and so is the first
+    line of every fifth.
+    """
+    base = events.selectExpr("event_id AS i", "event_type", f"event_id div {BLOCK} AS b", f"CAST(event_id % {BLOCK} AS INT) AS j")
+    base = base.selectExpr(
+        "*", f"(b div 4) % {FILE_APPS} AS a", f"i div {CYCLE} AS cycle",
+        # running at 1 and finished at 3; running at 7 and finished at 8
+        f"(i div {CYCLE}) * 4 + (b % 2) * 2 + IF(j >= 7, 1, 0) AS tid",
+    )
+    base = base.selectExpr("*", f"concat({_s(f'{CLUSTER_BASE} + {_cluster_number('a')}')}, '_', lpad({_s('a + 1')}, 4, '0')) AS app")
+    path = f"concat('logs/application_', app, '/container_', app, '_0', {_s('1 + (b % 4) div 2')}, '_00000', {_s('1 + b % 2')}, '.log')"
+    time = f"date_format(TIMESTAMP_NTZ '2017-03-29 10:00:00' + make_dt_interval(0, 0, 0, {_FILE_SECONDS}), 'yy/MM/dd HH:mm:ss')"
+    frame = "(b % 3 = 0 AND j BETWEEN 4 AND 6) OR (b % 5 = 1 AND j = 0)"
+    line = f"IF({frame}, concat('    at frame(', {_s('i')}, ')'), concat({time}, ' ', {_LEVEL}, ' ', {_FILE_MESSAGE}))"
+    return base.selectExpr("i AS event_id", f"{path} AS path", f"cycle * {BLOCK} + j AS line_no", f"{line} AS line")

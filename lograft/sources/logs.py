@@ -33,23 +33,6 @@ def read_log_glob(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.read.text(pattern).withColumnRenamed("value", "line")
 
 
-def read_numbered_lines(spark: SparkSession, path: str, glob: str | None = "*.log") -> DataFrame:
-    """``path, line_no, line`` with 0-based line numbers inside each file.
-
-    Each file is read whole into one row (``wholetext``) and split in the task
-    that read it, so the unit of parallelism is the file; files must fit in a
-    task's memory (container logs are at most tens of MB).
-    """
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    # the keyword, not .option(): text() passes its own wholetext=False otherwise
-    df = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    # a file ending in a newline has no line after it
-    body = F.regexp_replace(F.col("value"), r"\n$", "")
-    return df.select("path", F.posexplode(F.split(body, "\n")).alias("line_no", "line"))
-
-
 def read_ordered_lines(spark: SparkSession, path: str, glob: str | None = "*.log") -> DataFrame:
     """``path, line_no, line`` with 0-based line numbers, without reading files whole.
 

@@ -8,26 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def table(spark: SparkSession, root: str, name: str, spread: bool = False) -> DataFrame:
-    """One driver table: ``<root>/<name>.parquet``; see ``spread_input``."""
+def table(spark: SparkSession, root: str, name: str, spread: int | None = None) -> DataFrame:
+    """One driver table: ``<root>/<name>.parquet``. ``spread`` deals the rows over that many
+    tasks first: a caller's choice, for files that can't be split."""
     df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-    return spread_input(df) if spread else df
-
-
-def spread_input(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when the scan has fewer splits than cores.
-
-    A single-row-group Parquet file or a gzip log file is one split, so every
-    regex on it would run in one task. When the planned scan has fewer
-    partitions than ``defaultParallelism`` one cheap shuffle of the raw rows
-    spreads the CPU-heavy parsing; a large input (many splits) is left as it is.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no local SparkContext (Spark Connect): leave the scan as it is
-        return df
-    return df.repartition(want) if have < want else df
+    return df.repartition(spread) if spread else df
 
 
 def parquet_set(

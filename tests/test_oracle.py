@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from lograft.plans.catalog import QUERIES
 from conftest import SF001
 from oracle_check import compare, duck
 
-ORACLE = E.oracle_sql()
-KEYS = sorted(E.queries())
+ORACLE = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -17,8 +18,7 @@ def con():
 
 def test_oracle_keys_are_queries():
     assert set(ORACLE) <= set(E.queries())
-    # only the approximate sketch has no oracle
-    assert set(E.queries()) - set(ORACLE) == {"price_p95_approx"}
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("key", KEYS)
@@ -49,12 +49,3 @@ def test_fixture_facts(spark):
     assert q["task_durations"](spark, SF001).count() == 616
     assert q["unfinished_tasks"](spark, SF001).count() == 77
     assert q["multiline_entries"](spark, SF001).count() == 9001
-
-
-def test_approx_p95_close_to_exact(spark):
-    q = E.queries()
-    approx = {(r[0], r[1]): r[2] for r in q["price_p95_approx"](spark, SF001).collect()}
-    exact = {(r[0], r[1]): r[2] for r in q["price_p95_exact"](spark, SF001).collect()}
-    assert approx.keys() == exact.keys()
-    for k in exact:
-        assert abs(approx[k] - exact[k]) <= 0.01 * abs(exact[k])

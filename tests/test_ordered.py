@@ -85,7 +85,7 @@ def test_timeline_sweeps_with_hour_buckets(spark):
 
     tl = _timeline(spark, SF001)
     for fn in (timeline.app_gaps, timeline.peak_concurrency, timeline.app_overlap_counts):
-        assert sorted(fn(tl, "hour").collect()) == sorted(fn(tl, "day").collect())
+        assert sorted(fn(tl, {"_h": "hour"}).collect()) == sorted(fn(tl).collect())
 
 
 def test_exact_percentile_extra_aggregates(spark):
@@ -97,6 +97,31 @@ def test_exact_percentile_extra_aggregates(spark):
     assert got["b"]["q"] is None and got["b"]["rows"] == 2
 
 
+def test_exact_percentile_null_groups_and_hard_values(spark):
+    """NULL keys are groups; equal values, infinities, NaN and huge ranges end; any sketch error is made up for."""
+    inf, nan = float("inf"), float("nan")
+    values = {None: list(range(20)), "same": [7.0] * 50, "wide": [-1e308, 0.0, 1e308, 5e-324], "inf": [-inf, 1.0, inf, 2.0],
+              "nan": [nan, 1.0, 2.0], "one": [3.0]}
+    df = spark.createDataFrame([(k, i % 2, float(x)) for k, own in values.items() for i, x in enumerate(own)], "g string, z int, x double")
+    for p in (0.0, 0.3, 0.5, 0.95, 1.0):
+        for accuracy in (10000, 1):
+            got = {r["g"]: r["q"] for r in exact_percentile(df, ["g"], "x", p, "q", accuracy=accuracy).collect()}
+            for k, own in values.items():
+                want = sorted(own, key=lambda v: (v != v, v))[max(0, -(-int(round(p * 1000)) * len(own) // 1000) - 1)]
+                assert got[k] == want or (want != want and got[k] != got[k]), (k, p, got[k], want)
+    extra = exact_percentile(df, ["g", "z"], "x", 0.5, "q", extra=[F.count(F.lit(1)).alias("n")]).filter("g IS NULL")
+    assert {(r["z"], r["q"], r["n"]) for r in extra.collect()} == {(0, 8.0, 10), (1, 9.0, 10)}
+
+
+def test_many_groups_join_without_broadcast(spark, monkeypatch):
+    from lograft.operators import joins
+
+    df = spark.createDataFrame([(i % 7, float(i)) for i in range(70)], "g int, x double")
+    want = sorted(exact_percentile(df, ["g"], "x", 0.5, "q").collect())
+    monkeypatch.setattr(joins, "BROADCAST_GROUPS", 3)
+    assert sorted(exact_percentile(df, ["g"], "x", 0.5, "q").collect()) == want
+
+
 def test_bucketed_helpers_property(spark):
     from hypothesis import HealthCheck, given, settings
     from hypothesis import strategies as st
@@ -104,21 +129,27 @@ def test_bucketed_helpers_property(spark):
     @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
     @given(
         rows=st.lists(
-            st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b"]), st.integers(0, 500), st.integers(-9, 9)),
+            st.tuples(
+                st.sampled_from(["hot", "hot", "hot", "a", None]),
+                st.integers(0, 500) | st.none(),
+                st.integers(-9, 9) | st.none(),
+            ),
             min_size=1, max_size=300,
         ),
         width=st.integers(1, 60),
+        depth=st.integers(1, 3),
     )
-    def check(rows, width):
+    def check(rows, width, depth):
         data = [(k, i, t, v) for i, (k, t, v) in enumerate(rows)]
         df = spark.createDataFrame(data, "k string, id bigint, t int, v int").withColumn(
             "b", F.floor(F.col("t") / width)
-        )
+        ).withColumn("b2", F.floor(F.col("b") / 3)).withColumn("b3", F.floor(F.col("b2") / 2))
+        levels = ["b", "b2", "b3"][:depth]
         w = Window.partitionBy("k").orderBy("t", "id")
-        got = running_total(df, ["k"], [F.col("t"), F.col("id")], "b", "v", "rs")
+        got = running_total(df, ["k"], [F.col("t"), F.col("id")], levels, "v", "rs")
         want = df.withColumn("rs", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
         assert sorted(got.select("id", "rs").collect()) == sorted(want.select("id", "rs").collect())
-        prev = previous_row(df, ["k"], ["t", "id"], "b", ["v"])
+        prev = previous_row(df, ["k"], ["t", "id"], levels, ["v"])
         lag = df.withColumn("prev_v", F.lag("v").over(w))
         assert sorted(prev.select("id", "prev_v").collect()) == sorted(lag.select("id", "prev_v").collect())
 
@@ -158,13 +189,13 @@ def test_sweeps_match_brute_force(spark):
         rows = [(c, f"app_{i:03d}", base + dt.timedelta(hours=s), base + dt.timedelta(hours=s + d))
                 for i, (c, s, d) in enumerate(spans)]
         tl = spark.createDataFrame(rows, "cluster_id string, application_id string, start_time timestamp_ntz, end_time timestamp_ntz")
-        got = {r["application_id"]: r["overlapping_apps"] for r in app_overlap_counts(tl, "hour").collect()}
+        got = {r["application_id"]: r["overlapping_apps"] for r in app_overlap_counts(tl, {"_h": "hour"}).collect()}
         want = {
             a: sum(1 for c2, b, s2, e2 in rows if c2 == c and b != a and s2 <= e and s <= e2)
             for c, a, s, e in rows
         }
         assert got == want
-        peaks = {r["cluster_id"]: (r["peak_concurrency"], r["peak_at"]) for r in peak_concurrency(tl, "hour").collect()}
+        peaks = {r["cluster_id"]: (r["peak_concurrency"], r["peak_at"]) for r in peak_concurrency(tl, {"_h": "hour", "_d": "day"}).collect()}
         for c in {r[0] for r in rows}:
             mine = [(s, e) for c2, _, s, e in rows if c2 == c]
             times = sorted({t for se in mine for t in se})

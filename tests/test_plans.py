@@ -106,24 +106,17 @@ def test_empty_input(spark):
     assert "Unique log levels found: 0" in res["summary"]
 
 
-def test_staging_builds_once(spark):
-    from lograft.sources.staging import forget, stage
-
-    calls = []
-
-    def build():
-        calls.append(1)
-        return spark.range(10).withColumnRenamed("id", "x")
-
-    a = stage(spark, "test-stage", build)
-    b = stage(spark, "test-stage", build)
-    assert a is b and len(calls) == 1 and a.count() == 10
-    # staged under the session's checkpoint folder, not recomputed from the plan
-    assert "lograft-stage" in a.inputFiles()[0]
-    forget(spark)
-    stage(spark, "test-stage", build)
-    assert len(calls) == 2
-    forget(spark)
+def test_queries_see_new_rows(spark):
+    """Nothing is kept between queries: twice the events, twice the lines; and nothing is left behind."""
+    from lograft.plans.catalog import QUERIES
+
+    root = tempfile.mkdtemp(prefix="lograft-twice-", dir="/tmp")
+    events = spark.read.parquet(f"{SF0001}/events.parquet")
+    events.write.parquet(f"{root}/events.parquet")
+    once = QUERIES["level_totals"](spark, root).first()["total_lines"]
+    events.write.mode("append").parquet(f"{root}/events.parquet")
+    assert QUERIES["level_totals"](spark, root).first()["total_lines"] == 2 * once
+    assert os.listdir(root) == ["events.parquet"]
 
 
 def test_streaming_sessions_match_batch(spark):

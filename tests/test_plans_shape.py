@@ -2,27 +2,22 @@
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF0001
 
-# Queries that read raw-scale input more than once, and why:
-#  multiline_entries: the bucket summary and the per-line window both read the lines (2 pruned scans)
-#  daily_trips_exact: first pass (KPIs + sketch) is materialised, then the marked pass
-#  price_p95_exact:   the exact percentile's marked pass (stats are materialised)
-MULTI_SCAN = {"multiline_entries": 2, "daily_trips_exact": 1, "price_p95_exact": 1}
+from lograft.operators.daily import daily_summary
+from lograft.plans.catalog import QUERIES, TRIP_YEAR, _trips
 
-
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_scans_and_joins(spark, key):
-    df = E.queries()[key](spark, SF0001)
+    df = QUERIES[key](spark, SF0001)
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") <= MULTI_SCAN.get(key, 1), plan
+    assert plan.count("FileScan") <= 1, plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_year_filter_reaches_parquet(spark):
-    df = E.queries()["daily_trips"](spark, SF0001)
+    df = daily_summary(_trips(spark, SF0001), TRIP_YEAR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in plan
     assert "ReadSchema: struct<l_linenumber:int,l_quantity:double,l_extendedprice:double" in plan
@@ -33,10 +28,51 @@ def test_windows_are_bucketed(spark, key):
     """No window partitions by a bare (possibly hot) key: each one carries the
     order bucket, either as a partition column or as the order of the small
     per-bucket summary."""
-    df = E.queries()[key](spark, SF0001)
+    df = QUERIES[key](spark, SF0001)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in plan.split("\n") if "Window [" in line]
     assert windows
     for line in windows:
         assert "_day" in line or "_bucket" in line, line
+
+
+PERCENTILES = ["price_p95_exact", "daily_trips", "daily_trips_exact", "daily_events"]
+DISTRIBUTIONS = ["duration_histogram", "duration_density", "duration_histogram_clusters", "duration_density_clusters"]
+
+
+@pytest.mark.parametrize("key", [*PERCENTILES, *DISTRIBUTIONS, "price_p95_approx"])
+def test_no_data_side_is_broadcast(spark, monkeypatch, key):
+    """Only rows per group are broadcast: no broadcast holds a scan or a table of values. The
+    plans of the jobs that run while the query is built are looked at too."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    plans, checkpoint = [], DataFrame.checkpoint
+
+    def seen(self, eager=True):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return checkpoint(self, eager)
+
+    monkeypatch.setattr(DataFrame, "checkpoint", seen)
+    df = QUERIES[key](spark, SF0001)
+    plans.append(df._jdf.queryExecution().executedPlan().toString())
+    joined = 0
+    for plan in plans:
+        lines = plan.split("\n")
+        for i, line in enumerate(lines):
+            if "BroadcastExchange" not in line:
+                continue
+            joined += 1
+            depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+            inside = []
+            for other in lines[i + 1 :]:
+                if len(other) - len(other.lstrip(" :+-*()0123456789")) <= depth:
+                    break
+                inside.append(other)
+            assert not any("FileScan" in x for x in inside), plan
+    assert joined
+
+
+def test_line_inventory_has_no_expand(spark):
+    plan = QUERIES["line_inventory"](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan

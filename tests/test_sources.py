@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from lograft.functions.parse import parse_lines
 from lograft.operators import levels, multiline, timeline
-from lograft.sinks import write_lines, write_single_csv
-from lograft.sources import check_path, list_files, read_log_lines, read_numbered_lines, with_file_identity
+from lograft.sinks import write_csv, write_single_csv
+from lograft.sources import check_path, list_files, read_log_lines, read_ordered_lines, with_file_identity
 from lograft.sources.tables import TIMELINE_SCHEMA, csv_with_schema
 
 APP1 = "application_1485248649253_0001"
@@ -66,7 +66,7 @@ def test_file_identity(spark, logdir):
 
 
 def test_numbered_lines_and_entries(spark, logdir):
-    numbered = read_numbered_lines(spark, logdir)
+    numbered = read_ordered_lines(spark, logdir)
     assert numbered.count() == sum(len(v) for v in FILES.values())
     entries = multiline.assemble_entries(parse_lines(numbered), keys=["path"], order_col="line_no", bucket_rows=2)
     rows = entries.collect()
@@ -90,13 +90,13 @@ def test_csv_round_trip_and_error_lines(spark, logdir):
     tl = timeline.app_timeline(parse_lines(read_log_lines(spark, logdir))).select(
         "cluster_id", "application_id", "start_time", "end_time"
     )
-    write_single_csv(tl, os.path.join(out, "timeline"), "yyyy-MM-dd HH:mm:ss")
+    write_single_csv(tl, os.path.join(out, "timeline"), ["cluster_id"], timestamp_format="yyyy-MM-dd HH:mm:ss")
     assert len([f for f in os.listdir(os.path.join(out, "timeline")) if f.endswith(".csv")]) == 1
     back = csv_with_schema(spark, os.path.join(out, "timeline"), TIMELINE_SCHEMA, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
     assert sorted(back.collect()) == sorted(tl.collect())
     errors = levels.lines_containing(read_log_lines(spark, logdir), "ERROR")
-    write_lines(errors, os.path.join(out, "errors"))
-    assert spark.read.text(os.path.join(out, "errors")).count() == 1
+    write_csv(errors, os.path.join(out, "errors"))
+    assert spark.read.option("header", "true").csv(os.path.join(out, "errors")).count() == 1
 
 
 def test_inventory_and_single_app(spark, logdir):
@@ -155,8 +155,14 @@ def test_ordered_lines_match_whole_file_numbering(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # many splits per file
     try:
         ordered = read_ordered_lines(spark, logdir)
-        whole = read_numbered_lines(spark, logdir)
-        assert sorted(ordered.collect()) == sorted(whole.collect())
+        want = []
+        for folder, _, names in os.walk(logdir):
+            for name in names:
+                if name.endswith(".log"):
+                    with open(os.path.join(folder, name)) as fh:
+                        want += [(name, i, line.rstrip("\n")) for i, line in enumerate(fh)]
+        got = [(os.path.basename(r["path"]), r["line_no"], r["line"]) for r in ordered.collect()]
+        assert sorted(got) == sorted(want)
         n_splits = spark.read.text(big).select("_metadata.file_block_start").distinct().count()
         assert n_splits > 10
     finally:
@@ -194,3 +200,40 @@ def test_usage_report_by_file(spark, logdir):
     out = tempfile.mkdtemp(prefix="lograft-usage-file-", dir="/tmp")
     res = run_usage_report(spark, read_log_lines(spark, logdir, with_path=True), out, identity="file")
     assert res["total_applications"] == 2 and res["total_clusters"] == 2
+
+
+def test_extractors_take_the_application_from_the_path(spark):
+    """Documented lines name no application; their file's path does, and tells attempts apart."""
+    from lograft.functions.parse import with_identity
+    from lograft.operators import messages
+
+    root = tempfile.mkdtemp(prefix="lograft-app-", dir="/tmp")
+    app = "application_1485248649253_0052"
+    for attempt, seconds in (("01", 5), ("02", 7)):
+        folder = os.path.join(root, app)
+        os.makedirs(folder, exist_ok=True)
+        with open(os.path.join(folder, f"container_1485248649253_0052_{attempt}_000002.log"), "w") as fh:
+            fh.write("17/03/29 10:04:41 INFO executor.Executor: Running task 0.0 in stage 1.0 (TID 3)\n")
+            fh.write(f"17/03/29 10:04:{41 + seconds} INFO executor.Executor: Finished task 0.0 in stage 1.0 (TID 3). 2087 bytes result sent to driver\n")
+            fh.write("17/03/29 10:05:00 INFO python.PythonRunner: Times: total = 41, boot = 5, init = 35, finish = 1\n")
+            fh.write("17/03/29 10:05:01 ERROR executor.Executor: Running task 1.0 in stage 1.0 (TID 4)\n")
+    rows = with_identity(parse_lines(read_log_lines(spark, root, with_path=True)))
+    tasks = messages.task_events(rows)
+    done = sorted((r["application_id"], r["attempt"], r["tid"], r["duration_sec"], r["result_bytes"]) for r in messages.task_durations(tasks).collect())
+    assert done == [(app, "01", 3, 5, 2087), (app, "02", 3, 7, 2087)]
+    assert sorted((r["attempt"], r["tid"]) for r in messages.unfinished_tasks(tasks).collect()) == [("01", 4), ("02", 4)]
+    rate = messages.error_rate(rows).first()
+    assert (rate["application_id"], rate["level_lines"], rate["error_lines"]) == (app, 8, 2)
+    times = messages.python_time_stats(messages.python_times(rows)).first()
+    assert (times["application_id"], times["num_runs"], times["sum_total_ms"]) == (app, 2, 82)
+
+
+def test_partition_pruning(spark):
+    from lograft.sources.tables import partitioned_parquet
+
+    root = os.path.join(tempfile.mkdtemp(prefix="lograft-parts-", dir="/tmp"), "trips")
+    spark.range(20).selectExpr("id", "2020 + id % 3 AS yyyy").write.partitionBy("yyyy").parquet(root)
+    found = partitioned_parquet(spark, root).where("yyyy = 2021")
+    assert sorted(r["id"] for r in found.collect()) == [1, 4, 7, 10, 13, 16, 19]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(yyyy" in plan
