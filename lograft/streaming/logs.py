@@ -80,16 +80,23 @@ def start_to_table(agg: DataFrame, name: str, checkpoint: str, mode: str = "comp
 
 
 def start_to_parquet(agg: DataFrame, path: str, checkpoint: str, available_now: bool = False):
-    """Keep ``path`` holding the current complete aggregate as Parquet.
+    """Write each complete aggregate to a folder of its own, ``path/batch=<id>``.
 
     Each micro-batch of a complete-mode aggregate carries the whole (small)
-    result; ``foreachBatch`` overwrites the table with it. A retried batch
-    rewrites the same result, so the output stays correct after failures.
+    result. Readers take the newest finished one (``read_newest``), so none reads a
+    table that is being replaced; a retried batch rewrites its own folder only.
     """
 
-    def overwrite(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    writer = agg.writeStream.outputMode("complete").foreachBatch(overwrite).option("checkpointLocation", checkpoint)
+    writer = agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
+
+
+def read_newest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest result that ``start_to_parquet`` has finished."""
+    results = spark.read.parquet(path)
+    newest = results.agg(F.max("batch")).first()[0]
+    return results.where(F.col("batch") == newest).drop("batch")

@@ -81,7 +81,7 @@ def test_streaming_timeline(spark):
 
 
 def test_streaming_to_parquet(spark):
-    from lograft.streaming.logs import start_to_parquet
+    from lograft.streaming.logs import read_newest, start_to_parquet
 
     src = tempfile.mkdtemp(prefix="lograft-stream-src-", dir="/tmp")
     out = tempfile.mkdtemp(prefix="lograft-stream-out-", dir="/tmp")
@@ -90,7 +90,7 @@ def test_streaming_to_parquet(spark):
     q = start_to_parquet(streaming_level_counts(log_line_stream(spark, src, glob="part-*")),
                          os.path.join(out, "levels"), os.path.join(out, "ckpt"), available_now=True)
     q.awaitTermination(120)
-    got = {r["log_level"]: r["count"] for r in spark.read.parquet(os.path.join(out, "levels")).collect()}
+    got = {r["log_level"]: r["count"] for r in read_newest(spark, os.path.join(out, "levels")).collect()}
     assert sum(got.values()) == 900 and set(got) == {"INFO", "WARN", "ERROR", "DEBUG"}
 
 
