@@ -111,9 +111,7 @@ def _stream(key: str, kind: Column, form: Column, turn: Column) -> Column:
 
 def _other_sign(sign: Column, number: Column) -> Column:
     """Another sign of the same class, chosen by a number; signs of no class stay."""
-    pick = lambda signs: F.substring(F.lit(signs), 1, 1) if len(signs) == 1 else F.element_at(
-        F.array(*map(F.lit, signs)), (number % len(signs) + 1).cast("int")
-    )
+    pick = lambda signs: F.substring(F.lit(signs), (number % len(signs) + 1).cast("int"), F.lit(1))
     out = F.when(sign.rlike(r"^\d$"), pick("0123456789"))
     for vowels, consonants in ALPHABETS.values():
         for signs in (vowels, consonants):
@@ -135,9 +133,13 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(numbered, F.lit(0), step)
 
 
-def surrogate_of(key: str, kind: Column, form: Column, turn: Column) -> Column:
-    """The surrogate of a normal form at the given try."""
-    hexes = _stream(key, kind, form, turn)
+def with_surrogates(entities: DataFrame, key: str, turn: int) -> DataFrame:
+    """``type, form, surrogate``: the surrogate of every normal form at the given try.
+
+    One column after the other, each made from the last: nested in one expression, the
+    plan would hold the inner ones many times over.
+    """
+    kind, form, swapped = F.col("type"), F.col("form"), F.col("surrogate")
     # how many leading and trailing signs are kept as they are
     lead = (
         F.when(kind.isin("card", "iban"), F.when(kind == "card", 1).otherwise(2))
@@ -146,40 +148,40 @@ def surrogate_of(key: str, kind: Column, form: Column, turn: Column) -> Column:
     )
     tail = F.when(kind == "domain", F.length(F.substring_index(form, ".", -1)) + 1).otherwise(0)
     local = F.when(kind == "email", F.substring_index(form, "@", 1)).otherwise(form)
-    size = F.length(local)
 
     def swap(sign: Column, i: Column) -> Column:
-        number = F.conv(F.substring(hexes, (2 * i + 1).cast("int"), F.lit(2)), 16, 10).cast("int")
-        return F.when((i >= lead) & (i < size - tail), _other_sign(sign, number)).otherwise(sign)
-
-    swapped = F.array_join(F.transform(_signs(local), swap), "")
+        number = F.conv(F.substring(F.col("_hex"), (2 * i + 1).cast("int"), F.lit(2)), 16, 10).cast("int")
+        return F.when((i >= F.col("_lead")) & (i < F.col("_end")), _other_sign(sign, number)).otherwise(sign)
+
+    def octet(o: Column, i: Column) -> Column:
+        number = F.conv(F.substring(F.col("_hex"), (4 * i + 1).cast("int"), F.lit(4)), 16, 10).cast("int")
+        size = F.length(o)
+        least = F.when(size == 1, 0).when(size == 2, 10).otherwise(100)
+        return (number % F.when(size == 1, 10).when(size == 2, 90).otherwise(156) + least).cast("string")
+
+    rows = entities.select("type", "form", _stream(key, kind, form, F.lit(turn)).alias("_hex"), local.alias("_local"), lead.alias("_lead"), tail.alias("_tail"))
+    rows = rows.withColumns({"_signs": _signs(F.col("_local")), "_end": F.length("_local") - F.col("_tail")})
+    letters = F.array_join(F.transform("_signs", swap), "")
+    rows = rows.withColumn(
+        "surrogate", F.when(kind == "ip", F.array_join(F.transform(F.split(form, r"\."), octet), ".")).otherwise(letters)
+    )
+    # the last letter of a given name tells the gender
     vowels = "".join(v for v, _ in ALPHABETS.values())
-    last = F.substring(swapped, -1, 1)
     ends = {"f": ("a", "α", "а"), "m": ("n", "ν", "н")}
-    for g, (latin, greek, cyrillic) in ends.items():
-        wrong = F.lit(vowels).contains(last) if g == "m" else ~last.isin(latin, greek, cyrillic)
-        sign = F.when(last.rlike(r"\p{IsCyrillic}"), cyrillic).when(last.rlike(r"\p{IsGreek}"), greek).otherwise(latin)
+    for g, signs in ends.items():
+        last = F.substring(swapped, -1, 1)
+        wrong = F.lit(vowels).contains(last) if g == "m" else ~last.isin(*signs)
+        sign = F.when(last.rlike(r"\p{IsCyrillic}"), signs[2]).when(last.rlike(r"\p{IsGreek}"), signs[1]).otherwise(signs[0])
         changed = F.concat(F.substring(swapped, F.lit(1), F.length(swapped) - 1), sign)
-        swapped = F.when((kind == f"given-{g}") & wrong, changed).otherwise(swapped)
-    octets = F.array_join(
-        F.transform(
-            F.split(form, r"\."),
-            lambda o, i: (
-                F.conv(F.substring(hexes, (4 * i + 1).cast("int"), F.lit(4)), 16, 10).cast("int")
-                % F.when(F.length(o) == 1, 10).when(F.length(o) == 2, 90).otherwise(156)
-                + F.when(F.length(o) == 1, 0).when(F.length(o) == 2, 10).otherwise(100)
-            ).cast("string"),
-        ),
-        ".",
-    )
-    swapped = F.when(kind == "ip", octets).otherwise(swapped)
+        rows = rows.withColumn("surrogate", F.when((kind == f"given-{g}") & wrong, changed).otherwise(swapped))
     # a valid card number stays valid
-    zero = F.concat(F.substring(swapped, F.lit(1), F.length(swapped) - 1), F.lit("0"))
-    check = F.concat(
-        F.substring(swapped, F.lit(1), F.length(swapped) - 1), F.pmod(F.lit(10) - _luhn(zero) % 10, F.lit(10)).cast("string")
-    )
-    swapped = F.when((kind == "card") & (_luhn(F.when(kind == "card", form)) % 10 == 0), check).otherwise(swapped)
-    return F.when(turn >= PLAIN_ROUNDS, F.concat(swapped, F.conv(turn.cast("string"), 10, 10))).otherwise(swapped)
+    rows = rows.withColumn("_valid", (kind == "card") & (_luhn(F.when(kind == "card", form)) % 10 == 0))
+    rows = rows.withColumn("_stem", F.when(F.col("_valid"), F.substring(swapped, F.lit(1), F.length(swapped) - 1)))
+    check = F.pmod(F.lit(10) - _luhn(F.concat("_stem", F.lit("0"))) % 10, F.lit(10)).cast("string")
+    final = F.when(F.col("_valid"), F.concat("_stem", check)).otherwise(swapped)
+    if turn >= PLAIN_ROUNDS:
+        final = F.concat(final, F.lit(str(turn)))
+    return rows.select("type", "form", final.alias("surrogate"))
 
 
 def give_surrogates(entities: DataFrame, key: str) -> DataFrame:
@@ -188,8 +190,7 @@ def give_surrogates(entities: DataFrame, key: str) -> DataFrame:
     taken_forms = entities.select("type", F.col("form").alias("surrogate"))
     pending, turn, given = entities, 0, None
     while True:
-        wanted = pending.select("type", "form", surrogate_of(key, F.col("type"), F.col("form"), F.lit(turn)).alias("surrogate"))
-        wanted = cut(wanted)
+        wanted = cut(with_surrogates(pending, key, turn))
         free = wanted.join(taken_forms, ["type", "surrogate"], "left_anti")
         if given is not None:
             free = free.join(given.select("type", "surrogate"), ["type", "surrogate"], "left_anti")
