@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lograft.llm.shared import complete_groups, components, cut, linked_rows
+from lograft.llm.shared import complete_groups, components, cut, forest, linked_rows
 from lograft.llm.spans import TextBatch, chunks, mix64
 
 WORDS = 5
@@ -230,7 +230,8 @@ def met_before(left: np.ndarray, right: np.ndarray, band: np.ndarray, rows: int)
 
 
 def _candidate_edges(members: DataFrame, least: list[int], rows: int) -> DataFrame:
-    """``a, b``: classes of a bucket joined by pairs that are not ruled out, each in its first bucket."""
+    """``a, b``: classes of a bucket joined by pairs that are not ruled out, each in its first bucket;
+    of the pairs that a task has at once, a spanning forest."""
 
     def run(batches):
         for table, edges in complete_groups(batches, keys):
@@ -246,12 +247,15 @@ def _candidate_edges(members: DataFrame, least: list[int], rows: int) -> DataFra
                     found.append(begin + np.array(pairs))
             i, j = np.concatenate(found).T
             new = ~met_before(sigs[i], sigs[j], band[i], rows)
-            pairs = np.unique(np.stack((ids[i[new]], ids[j[new]]), axis=1), axis=0)
-            if len(pairs):
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            nodes, at = np.unique(np.concatenate((ids[i[new]], ids[j[new]])), return_inverse=True)
+            pairs = forest(len(nodes), at.reshape(2, -1).T.tolist())
+            if pairs:
+                a, b = nodes[np.array(pairs)].T
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     keys = ["band", "bucket", "low", "high"]
-    dealt = members.repartition(*keys).sortWithinPartitions(*keys)
+    # in the order of ids, the same pivots come first in many buckets, and their pairs are the same
+    dealt = members.repartition(*keys).sortWithinPartitions(*keys, "class_id")
     return dealt.select(*keys, "class_id", "sig").mapInArrow(run, "a long, b long")
 
 
