@@ -33,7 +33,7 @@ UNKNOWN = "und"
 SAMPLE_PER_LANG = 4000
 FEATURE_BITS = 16
 SWITCH_PENALTY = 12.0
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 # Unicode blocks of scripts (fixed values); letters outside them form one script of their own.
 SCRIPT_RANGES = {
