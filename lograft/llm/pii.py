@@ -55,10 +55,25 @@ PATTERNS = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![\w+])\+\d{8,15}(?!\w)",
     "name": r"(?<!\w)(?:" + "|".join(t for own in TITLES.values() for t in own) + rf")\.? {_NAME}(?: {_NAME})?",
 }
+_FIRST = "".join(sorted({t[0] for own in TITLES.values() for t in own}))  # of the titles
 # the card pattern's own group is the first of all
 ANY = "|".join(f"(?:{p})" for p in [PATTERNS["card"], *(p for k, p in PATTERNS.items() if k != "card")])
 
 
+def has_entity(text: Column) -> Column:
+    """Whether the text holds a mention. Each pattern is only tried on texts with a sign that it needs."""
+    digits = "|".join(f"(?=[+(0-9])(?:{PATTERNS[k]})" for k in ("phone", "ip", "ssn"))
+    return F.coalesce(
+        (text.contains("@") & text.rlike(PATTERNS["email"]))
+        | (
+            text.rlike("[0-9]")
+            & (text.rlike(digits) | text.rlike(r"(?=\d)" + PATTERNS["card"]) | text.rlike("(?=[A-Z])" + PATTERNS["iban"]))
+        )
+        | text.rlike(f"(?=[{_FIRST}])" + PATTERNS["name"]),
+        F.lit(False),
+    )
+
+
 def _signs(text: Column) -> Column:
     """The characters of a text."""
     return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
@@ -231,7 +246,7 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     """``id_col, text, n_entities, entities``: every text with its mentions replaced. ``entities``: type and
     replacement of each mention, in order."""
     docs = docs.select(id_col, F.col(text_col).alias("text"))
-    has = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
+    has = has_entity(F.col("text"))
     entity = "array<struct<type:string,surrogate:string>>"
     clean = docs.where(~has).select(
         id_col, "text", F.lit(0).cast("long").alias("n_entities"), F.array().cast(entity).alias("entities")

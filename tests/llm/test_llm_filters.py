@@ -146,6 +146,14 @@ def test_surrogates(spark):
     assert pii.replace_entities(docs.limit(0), "k").count() == 0
 
 
+def test_entity_test_equals_the_whole_pattern(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("text")
+    docs = docs.unionByName(spark.createDataFrame([(t,) for _, t in PRIVATE], "text string"))
+    both = docs.select(pii.has_entity(F.col("text")).alias("a"), F.coalesce(F.col("text").rlike(pii.ANY), F.lit(False)).alias("b"))
+    counts = {(r["a"], r["b"]): r["count"] for r in both.groupBy("a", "b").count().collect()}
+    assert set(counts) == {(True, True), (False, False)} and counts[True, True] > 50
+
+
 def test_surrogates_stay_distinct(spark):
     """All one-digit addresses of a kind: a hundred entities want a hundred surrogates."""
     forms = [(f"{a}.{b}.0.0",) for a in range(10) for b in range(10)]
