@@ -4,7 +4,8 @@ One pattern finds mail addresses, phone, card, social security and account numbe
 addresses and names after a title. An entity is a type and a normal form (lower case,
 digits only, and so on), so all its mentions, however written, are one. Its surrogate
 comes from a keyed hash of the type and normal form: every letter becomes a letter of
-the same script and case, every digit a digit, other signs stay; vowels stay vowels, a
+the same script and case (of a script without an alphabet below, a Latin one), every digit
+a digit, other signs stay; vowels stay vowels, a
 name's last letter follows the title's gender, the parts of a type that carry its format
 (country code, top-level domain, issuer digit, check digit of card numbers) are kept.
 
@@ -45,18 +46,33 @@ ALPHABETS = {
 }
 _NAME = r"\p{Lu}[\p{L}'’-]*+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_LETTERS = r"\p{L}\p{M}\p{N}"  # Java's \w is ASCII only
+# Phone numbers: five pairs, area and number, a country code with any groups (8 to 15 digits), '/' after the area.
+_PHONES = (
+    r"(?:\+\d{1,3}[ .-]?(?:\(0\) ?)?\d{1,2}|0\d)(?:(?: \d{2}){4}|(?:\.\d{2}){4}|(?:-\d{2}){4})(?!\w)",
+    r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,5}\)[ ./-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\w)",
+    r"\+\d(?:[ ./-]?\(?\d\)?){7,14}(?!\w)",
+    r"(?<![./-])(?:0\d{1,4}/ ?(?:\d{5,8}|\d{3,4}[ .-]\d{3,5}|\d{2}(?: \d{2}){2,3})|\d{3}/\d{3}[ ./-]\d{4})(?!\w)",
+)
+# Card numbers: four fours; 4-6-5 and 4-6-4 (without separators only where the issuer's digits tell them).
+_CARDS = (
+    r"\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}",
+    r"\d{4}([ -])\d{6}\2\d{5}",
+    r"3[47]\d{13}",
+    r"3\d{3}([ -])\d{6}\3\d{4}",
+)
 # What each type looks like, in order of precedence (fixed values).
 PATTERNS = {
-    "email": r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "card": r"(?<![\w.-])\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?![\w-])",
+    "email": rf"(?<![{_LETTERS}_.%+-])[{_LETTERS}_.%+-]++@[{_LETTERS}-]+(?:\.[{_LETTERS}-]+)+",
+    "card": r"(?<![\w.-])(?:" + "|".join(_CARDS) + r")(?![\w-])",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": r"(?<![\w.])" + rf"{_OCTET}(?:\.{_OCTET}){{3}}" + r"(?!\.?\w)",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![\w+])\+\d{8,15}(?!\w)",
+    "phone": r"(?<![\w+])(?:" + "|".join(_PHONES) + ")",
     "name": r"(?<!\w)(?:" + "|".join(t for own in TITLES.values() for t in own) + rf")\.? {_NAME}(?: {_NAME})?",
 }
 _FIRST = "".join(sorted({t[0] for own in TITLES.values() for t in own}))  # of the titles
-# the card pattern's own group is the first of all
+# the card pattern's own groups are the first of all
 ANY = "|".join(f"(?:{p})" for p in [PATTERNS["card"], *(p for k, p in PATTERNS.items() if k != "card")])
 
 
@@ -90,7 +106,7 @@ def type_of(mention: Column) -> Column:
         .when(mention.rlike(r"^[A-Z]{2}\d{2}"), "iban")
         .when(mention.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when(mention.rlike(r"^\d+(?:\.\d+){3}$"), "ip")
-        .when((digits == 16) & ~mention.startswith("+"), "card")
+        .when((digits >= 14) & ~mention.startswith("+"), "card")  # phones without a country code are shorter
         .otherwise("phone")
     )
 
@@ -125,7 +141,8 @@ def _stream(key: str, kind: Column, form: Column, turn: Column) -> Column:
 
 
 def _other_sign(sign: Column, number: Column) -> Column:
-    """Another sign of the same class, chosen by a number; signs of no class stay."""
+    """Another sign of the same class, chosen by a number; letters and digits of other scripts become
+    Latin ones, other signs stay."""
     pick = lambda signs: F.substring(F.lit(signs), (number % len(signs) + 1).cast("int"), F.lit(1))
     out = F.when(sign.rlike(r"^\d$"), pick("0123456789"))
     for vowels, consonants in ALPHABETS.values():
@@ -133,15 +150,17 @@ def _other_sign(sign: Column, number: Column) -> Column:
             out = out.when(F.lit(signs).contains(sign), pick(signs))
             upper = "".join(c.upper() for c in signs if len(c.upper()) == 1)
             out = out.when(F.lit(upper).contains(sign), pick(upper))
-    return out.otherwise(sign)
+    plain = "".join(ALPHABETS["latin"])
+    out = out.when(sign.rlike(r"^\p{Lu}$"), pick(plain.upper())).when(sign.rlike(r"^\p{L}$"), pick(plain))
+    return out.when(sign.rlike(r"^\p{N}$"), pick("0123456789")).otherwise(sign)
 
 
 def _luhn(digits: Column) -> Column:
-    """The sum that is a multiple of ten for valid card numbers (of 16 digits)."""
+    """The sum that is a multiple of ten for valid card numbers: every second digit from the right is doubled."""
 
     def step(acc: Column, x: Column) -> Column:
         twice = x["d"] * 2
-        weighed = F.when(x["i"] % 2 == 0, F.when(twice > 9, twice - 9).otherwise(twice)).otherwise(x["d"])
+        weighed = F.when((F.length(digits) - x["i"]) % 2 == 0, F.when(twice > 9, twice - 9).otherwise(twice)).otherwise(x["d"])
         return acc + weighed
 
     numbered = F.transform(_signs(digits), lambda d, i: F.struct(d.try_cast("int").alias("d"), i.alias("i")))
@@ -157,7 +176,7 @@ def with_surrogates(entities: DataFrame, key: str, turn: int) -> DataFrame:
     kind, form, swapped = F.col("type"), F.col("form"), F.col("surrogate")
     # how many leading and trailing signs are kept as they are
     lead = (
-        F.when(kind.isin("card", "iban"), F.when(kind == "card", 1).otherwise(2))
+        F.when(kind.isin("card", "iban"), F.when((kind == "card") & (F.length(form) == 16), 1).otherwise(2))
         .when((kind == "phone") & (F.length(form) > 10), F.length(form) - 10)
         .otherwise(0)
     )

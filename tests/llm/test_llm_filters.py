@@ -113,6 +113,10 @@ PRIVATE = [
     (7, "DE89 3704 0044 0532 0130 00 then joe@x.org " + "y" * 50_000),
     (7, "DE89 3704 0044 0532 0130 00 then joe@x.org " + "y" * 50_000),
     (None, "ip 42.144.35.254"),
+    (8, "Ask josé.lopez@x.org, andré.lopez@x.org, jo\u0301@x.org, иван@почта.рф or 田中@bücher.example."),
+    (9, "+33 1 23 45 67 89; 01 23 45 67 89; 06.12.34.56.78; (555)123-4567; +49 30/1234567; 030/1234567; +49 (0)30 1234567; 555/123-4567"),
+    (10, "3782 822463 10005 and 378282246310005, 3782-822463-10005; 3056 930902 5904"),
+    (11, "01/2024, 01/02/2024, 10.1234/567890, 10 20 30 40 50, a/2024/1234567, 2024-01-02 12:30:00"),
 ]
 
 
@@ -146,6 +150,27 @@ def test_surrogates(spark):
     assert pii.replace_entities(docs.limit(0), "k").count() == 0
 
 
+def test_surrogates_of_other_formats(spark):
+    docs = spark.createDataFrame(PRIVATE, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.replace_entities(docs, "k").collect()}
+    old = dict(PRIVATE)
+    mails = [e["surrogate"] for e in got[8]["entities"]]
+    assert len(mails) == len(set(mails)) == 5 and mails[0].split("@")[1] == mails[1].split("@")[1]
+    assert not any(name in got[8]["text"] for name in ("jos", "andr", "lopez", "jo\u0301", "иван", "почта", "田", "中", "bücher"))
+    assert got[8]["text"].startswith("Ask ") and [m.rsplit(".", 1)[1] for m in mails] == ["org", "org", "org", "рф", "example"]
+    for k, kind in ((9, "phone"), (10, "card")):
+        assert [e["type"] for e in got[k]["entities"]] == [kind] * len(old[k].replace(" and", ",").replace(",", ";").split(";"))
+        assert shape(got[k]["text"]) == shape(old[k])
+    for new, was in zip(got[9]["entities"], old[9].split("; "), strict=True):
+        assert shape(new["surrogate"]) == shape(was) and new["surrogate"] != was
+    amex, same, dashed, _ = (re.sub(r"\D", "", e["surrogate"]) for e in got[10]["entities"])
+    assert amex == same == dashed != "378282246310005" and amex.startswith("37")
+    for card in (re.sub(r"\D", "", e["surrogate"]) for e in got[10]["entities"]):
+        twice = [2 * int(c) if i % 2 else int(c) for i, c in enumerate(reversed(card))]
+        assert sum(d - 9 if d > 9 else d for d in twice) % 10 == 0
+    assert got[11]["text"] == old[11]
+
+
 def test_entity_test_equals_the_whole_pattern(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").select("text")
     docs = docs.unionByName(spark.createDataFrame([(t,) for _, t in PRIVATE], "text string"))
