@@ -6,9 +6,13 @@ digits only, and so on), so all its mentions, however written, are one. Its surr
 comes from a keyed hash of the type and normal form: every letter becomes a letter of
 the same script and case (of a script without an alphabet below, a Latin one), every digit
 a digit, other signs stay; vowels stay vowels, a
-name's last letter follows the title's gender, the parts of a type that carry its format
+given name's last letter follows the gender that most of its titles in the corpus tell, the parts of a type that carry its format
 (country code, top-level domain, issuer digit, check digit of card numbers) are kept.
 
+A name found after a title is replaced wherever its text has it, with a title or not, as it
+is written there. A single word is a given name if the text has it only as the first word
+of full names, else a family name.
+
 Collision checks keep entities apart: of the entities that want one surrogate, one gets
 it, and none that is itself an entity of the corpus or already given away; the others
 try the next number of the hash. After ``PLAIN_ROUNDS`` tries a surrogate grows by a
@@ -44,7 +48,9 @@ ALPHABETS = {
     "greek marks": ("άέήίόύώ", "ς"),
     "cyrillic": ("аеиоуыэюя", "бвгджзклмнпрстфхцчшщ"),
 }
-_NAME = r"\p{Lu}[\p{L}'’-]*+"
+# a name's word, without a possessive 's
+_NAME = r"\p{Lu}[\p{L}\p{M}]*+(?:(?!['’]s(?![\p{L}\p{M}]))['’-]++[\p{L}\p{M}]++)*+"
+_TITLE = r"(?:" + "|".join(t for own in TITLES.values() for t in own) + r")\.? "
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _LETTERS = r"\p{L}\p{M}\p{N}"  # Java's \w is ASCII only
 # Phone numbers: five pairs, area and number, a country code with any groups (8 to 15 digits), '/' after the area.
@@ -69,7 +75,7 @@ PATTERNS = {
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": r"(?<![\w.])" + rf"{_OCTET}(?:\.{_OCTET}){{3}}" + r"(?!\.?\w)",
     "phone": r"(?<![\w+])(?:" + "|".join(_PHONES) + ")",
-    "name": r"(?<!\w)(?:" + "|".join(t for own in TITLES.values() for t in own) + rf")\.? {_NAME}(?: {_NAME})?",
+    "name": rf"(?<!\w){_TITLE}{_NAME}(?: {_NAME})?",
 }
 _FIRST = "".join(sorted({t[0] for own in TITLES.values() for t in own}))  # of the titles
 # the card pattern's own groups are the first of all
@@ -98,11 +104,9 @@ def _signs(text: Column) -> Column:
 def type_of(mention: Column) -> Column:
     """The type of a mention, by its signs."""
     digits = F.length(F.regexp_replace(mention, r"\D", ""))
-    title = F.regexp_extract(mention, r"^(\p{L}+)\.? ", 1)
-    named = [t for own in TITLES.values() for t in own]
     return (
         F.when(mention.contains("@"), "email")
-        .when(title.isin(named), "name")
+        .when(~mention.rlike(r"\d"), "name")
         .when(mention.rlike(r"^[A-Z]{2}\d{2}"), "iban")
         .when(mention.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when(mention.rlike(r"^\d+(?:\.\d+){3}$"), "ip")
@@ -111,26 +115,53 @@ def type_of(mention: Column) -> Column:
     )
 
 
-def parts_of(mention: Column, kind: Column) -> Column:
-    """The entities of a mention: type and normal form. A mail address has two (the name at its domain,
-    and the domain), a titled name one for each word, given names apart from family names."""
+def _words(mention: Column) -> Column:
+    """The words of a name without its title."""
+    return F.split(F.regexp_replace(mention, f"^{_TITLE}", ""), " ")
+
+
+def with_untitled(texts: DataFrame) -> DataFrame:
+    """``texts (blob, gaps, found)`` with the names of ``found`` also found in the gaps, and ``givens``: the
+    words that a text has only as the first of full names."""
+    titled = F.filter("found", lambda m: m.rlike(f"^{_TITLE}"))
+    texts = texts.withColumn("_names", F.transform(titled, _words))
+    full = F.filter("_names", lambda n: F.size(n) > 1)
+    texts = texts.withColumns({"_first": F.array_distinct(F.transform(full, lambda n: n[0])), "_last": F.transform(full, lambda n: n[1])})
+    # names hold nothing that means something in a pattern
+    each = F.array_join(F.array_distinct(F.flatten("_names")), "|")
+    both = F.when(F.size("_first") > 0, F.concat(F.lit("(?:"), F.array_join("_first", "|"), F.lit(") (?:"), each, F.lit(f")(?![{_LETTERS}_])|")))
+    own = F.concat(F.lit(rf"(?<![{_LETTERS}_])(?=\p{{Lu}})(?:"), F.coalesce(both, F.lit("")), F.lit("(?:"), each, F.lit(f")(?![{_LETTERS}_]))"))
+    texts = texts.withColumn("_own", F.when(F.size("_names") > 0, own))
+    gaps = F.flatten(F.transform("gaps", lambda g: F.split(g, F.col("_own"), -1)))
+    # what a gap holds, then the mention that ends it; none ends the last
+    inner = lambda g, i: F.concat(F.regexp_extract_all(g, F.col("_own"), F.lit(0)), F.slice("found", i + 1, F.lit(1)))
+    found = F.flatten(F.transform("gaps", inner))
+    return texts.select(
+        "blob",
+        F.when(F.col("_own").isNull(), F.col("gaps")).otherwise(gaps).alias("gaps"),
+        F.when(F.col("_own").isNull(), F.col("found")).otherwise(found).alias("found"),
+        F.array_except("_first", "_last").alias("givens"),
+    )
+
+
+def parts_of(mention: Column, kind: Column, givens: Column) -> Column:
+    """The entities of a mention: type, normal form and, for given names, the gender that its title tells
+    (1, -1 or 0). A mail address has two (the name at its domain, and the domain), a name one for each
+    word, given names (of one word, those of ``givens``) apart from family names."""
     title = F.regexp_extract(mention, r"^(\p{L}+)\.? ", 1)
-    gender = F.lit("u")
-    for g in ("f", "m"):
-        gender = F.when(title.isin(list(TITLES[g])), F.lit(g)).otherwise(gender)
-    words = F.slice(F.split(mention, " "), 2, 2)
-    given = F.when(F.size(words) > 1, F.array(F.struct(F.concat(F.lit("given-"), gender).alias("type"), words[0].alias("form"))))
-    family = F.array(F.struct(F.lit("family").alias("type"), F.element_at(words, -1).alias("form")))
+    gender = F.when(title.isin(list(TITLES["f"])), 1).when(title.isin(list(TITLES["m"])), -1).otherwise(0)
+    words = _words(mention)
+    entity = lambda kind, form, gender=F.lit(0): F.struct(F.lit(kind).alias("type"), form.alias("form"), gender.alias("gender"))
+    given, family = F.array(entity("given", words[0], gender)), F.array(entity("family", F.element_at(words, -1)))
+    name = F.when(F.size(words) > 1, F.concat(given, family)).when(F.array_contains(givens, words[0]), given).otherwise(family)
     low = F.lower(mention)
-    local = F.struct(F.lit("email").alias("type"), low.alias("form"))
-    domain = F.struct(F.lit("domain").alias("type"), F.substring_index(low, "@", -1).alias("form"))
+    local, domain = entity("email", low), entity("domain", F.substring_index(low, "@", -1))
     plain = F.regexp_replace(mention, r"[^\p{L}\d]", "")
-    none = F.array().cast("array<struct<type:string,form:string>>")
     return (
         F.when(kind == "email", F.array(local, domain))
-        .when(kind == "name", F.concat(F.coalesce(given, none), family))
-        .when(kind == "ip", F.array(F.struct(kind.alias("type"), mention.alias("form"))))
-        .otherwise(F.array(F.struct(kind.alias("type"), plain.alias("form"))))
+        .when(kind == "name", name)
+        .when(kind == "ip", F.array(entity(kind, mention)))
+        .otherwise(F.array(entity(kind, plain)))
     )
 
 
@@ -193,7 +224,7 @@ def with_surrogates(entities: DataFrame, key: str, turn: int) -> DataFrame:
         least = F.when(size == 1, 0).when(size == 2, 10).otherwise(100)
         return (number % F.when(size == 1, 10).when(size == 2, 90).otherwise(156) + least).cast("string")
 
-    rows = entities.select("type", "form", _stream(key, kind, form, F.lit(turn)).alias("_hex"), local.alias("_local"), lead.alias("_lead"), tail.alias("_tail"))
+    rows = entities.select("type", "form", "gender", _stream(key, kind, form, F.lit(turn)).alias("_hex"), local.alias("_local"), lead.alias("_lead"), tail.alias("_tail"))
     rows = rows.withColumns({"_signs": _signs(F.col("_local")), "_end": F.length("_local") - F.col("_tail")})
     letters = F.array_join(F.transform("_signs", swap), "")
     rows = rows.withColumn(
@@ -201,13 +232,13 @@ def with_surrogates(entities: DataFrame, key: str, turn: int) -> DataFrame:
     )
     # the last letter of a given name tells the gender
     vowels = "".join(v for v, _ in ALPHABETS.values())
-    ends = {"f": ("a", "α", "а"), "m": ("n", "ν", "н")}
+    ends = {1: ("a", "α", "а"), -1: ("n", "ν", "н")}
     for g, signs in ends.items():
         last = F.substring(swapped, -1, 1)
-        wrong = F.lit(vowels).contains(last) if g == "m" else ~last.isin(*signs)
+        wrong = F.lit(vowels).contains(last) if g == -1 else ~last.isin(*signs)
         sign = F.when(last.rlike(r"\p{IsCyrillic}"), signs[2]).when(last.rlike(r"\p{IsGreek}"), signs[1]).otherwise(signs[0])
         changed = F.concat(F.substring(swapped, F.lit(1), F.length(swapped) - 1), sign)
-        rows = rows.withColumn("surrogate", F.when((kind == f"given-{g}") & wrong, changed).otherwise(swapped))
+        rows = rows.withColumn("surrogate", F.when((kind == "given") & (F.col("gender") == g) & wrong, changed).otherwise(swapped))
     # a valid card number stays valid
     rows = rows.withColumn("_valid", (kind == "card") & (_luhn(F.when(kind == "card", form)) % 10 == 0))
     rows = rows.withColumn("_stem", F.when(F.col("_valid"), F.substring(swapped, F.lit(1), F.length(swapped) - 1)))
@@ -220,7 +251,9 @@ def with_surrogates(entities: DataFrame, key: str, turn: int) -> DataFrame:
 
 def give_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """``type, form, surrogate`` of the distinct ``entities (type, form)``; no two entities of a type share
-    one, and none is itself an entity's form."""
+    one, and none is itself an entity's form. ``gender``, if there: 1, -1 or 0 for given names."""
+    if "gender" not in entities.columns:
+        entities = entities.withColumn("gender", F.lit(0))
     taken_forms = entities.select("type", F.col("form").alias("surrogate"))
     pending, turn, given = entities, 0, None
     while True:
@@ -252,7 +285,7 @@ def _written(mention: Column, kind: Column, subs: Column) -> Column:
         ),
         lambda acc: F.concat(acc["out"], F.array_join(F.slice(digits, acc["k"] + 1, F.size(digits)), "")),
     )
-    title = F.regexp_extract(mention, r"^(\p{L}+\.? )", 1)
+    title = F.regexp_extract(mention, f"^({_TITLE})", 1)
     return (
         F.when(kind == "email", F.concat_ws("@", subs[0], subs[1]))
         .when(kind == "name", F.concat(title, F.array_join(subs, " ")))
@@ -271,21 +304,21 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
         id_col, "text", F.lit(0).cast("long").alias("n_entities"), F.array().cast(entity).alias("entities")
     )
     marked = docs.where(has).withColumn("blob", F.sha2(F.col("text").cast("binary"), 256))
-    texts = cut(
-        marked.select("blob", "text").dropDuplicates(["blob"]).select(
-            "blob", F.split("text", ANY, -1).alias("gaps"), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("found")
-        )
+    texts = marked.select("blob", "text").dropDuplicates(["blob"]).select(
+        "blob", F.split("text", ANY, -1).alias("gaps"), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("found")
     )
-    mentions = texts.select("blob", F.posexplode("found").alias("at", "mention")).withColumn("type", type_of(F.col("mention")))
+    texts = cut(with_untitled(texts))
+    mentions = texts.select("blob", "givens", F.posexplode("found").alias("at", "mention")).withColumn("type", type_of(F.col("mention")))
     parts = cut(
         mentions.select(
             "blob", "at", "mention", F.col("type").alias("kind"),
-            F.posexplode(parts_of(F.col("mention"), F.col("type"))).alias("part", "entity"),
-        ).select("blob", "at", "mention", "kind", "part", "entity.type", "entity.form")
+            F.posexplode(parts_of(F.col("mention"), F.col("type"), F.col("givens"))).alias("part", "entity"),
+        ).select("blob", "at", "mention", "kind", "part", "entity.type", "entity.form", "entity.gender")
     )
-    surrogates = give_surrogates(cut(parts.select("type", "form").distinct()), key)
+    entities = parts.groupBy("type", "form").agg(F.signum(F.sum("gender")).cast("int").alias("gender"))
+    surrogates = give_surrogates(cut(entities), key)
     # a mention has at most two parts, a text's mentions are bounded by its length
-    subs = parts.join(surrogates, ["type", "form"]).groupBy("blob", "at", "mention", "kind").agg(
+    subs = parts.drop("gender").join(surrogates, ["type", "form"]).groupBy("blob", "at", "mention", "kind").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("part", "surrogate"))), lambda x: x["surrogate"]).alias("subs")
     )
     written = subs.select(

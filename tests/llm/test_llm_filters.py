@@ -171,6 +171,38 @@ def test_surrogates_of_other_formats(spark):
     assert got[11]["text"] == old[11]
 
 
+NAMES = [
+    (1, "Dr Maria Lopez called. Mrs. Maria Lopez came. Maria Lopez said: Maria's car is Lopez’s, not Mariana's. María"),
+    (2, "Prof Maria Stern and Herr Jean-Luc Stern's dog; Jean-Luc, Stern. a@x.org Dr Maria. 1"),
+    (3, "Maria Lopez without a title"),
+    (4, "Herr Andrea Rossi"), (5, "Mr Andrea Rossi"), (6, "Frau Andrea Rossi"),
+    (7, "Frau Иванова пришла. Иванова, Иванов."),
+    (8, "Dr Rossi, then plain Rossi and rossi and xRossi"),
+]
+
+
+def test_names_keep_their_surrogate(spark):
+    docs = spark.createDataFrame(NAMES, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.replace_entities(docs, "k").collect()}
+    text = {k: r["text"] for k, r in got.items()}
+    maria, lopez = re.match(r"Dr (\w+) (\w+) called", text[1]).groups()
+    assert maria.endswith("a") and (maria, lopez) != ("Maria", "Lopez")
+    assert text[1] == dict(NAMES)[1].replace("Mariana", "\0").replace("Maria", maria).replace("Lopez", lopez).replace("\0", "Mariana")
+    assert [e["surrogate"] for e in got[1]["entities"]] == [
+        f"Dr {maria} {lopez}", f"Mrs. {maria} {lopez}", f"{maria} {lopez}", maria, lopez,
+    ]
+    assert {e["type"] for e in got[1]["entities"]} == {"name"} and got[1]["n_entities"] == 5
+    stern, jean = re.match(rf"Prof {maria} (\w+) and Herr (\w+-\w+) ", text[2]).groups()
+    mail = next(e["surrogate"] for e in got[2]["entities"] if e["type"] == "email")
+    assert text[2] == f"Prof {maria} {stern} and Herr {jean} {stern}'s dog; {jean}, {stern}. {mail} Dr {maria}. 1"
+    assert text[3] == dict(NAMES)[3]  # a name is found after a title only
+    assert len({text[k].split()[1] for k in (4, 5, 6)}) == 1 and text[4].split()[1][-1] not in "aeiou"
+    woman = text[7].split()[1]
+    assert text[7] == f"Frau {woman} пришла. {woman}, Иванов." and woman != "Иванова"
+    rossi = text[4].split()[2]
+    assert text[8] == f"Dr {rossi}, then plain {rossi} and rossi and xRossi"
+
+
 def test_entity_test_equals_the_whole_pattern(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").select("text")
     docs = docs.unionByName(spark.createDataFrame([(t,) for _, t in PRIVATE], "text string"))
