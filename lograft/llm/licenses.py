@@ -1,11 +1,14 @@
 """License scans: sparse TF-IDF cosine to templates, then inheritance by path (operator 8).
 
-Every line of a file may be its header, and a licence file is compared as a whole too.
-Terms are words, weighted by their count and inverse document frequency over all files;
+Every line of a file may be its header, and a licence file is compared as a whole too. So
+that notices wrapped over lines, or inside a longer line, are found, each template is also
+compared with every window of as many consecutive words as it has (the whole file, if that
+is shorter). Terms are words, weighted by their count and inverse document frequency over all files;
 words that no template has count as if one file had them. Per line only the templates'
 terms are looked up, which gives each template's product and a bound on its cosine; the
-lines whose bound reaches the threshold get their exact cosine. A file's licence is the
-best template's.
+lines and windows whose bound reaches the threshold get their exact cosine. Files without
+enough of a template's terms to reach it have no windows. A file's licence is the best
+template's; "All rights reserved" names no licence, so it stands only where none is found.
 
 A file without one takes the licence of the nearest directory above it that has a licence
 file: each distinct directory is joined to its ancestors' licences, the deepest is kept,
@@ -27,16 +30,62 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lograft.llm.shared import cut, join_hot
-from lograft.llm.spans import TextBatch, chunks
+from lograft.llm.spans import TextBatch, chunks, ragged
 
 THRESHOLD = 0.75
 NEWLINE = 0x0A
-
-# Licences and the notices that stand for them (fixed values, public texts).
+WINDOW_WORDS = 1 << 20  # of the windows compared at once
+
+_AS_IS = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. '
+    "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_NO_ENDORSEMENT = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+)
+_MIT = (
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: '
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. '
+    "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. '
+    "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_GNU = (
+    "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} License as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+)
+NO_LICENCE = "Proprietary"
+
+# Licences and the notices that stand for them (fixed values, public texts). The long texts of Apache, GNU,
+# Mozilla and Creative Commons are known by the notice or title that they hold themselves.
 TEMPLATES = (
+    ("MIT", _MIT),
+    ("BSD-3-Clause", _BSD + _NO_ENDORSEMENT + _AS_IS),
+    ("BSD-2-Clause", _BSD + _AS_IS),
+    ("ISC", _ISC),
+    ("GPL-2.0", _GNU.format(what="program", name="General Public", version="2")),
+    ("GPL-3.0", _GNU.format(what="program", name="General Public", version="3")),
+    ("LGPL-2.1", _GNU.format(what="library", name="Lesser General Public", version="2.1")),
+    ("LGPL-3.0", _GNU.format(what="program", name="Lesser General Public", version="3")),
+    ("AGPL-3.0", _GNU.format(what="program", name="Affero General Public", version="3")),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("CC0-1.0", "Creative Commons CC0 1.0 Universal"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
     ("MIT", "Released under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version."),
@@ -49,7 +98,7 @@ TEMPLATES = (
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC0-1.0", "Released under CC0 1.0 Universal."),
-    ("Proprietary", "All rights reserved."),
+    (NO_LICENCE, "All rights reserved."),
 )
 
 
@@ -76,6 +125,9 @@ class Templates:
         self.terms = np.unique(words.names)
         self.counts = np.zeros((len(self.terms), len(templates)))
         np.add.at(self.counts, (np.searchsorted(self.terms, words.names), words.doc), 1)
+        self.sizes = self.counts.sum(axis=0).astype(np.int64)
+        #: Templates of a licence come before those that name none, whatever their scores.
+        self.last = np.array([name == NO_LICENCE for name in self.licences], dtype=bool)
 
     def number(self, names: np.ndarray) -> np.ndarray:
         """The number of each word among the terms, -1 for other words."""
@@ -123,6 +175,52 @@ class Templates:
         which[at[hit]], score[at[hit]] = top[hit], value[hit]
         return which, score
 
+    def windows(self, names: np.ndarray, doc: np.ndarray, n: int, threshold: float) -> list[tuple[int, int, float]]:
+        """``template, document, cosine`` of the best window of each of ``n`` documents, where it reaches the
+        threshold. ``doc``: the document of every word, in order."""
+        out: list[tuple[int, int, float]] = []
+        term = self.number(names)
+        known = term >= 0
+        begins = np.searchsorted(doc, np.arange(n + 1))
+        has = np.zeros((n, len(self.terms)), dtype=np.float32)
+        has[doc[known], term[known]] = 1
+        # no window has more of a template's terms than its document
+        reach = has @ (self.unit**2).astype(np.float32) >= threshold**2 - 1e-4
+        weight = np.where(known, self.idf[term], self.other)
+        for t in np.flatnonzero(reach.any(axis=0)):
+            docs, size = np.flatnonzero(reach[:, t]), int(self.sizes[t])
+            lengths = begins[docs + 1] - begins[docs]
+            words = ragged(begins[docs], lengths)
+            product = np.concatenate(([0.0], np.cumsum(np.where(known[words], weight[words] * self.unit[term[words], t], 0.0))))
+            # at least the square of the length: words that come again count more
+            square = np.concatenate(([0.0], np.cumsum(weight[words] ** 2)))
+            count = np.maximum(lengths - size, 0) + 1
+            start = ragged(np.cumsum(lengths) - lengths, count)
+            end = start + np.repeat(np.minimum(lengths, size), count)
+            bound = (product[end] - product[start]) / np.sqrt(np.maximum(square[end] - square[start], 1e-12))
+            likely = np.flatnonzero(bound >= threshold - 1e-6)
+            of = np.repeat(docs, count)
+            step = max(1, WINDOW_WORDS // size)
+            best = np.zeros(n)
+            for k in range(0, len(likely), step):
+                at = likely[k : k + step]
+                width = end[at] - start[at]
+                unit = np.repeat(np.arange(len(at)), width)
+                word = words[ragged(start[at], width)]
+                # equal words of a window stand together
+                order = np.lexsort((names[word], unit))
+                unit, word = unit[order], word[order]
+                new = np.ones(len(word), dtype=bool)
+                new[1:] = (unit[1:] != unit[:-1]) | (names[word[1:]] != names[word[:-1]])
+                first = np.flatnonzero(new)
+                tf = np.diff(np.append(first, len(word)))
+                unit, word = unit[first], word[first]
+                length = np.bincount(unit, weights=(tf * weight[word]) ** 2, minlength=len(at))
+                score = np.bincount(unit, weights=np.where(known[word], tf * weight[word] * self.unit[term[word], t], 0.0), minlength=len(at))
+                np.maximum.at(best, of[at], score / np.sqrt(length))
+            out += [(int(t), int(d), float(best[d])) for d in np.flatnonzero(best >= threshold)]
+        return out
+
 
 def _frequencies(files: DataFrame, templates: Templates, text_col: str) -> tuple[int, np.ndarray]:
     """How many files there are, and how many hold each term: counted in the tasks, then by term."""
@@ -172,13 +270,15 @@ def own_licences(
             for i, j in chunks(texts):
                 words, n = Words(texts[i:j]), j - i
                 which, score = model.best(words.names, words.line, len(words.doc_of_line), threshold)
-                found = [(-s, w, d) for s, w, d in zip(score, which, words.doc_of_line, strict=True) if w >= 0]
+                found = [(w, d, s) for s, w, d in zip(score, which, words.doc_of_line, strict=True) if w >= 0]
                 if any(whole[i:j]):
                     all_which, all_score = model.best(words.names, words.doc, n, threshold)
-                    found += [(-all_score[d], all_which[d], d) for d in range(n) if whole[i + d] and all_which[d] >= 0]
+                    found += [(all_which[d], d, all_score[d]) for d in range(n) if whole[i + d] and all_which[d] >= 0]
+                found += model.windows(words.names, words.doc, n, threshold)
                 own, best = [None] * n, [0.0] * n
-                for s, w, d in sorted(found, reverse=True):
-                    own[d], best[d] = model.licences[w], float(-s)
+                # the best comes last; equal scores are equal to nine digits
+                for w, d, s in sorted(found, key=lambda f: (model.last[f[0]], -round(f[2], 9), f[0]), reverse=True):
+                    own[d], best[d] = model.licences[w], float(s)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(b.column(c)[i:j] for c in ("id", "path", "is_licence_file")),

@@ -241,6 +241,53 @@ def test_licences_and_inheritance(spark):
     assert licenses.scan(files.limit(0), F.col("path").endswith("LICENSE")).count() == 0
 
 
+def test_notices_in_several_lines_or_inside_one(spark):
+    bsd = " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions are met:\n"
+    mit = ["// Permission is hereby granted, free of charge, to any person obtaining a copy", "// of this software and associated documentation files, to deal",
+           "// in the Software without restriction."]
+    gnu = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU {}General Public License as published by\n# the Free Software Foundation, either version {} of the License, or\n# (at your option) any later version.\n"
+    code = "import os\nfor x in range(9):\n    print(x)\n" * 200
+    rows = {
+        1: ("BSD-3-Clause", f"/*\n * Copyright 2020 Acme Inc. All rights reserved.\n *\n{bsd} */\n{code}"),
+        2: ("MIT", code + "\n".join(mit) + "\n" + code),
+        3: ("GPL-3.0", gnu.format("", "3") + code), 4: ("GPL-2.0", gnu.format("", "2") + code),
+        5: ("LGPL-3.0", gnu.format("Lesser ", "3") + code), 6: ("AGPL-3.0", gnu.format("Affero ", "3") + code),
+        7: ("MIT", "This file is part of foo. Licensed under the MIT License. See LICENSE for details."),
+        8: ("Proprietary", f"Copyright 2020 Acme Inc. All rights reserved.\n{code}"),
+        9: ("MIT", "MIT License\n\nCopyright (c) 2020 Jo Doe\n\n" + "\n".join(licenses._MIT[i : i + 75] for i in range(0, len(licenses._MIT), 75))),
+        10: ("BSD-2-Clause", f"Copyright (c) 2020, Acme\nAll rights reserved.\n\n{licenses._BSD}\n{licenses._AS_IS}\n"),
+        11: ("BSD-3-Clause", f"Copyright (c) 2020, Acme\n\n{licenses._BSD}\n{licenses._NO_ENDORSEMENT}\n{licenses._AS_IS}\n"),
+        12: (None, code), 13: (None, "permission to modify the software and other words under the terms of use " * 50), 14: (None, None),
+        15: ("MIT", "Jo wrote this file in 2020. Licensed under the MIT License. See LICENSE for details."),
+    }
+    files = spark.createDataFrame([(k, f"d{k}/{'LICENSE' if k > 8 else 'f.py'}", t) for k, (_, t) in rows.items()], "doc_id long, path string, text string")
+    got = {r["id"]: (r["licence"], r["score"]) for r in licenses.scan(files, F.col("path").endswith("LICENSE")).collect()}
+    assert {k: v for k, (v, _) in got.items()} == {k: v for k, (v, _) in rows.items()}
+    assert all(got[k][1] > 0.99 for k in (1, 3, 4, 5, 6, 7, 8, 10, 11, 15))
+
+
+def test_windows_by_hand():
+    import numpy as np
+
+    model = licenses.Templates([("A", "one two three two"), ("B", "five six")])
+    model.weigh(100, np.arange(len(model.terms)) * 7.0)
+    texts = ["x one two three two y", "", "five", "one two two two three five x six", "x y z " * 9 + "two one two three"]
+    words = licenses.Words(texts)
+    got = {(t, d): s for t, d, s in model.windows(words.names, words.doc, len(texts), 0.3)}
+    for d in range(len(texts)):
+        own = words.names[words.doc == d]
+        for t in range(2):
+            size, best = int(model.sizes[t]), 0.0
+            for k in range(max(len(own) - size, 0) + 1):
+                part = own[k : k + size]
+                if len(part):
+                    kinds, tf = np.unique(part, return_counts=True)
+                    term = model.number(kinds)
+                    w = tf * np.where(term >= 0, model.idf[term], model.other)
+                    best = max(best, float((w * np.where(term >= 0, model.unit[term, t], 0)).sum() / np.sqrt((w**2).sum())))
+            assert got.get((t, d), 0) == pytest.approx(best if best >= 0.3 else 0, abs=1e-9)
+
+
 def test_cosine_by_hand():
     import math
 
