@@ -161,7 +161,7 @@ def viterbi(score: np.ndarray, per_text: np.ndarray, penalty: float) -> np.ndarr
     begin = (np.cumsum(per_text) - per_text)[order]
     longest = int(sizes[0]) if len(sizes) else 0
     active = np.searchsorted(-sizes, -np.arange(longest), side="left")  # texts longer than t
-    came = np.zeros((len(score), n_labels), dtype=np.uint8)
+    came = np.zeros((len(score), n_labels), dtype=np.min_scalar_type(n_labels - 1))
     best = score[begin[: active[0]]].astype(np.float64)
     last = np.zeros(active[0], dtype=np.int64)
     for t in range(1, longest):

@@ -22,6 +22,14 @@ def test_viterbi_is_the_best_path():
             at += n
 
 
+def test_viterbi_with_many_labels():
+    """Pointers to labels beyond 255: each text changes once, from one high label to another."""
+    score = np.zeros((8, 300))
+    score[[0, 1, 2, 3], [299, 299, 256, 256]] = score[[4, 5, 6, 7], [255, 255, 298, 298]] = 9
+    got = language.viterbi(score, np.array([4, 4]), 2.0)
+    assert got.tolist() == [299, 299, 256, 256, 255, 255, 298, 298]
+
+
 def test_held_out_accuracy(spark):
     found = {r["doc_id"]: r for r in op6_language(spark, SF001).collect()}
     docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "lang").collect()
