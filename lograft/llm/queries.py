@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lograft.llm import bpe, embed_dedup, language, licenses, ngram_join, packing, pii, secret_scan, topk, url_filter
+from lograft.llm import (
+    bpe, chat_format, conversation_repair, embed_dedup, language, licenses, ngram_join, packing, pii, secret_scan, spelling,
+    topk, url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +87,24 @@ def op10_embed_dedup(spark: SparkSession, root: str) -> DataFrame:
     return embed_dedup.link_vectors(_table(spark, root, "embeddings"))
 
 
+def op11_conversation_repair(spark: SparkSession, root: str) -> DataFrame:
+    """Every conversation, damaged, with what its cheapest repair is and does."""
+    conversations = _table(spark, root, "conversations")
+    repaired = conversation_repair.repair(conversation_repair.damage(conversations))
+    return conversation_repair.digests(repaired, conversations)
+
+
+def op12_chat_format(spark: SparkSession, root: str) -> DataFrame:
+    """Every conversation, formatted, as it is read back from ids and loss mask."""
+    conversations = chat_format.with_control(spark, _table(spark, root, "conversations"))
+    return chat_format.digests(chat_format.format_turns(conversations, vocabulary_path()), vocabulary_path())
+
+
+def op13_spelling(spark: SparkSession, root: str) -> DataFrame:
+    """Every word of seven code points or more that occurs twice, its near words and the form it stands for."""
+    return spelling.group_variants(spelling.words_of(_table(spark, root, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
@@ -95,6 +116,9 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_topk": op9_topk,
     "op10_embed_dedup": op10_embed_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_chat_format": op12_chat_format,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE: dict[str, str] = {
