@@ -112,9 +112,12 @@ def with_identity(parsed: DataFrame, path_col: str = "path") -> DataFrame:
     """The application of every line by its file's path, else by the ids in its text; with the
     attempt and container that the path names (``''`` where it names none).
 
-    Lines of the documented format name no application themselves: the path does.
+    Lines of the documented format name no application themselves: the path does. It is matched
+    once per line, behind a generator of one row.
     """
-    of_file = file_identity(path_col)
+    names = F.struct(extract(path_col, P.APP_IN_PATH).alias("_app"), extract(path_col, P.CONTAINER).alias("_container"))
+    parsed = parsed.select("*", F.inline(F.array(names)))
+    of_file = _identity(F.col("_app"), F.col("_container"))
     app = F.when(of_file["file_application_id"] != "", of_file["file_application_id"]).otherwise(F.col("application_id"))
     return parsed.withColumns(
         {
@@ -122,20 +125,20 @@ def with_identity(parsed: DataFrame, path_col: str = "path") -> DataFrame:
             "application_id": app,
             "cluster_id": extract(app, P.CLUSTER_IN_APP),
         }
-    )
+    ).drop("_app", "_container")
 
 
 def file_identity(path: str | Column) -> dict[str, Column]:
     """Application, container, attempt and role from a log file path."""
-    p = _c(path)
-    container = extract(p, P.CONTAINER)
-    number = extract(p, P.CONTAINER_PARTS, 4)
+    return _identity(extract(path, P.APP_IN_PATH), extract(path, P.CONTAINER))
+
+
+def _identity(app: Column, container: Column) -> dict[str, Column]:
+    number = F.split_part(container, F.lit("_"), F.lit(5))
     return {
-        "file_application_id": F.when(extract(p, P.APP_IN_PATH) == "", F.lit("")).otherwise(
-            F.concat(F.lit("application_"), extract(p, P.APP_IN_PATH))
-        ),
+        "file_application_id": F.when(app == "", F.lit("")).otherwise(F.concat(F.lit("application_"), app)),
         "container_id": container,
-        "attempt": extract(p, P.CONTAINER_PARTS, 3),
+        "attempt": F.split_part(container, F.lit("_"), F.lit(4)),
         "container_number": number,
         "container_role": F.when(container == "", F.lit(None))
         .when(number == P.AM_CONTAINER, F.lit("AM"))

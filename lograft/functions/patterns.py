@@ -45,6 +45,7 @@ BLOCK_ADDED = (
     r"\(size: ([\d.]+) ([KMGT]?B), free: ([\d.]+) ([KMGT]?B)\)"
 )
 BLOCK_LOCAL = r"Found block rdd_(\d+)_(\d+) locally"
+RDD_BLOCK = r"(Found block|Block) rdd_(\d+)_\S+ (?:locally|stored as .* \(estimated size [\d.]+ [KMGT]?B, free [\d.]+ [KMGT]?B\))"
 
 # --- fixed values: text that every line of a message format contains -------
 MARKERS = {
@@ -58,6 +59,7 @@ MARKERS = {
     BROADCAST_READ: ("Started reading broadcast variable",),
     BLOCK_ADDED: ("Added ",),
     BLOCK_LOCAL: ("Found block rdd_",),
+    RDD_BLOCK: ("Found block rdd_", "Block rdd_"),
 }
 
 # --- fixed values: size units (powers of 1024) ----------------------------

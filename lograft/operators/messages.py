@@ -1,7 +1,8 @@
 """Typed columns from documented message formats, and the queries on top.
 
 Each extractor tests a cheap substring first, then matches the line once: the match's
-groups become an array, from which the columns are taken. The application of a line is
+groups become an array behind a generator of one row, which neither the filter on it nor
+the columns taken from it are merged into. The application of a line is
 the column ``application_id``, whether it comes from the text or from the file's path
 (``functions.parse.with_identity``); with an ``attempt`` column, tasks are told apart by
 attempt too, since their ids start anew with each.
@@ -20,7 +21,7 @@ from lograft.functions.parse import size_to_bytes
 _MARK = "\x01"
 
 
-def _matched(parsed: DataFrame, pattern: str, line_col: str) -> DataFrame:
+def matched(parsed: DataFrame, pattern: str, line_col: str) -> DataFrame:
     """The lines that match a message format, with its groups as array ``_g`` (``_g[1]`` is the
     first; a group that took no part is ``''``)."""
     line = F.col(line_col)
@@ -29,16 +30,16 @@ def _matched(parsed: DataFrame, pattern: str, line_col: str) -> DataFrame:
         likely = likely | line.contains(marker)
     n = re.compile(pattern).groups
     groups = F.regexp_replace(line, f"(?s)^.*?{pattern}.*$", "".join(f"{_MARK}${i}" for i in range(1, n + 1)))
-    rows = parsed.filter(likely).withColumn("_g", F.split(groups, _MARK))
+    rows = parsed.filter(likely).select("*", F.explode(F.array(F.split(groups, _MARK))).alias("_g"))
     return rows.filter(F.size("_g") == n + 1)
 
 
-def _text(i: int) -> Column:
+def text(i: int) -> Column:
     return F.col("_g")[i]
 
 
-def _num(i: int, to: str = "bigint") -> Column:
-    return _text(i).try_cast(to)
+def num(i: int, to: str = "bigint") -> Column:
+    return text(i).try_cast(to)
 
 
 def _ids(parsed: DataFrame) -> list[str]:
@@ -47,13 +48,13 @@ def _ids(parsed: DataFrame) -> list[str]:
 
 # ---------------------------------------------------------------- X1
 def executor_requests(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    rows = _matched(parsed, P.EXECUTOR_REQUEST, line_col)
+    rows = matched(parsed, P.EXECUTOR_REQUEST, line_col)
     return rows.select(
         "application_id",
-        _num(1).alias("executors"),
-        _num(2).alias("cores"),
-        _num(3).alias("memory_mb"),
-        _num(4).alias("overhead_mb"),
+        num(1).alias("executors"),
+        num(2).alias("cores"),
+        num(3).alias("memory_mb"),
+        num(4).alias("overhead_mb"),
     )
 
 
@@ -71,8 +72,8 @@ def requested_resources(requests: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X2
 def container_requests(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    rows = _matched(parsed, P.CONTAINER_REQUEST, line_col)
-    return rows.select("application_id", _text(1).alias("host"), _num(2).alias("memory_mb"), _num(3).alias("vcores"))
+    rows = matched(parsed, P.CONTAINER_REQUEST, line_col)
+    return rows.select("application_id", text(1).alias("host"), num(2).alias("memory_mb"), num(3).alias("vcores"))
 
 
 def requests_per_host(requests: DataFrame) -> DataFrame:
@@ -86,14 +87,16 @@ def requests_per_host(requests: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- X3, J2, J4
 def task_events(parsed: DataFrame, line_col: str = "line") -> DataFrame:
     """One row per ``Running task`` / ``Finished task`` line."""
-    rows = _matched(parsed, P.TASK_LINE, line_col)
+    rows = matched(parsed, P.TASK_LINE, line_col)
     return rows.select(
         *_ids(parsed),
-        F.lower(_text(1)).alias("kind"),
-        _num(6).alias("tid"),
-        _num(4, "int").alias("stage_id"),
-        _num(2, "int").alias("task_index"),
-        _num(7).alias("result_bytes"),
+        F.lower(text(1)).alias("kind"),
+        num(6).alias("tid"),
+        num(4, "int").alias("stage_id"),
+        num(5, "int").alias("stage_attempt"),
+        num(2, "int").alias("task_index"),
+        num(3, "int").alias("task_attempt"),
+        num(7).alias("result_bytes"),
         "event_time",
     )
 
@@ -134,6 +137,52 @@ def unfinished_tasks(events: DataFrame) -> DataFrame:
     return t.select(*_ids(t), "tid", "stage_id", "start_time")
 
 
+def task_attempts(events: DataFrame) -> DataFrame:
+    """Every try of every task (X3): the tries of one task (application, container attempt, stage,
+    stage attempt, index) in order of their attempt number, each with the next one's start.
+
+    One exchange keyed by the task serves the aggregate (start and finish line of a try) and the window.
+    """
+    task = [*_ids(events), "stage_id", "stage_attempt", "task_index"]
+    is_run, is_fin = F.col("kind") == "running", F.col("kind") == "finished"
+    known = events.filter((F.col("application_id") != "") & F.col("tid").isNotNull())
+    tries = known.repartition(*task).groupBy(*task, "task_attempt", "tid").agg(
+        F.min(F.when(is_run, F.col("event_time"))).alias("start_time"),
+        F.max(F.when(is_fin, F.col("event_time"))).alias("end_time"),
+        F.bool_or(is_fin).alias("finished"),
+    )
+    order = Window.partitionBy(*task).orderBy("task_attempt", F.col("start_time").asc_nulls_first(), "tid")
+    upto = order.rowsBetween(Window.unboundedPreceding, -1)
+    return tries.withColumns(
+        {
+            "next_start": F.lead("start_time").over(order),
+            "done_before": F.coalesce(F.bool_or("finished").over(upto), F.lit(False)),
+        }
+    )
+
+
+def task_retries(events: DataFrame) -> DataFrame:
+    """Tasks that were tried more than once (X3): tries, finished ones, the attempt that first
+    succeeded, whether only a later one did, and the time lost in those before it.
+
+    A try that did not succeed lasted until its task's next try began; where that is unknown, or
+    times run backwards, it counts no time. Tries after the first success lost nothing.
+    """
+    tries = task_attempts(events)
+    task = [*_ids(events), "stage_id", "stage_attempt", "task_index"]
+    lost = F.greatest(F.expr("timestampdiff(SECOND, start_time, next_start)"), F.lit(0))
+    grouped = tries.groupBy(*task).agg(
+        F.count(F.lit(1)).alias("num_attempts"),
+        F.count_if("finished").alias("finished_attempts"),
+        F.max("task_attempt").alias("last_attempt"),
+        F.min(F.when(F.col("finished"), F.col("task_attempt"))).alias("succeeded_on"),
+        F.bool_or(~F.col("finished") & ~F.col("done_before")).alias("_failed"),
+        F.coalesce(F.sum(F.when(~F.col("finished") & ~F.col("done_before"), lost)), F.lit(0)).alias("lost_sec"),
+    )
+    recovered = F.col("_failed") & F.col("succeeded_on").isNotNull()
+    return grouped.filter("num_attempts > 1").withColumn("recovered", recovered).drop("_failed")
+
+
 def stage_skew(durations: DataFrame, threshold: float = 2.0) -> DataFrame:
     """Duration spread per stage (X11): max, median, p95, max/median, skew flag.
 
@@ -167,8 +216,8 @@ def slow_tasks(durations: DataFrame, k: int = 10) -> DataFrame:
 
 # ---------------------------------------------------------------- X4
 def input_splits(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    rows = _matched(parsed, P.INPUT_SPLIT, line_col)
-    return rows.select("application_id", _text(1).alias("uri"), _num(2).alias("offset"), _num(3).alias("length"))
+    rows = matched(parsed, P.INPUT_SPLIT, line_col)
+    return rows.select("application_id", text(1).alias("uri"), num(2).alias("offset"), num(3).alias("length"))
 
 
 def bytes_per_input(splits: DataFrame) -> DataFrame:
@@ -182,9 +231,9 @@ def bytes_per_input(splits: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X5
 def python_times(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    rows = _matched(parsed, P.PYTHON_TIMES, line_col)
+    rows = matched(parsed, P.PYTHON_TIMES, line_col)
     names = ["total_ms", "boot_ms", "init_ms", "finish_ms"]
-    return rows.select("application_id", *[_num(i).alias(n) for i, n in enumerate(names, 1)])
+    return rows.select("application_id", *[num(i).alias(n) for i, n in enumerate(names, 1)])
 
 
 def python_time_stats(times: DataFrame) -> DataFrame:
@@ -200,8 +249,8 @@ def python_time_stats(times: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X6
 def memory_capacity(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    rows = _matched(parsed, P.MEMORY_STORE, line_col)
-    return rows.select("application_id", size_to_bytes(_text(1), _text(2)).alias("capacity_bytes"))
+    rows = matched(parsed, P.MEMORY_STORE, line_col)
+    return rows.select("application_id", size_to_bytes(text(1), text(2)).alias("capacity_bytes"))
 
 
 def capacity_per_app(capacity: DataFrame) -> DataFrame:
@@ -214,13 +263,13 @@ def capacity_per_app(capacity: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X7
 def stored_blocks(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    rows = _matched(parsed, P.BLOCK_STORED, line_col)
+    rows = matched(parsed, P.BLOCK_STORED, line_col)
     return rows.select(
         "application_id",
-        _text(1).alias("block"),
-        _text(2).alias("kind"),
-        size_to_bytes(_text(3), _text(4)).alias("size_bytes"),
-        size_to_bytes(_text(5), _text(6)).alias("free_bytes"),
+        text(1).alias("block"),
+        text(2).alias("kind"),
+        size_to_bytes(text(3), text(4)).alias("size_bytes"),
+        size_to_bytes(text(5), text(6)).alias("free_bytes"),
     )
 
 
@@ -235,8 +284,8 @@ def cached_bytes_per_kind(blocks: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X8
 def broadcast_reads(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    rows = _matched(parsed, P.BROADCAST_READ, line_col)
-    return rows.select("application_id", _num(1).alias("broadcast_id"))
+    rows = matched(parsed, P.BROADCAST_READ, line_col)
+    return rows.select("application_id", num(1).alias("broadcast_id"))
 
 
 def broadcast_reads_per_app(reads: DataFrame) -> DataFrame:
@@ -248,13 +297,13 @@ def broadcast_reads_per_app(reads: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- X9
 def added_blocks(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    rows = _matched(parsed, P.BLOCK_ADDED, line_col)
+    rows = matched(parsed, P.BLOCK_ADDED, line_col)
     return rows.select(
         "application_id",
-        _text(1).alias("block"),
-        _text(2).alias("host"),
-        _num(3, "int").alias("port"),
-        size_to_bytes(_text(4), _text(5)).alias("size_bytes"),
+        text(1).alias("block"),
+        text(2).alias("host"),
+        num(3, "int").alias("port"),
+        size_to_bytes(text(4), text(5)).alias("size_bytes"),
     )
 
 
@@ -266,8 +315,8 @@ def blocks_per_host(blocks: DataFrame) -> DataFrame:
 
 
 def local_block_hits(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    rows = _matched(parsed, P.BLOCK_LOCAL, line_col)
-    return rows.select("application_id", _num(1).alias("rdd_id"), _num(2).alias("partition"))
+    rows = matched(parsed, P.BLOCK_LOCAL, line_col)
+    return rows.select("application_id", num(1).alias("rdd_id"), num(2).alias("partition"))
 
 
 def local_hits_per_rdd(hits: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lograft.functions.parse import app_number, cluster_start
 from lograft.operators.ordered import previous_row, running_totals
+from lograft.session import materialize
 
 
 def app_timeline(parsed: DataFrame) -> DataFrame:
@@ -182,6 +183,100 @@ def app_overlap_counts(timeline: DataFrame, units: dict[str, str] = UNITS) -> Da
     )
 
 
+# Order buckets of epoch seconds and of their negatives, fine to coarse.
+SECONDS = {"_minute": 60, "_day": 86_400}
+
+
+def _swept_best(points: DataFrame, keys: list[str], widths: dict[str, int]) -> DataFrame:
+    """The query points of a sweep with ``best``: the least ``val`` among the data points before them.
+    ``points``: ``keys, t`` (whole number), ``prio`` (order at one ``t``), ``val`` (null for a query), ``q`` (null for data)."""
+    rows = points.withColumns({name: F.floor(F.col("t") / F.lit(w)).cast("bigint") for name, w in widths.items()})
+    order = [F.col("t"), F.col("prio"), F.col("q.application_id")]
+    return running_totals(rows, keys, order, list(widths), {"best": "val"}, "min").filter("q is not null")
+
+
+def longest_overlap(timeline: DataFrame, widths: dict[str, int] = SECONDS) -> DataFrame:
+    """For each application, the other one of its cluster that overlaps it longest (J6): ``partner_id,
+    overlap_sec``, both NULL where none does.
+
+    Intervals are closed (one common instant is an overlap of 0 seconds); of equal overlaps the partner
+    that ends last wins, then the least id. For an application ``a`` the others fall into three cases, each
+    answered by the best one before a point of a sweep, so that no pair of applications is ever made:
+
+    * ``b.start <= a.start``: the latest ``b.end`` in the order of starts;
+    * ``b.start > a.start`` and ``b.end > a.end``: the earliest ``b.start`` in the reverse order of ends;
+    * ``b`` inside ``a``: the longest ``b``. Its start lies in ``(a.start, a.end]``, which is cut into at
+      most two dyadic intervals of each size; ``b`` stands in one of each size. Within one such interval
+      it is the longest ``b`` in the order of ends. An application has so some ``3 log2(longest duration)``
+      points, however many others it overlaps.
+
+    The sweeps are bucketed (``ordered.running_totals``): no task holds more than a minute's points of a
+    cluster or of a dyadic interval. Times are whole seconds, as in the log format.
+    """
+    seconds = lambda c: F.unix_seconds(F.col(c).cast("timestamp")).cast("bigint")
+    apps = materialize(
+        timeline.select("cluster_id", "application_id", seconds("start_time").alias("s"), seconds("end_time").alias("e"))
+    )
+    me = F.struct("application_id", "s", "e")
+    nobody = F.lit(None).cast("struct<application_id:string,s:bigint,e:bigint>")
+
+    def data(val):
+        return val.alias("val"), nobody.alias("q")
+
+    def candidates(found, partner, overlap, end, where):
+        """Of each query its candidate: the longest first, then the latest end, then the id."""
+        best = F.struct((-overlap).alias("less"), (-end).alias("early"), partner.alias("id"))
+        return found.filter(where).select("cluster_id", "q.application_id", best.alias("found"))
+
+    # b.start < a.start; those that start in the same second apart, without a itself
+    ends_last = F.struct((-F.col("e")).alias("early"), F.col("application_id").alias("id"))
+    none = F.lit(None).cast("struct<early:bigint,id:string>")
+    points = apps.select("cluster_id", F.col("s").alias("t"), F.lit(1).alias("prio"), *data(ends_last)).unionByName(
+        apps.select("cluster_id", F.col("s").alias("t"), F.lit(0).alias("prio"), none.alias("val"), me.alias("q"))
+    )
+    end = -F.col("best.early")
+    before = candidates(
+        _swept_best(points, ["cluster_id"], widths), F.col("best.id"), F.least("q.e", end) - F.col("q.s"), end, end >= F.col("q.s")
+    )
+    together = Window.partitionBy("cluster_id", "s").orderBy(F.desc("e"), F.asc("application_id"))
+    first, second = F.first(ends_last).over(together), F.lead(ends_last).over(together)
+    same = apps.withColumn("best", F.when(F.row_number().over(together) == 1, second).otherwise(first)).withColumn("q", me)
+    same = candidates(same, F.col("best.id"), F.least("q.e", end) - F.col("q.s"), end, F.col("best").isNotNull())
+
+    # b.end > a.end and a.start < b.start <= a.end
+    starts_first = F.struct("s", (-F.col("e")).alias("early"), F.col("application_id").alias("id"))
+    none = F.lit(None).cast("struct<s:bigint,early:bigint,id:string>")
+    points = apps.select("cluster_id", (-F.col("e")).alias("t"), F.lit(1).alias("prio"), *data(starts_first)).unionByName(
+        apps.select("cluster_id", (-F.col("e")).alias("t"), F.lit(0).alias("prio"), none.alias("val"), me.alias("q"))
+    )
+    start = F.col("best.s")
+    after = candidates(
+        _swept_best(points, ["cluster_id"], widths), F.col("best.id"), F.col("q.e") - start, -F.col("best.early"),
+        (start > F.col("q.s")) & (start <= F.col("q.e")),
+    )
+
+    # a.start < b.start and b.end <= a.end
+    longest = apps.agg(F.max(F.col("e") - F.col("s"))).first()[0] or 0
+    level = F.explode(F.sequence(F.lit(0), F.lit(max(1, int(longest).bit_length())))).alias("level")
+    length = F.struct((F.col("s") - F.col("e")).alias("less"), (-F.col("e")).alias("early"), F.col("application_id").alias("id"))
+    none = F.lit(None).cast("struct<less:bigint,early:bigint,id:string>")
+    inside = apps.select("cluster_id", F.col("s"), F.col("e").alias("t"), F.lit(0).alias("prio"), *data(length), level)
+    inside = inside.withColumn("node", F.expr("shiftright(s, level)")).drop("s")
+    asked = apps.select("cluster_id", F.col("e").alias("t"), F.lit(1).alias("prio"), none.alias("val"), me.alias("q"), level)
+    # the part of (start, end] that is cut into whole intervals of a size: from lo up to hi, without hi
+    asked = asked.withColumns({"lo": F.expr("-shiftright(-(q.s + 1), level)"), "hi": F.expr("shiftright(q.e + 1, level)")})
+    odd = lambda c: F.when((F.col(c) % 2 != 0) & (F.col("lo") < F.col("hi")), F.col(c) - (1 if c == "hi" else 0))
+    asked = asked.withColumn("node", F.explode(F.array_compact(F.array(odd("lo"), odd("hi"))))).drop("lo", "hi")
+    found = _swept_best(inside.unionByName(asked), ["cluster_id", "level", "node"], widths)
+    within = candidates(found, F.col("best.id"), -F.col("best.less"), -F.col("best.early"), F.col("best").isNotNull())
+
+    every = before.unionByName(same).unionByName(after).unionByName(within)
+    best = every.groupBy("cluster_id", "application_id").agg(F.min("found").alias("found"))
+    return apps.select("cluster_id", "application_id").join(best, ["cluster_id", "application_id"], "left").select(
+        "cluster_id", "application_id", F.col("found.id").alias("partner_id"), (-F.col("found.less")).alias("overlap_sec")
+    )
+
+
 def with_cluster_lookup(timeline: DataFrame, summary: DataFrame) -> DataFrame:
     """Join each application to its cluster's facts.
 

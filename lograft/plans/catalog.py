@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lograft.functions.parse import parse_lines, parse_log_time_strict, with_identity
-from lograft.operators import daily, distribution, levels, messages, multiline, quantiles, timeline
+from lograft.operators import daily, distribution, levels, memory, messages, multiline, quantiles, timeline
 from lograft.session import materialize
 from lograft.sources.event_lines import container_lines_from_events, log_lines_from_events
 from lograft.sources.tables import parquet_set, sql_on, table
@@ -34,7 +34,12 @@ def parsed(spark: SparkSession, root: str) -> DataFrame:
 
 def file_lines(spark: SparkSession, root: str) -> DataFrame:
     """The lines of container files, parsed, with the application, attempt and container of the path."""
-    return with_identity(parse_lines(container_lines_from_events(table(spark, root, "events"))))
+    return with_identity(file_parsed(spark, root))
+
+
+def file_parsed(spark: SparkSession, root: str) -> DataFrame:
+    """The lines of container files, parsed."""
+    return parse_lines(container_lines_from_events(table(spark, root, "events")))
 
 
 def _timeline(spark, root):
@@ -67,6 +72,10 @@ def _file_tasks(spark, root):
     return messages.task_events(file_lines(spark, root))
 
 
+def _cached(spark, root):
+    return memory.cached_over_time(memory.block_changes(parsed(spark, root)))
+
+
 def _file_summary(spark, root):
     return timeline.cluster_summary(materialize(timeline.timeline_by_file(file_lines(spark, root))))
 
@@ -144,6 +153,8 @@ QUERIES: dict[str, Query] = {
     "app_gaps": lambda s, r: timeline.app_gaps(_timeline(s, r)),
     "peak_concurrency": lambda s, r: timeline.peak_concurrency(_timeline(s, r)),
     "app_overlaps": lambda s, r: timeline.app_overlap_counts(_timeline(s, r)),
+    "longest_overlap": lambda s, r: timeline.longest_overlap(timeline.app_timeline(parsed(s, r))),
+    "file_longest_overlap": lambda s, r: timeline.longest_overlap(timeline.timeline_by_file(file_lines(s, r))),
     "cluster_start_lookup": lambda s, r: _lookup(s, r),
     "duration_histogram": lambda s, r: distribution.histogram(_durations(s, r), 30),
     "duration_density": lambda s, r: distribution.density(_durations(s, r), 200, 3.0),
@@ -168,6 +179,7 @@ QUERIES: dict[str, Query] = {
     # tasks
     "task_durations": lambda s, r: messages.task_durations(_tasks(s, r)),
     "unfinished_tasks": lambda s, r: messages.unfinished_tasks(_tasks(s, r)),
+    "task_retries": lambda s, r: messages.task_retries(_tasks(s, r)),
     "stage_skew": lambda s, r: messages.stage_skew(messages.task_durations(_tasks(s, r)), 2.0),
     "slow_tasks": lambda s, r: messages.slow_tasks(messages.task_durations(_tasks(s, r)), 10),
     # message extractors
@@ -180,6 +192,11 @@ QUERIES: dict[str, Query] = {
     "broadcast_reads": lambda s, r: messages.broadcast_reads_per_app(messages.broadcast_reads(parsed(s, r))),
     "block_hosts": lambda s, r: messages.blocks_per_host(messages.added_blocks(parsed(s, r))),
     "local_blocks": lambda s, r: messages.local_hits_per_rdd(messages.local_block_hits(parsed(s, r))),
+    "cache_timeline": lambda s, r: _cached(s, r).select(
+        "event_id", "host", "application_id", "block", "size_bytes", "cached_bytes"
+    ),
+    "cache_peaks": lambda s, r: memory.cache_peaks(_cached(s, r)),
+    "cache_hit_share": lambda s, r: memory.hit_share(parsed(s, r)),
     "error_rate": lambda s, r: messages.error_rate(parsed(s, r)),
     # multi-line entries and line numbers
     "multiline_entries": lambda s, r: multiline.assemble_entries(parsed(s, r)),
@@ -194,6 +211,7 @@ QUERIES: dict[str, Query] = {
     "file_cluster_rank": lambda s, r: timeline.cluster_rank(_file_summary(s, r)),
     "file_task_durations": lambda s, r: messages.task_durations(_file_tasks(s, r)),
     "file_unfinished_tasks": lambda s, r: messages.unfinished_tasks(_file_tasks(s, r)),
+    "file_task_retries": lambda s, r: messages.task_retries(_file_tasks(s, r)),
     "file_stage_skew": lambda s, r: messages.stage_skew(messages.task_durations(_file_tasks(s, r)), 2.0),
     "file_slow_tasks": lambda s, r: messages.slow_tasks(messages.task_durations(_file_tasks(s, r)), 10),
     "file_executor_requests": lambda s, r: messages.requested_resources(messages.executor_requests(file_lines(s, r))),
@@ -201,8 +219,8 @@ QUERIES: dict[str, Query] = {
     "file_memory_capacity": lambda s, r: messages.capacity_per_app(messages.memory_capacity(file_lines(s, r))),
     "file_broadcast_reads": lambda s, r: messages.broadcast_reads_per_app(messages.broadcast_reads(file_lines(s, r))),
     "file_error_rate": lambda s, r: messages.error_rate(file_lines(s, r)),
-    "file_entries": lambda s, r: multiline.assemble_entries(file_lines(s, r), ["path"], "line_no"),
-    "file_line_entries": lambda s, r: multiline.tag_entries(file_lines(s, r), ["path"], "line_no").drop("line"),
+    "file_entries": lambda s, r: multiline.assemble_entries(file_parsed(s, r), ["path"], "line_no"),
+    "file_line_entries": lambda s, r: multiline.tag_entries(file_parsed(s, r), ["path"], "line_no").drop("line"),
     "document_lines": lambda s, r: multiline.numbered_lines(table(s, r, "documents"), "doc_id", "text"),
     # order and source semantics
     "level_order": _level_order,

@@ -18,9 +18,11 @@ def _app(n: str) -> str:
     return f"('application_' || {_s(f'1485248649253 + ({n}) % 6')} || '_' || lpad({_s(n)}, 4, '0'))"
 
 
+_TASK = f"""task ' || {_s('i // 13 % 2')} || '.' || {_s('i // 3900 % 4')} || ' in stage ' || {_s('i // 26 % 5 + 5 * (i // 15600)')} || '.' || {_s('i // 130 % 2')} || ' (TID '"""
+
 _MSG = f"""CASE i % 13
-  WHEN 0 THEN 'executor.Executor: Running task ' || {_s('i % 8')} || '.0 in stage ' || {_s('i % 5')} || '.0 (TID ' || {_s('i')} || ')'
-  WHEN 1 THEN 'executor.Executor: Finished task ' || {_s('(i - 1) % 8')} || '.0 in stage ' || {_s('(i - 1) % 5')} || '.0 (TID ' || {_s('i - 1')} || '). ' || {_s('1000 + i % 900')} || ' bytes result sent to driver'
+  WHEN 0 THEN 'executor.Executor: Running {_TASK} || {_s('i')} || ')'
+  WHEN 1 THEN 'executor.Executor: Finished {_TASK} || {_s('i - 1')} || '). ' || {_s('1000 + i % 900')} || ' bytes result sent to driver'
   WHEN 2 THEN 'python.PythonRunner: Times: total = ' || {_s('i % 5000')} || ', boot = ' || {_s('i % 70')} || ', init = ' || {_s('i % 50')} || ', finish = ' || {_s('i % 900')}
   WHEN 3 THEN 'YarnAllocator: Will request ' || {_s('1 + i % 16')} || ' executor containers, each with ' || {_s('1 + i % 5')} || ' cores and ' || {_s('1024 * (1 + i % 28)')} || ' MB memory' || CASE WHEN i % 2 = 0 THEN ' including 2560 MB overhead' ELSE '' END
   WHEN 4 THEN 'YarnAllocator: Container request (host: ' || CASE WHEN i % 3 = 0 THEN 'Any' ELSE 'node-' || {_s('i % 4')} END || ', capability: <memory:' || {_s('1024 * (1 + i % 28)')} || ', vCores:' || {_s('1 + i % 5')} || '>)'
@@ -88,6 +90,9 @@ TASKS = r"""te AS (
              TRY_CAST(regexp_extract(line, 'Finished task (\d+)\.(\d+) in stage (\d+)\.(\d+) \(TID (\d+)\)', 5) AS BIGINT)) AS tid,
     coalesce(TRY_CAST(regexp_extract(line, 'Running task (\d+)\.(\d+) in stage (\d+)\.(\d+) \(TID (\d+)\)', 3) AS INTEGER),
              TRY_CAST(regexp_extract(line, 'Finished task (\d+)\.(\d+) in stage (\d+)\.(\d+) \(TID (\d+)\)', 3) AS INTEGER)) AS stage_id,
+    TRY_CAST(regexp_extract(line, ' task (\d+)\.(\d+) in stage (\d+)\.(\d+) ', 1) AS INTEGER) AS task_index,
+    TRY_CAST(regexp_extract(line, ' task (\d+)\.(\d+) in stage (\d+)\.(\d+) ', 2) AS INTEGER) AS task_attempt,
+    TRY_CAST(regexp_extract(line, ' task (\d+)\.(\d+) in stage (\d+)\.(\d+) ', 4) AS INTEGER) AS stage_attempt,
     TRY_CAST(regexp_extract(line, '\(TID \d+\)\. (\d+) bytes result sent to driver', 1) AS BIGINT) AS result_bytes,
     event_time
   FROM parsed
@@ -127,7 +132,9 @@ FILE_LINES = f"""flines AS (
         WHEN 7 THEN 'executor.Executor: Running' || task
         WHEN 8 THEN 'executor.Executor: Finished' || task || '. ' || {_s('1000 + b % 900')} || ' bytes result sent to driver'
         ELSE 'ApplicationMaster: step ' || {_s('i')} END END AS line
-  FROM (SELECT *, ' task ' || {_s('j')} || '.0 in stage ' || {_s('b % 3')} || '.0 (TID ' || {_s('(i // 7760) * 4 + (b % 2) * 2 + CASE WHEN j >= 7 THEN 1 ELSE 0 END')} || ')' AS task,
+  FROM (SELECT *, ' task ' || {_s('CASE WHEN j >= 7 THEN 7 ELSE 1 END + CASE WHEN b % 2 = 1 AND b % 7 = 4 AND j < 7 THEN 0 ELSE 10 * (b % 2) END')}
+            || CASE WHEN b % 2 = 1 AND b % 7 = 4 AND j < 7 THEN '.1' ELSE '.0' END || ' in stage ' || {_s('b // 2 % 3 + 3 * (i // 7760)')}
+            || CASE WHEN b // 2 % 5 = 0 THEN '.1' ELSE '.0' END || ' (TID ' || {_s('(i // 7760) * 4 + (b % 2) * 2 + CASE WHEN j >= 7 THEN 1 ELSE 0 END')} || ')' AS task,
           {_s('1485248649253 + CASE WHEN a < 181 THEN 0 WHEN a < 189 THEN 1 WHEN a < 191 THEN 2 ELSE a - 188 END')} || '_' || lpad({_s('a + 1')}, 4, '0') AS app
         FROM (SELECT event_id AS i, event_type, event_id // 10 AS b, CAST(event_id % 10 AS INTEGER) AS j, (event_id // 10 // 4) % 194 AS a FROM events))
 ),
@@ -249,6 +256,40 @@ SELECT cluster_id, point, round(g_lo + point * g_step, 6) AS x,
 FROM g GROUP BY cluster_id, point, n, h, g_lo, g_step""",
 }
 
+
+_OVERLAP = """, o AS (SELECT a.cluster_id, a.application_id, b.application_id AS partner_id,
+       date_diff('second', greatest(a.start_time, b.start_time), least(a.end_time, b.end_time)) AS overlap_sec,
+       row_number() OVER (PARTITION BY a.cluster_id, a.application_id ORDER BY
+         least(a.end_time, b.end_time) - greatest(a.start_time, b.start_time) DESC, b.end_time DESC, b.application_id) AS place
+  FROM timeline a JOIN timeline b ON a.cluster_id = b.cluster_id AND a.application_id <> b.application_id
+   AND b.start_time <= a.end_time AND a.start_time <= b.end_time)
+SELECT t.cluster_id, t.application_id, o.partner_id, o.overlap_sec
+FROM timeline t LEFT JOIN o ON o.cluster_id = t.cluster_id AND o.application_id = t.application_id AND o.place = 1"""
+
+_CACHED = f""", ab AS (SELECT event_id, event_time, application_id, {_rx(X9, 1)} AS block, {_rx(X9, 2)} AS host,
+       CAST(round({_bytes(_rx(X9, 4), _rx(X9, 5))}) AS BIGINT) AS size_bytes
+  FROM parsed WHERE contains(line, 'Added ') AND regexp_matches(line, '{X9}') AND event_time IS NOT NULL),
+ch AS (SELECT *, lag(size_bytes) OVER (PARTITION BY host, application_id, block ORDER BY event_time, event_id) AS prev FROM ab),
+ca AS (SELECT *, CAST(sum(size_bytes - coalesce(prev, 0)) OVER (PARTITION BY host ORDER BY event_time, event_id
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cached_bytes FROM ch)
+"""
+
+
+def _retries(ids: str) -> str:
+    task = f"{ids}, stage_id, stage_attempt, task_index"
+    return f""", tries AS (SELECT {task}, task_attempt, tid, min(event_time) FILTER (WHERE kind = 'running') AS start_time,
+       count(*) FILTER (WHERE kind = 'finished') > 0 AS finished FROM te WHERE tid IS NOT NULL GROUP BY ALL),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY {task} ORDER BY task_attempt, start_time NULLS FIRST, tid) AS place FROM tries),
+first_done AS (SELECT {task}, min(place) FILTER (WHERE finished) AS done, count(*) AS num_attempts,
+       count(*) FILTER (WHERE finished) AS finished_attempts, max(task_attempt) AS last_attempt,
+       min(task_attempt) FILTER (WHERE finished) AS succeeded_on FROM numbered GROUP BY ALL),
+lost AS (SELECT {", ".join(f"a.{c.strip()}" for c in task.split(","))}, sum(greatest(0, date_diff('second', a.start_time, b.start_time))) AS lost_sec
+  FROM numbered a JOIN numbered b ON {" AND ".join(f"a.{c.strip()} = b.{c.strip()}" for c in task.split(","))} AND b.place = a.place + 1
+  JOIN first_done f ON {" AND ".join(f"a.{c.strip()} = f.{c.strip()}" for c in task.split(","))} AND a.place < coalesce(f.done, 1000000) GROUP BY ALL)
+SELECT f.* EXCLUDE (done), CAST(coalesce(l.lost_sec, 0) AS BIGINT) AS lost_sec, coalesce(f.done > 1, false) AS recovered
+FROM first_done f LEFT JOIN lost l ON {" AND ".join(f"l.{c.strip()} = f.{c.strip()}" for c in task.split(","))} WHERE num_attempts > 1"""
+
+
 _DAILY = """SELECT CAST(year(l_shipdate) AS INTEGER) AS dt_year, CAST(month(l_shipdate) AS INTEGER) AS dt_month,
        CAST(day(l_shipdate) AS INTEGER) AS dt_day, count(*) AS num_trips, avg(l_quantity) AS mean_trip_distance,
        max(l_tax) AS max_mta_tax, quantile_disc(l_extendedprice, 0.95) AS q95_fare_amount,
@@ -274,6 +315,21 @@ FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1, 2""",
         "task_durations": _with(*_LOG, TASKS) + "SELECT * FROM td",
         "unfinished_tasks": _with(*_LOG, TASKS)
         + "SELECT application_id, tid, stage_id, start_time FROM tt WHERE runs > 0 AND fins = 0",
+        "longest_overlap": _with(*_TL) + _OVERLAP,
+        "cache_timeline": _with(*_LOG) + _CACHED + "SELECT event_id, host, application_id, block, size_bytes, cached_bytes FROM ca",
+        "cache_peaks": _with(*_LOG)
+        + _CACHED
+        + """SELECT host, count(*) AS num_stored, count(prev) AS num_replaced, max(cached_bytes) AS peak_bytes,
+       arg_min(event_time, (-cached_bytes, event_time, event_id)) AS peak_at,
+       arg_max(cached_bytes, (event_time, event_id)) AS last_bytes FROM ca GROUP BY 1""",
+        "cache_hit_share": _with(*_LOG)
+        + f""", h AS (SELECT TRY_CAST({_rx(X9L, 1)} AS BIGINT) AS rdd_id, 1 AS hit FROM parsed
+  WHERE contains(line, 'Found block rdd_') AND regexp_matches(line, '{X9L}')
+  UNION ALL SELECT TRY_CAST(regexp_extract({_rx(X7, 1)}, '^rdd_(\\d+)_', 1) AS BIGINT), 0 FROM parsed
+  WHERE contains(line, ' stored as ') AND regexp_matches(line, '{X7}'))
+SELECT rdd_id, count(*) FILTER (WHERE hit = 1) AS num_hits, count(*) FILTER (WHERE hit = 0) AS num_stored,
+       count(*) FILTER (WHERE hit = 1) / count(*) AS hit_share FROM h WHERE rdd_id IS NOT NULL GROUP BY 1""",
+        "task_retries": _with(*_LOG, TASKS) + _retries("application_id"),
         "stage_skew": _with(*_LOG, TASKS)
         + """, g AS (SELECT application_id, stage_id, count(*) AS num_tasks, max(duration_sec) AS max_sec,
        quantile_disc(duration_sec, 0.5) AS median_sec, quantile_disc(duration_sec, 0.95) AS p95_sec
@@ -387,9 +443,11 @@ ORACLE.update(
         "file_timeline": _with(*_FILE_TL) + "SELECT * FROM timeline",
         "file_cluster_rank": _with(*_FILE_TL, SUMMARY)
         + "SELECT cluster_id, num_applications, CAST(rank() OVER (ORDER BY num_applications DESC) AS INTEGER) AS usage_rank FROM summary",
+        "file_longest_overlap": _with(*_FILE_TL) + _OVERLAP,
         "file_task_durations": _with(*_FILE_TASKS) + "SELECT * FROM td",
         "file_unfinished_tasks": _with(*_FILE_TASKS)
         + "SELECT application_id, attempt, tid, stage_id, start_time FROM tt WHERE runs > 0 AND fins = 0",
+        "file_task_retries": _with(*_FILE_TASKS) + _retries("application_id, attempt"),
         "file_stage_skew": _with(*_FILE_TASKS)
         + """, g AS (SELECT application_id, attempt, stage_id, count(*) AS num_tasks, max(duration_sec) AS max_sec,
        quantile_disc(duration_sec, 0.5) AS median_sec, quantile_disc(duration_sec, 0.95) AS p95_sec FROM td GROUP BY 1, 2, 3)

@@ -18,7 +18,10 @@ Rule (all arithmetic on ``event_id``; fixed values):
 * level: error -> ERROR, signup -> WARN, purchase -> DEBUG, else INFO;
 * ``app(k)``: ``n = (id div 26) % 150 + k``,
   ``application_<1485248649253 + n % 6>_<n as 4 digits>``;
-* message chosen by ``id % 13`` (see ``_message``).
+* message chosen by ``id % 13`` (see ``_MESSAGE``).
+
+Each line is built behind a generator of one row, which later expressions are not merged
+into, so that it is built once however many columns are parsed from it.
 """
 
 from __future__ import annotations
@@ -39,12 +42,16 @@ def _app(n: str) -> str:
     return f"concat('application_', {_s(f'{CLUSTER_BASE} + ({n}) % {CLUSTERS}')}, '_', lpad({_s(n)}, 4, '0'))"
 
 
+# Task and stage with their attempts: an application's tasks are tried again 3,900 events later, up to
+# four times, before its next stage begins.
+_TASK = f"""concat(' task ', {_s('i div 13 % 2')}, '.', {_s('i div 3900 % 4')}, ' in stage ',
+                   {_s('i div 26 % 5 + 5 * (i div 15600)')}, '.', {_s('i div 130 % 2')})"""
+
 # The message of an event, chosen by ``i % 13`` (one Spark SQL expression).
 _MESSAGE = f"""CASE i % 13
-  WHEN 0 THEN concat('executor.Executor: Running task ', {_s('i % 8')}, '.0 in stage ', {_s('i % 5')},
-                     '.0 (TID ', {_s('i')}, ')')
-  WHEN 1 THEN concat('executor.Executor: Finished task ', {_s('(i - 1) % 8')}, '.0 in stage ', {_s('(i - 1) % 5')},
-                     '.0 (TID ', {_s('i - 1')}, '). ', {_s('1000 + i % 900')}, ' bytes result sent to driver')
+  WHEN 0 THEN concat('executor.Executor: Running', {_TASK}, ' (TID ', {_s('i')}, ')')
+  WHEN 1 THEN concat('executor.Executor: Finished', {_TASK}, ' (TID ', {_s('i - 1')}, '). ', {_s('1000 + i % 900')},
+                     ' bytes result sent to driver')
   WHEN 2 THEN concat('python.PythonRunner: Times: total = ', {_s('i % 5000')}, ', boot = ', {_s('i % 70')},
                      ', init = ', {_s('i % 50')}, ', finish = ', {_s('i % 900')})
   WHEN 3 THEN concat('YarnAllocator: Will request ', {_s('1 + i % 16')}, ' executor containers, each with ',
@@ -83,11 +90,10 @@ END"""
 def log_lines_from_events(events: DataFrame) -> DataFrame:
     """``events`` -> ``(event_id bigint, line string)``, one line per event.
 
-    The rule is one SQL expression: it is parsed and analysed once, and the
-    whole line is built in a single generated projection.
+    The rule is one SQL expression, evaluated once per event.
     """
     base = events.selectExpr("event_id AS i", "ts", "event_type", f"(event_id div 26) % {APPS} AS n0")
-    return base.selectExpr("i AS event_id", f"{LINE} AS line")
+    return base.selectExpr("i AS event_id", f"explode(array({LINE})) AS line")
 
 
 # ---------------------------------------------------------------- lines of container files
@@ -107,7 +113,10 @@ def _cluster_number(a: str) -> str:
     return f"CASE {' '.join(cases)} END"
 
 
-_FILE_TASK = f"""concat(' task ', {_s('j')}, '.0 in stage ', {_s('b % 3')}, '.0 (TID ', {_s('tid')}, ')')"""
+# A task that does not finish in an attempt's first container is tried again in its second.
+_AGAIN = "b % 2 = 1 AND b % 7 = 4 AND j < 7"
+_FILE_TASK = f"""concat(' task ', {_s(f'IF(j >= 7, 7, 1) + IF({_AGAIN}, 0, 10 * (b % 2))')}, '.', IF({_AGAIN}, '1', '0'),
+                   ' in stage ', {_s('b div 2 % 3 + 3 * cycle')}, '.', IF(b div 2 % 5 = 0, '1', '0'), ' (TID ', {_s('tid')}, ')')"""
 
 _FILE_MESSAGE = f"""CASE j
   WHEN 0 THEN concat('YarnAllocator: Will request ', {_s('1 + b % 16')}, ' executor containers, each with ',
@@ -137,7 +146,8 @@ def container_lines_from_events(events: DataFrame) -> DataFrame:
     attempt. Rule (fixed values): with ``b = id div 10`` and ``j = id % 10``, application
     ``a = (b div 4) % 194`` (clusters hold 181, 8, 2, 1, 1 and 1 of them), attempt
     ``1 + (b % 4) div 2``, container ``1 + b % 2``, line ``(id div 7760) * 10 + j`` of the
-    file. Lines 4 to 6 of every third block are a run of stack frames, and so is the first
+    file. A task that has no finish line in an attempt's first container (``b % 7 = 3``) has a
+    second attempt in its other one. Lines 4 to 6 of every third block are a run of stack frames, and so is the first
     line of every fifth.
     """
     base = events.selectExpr("event_id AS i", "event_type", f"event_id div {BLOCK} AS b", f"CAST(event_id % {BLOCK} AS INT) AS j")
@@ -151,4 +161,4 @@ def container_lines_from_events(events: DataFrame) -> DataFrame:
     time = f"date_format(TIMESTAMP_NTZ '2017-03-29 10:00:00' + make_dt_interval(0, 0, 0, {_FILE_SECONDS}), 'yy/MM/dd HH:mm:ss')"
     frame = "(b % 3 = 0 AND j BETWEEN 4 AND 6) OR (b % 5 = 1 AND j = 0)"
     line = f"IF({frame}, concat('    at frame(', {_s('i')}, ')'), concat({time}, ' ', {_LEVEL}, ' ', {_FILE_MESSAGE}))"
-    return base.selectExpr("i AS event_id", f"{path} AS path", f"cycle * {BLOCK} + j AS line_no", f"{line} AS line")
+    return base.selectExpr("i AS event_id", f"cycle * {BLOCK} + j AS line_no", f"inline(array(named_struct('path', {path}, 'line', {line})))")
