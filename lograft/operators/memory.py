@@ -16,6 +16,7 @@ from lograft.functions import patterns as P
 from lograft.functions.parse import size_to_bytes
 from lograft.operators.messages import matched, num, text
 from lograft.operators.ordered import previous_row, running_totals
+from lograft.session import materialize
 
 # Order buckets of the skew-safe windows, fine to coarse.
 UNITS = {"_minute": "minute", "_day": "day"}
@@ -38,13 +39,14 @@ def block_changes(parsed: DataFrame, order: Sequence[str] = ("event_id",), line_
     )
     rows = rows.filter(F.col("event_time").isNotNull() & F.col("size_bytes").isNotNull())
     rows = rows.withColumns({name: F.date_trunc(unit, "event_time") for name, unit in UNITS.items()})
+    rows = materialize(rows)  # a small share of the lines, read by each level of the order
     return previous_row(rows, ["host", "application_id", "block"], ["event_time", *order], list(UNITS), ["size_bytes"])
 
 
 def cached_over_time(changes: DataFrame, order: Sequence[str] = ("event_id",)) -> DataFrame:
     """``cached_bytes`` of the host after each stored block: the running sum of the differences."""
     delta = F.col("size_bytes") - F.coalesce("prev_size_bytes", F.lit(0))
-    rows = changes.withColumn("_delta", delta)
+    rows = materialize(changes.withColumn("_delta", delta))
     by = [F.col("event_time"), *map(F.col, order)]
     return running_totals(rows, ["host"], by, list(UNITS), {"cached_bytes": "_delta"}).drop("_delta", *UNITS)
 

@@ -13,11 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lograft.functions.csv_text import csv_line
 from lograft.functions.parse import parse_lines, parse_log_time_strict, with_identity
-from lograft.operators import daily, distribution, levels, memory, messages, multiline, quantiles, timeline
+from lograft.operators import daily, distribution, levels, memory, messages, multiline, quantiles, sketches, timeline
+from lograft.operators.joins import join_groups
 from lograft.session import materialize
 from lograft.sources.event_lines import container_lines_from_events, log_lines_from_events
-from lograft.sources.tables import parquet_set, sql_on, table
+from lograft.sources.sets import union_by_name
+from lograft.sources.tables import sql_on, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,18 +105,68 @@ def _level_order(spark, root):
 
 
 def _strict_times(spark, root):
-    """Times written in the log format and read back strictly."""
-    text = F.date_format("ts", "yy/MM/dd HH:mm:ss")
-    times = table(spark, root, "events").select("event_type", parse_log_time_strict(text).alias("t"))
-    return times.groupBy("event_type").agg(F.min("t").alias("first"), F.max("t").alias("last"), F.count("t").alias("n"))
+    """The times at the heads of log lines that hold a valid one, read strictly."""
+    head = F.regexp_extract("line", r"^(\d{2}/(?:0\d|1[0-2])/\d{2} \d{2}:\d{2}:\d{2}) ", 1)
+    valid = lines(spark, root).select(F.explode(F.array(head)).alias("head"), "event_id").where("head <> ''")
+    return valid.select("event_id", parse_log_time_strict("head").alias("event_time"))
+
+
+def _union(spark, root):
+    """Three files of different columns as one table (SRC3): rows, ids, marks and characters by file."""
+    paths = [f"{root}/{name}.parquet" for name in ("documents", "labels", "benchmark")]
+    rows = union_by_name(spark, paths, source="file")
+    name = F.regexp_extract("file", r"/([a-z]+)\.parquet", 1)
+    return rows.groupBy(name.alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("n_doc_id"), F.count("item_id").alias("n_item_id"),
+        F.sum("quality").alias("quality"), F.sum("n_chars").alias("n_chars"), F.sum(F.length("text")).alias("text_chars"),
+    )
+
+
+def _fare_quantiles(spark, root):
+    """Quantiles of fares per month and of all, from one stored sketch per day (AGG7)."""
+    trips = daily.with_day(_trips(spark, root), "tpep_pickup_datetime")
+    days = materialize(sketches.value_sketches(trips, daily.DAY_KEYS, "fare_amount"))
+    merged = sketches.month_and_all(days, sketches.merge_values)
+    bounds = {f"p{q}": sketches.value_bounds(q / 100) for q in (50, 95)}
+    return merged.select(
+        "level", "dt_year", "dt_month", "n", *[c.alias(f"{p}_{end}") for p, b in bounds.items() for c, end in zip(b, ("low", "high"), strict=True)]
+    )
+
+
+def _price_sketch(spark, root):
+    keys = ["l_returnflag", "l_linestatus"]
+    found = sketches.value_sketches(table(spark, root, "lineitem"), keys, "l_extendedprice")
+    low, high = sketches.value_bounds(0.95)
+    return found.select(*keys, "n", low.alias("p95_low"), high.alias("p95_high"))
+
 
+def _distinct_users(spark, root):
+    """Distinct users per month and of all, from one stored sketch per day (AGG16): the exact counts, and
+    whether the merged estimates lie within three standard errors of them."""
+    events = daily.with_day(table(spark, root, "events"), "ts").withColumn("user_id", F.col("user_id").cast("bigint"))
+    days = materialize(sketches.distinct_sketches(events, daily.DAY_KEYS, "user_id"))
+    estimates = sketches.month_and_all(days, sketches.merge_distinct)
+    users = materialize(events.groupBy("dt_year", "dt_month", "user_id").agg(F.lit(1).alias("_one")))
+    exact = users.groupBy("dt_year", "dt_month").agg(F.count(F.lit(1)).alias("num_users")).withColumn("level", F.lit("month"))
+    every = users.groupBy("user_id").agg(F.lit(1).alias("_one")).agg(F.count(F.lit(1)).alias("num_users"))
+    every = every.select(F.lit("all").alias("level"), F.lit(None).cast("int").alias("dt_year"), F.lit(None).cast("int").alias("dt_month"), "num_users")
+    on = ["level", "dt_year", "dt_month"]
+    both = join_groups(exact.unionByName(every).select(*on, "num_users"), estimates, on)
+    off = F.abs(sketches.distinct_estimate() - F.col("num_users")) / F.col("num_users")
+    return both.select(*on, "num_users", (off <= sketches.distinct_error()).alias("within_error"))
 
-def _p95_sketch(spark, root):
-    """Whether the sketch's rank error stays below one in a thousand, per group."""
-    rows, keys = table(spark, root, "lineitem"), ["l_returnflag", "l_linestatus"]
-    sketch = materialize(quantiles.approx_percentile(rows, keys, "l_extendedprice", 0.95, "p95_price"))
-    found = quantiles.rank_error(rows, keys, "l_extendedprice", 0.95, sketch, "p95_price")
-    return found.select(*keys, "n", (F.col("error") <= 0.001).alias("close"))
+
+def _timeline_csv(spark, root):
+    """The timeline as CSV lines with ISO times and zone (SNK1, SNK2), each with its place in the written
+    order (SRT2: by cluster, start and id)."""
+    tl = timeline.app_timeline(parsed(spark, root))
+    at = lambda c: F.col(c).cast("timestamp").alias(c)
+    return tl.select("application_id", csv_line("cluster_id", "application_id", "app_number", at("start_time"), at("end_time")).alias("csv"))
+
+
+def _lines_csv(spark, root):
+    """Every log line as a CSV line: quoted where it must be (SNK3)."""
+    return parsed(spark, root).select("event_id", csv_line("event_id", "log_level", "line", "event_time", timestamp_format="yyyy-MM-dd HH:mm:ss").alias("csv"))
 
 
 TRIP_YEAR = 1996
@@ -164,7 +217,7 @@ QUERIES: dict[str, Query] = {
         distribution.all_durations(_timeline(s, r)), 100, 3.0, 9
     ),
     # daily KPIs
-    "daily_trips": lambda s, r: daily.daily_summary(_trips(s, r), TRIP_YEAR, exact_p95=True),
+    "daily_trips": lambda s, r: daily.daily_summary(_trips(s, r), TRIP_YEAR),
     "daily_trips_exact": lambda s, r: daily.daily_summary(_trips(s, r), TRIP_YEAR, exact_p95=True),
     "daily_totals": lambda s, r: daily.daily_totals(daily.daily_summary(_trips(s, r), TRIP_YEAR)),
     "daily_range": lambda s, r: daily.daily_range(daily.daily_summary(_trips(s, r), TRIP_YEAR)),
@@ -175,7 +228,9 @@ QUERIES: dict[str, Query] = {
     "price_p95_exact": lambda s, r: quantiles.exact_percentile(
         table(s, r, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice", 0.95, "p95_price"
     ),
-    "price_p95_approx": _p95_sketch,
+    "price_p95_approx": _price_sketch,
+    "fare_quantiles": _fare_quantiles,
+    "distinct_users": _distinct_users,
     # tasks
     "task_durations": lambda s, r: messages.task_durations(_tasks(s, r)),
     "unfinished_tasks": lambda s, r: messages.unfinished_tasks(_tasks(s, r)),
@@ -225,9 +280,10 @@ QUERIES: dict[str, Query] = {
     # order and source semantics
     "level_order": _level_order,
     "strict_times": _strict_times,
-    "table_union": lambda s, r: parquet_set(s, [f"{r}/orders.parquet", f"{r}/orders.parquet"]).groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("n")
-    ),
+    "table_union": _union,
+    # CSV text
+    "timeline_csv": _timeline_csv,
+    "lines_csv": _lines_csv,
 }
 
 # Keys whose result has no SQL oracle.

@@ -275,6 +275,19 @@ ca AS (SELECT *, CAST(sum(size_bytes - coalesce(prev, 0)) OVER (PARTITION BY hos
 """
 
 
+def _bucket_width(x: str) -> str:
+    """The width of the bucket of a whole number that isn't negative: its numbers share their first 9 digits."""
+    return f"(CAST(1 AS BIGINT) << greatest(0, length(bin({x})) - 9))"
+
+
+def _bucket_low(x: str) -> str:
+    return f"({x} - {x} % {_bucket_width(x)}) / 100.0::DOUBLE"
+
+
+def _bucket_high(x: str) -> str:
+    return f"({x} - {x} % {_bucket_width(x)} + {_bucket_width(x)} - 1) / 100.0::DOUBLE"
+
+
 def _retries(ids: str) -> str:
     task = f"{ids}, stage_id, stage_attempt, task_index"
     return f""", tries AS (SELECT {task}, task_attempt, tid, min(event_time) FILTER (WHERE kind = 'running') AS start_time,
@@ -299,7 +312,8 @@ GROUP BY 1, 2, 3"""
 
 ORACLE.update(
     {
-        "daily_trips": _DAILY,
+        # the sketch holds all values of a day, and takes the one of rank ceil(0.95 n)
+        "daily_trips": _DAILY.replace("quantile_disc(l_extendedprice, 0.95)", "list_sort(list(l_extendedprice))[CAST(ceil(0.95::DOUBLE * count(*)) AS BIGINT)]"),
         "daily_trips_exact": _DAILY,
         "daily_totals": f"""WITH d AS ({_DAILY})
 SELECT count(*) AS days, CAST(sum(num_trips) AS BIGINT) AS total_trips, avg(num_trips) AS avg_daily_trips FROM d""",
@@ -479,13 +493,33 @@ FROM e LEFT JOIN c ON c.cluster_id = e.cluster_id AND c.bin = e.bin""",
         "level_order": _with(*_LOG)
         + """, c AS (SELECT log_level, count(*) AS n FROM parsed WHERE log_level <> '' GROUP BY 1)
 SELECT CAST(row_number() OVER (ORDER BY n DESC, log_level) - 1 AS INTEGER) AS position, log_level FROM c""",
-        "strict_times": """SELECT event_type, date_trunc('second', min(ts)) AS first, date_trunc('second', max(ts)) AS last,
-       count(*) AS n FROM events GROUP BY 1""",
+        "strict_times": _with(LINES)
+        + r"""SELECT event_id, strptime(regexp_extract(line, '^(\d{2}/(?:0\d|1[0-2])/\d{2} \d{2}:\d{2}:\d{2}) ', 1), '%y/%m/%d %H:%M:%S') AS event_time
+FROM lines WHERE regexp_matches(line, '^\d{2}/(?:0\d|1[0-2])/\d{2} \d{2}:\d{2}:\d{2} ')""",
         "daily_newest": f"""WITH d AS ({_DAILY})
 SELECT CAST(row_number() OVER (ORDER BY dt_year DESC, dt_month DESC, dt_day DESC) AS INTEGER) AS position, dt_year, dt_month, dt_day,
        num_trips FROM d ORDER BY position LIMIT 10""",
-        "price_p95_approx": """SELECT l_returnflag, l_linestatus, count(l_extendedprice) AS n, true AS close
-FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1, 2""",
-        "table_union": """SELECT o_orderstatus, count(*) AS n FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders) GROUP BY 1""",
+        "price_p95_approx": f"""WITH q AS (SELECT l_returnflag, l_linestatus, count(*) AS n,
+       CAST(round(quantile_disc(l_extendedprice, 0.95) * 100) AS BIGINT) AS x FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1, 2)
+SELECT l_returnflag, l_linestatus, n, {_bucket_low("x")} AS p95_low, {_bucket_high("x")} AS p95_high FROM q""",
+        "fare_quantiles": f"""WITH q AS (SELECT grouping(year(l_shipdate)) AS g, year(l_shipdate) AS y, month(l_shipdate) AS m, count(*) AS n,
+       CAST(round(quantile_disc(l_extendedprice, 0.5) * 100) AS BIGINT) AS a, CAST(round(quantile_disc(l_extendedprice, 0.95) * 100) AS BIGINT) AS b
+  FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY GROUPING SETS ((year(l_shipdate), month(l_shipdate)), ()))
+SELECT CASE WHEN g = 0 THEN 'month' ELSE 'all' END AS level, CAST(y AS INTEGER) AS dt_year, CAST(m AS INTEGER) AS dt_month, n,
+       {_bucket_low("a")} AS p50_low, {_bucket_high("a")} AS p50_high, {_bucket_low("b")} AS p95_low, {_bucket_high("b")} AS p95_high FROM q""",
+        "distinct_users": """SELECT CASE WHEN grouping(year(ts)) = 0 THEN 'month' ELSE 'all' END AS level, CAST(year(ts) AS INTEGER) AS dt_year,
+       CAST(month(ts) AS INTEGER) AS dt_month, count(DISTINCT user_id) AS num_users, true AS within_error
+FROM events GROUP BY GROUPING SETS ((year(ts), month(ts)), ())""",
+        "table_union": """WITH u AS (SELECT 'documents' AS file, * FROM documents UNION ALL BY NAME SELECT 'labels' AS file, * FROM labels
+  UNION ALL BY NAME SELECT 'benchmark' AS file, * FROM benchmark)
+SELECT file, count(*) AS n, count(doc_id) AS n_doc_id, count(item_id) AS n_item_id, CAST(sum(quality) AS BIGINT) AS quality,
+       CAST(sum(n_chars) AS BIGINT) AS n_chars, CAST(sum(length(text)) AS BIGINT) AS text_chars FROM u GROUP BY 1""",
+        "timeline_csv": _with(*_TL)
+        + r"""SELECT application_id, cluster_id || ',' || application_id || ',' || app_number || ','
+       || strftime(start_time, '%Y-%m-%dT%H:%M:%S.000Z') || ',' || strftime(end_time, '%Y-%m-%dT%H:%M:%S.000Z') AS csv FROM timeline""",
+        "lines_csv": _with(*_LOG)
+        + """SELECT event_id, event_id || ',' || CASE WHEN log_level = '' THEN '""' ELSE log_level END || ','
+       || CASE WHEN contains(line, ',') OR contains(line, '"') THEN '"' || replace(line, '"', '""') || '"' ELSE line END || ','
+       || coalesce(strftime(event_time, '%Y-%m-%d %H:%M:%S'), '') AS csv FROM parsed""",
     }
 )

@@ -92,7 +92,15 @@ def materialize(df: DataFrame) -> DataFrame:
     Use it for results that are small next to their input (one row per
     application, per group), not for raw-scale data, which is cheaper to re-scan.
     """
-    spark = df.sparkSession
-    if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lograft-"))
+    shared_folder(df.sparkSession)
     return cut_lineage(df)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder. Where it names none, one of our own in local mode, as in tests; on
+    a cluster, whose executors share no local folder, that is an error."""
+    sc = spark.sparkContext
+    named = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if named or not sc.master.startswith("local"):
+        return checkpoint_dir(spark)
+    return checkpoint_dir(spark, default=tempfile.mkdtemp(prefix="lograft-"))

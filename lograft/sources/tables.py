@@ -39,6 +39,13 @@ def partitioned_parquet(spark: SparkSession, root: str, glob: str | None = None)
     return reader.parquet(f"{root.rstrip('/')}/{glob}" if glob else root)
 
 
+def rows_of_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The rows of ``df`` whose partition column ``on`` is among ``keys`` (SRC4). Where the keys are few, their
+    values are found first and prune the partitions that are read (dynamic partition pruning): a
+    selective filter on ``keys``, or its measured size, lets Spark plan it."""
+    return df.join(keys.select(on).distinct(), on, "left_semi")
+
+
 def month_paths(root: str, months: Iterable[tuple[int, int]], template: str) -> list[str]:
     """Month list -> file paths by a template with ``{root} {year} {month:02d}`` (SRC6)."""
     return [template.format(root=root.rstrip("/"), year=y, month=m) for y, m in months]

@@ -8,6 +8,8 @@ given location, so a restarted query resumes where it stopped).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,11 +86,13 @@ def start_to_parquet(agg: DataFrame, path: str, checkpoint: str, available_now:
 
     Each micro-batch of a complete-mode aggregate carries the whole (small)
     result. Readers take the newest finished one (``read_newest``), so none reads a
-    table that is being replaced; a retried batch rewrites its own folder only.
+    table that is being replaced; a retried batch rewrites its own folder only. A batch without
+    rows leaves a folder too. Older folders stay until the caller removes them.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        # one task, so that a result without rows is a file too
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     writer = agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer
@@ -96,7 +100,7 @@ def start_to_parquet(agg: DataFrame, path: str, checkpoint: str, available_now:
 
 
 def read_newest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest result that ``start_to_parquet`` has finished."""
-    results = spark.read.parquet(path)
-    newest = results.agg(F.max("batch")).first()[0]
-    return results.where(F.col("batch") == newest).drop("batch")
+    """The newest result that ``start_to_parquet`` has finished, which may hold no rows."""
+    files = spark.read.parquet(path).inputFiles()  # a batch's files appear when it is finished
+    newest = max(int(re.search(r"/batch=(\d+)/[^/]*$", f)[1]) for f in files)
+    return spark.read.parquet(f"{path}/batch={newest}")

@@ -92,6 +92,9 @@ def test_streaming_to_parquet(spark):
     q.awaitTermination(120)
     got = {r["log_level"]: r["count"] for r in read_newest(spark, os.path.join(out, "levels")).collect()}
     assert sum(got.values()) == 900 and set(got) == {"INFO", "WARN", "ERROR", "DEBUG"}
+    # a later result without rows is the newest one
+    spark.range(0).selectExpr("'x' AS log_level", "id AS count").coalesce(1).write.parquet(os.path.join(out, "levels", "batch=99"))
+    assert read_newest(spark, os.path.join(out, "levels")).count() == 0
 
 
 def test_empty_input(spark):
