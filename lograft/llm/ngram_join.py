@@ -20,8 +20,10 @@ with (copies of its class included), the smallest id it reaches, and whether it
 
 Defined cases: words are runs of letters or digits, lower-cased; a text of one to four
 words is one shingle; a null text or one without a word has no shingle and links with
-nothing; a repeated row counts as one more copy; rows with a null id come back
-unlinked; other columns are not read; an empty table gives no rows.
+nothing; a repeated row counts as one more copy; rows of one id with different texts are
+documents of their own, each with its own links; rows with a null id come back
+unlinked; other columns are not read; an empty table gives no rows. Of each group one row
+(and its repetitions) is ``kept``: that of the least id, then the least shingle set and text hash.
 """
 
 from __future__ import annotations
@@ -93,6 +95,11 @@ def signatures(sets: list[np.ndarray], bands: int = BANDS, rows: int = ROWS) ->
     return (least & np.uint64(0xFF)).astype(np.uint8), keys
 
 
+def key_marks(keys: np.ndarray) -> np.ndarray:
+    """Sixteen bits of each band key: with the signature's bytes they tell whether two sets share a band."""
+    return (keys >> np.uint64(48)).astype("<u2")
+
+
 def least_matches(threshold: float, tolerance: float, values: int, step: int = STEP) -> list[int]:
     """For each number of compared values, the fewest equal ones at which a pair is kept."""
     out = []
@@ -177,10 +184,11 @@ def exact_links(sets: list[np.ndarray], threshold: float, split: int | None = No
 
 
 def _features(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """``doc_id, set_key, size, sig, band_keys`` of all documents; only the id where there is no shingle."""
+    """``doc_id, text_hash, set_key, size, sig, band_keys`` of all documents; only the first two where there
+    is no shingle."""
 
     def run(batches):
-        names = ["doc_id", "set_key", "size", "sig", "band_keys"]
+        names = ["doc_id", "text_hash", "set_key", "size", "sig", "band_keys"]
         for b in batches:
             texts, named = b.column(1).to_pylist(), b.column(0).is_valid().to_pylist()
             for i, j in chunks(texts):
@@ -192,23 +200,24 @@ def _features(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                     kept = [sets[k] for k in have]
                     for k, s, sig, own in zip(have, kept, *signatures(kept, bands, rows), strict=True):
                         digests[k] = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                        sizes[k], sigs[k], lists[k] = len(s), sig.tobytes(), own.view(np.int64)
+                        sizes[k], lists[k] = len(s), own.view(np.int64)
+                        sigs[k] = sig.tobytes() + key_marks(own).tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        b.column(0)[i:j], pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
+                        b.column(0)[i:j], b.column(2)[i:j], pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
                         pa.array(sigs, pa.binary()), pa.array(lists, pa.list_(pa.int64())),
                     ],
                     names=names,
                 )
 
-    return docs.mapInArrow(run, "doc_id long, set_key binary, size long, sig binary, band_keys array<bigint>")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, set_key binary, size long, sig binary, band_keys array<bigint>")
 
 
 def _block_pairs(rows: DataFrame) -> DataFrame:
     """Deals each class of a group of ``blocks`` blocks out to the pairs of blocks that hold it: ``low``,
     ``high`` and ``side`` (0: of the first block, 1: of the second, 2: both are the same)."""
     rest = [c for c in rows.columns if c != "blocks"]
-    rows = rows.withColumn("_own", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("_own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.select(
         *rest,
@@ -218,25 +227,28 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
-def met_before(left: np.ndarray, right: np.ndarray, band: np.ndarray, rows: int) -> np.ndarray:
-    """Which pairs of signatures agree in a whole band before the given one: the buckets of that band
-    have joined them already."""
+def met_before(left: np.ndarray, right: np.ndarray, band: np.ndarray, values: int, rows: int) -> np.ndarray:
+    """Which pairs of sets share a whole band before the given one: the buckets of that band have joined
+    them already. ``left`` and ``right``: the bytes of the signatures, then the marks of the band keys. A pair that
+    shares no band takes one for shared with a chance of some 1e-7 (at a similarity of 0.8)."""
     out = np.zeros(len(left), dtype=bool)
     for i in range(0, len(left), 1 << 16):
         part = slice(i, i + (1 << 16))
-        same = (left[part] == right[part]).reshape(len(left[part]), -1, rows).all(axis=2)
-        out[part] = (same & (np.arange(same.shape[1]) < band[part, None])).any(axis=1)
+        same = left[part] == right[part]
+        bands = same[:, :values].reshape(len(same), -1, rows).all(axis=2) & same[:, values:].reshape(len(same), -1, 2).all(axis=2)
+        out[part] = (bands & (np.arange(bands.shape[1]) < band[part, None])).any(axis=1)
     return out
 
 
-def _candidate_edges(members: DataFrame, least: list[int], rows: int) -> DataFrame:
+def _candidate_edges(members: DataFrame, least: list[int], bands: int, rows: int) -> DataFrame:
     """``a, b``: classes of a bucket joined by pairs that are not ruled out, each in its first bucket;
     of the pairs that a task has at once, a spanning forest."""
 
     def run(batches):
         for table, edges in complete_groups(batches, keys):
-            ids, band = table.column("class_id").to_numpy(), table.column("band").to_numpy()
-            sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
+            ids, band = table.column("node").to_numpy(), table.column("band").to_numpy()
+            whole = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
+            sigs = whole[:, : bands * rows]
             sizes = np.diff(edges)
             twos = edges[:-1][sizes == 2]
             hit = twos[alike(sigs[twos], sigs[twos + 1], least)]
@@ -246,7 +258,7 @@ def _candidate_edges(members: DataFrame, least: list[int], rows: int) -> DataFra
                 if pairs:
                     found.append(begin + np.array(pairs))
             i, j = np.concatenate(found).T
-            new = ~met_before(sigs[i], sigs[j], band[i], rows)
+            new = ~met_before(whole[i], whole[j], band[i], bands * rows, rows)
             nodes, at = np.unique(np.concatenate((ids[i[new]], ids[j[new]])), return_inverse=True)
             pairs = forest(len(nodes), at.reshape(2, -1).T.tolist())
             if pairs:
@@ -255,8 +267,8 @@ def _candidate_edges(members: DataFrame, least: list[int], rows: int) -> DataFra
 
     keys = ["band", "bucket", "low", "high"]
     # in the order of ids, the same pivots come first in many buckets, and their pairs are the same
-    dealt = members.repartition(*keys).sortWithinPartitions(*keys, "class_id")
-    return dealt.select(*keys, "class_id", "sig").mapInArrow(run, "a long, b long")
+    dealt = members.repartition(*keys).sortWithinPartitions(*keys, "node")
+    return dealt.select(*keys, "node", "sig").mapInArrow(run, "a long, b long")
 
 
 def _verified(members: DataFrame, threshold: float) -> DataFrame:
@@ -271,7 +283,7 @@ def _verified(members: DataFrame, threshold: float) -> DataFrame:
                     yield found
 
     def links_of(group: pa.Table) -> pa.RecordBatch | None:
-        columns = (group.column(c).to_pylist() for c in ("class_id", "side", "copies", "shingles"))
+        columns = (group.column(c).to_pylist() for c in ("node", "side", "copies", "shingles"))
         rows = {name: rest for name, *rest in zip(*columns, strict=True)}
         names = sorted(rows, key=lambda k: (rows[k][0], k))
         sides = np.array([rows[k][0] for k in names])
@@ -287,26 +299,20 @@ def _verified(members: DataFrame, threshold: float) -> DataFrame:
 
     keys = ["component", "low", "high"]
     dealt = members.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.select(*keys, "class_id", "side", "copies", "shingles").mapInArrow(run, "a long, b long, links long")
+    return dealt.select(*keys, "node", "side", "copies", "shingles").mapInArrow(run, "a long, b long, links long")
 
 
 def _with_shingles(members: DataFrame, words: int) -> DataFrame:
-    """The members with their shingle sets in place of their texts; rows of the same id and another
-    text than the class's are left out."""
-    columns = [c for c in members.columns if c not in ("text", "set_key")]
+    """The members with their shingle sets in place of their texts."""
+    columns = [c for c in members.columns if c != "text"]
 
     def run(batches):
         for b in batches:
-            texts, keys = b.column("text").to_pylist(), b.column("set_key").to_pylist()
+            texts = b.column("text").to_pylist()
             for i, j in chunks(texts):
                 data = [s.tobytes() for s in shingle_sets(texts[i:j], words)]
-                own = [
-                    k for k, d in enumerate(data) if hashlib.blake2b(d, digest_size=16).digest() == keys[i + k]
-                ]
-                at = pa.array([i + k for k in own], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [*(b.column(c).take(at) for c in columns), pa.array([data[k] for k in own], pa.binary())],
-                    names=[*columns, "shingles"],
+                    [*(b.column(c)[i:j] for c in columns), pa.array(data, pa.binary())], names=[*columns, "shingles"]
                 )
 
     kinds = ", ".join(f"`{c}` {members.schema[c].dataType.simpleString()}" for c in columns)
@@ -322,46 +328,59 @@ def jaccard_join(
     tolerance: float = TOLERANCE,
     id_col: str = "doc_id",
     text_col: str = "text",
+    with_hash: bool = False,
 ) -> DataFrame:
-    """``doc_id, class_id, n_links, component_id, kept`` of every row of ``docs``."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    """``doc_id, class_id, n_links, component_id, kept`` of every row of ``docs``; ``class_id`` and
+    ``component_id`` are the least ids of its copies and of its group. ``with_hash`` adds ``text_hash``, the
+    ``xxhash64`` of the row's text, which tells rows of one id apart."""
+    hashed = F.xxhash64(F.col(text_col)).alias("text_hash")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), hashed)
     features = cut(_features(texts, words, bands, rows))
     shingled = features.where("set_key is not null")
 
-    classes = shingled.groupBy("set_key").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
-    heads = shingled.join(classes.withColumnRenamed("class_id", "doc_id"), ["set_key", "doc_id"])
-    heads = cut(heads.dropDuplicates(["set_key", "doc_id"]).withColumnRenamed("doc_id", "class_id"))
+    # a class has a number of its own: rows of one id may be in several
+    first = F.min(F.struct("doc_id", "text_hash")).alias("_first")
+    classes = shingled.groupBy("set_key").agg(first, F.count("*").alias("copies")).select("set_key", "_first.*", "copies")
+    heads = shingled.join(classes, ["set_key", "doc_id", "text_hash"]).dropDuplicates(["set_key"])
+    heads = cut(heads.withColumnRenamed("doc_id", "class_id").withColumn("node", F.monotonically_increasing_id()))
 
-    keys = heads.select("class_id", F.posexplode("band_keys").alias("band", "bucket"))
+    keys = heads.select("node", F.posexplode("band_keys").alias("band", "bucket"))
     buckets = keys.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1")
     buckets = buckets.select("band", "bucket", F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("blocks"))
-    members = keys.join(buckets, ["band", "bucket"]).join(heads.select("class_id", "sig"), "class_id")
-    alike_pairs = _candidate_edges(_block_pairs(members), least_matches(threshold, tolerance, bands * rows), rows)
-    candidates = cut(components(alike_pairs).withColumnRenamed("id", "class_id"))
+    members = keys.join(buckets, ["band", "bucket"]).join(heads.select("node", "sig"), "node")
+    alike_pairs = _candidate_edges(_block_pairs(members), least_matches(threshold, tolerance, bands * rows), bands, rows)
+    candidates = cut(components(alike_pairs).withColumnRenamed("id", "node"))
 
-    own = candidates.join(heads.select("class_id", "set_key", "copies", "size"), "class_id")
+    own = candidates.join(heads.select("node", "class_id", "text_hash", "copies", "size"), "node")
     blocks = F.greatest(F.ceil(F.count("*") / GROUP_BLOCK), F.ceil(F.sum("size") / GROUP_SHINGLES)).cast("int")
     groups = own.groupBy("component").agg(blocks.alias("blocks"))
     chosen = own.drop("size").join(groups, "component")
-    chosen = chosen.join(texts.withColumnRenamed("doc_id", "class_id"), "class_id")
+    chosen = chosen.join(texts.withColumnRenamed("doc_id", "class_id"), ["class_id", "text_hash"]).drop("class_id", "text_hash")
     verified = cut(_verified(_block_pairs(_with_shingles(chosen, words)), threshold))
-    reached = components(verified.where("b is not null").select("a", "b"))
-    links = verified.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
+    reached = components(verified.where("b is not null").select("a", "b")).withColumnRenamed("id", "node")
+    links = verified.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
 
+    named = heads.select("node", "set_key", "class_id", F.col("text_hash").alias("_hash"), "copies")
+    least = named.join(reached, "node").groupBy("component").agg(F.min(F.struct("class_id", "set_key")).alias("_least"))
     per_class = (
-        classes.join(links.withColumnRenamed("a", "class_id"), "class_id", "left")
-        .join(reached.withColumnRenamed("id", "class_id"), "class_id", "left")
+        named.join(links, "node", "left")
+        .join(reached, "node", "left")
+        .join(least, "component", "left")
         .select(
             "set_key",
             "class_id",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "class_id").alias("component_id"),
+            F.coalesce("_least.class_id", "class_id").alias("component_id"),
+            (F.coalesce("_least.set_key", "set_key") == F.col("set_key")).alias("_first"),
+            "_hash",
         )
     )
-    joined = shingled.select("doc_id", "set_key").join(per_class, "set_key").drop("set_key")
+    joined = shingled.select("doc_id", "text_hash", "set_key").join(per_class, "set_key").drop("set_key")
+    kept = (F.col("doc_id") == F.col("component_id")) & F.col("_first") & (F.col("text_hash") == F.col("_hash"))
+    joined = joined.withColumn("kept", kept).drop("_first", "_hash")
     alone = features.where("set_key is null").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
-        F.col("doc_id").alias("component_id"),
+        "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+        F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"),
     )
     out = joined.unionByName(alone)
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return out.select("doc_id", *["text_hash"] * with_hash, "class_id", "n_links", "component_id", "kept")

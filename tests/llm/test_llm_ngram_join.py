@@ -102,3 +102,47 @@ def test_pruning_keeps_what_may_reach_the_threshold():
     for n, m in zip(range(40, 241, 40), least, strict=True):
         below = sum(comb(n + 1, k) * 0.8**k * 0.2 ** (n + 1 - k) for k in range(m))
         assert below < 1e-6
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    """Each text has its own links; of each group one row stays."""
+    rnd = random.Random(3)
+    words = [f"w{rnd.randint(0, 9999)}" for _ in range(80)]
+    other = [f"v{rnd.randint(0, 9999)}" for _ in range(80)]
+    text = lambda own, k=None: " ".join(w if i != k else "zz" for i, w in enumerate(own))
+    rows = [(1, text(words)), (1, text(other)), (2, text(words, 79)), (3, text(other, 79)), (4, text(other, 0)),
+            (5, "some words that stand alone here"), (5, text(words, 0)), (9, text(words).upper()), (9, text(words) + "!")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = ngram_join.jaccard_join(frame, with_hash=True)
+    named = frame.selectExpr("doc_id", "text", "xxhash64(text) AS text_hash").join(got, ["doc_id", "text_hash"])
+    found = {(r["doc_id"], r["text"]): (r["n_links"], r["component_id"], r["kept"]) for r in named.collect()}
+    assert found == {
+        rows[0]: (4, 1, True), rows[2]: (4, 1, False), rows[6]: (4, 1, False), rows[7]: (4, 1, False), rows[8]: (4, 1, False),
+        rows[1]: (2, 1, True), rows[3]: (2, 1, False), rows[4]: (2, 1, False), rows[5]: (0, 5, True)}
+    near = spark.createDataFrame([(1, text(words)), (1, text(words, 0)), (2, text(words, 1))], "doc_id long, text string")
+    assert sorted(r["kept"] for r in ngram_join.jaccard_join(near).collect()) == [False, False, True]
+
+
+def test_no_pair_is_taken_for_met_when_it_was_not():
+    """Of ten thousand pairs near the threshold each is passed on by the first band that it shares."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    sets = []
+    for k in range(10_000):
+        n = int(rng.integers(60, 300))
+        both = int(np.ceil(n * rng.uniform(0.89, 0.925)))  # a similarity of 0.80 to 0.86
+        values = rng.integers(0, 2**63, size=2 * n - both, dtype=np.uint64)
+        sets += [np.unique(values[:n]), np.unique(np.concatenate((values[:both], values[n:])))]
+    shared = lost = pruned = 0
+    least = ngram_join.least_matches(ngram_join.THRESHOLD, ngram_join.TOLERANCE, ngram_join.BANDS * ngram_join.ROWS)
+    for a in range(0, len(sets), 2000):
+        sigs, keys = ngram_join.signatures(sets[a : a + 2000])
+        whole = np.concatenate((sigs, ngram_join.key_marks(keys).view(np.uint8).reshape(len(sigs), -1)), axis=1)
+        same = keys[::2] == keys[1::2]
+        have = same.any(axis=1)
+        first = same.argmax(axis=1)
+        met = ngram_join.met_before(whole[::2], whole[1::2], first, sigs.shape[1], ngram_join.ROWS)
+        shared, lost = shared + have.sum(), lost + (met & have).sum()
+        pruned += (~ngram_join.alike(sigs[::2], sigs[1::2], least)).sum()
+    assert shared >= 9_999 and lost == 0 and pruned == 0
