@@ -18,7 +18,8 @@ pairs. Nothing is dropped or capped.
 
 Defined cases: vectors that are null, of length zero or hold null or non-finite
 components link with nothing, nor do rows with a null label; vectors of different
-dimension don't link; a repeated row counts as one more vector; a row with a null id
+dimension don't link; a repeated row counts as one more vector, as do different vectors of
+one id, each with its own links; a row with a null id
 comes back unlinked; an empty table gives no rows; other columns are not read.
 """
 
@@ -214,21 +215,25 @@ def link_vectors(
     groups = named.groupBy("key").agg(F.min("vec_id").alias("class_id"), F.count("*").alias("copies"))
     heads = named.join(groups.withColumnRenamed("class_id", "vec_id"), ["key", "vec_id"])
     heads = heads.dropDuplicates(["key", "vec_id"])
-    classes = cut(heads.select("key", F.col("vec_id").alias("class_id"), "copies", "label", F.size("v").alias("dim"), "v"))
+    heads = heads.select("key", F.col("vec_id").alias("least_id"), "copies", "label", F.size("v").alias("dim"), "v")
+    # a class has a number of its own: different vectors of one id are in several
+    classes = cut(heads.withColumn("class_id", F.monotonically_increasing_id()))
 
     bases = _bases(classes)
     points = classes.select("label", "dim", "class_id", "copies", "v")
     found = cut(_linked(_dealt(points, bases, threshold, block_rows), bases, threshold))
     reached = components(found.where("b is not null").select("a", "b")).withColumnRenamed("id", "class_id")
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "class_id")
+    numbers = classes.select("key", "class_id", "least_id", "copies")
+    least = numbers.join(reached, "class_id").groupBy("component").agg(F.min("least_id").alias("component_id"))
     per_class = (
-        classes.select("key", "class_id", "copies")
-        .join(links, "class_id", "left")
+        numbers.join(links, "class_id", "left")
         .join(reached, "class_id", "left")
+        .join(least, "component", "left")
         .select(
             "key",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "class_id").alias("component_id"),
+            F.coalesce("component_id", "least_id").alias("component_id"),
         )
     )
     linked = named.select("vec_id", "key").join(per_class, "key").drop("key")

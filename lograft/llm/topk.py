@@ -14,9 +14,10 @@ of bounded size, and returns the shard's best k of each query. A merge by query
 them. Scores are exact: in float64 as long as every sum stays below 2 ** 53, else int64.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part,
-nor do rows with a null id; missing components of shorter vectors count as 0; rows of one
-id are one vector (the first in order of its weights); ties go to the smaller id; a query
-with fewer candidates than k has fewer rows; an empty table gives none.
+nor do rows with a null id; missing components of shorter vectors count as 0; repeated rows
+(one id and the same weights) count once; different vectors of one id are candidates and
+queries each, ranked together by id, and none is a candidate for its own id; ties go to the
+smaller id; a query with fewer candidates than k has fewer rows; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -101,14 +102,12 @@ def search(
     def matrix(group: pa.Table, asks: int) -> tuple[np.ndarray, np.ndarray]:
         part = group.filter(pa.compute.equal(group.column("asks"), asks))
         held = sorted(zip(part.column("id").to_pylist(), part.column("terms").to_pylist(), strict=True))
-        first = {}
-        for name, own in held:
-            first.setdefault(name, own)
-        width = max(map(len, first.values()), default=0)
-        out = np.zeros((len(first), width), dtype=np.int64)
-        for i, own in enumerate(first.values()):
+        rows = list(dict.fromkeys((name, tuple(own)) for name, own in held))
+        width = max((len(own) for _, own in rows), default=0)
+        out = np.zeros((len(rows), width), dtype=np.int64)
+        for i, (_, own) in enumerate(rows):
             out[i, : len(own)] = own
-        return np.array(list(first), dtype=np.int64), out
+        return np.array([name for name, _ in rows], dtype=np.int64), out
 
     def run(batches):
         for table, edges in complete_groups(batches, keys):

@@ -92,3 +92,20 @@ def test_link_cases(spark):
     assert sorted((tuple(r) for r in got), key=str) == sorted(
         [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (None, 0, None, True), (3, 0, 3, True), (4, 0, 4, True)], key=str)
     assert embed_dedup.link_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_different_vectors_of_one_id(spark):
+    """Both are candidates and queries, as in the SQL; links are each vector's own."""
+    import duckdb
+    import pandas as pd
+
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [0.9, 0.1]), (1, [0.9, 0.1]), (2, [0.7, 0.0]), (50, [0.0, 1.0]), (50, [1.0, 0.2]), (3, [0.1, 0.1])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.search(frame.repartition(3), F.col("id") % 50 == 0, shard_rows=3)
+    con = duckdb.connect()
+    con.register("embeddings", pd.DataFrame(rows, columns=["vec_id", "embedding"]))
+    want = con.sql(topk.oracle_sql()).fetchall()
+    assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == sorted(want)
+    labelled = [(1, [1.0, 0.0], 1, "", ""), (1, [0.0, 1.0], 1, "", ""), (2, [1.0, 0.01], 1, "", ""), (3, [1.0, 0.02], 1, "", ""), (4, [0.01, 1.0], 1, "", "")]
+    found = embed_dedup.link_vectors(spark.createDataFrame(labelled, SCHEMA)).collect()
+    assert sorted(tuple(r) for r in found) == [(1, 1, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 1, 1, False)]
