@@ -4,7 +4,8 @@ Every version of every path is addressed by the SHA-256 of its text. The ledger
 a row per blob and rule version with the spans found. A scan takes each distinct blob
 once, looks up which rule versions the ledger already has for it, applies only the
 others, and joins all findings back to every path that has the blob. ``Scan.entries``
-are the new ledger rows, to be appended to the ledger that the next scan gets.
+are the new ledger rows, to be appended to the ledger that the next scan gets; ``scan_with_ledger``
+keeps them in a folder. ``redact`` takes its spans from the same ledger.
 
 Positions come from the pieces between the matches: a match begins after the pieces and
 matches before it, counted in code points.
@@ -19,7 +20,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lograft.llm.shared import join_hot
@@ -40,15 +42,20 @@ class Rule:
         return f"{self.kind}@{self.version}"
 
 
-# The base rules, in their order, and two more kinds.
+# The base rules, in their order, and more kinds: private keys, tokens of forges, signed
+# web tokens, passwords in addresses.
 BASE_RULES = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", r"[0-9a-f]{32,}", 0, 32),
 )
+_KEY = "[A-Z ]{0,32}PRIVATE KEY-----"
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"),
+    # up to the END line, and where that is missing up to the end of the base64 lines
+    Rule("pem", rf"-----BEGIN {_KEY}(?:[^-]*(?:-[^-]+){{0,64}}-----END {_KEY}|(?:\s+[A-Za-z0-9+/=]{{16,}})*)", version=2),
     Rule("forge", r"\bgh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("url", r"\b[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s:/@]{1,128}:([^\s:/@]{1,128})@", 1, 4),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -95,28 +102,42 @@ def blob_of(text: str = "text") -> Column:
     return F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
 
 
-def scan_blobs(blobs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``blob, kind, rule_version, spans``: the blobs (``blob, text``, each once) under the rule versions
-    that the ledger doesn't have for them."""
-    if ledger is not None:
-        keys = F.concat_ws("@", F.col("kind"), F.col("rule_version").cast("string"))
-        known = ledger.groupBy("blob").agg(F.collect_set(keys).alias("known"))  # at most a key per rule version
-        blobs = blobs.join(known, "blob", "left")
-        blobs = blobs.withColumn("known", F.coalesce("known", F.array().cast("array<string>")))
-        wanted = F.array(*[F.lit(r.key) for r in rules])
-        blobs = blobs.where(F.size(F.array_except(wanted, F.col("known"))) > 0)
-    done = {r: F.array_contains("known", r.key) if ledger is not None else F.lit(False) for r in rules}
-    entries = F.array(
+_ENTRIES = "array<struct<kind:string,rule_version:int,spans:array<struct<start:bigint,end:bigint>>>>"
+
+
+def _entries(blobs: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]) -> DataFrame:
+    """``blob, text, known, fresh``: each blob's ledger entries under the rules' versions, and those that
+    a scan of the others gives."""
+    current = [r.key for r in rules]
+    none = F.array().cast(_ENTRIES)
+    if ledger is None:
+        blobs = blobs.withColumn("known", none)
+    else:
+        of = ledger.where(F.concat_ws("@", "kind", F.col("rule_version").cast("string")).isin(current))
+        # at most an entry per rule (a ledger that was appended twice has an entry twice)
+        known = of.groupBy("blob").agg(F.collect_set(F.struct("kind", F.col("rule_version").cast("int"), "spans")).cast(_ENTRIES).alias("known"))
+        blobs = blobs.join(known, "blob", "left").withColumn("known", F.coalesce("known", none))
+
+    def has(r: Rule) -> Column:
+        return F.exists("known", lambda e: (e["kind"] == r.kind) & (e["rule_version"] == r.version))
+
+    fresh = F.array(
         *[
             F.struct(
                 F.lit(r.kind).alias("kind"),
                 F.lit(r.version).alias("rule_version"),
-                F.when(~done[r], spans_of(F.col("text"), r)).alias("spans"),
+                (spans_of(F.col("text"), r) if ledger is None else F.when(~has(r), spans_of(F.col("text"), r))).alias("spans"),
             )
             for r in rules
         ]
     )
-    return blobs.select("blob", F.inline(entries)).where("spans is not null")
+    return blobs.withColumn("fresh", F.filter(fresh, lambda e: e["spans"].isNotNull()).cast(_ENTRIES))
+
+
+def scan_blobs(blobs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``blob, kind, rule_version, spans``: the blobs (``blob, text``, each once) under the rule versions
+    that the ledger doesn't have for them."""
+    return _entries(blobs.select("blob", "text"), ledger, rules).select("blob", F.inline("fresh"))
 
 
 def scan(
@@ -187,20 +208,44 @@ def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
 
 
 def redact(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    rules: tuple[Rule, ...] = RULES,
+    ledger: DataFrame | None = None,
 ) -> DataFrame:
-    """``docs`` with the secrets in ``text_col`` replaced; each distinct text is scanned once. A null
-    text stays null. Columns of the names ``_blob``, ``_clean`` and ``_salt`` are in use here."""
+    """``docs`` with the secrets in ``text_col`` replaced. The spans are those of the ledger's entries and,
+    where it has none for a blob and rule version, of a scan; each blob is taken once and its clean text
+    joined back to all rows that have it. A null text stays null. Columns of the names ``_blob``, ``_clean`` and
+    ``_salt`` are in use here."""
     docs = docs.withColumn("_blob", blob_of(text_col))
     blobs = docs.select(F.col("_blob").alias("blob"), F.col(text_col).alias("text")).where("text is not null")
-    blobs = blobs.dropDuplicates(["blob"])
-    found = F.array(*[F.transform(spans_of(F.col("text"), r), lambda s: s) for r in rules])
-    blobs = blobs.withColumn("spans", F.array_sort(F.flatten(found))).where(F.size("spans") > 0)
-    clean = blobs.select(F.col("blob").alias("_blob"), redacted(F.col("text"), F.col("spans")).alias("_clean"))
+    found = _entries(blobs.dropDuplicates(["blob"]), ledger, rules)
+    spans = F.array_sort(F.flatten(F.transform(F.concat("known", "fresh"), lambda e: e["spans"])))
+    found = found.withColumn("spans", spans).where(F.size("spans") > 0)
+    clean = found.select(F.col("blob").alias("_blob"), redacted(F.col("text"), F.col("spans")).alias("_clean"))
     joined = join_hot(docs, clean, "_blob", id_col).withColumn(text_col, F.coalesce("_clean", F.col(text_col)))
     return joined.drop("_blob", "_clean")
 
 
+def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
+    """The ledger kept in a folder of the shared storage; None where there is none yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def scan_with_ledger(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES, **columns: str) -> DataFrame:
+    """The findings of all rows of ``docs``; what the ledger in ``path`` lacks is scanned and appended to it."""
+    spark = docs.sparkSession
+    ledger = read_ledger(spark, path)
+    scan(docs, ledger, rules, **columns).entries.write.mode("append").parquet(path)
+    return scan(docs, read_ledger(spark, path), rules, **columns).findings
+
+
 def oracle_sql() -> str:
     """The digests in DuckDB SQL."""
     either = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
@@ -209,8 +254,7 @@ def oracle_sql() -> str:
         "assign": "(" + words + r""")["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""",
         "access": BASE_RULES[1].pattern,
         "hex": BASE_RULES[2].pattern,
-        "pem": MORE_RULES[0].pattern,
-        "forge": MORE_RULES[1].pattern,
+        **{r.kind: r.pattern for r in MORE_RULES},
     }
     scans = []
     for k, r in enumerate(RULES):
