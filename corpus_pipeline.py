@@ -3,10 +3,11 @@
 Each stage takes the documents that its predecessor kept. All but the last return
 the columns of ``documents``:
 
-1. ``language``: labels each document; those without a letter, or of which no language
-   covers ``MIN_SHARE`` of the letters, go. ``lang`` becomes the language found.
+1. ``language``: labels each document; those without a letter go. ``lang`` becomes the language
+   that covers most of the text, also where it covers little of it.
 2. ``near_duplicates``: of each group of documents linked at a Jaccard similarity of 0.8
-   over five-word shingles the one with the smallest id stays, of equal rows one.
+   over five-word shingles the one with the smallest id stays, of equal rows one. Rows of one id
+   with different texts are documents of their own.
 3. ``secrets``: secrets in the text are replaced by a mark; ``n_chars`` follows.
 4. ``packing``: the documents' ids in sequences of at most 1024 tokens.
 
@@ -25,21 +26,21 @@ from lograft.llm.queries import vocabulary_path
 from lograft.llm.shared import cut
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-MIN_SHARE = 0.3
 
 
 def label_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
     model = language.train(docs.where(~language.held_out()))
     found = language.identify(docs, model, carry=["text", "source", "n_chars"])
-    good = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SHARE))
+    good = found.where(F.col("lang_pred") != language.UNKNOWN)
     return good.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
-    gone = ngram_join.jaccard_join(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(COLUMNS).select(*COLUMNS)
+    gone = ngram_join.jaccard_join(docs, with_hash=True).where(~F.col("kept")).select("doc_id", "text_hash").distinct()
+    named = docs.withColumn("text_hash", F.xxhash64("text"))
+    return named.join(gone, ["doc_id", "text_hash"], "left_anti").dropDuplicates(COLUMNS).select(*COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
