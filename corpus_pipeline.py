@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from lograft.llm import language, ngram_join, packing, secret_scan
 from lograft.llm.queries import vocabulary_path
 from lograft.llm.shared import cut
+from lograft.operators.joins import join_groups
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -37,10 +38,14 @@ def label_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = docs.select(*COLUMNS)
-    gone = ngram_join.jaccard_join(docs, with_hash=True).where(~F.col("kept")).select("doc_id", "text_hash").distinct()
-    named = docs.withColumn("text_hash", F.xxhash64("text"))
-    return named.join(gone, ["doc_id", "text_hash"], "left_anti").dropDuplicates(COLUMNS).select(*COLUMNS)
+    docs = docs.select(*COLUMNS).withColumn("text_hash", F.xxhash64("text"))
+    keys = ["doc_id", "text_hash"]
+    found = ngram_join.jaccard_join(docs, with_hash=True).groupBy(*keys).agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+    # what goes and what is there more than once: narrow rows, broadcast behind a count
+    fate = cut(found.where(~F.col("kept") | (F.col("n") > 1)))
+    named = join_groups(docs, fate, keys, "left").where(F.coalesce("kept", F.lit(True)))
+    again = named.where("n > 1").select(*COLUMNS).dropDuplicates(COLUMNS)
+    return named.where("n is null").select(*COLUMNS).unionByName(again)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
