@@ -2,24 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lograft.session import checkpoint_dir
+from lograft.session import shared_folder
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared folder that ``spark.checkpoint.dir`` names and returns it as read
-    from there. A folder of our own is set only where the session names none, as in tests."""
-    spark: SparkSession = df.sparkSession
-    if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lograft-"))
-    checkpoint_dir(spark)
+    from there. Where the session names none, local mode (as in tests) gets a folder of our own."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
