@@ -9,9 +9,10 @@ a digit, other signs stay; vowels stay vowels, a
 given name's last letter follows the gender that most of its titles in the corpus tell, the parts of a type that carry its format
 (country code, top-level domain, issuer digit, check digit of card numbers) are kept.
 
-A name found after a title is replaced wherever its text has it, with a title or not, as it
-is written there. A single word is a given name if the text has it only as the first word
-of full names, else a family name.
+A name found after a title, or after several, is replaced wherever its text has it, with a title
+or not: full names in any case, single words where they begin with a capital. Its surrogate is
+written in the case of the mention. Particles ("de la", "van der") and initials stay. A single word
+is a given name if the text has it only as the first word of full names, else a family name.
 
 Collision checks keep entities apart: of the entities that want one surrogate, one gets
 it, and none that is itself an entity of the corpus or already given away; the others
@@ -40,6 +41,12 @@ TITLES = {
     "m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "господин", "κύριος"),
     "u": ("Dr", "Prof"),
 }
+# Words that belong to a name but are none, and those that may follow them (fixed values).
+PARTICLES = ("de", "del", "della", "dos", "du", "van", "von")
+LOWER_PARTICLES = ("da", "di", "al", "bin", "ibn")  # given names when capitalised
+SECOND_PARTICLES = ("la", "las", "los", "der", "den", "dem", "zu")
+# Titles that mean something else in capitals, unless a point follows (fixed values).
+CAPITALS_WITH_POINT = ("MS", "DR", "SR")
 # Alphabets by script, upper and lower, vowels and consonants (fixed values).
 ALPHABETS = {
     "latin": ("aeiou", "bcdfghjklmnpqrstvwxyz"),
@@ -50,7 +57,26 @@ ALPHABETS = {
 }
 # a name's word, without a possessive 's
 _NAME = r"\p{Lu}[\p{L}\p{M}]*+(?:(?!['’]s(?![\p{L}\p{M}]))['’-]++[\p{L}\p{M}]++)*+"
-_TITLE = r"(?:" + "|".join(t for own in TITLES.values() for t in own) + r")\.? "
+
+
+def _cases(words: tuple[str, ...]) -> list[str]:
+    """Each word as it is, capitalised and in capitals."""
+    return list(dict.fromkeys(w for word in words for w in (word, word[:1].upper() + word[1:], word.upper())))
+
+
+def _titles(words: tuple[str, ...]) -> str:
+    """A pattern for these titles."""
+    plain = [t for t in _cases(words) if t not in CAPITALS_WITH_POINT]
+    return "|".join([*plain, *(rf"{t}(?=\.)" for t in _cases(words) if t in CAPITALS_WITH_POINT)])
+
+
+# one title or more; the words before or inside a name
+_TITLE = r"(?:(?:" + "|".join(_titles(own) for own in TITLES.values()) + r")(?:\.? |\.(?=\p{Lu})))++"
+_SMALL = [*_cases(PARTICLES), *LOWER_PARTICLES, *_cases(SECOND_PARTICLES)]
+_INITIALS = r"(?:\p{Lu}\.)+"
+_INSIDE = (
+    r"(?:(?:" + "|".join([*_cases(PARTICLES), *LOWER_PARTICLES]) + r") (?:(?:" + "|".join(_cases(SECOND_PARTICLES)) + rf") )?|{_INITIALS} )"
+)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _LETTERS = r"\p{L}\p{M}\p{N}"  # Java's \w is ASCII only
 # Phone numbers: five pairs, area and number, a country code with any groups (8 to 15 digits), '/' after the area.
@@ -75,9 +101,9 @@ PATTERNS = {
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": r"(?<![\w.])" + rf"{_OCTET}(?:\.{_OCTET}){{3}}" + r"(?!\.?\w)",
     "phone": r"(?<![\w+])(?:" + "|".join(_PHONES) + ")",
-    "name": rf"(?<!\w){_TITLE}{_NAME}(?: {_NAME})?",
+    "name": rf"(?<![{_LETTERS}_]){_TITLE}{_INSIDE}{{0,3}}{_NAME}(?: {_INSIDE}{{0,3}}{_NAME})?",
 }
-_FIRST = "".join(sorted({t[0] for own in TITLES.values() for t in own}))  # of the titles
+_FIRST = "".join(sorted({t[0] for own in TITLES.values() for t in _cases(own)}))  # of the titles
 # the card pattern's own groups are the first of all
 ANY = "|".join(f"(?:{p})" for p in [PATTERNS["card"], *(p for k, p in PATTERNS.items() if k != "card")])
 
@@ -115,22 +141,35 @@ def type_of(mention: Column) -> Column:
     )
 
 
-def _words(mention: Column) -> Column:
-    """The words of a name without its title."""
+def _tokens(mention: Column) -> Column:
+    """What a name has between blanks, without its titles."""
     return F.split(F.regexp_replace(mention, f"^{_TITLE}", ""), " ")
 
 
+def _is_small(token: Column) -> Column:
+    """Whether a token, not the last of its name, is a particle or initials."""
+    return token.isin(_SMALL) | token.rlike(f"^{_INITIALS}$")
+
+
+def _words(mention: Column) -> Column:
+    """The words of a name, one or two, in lower case."""
+    tokens = _tokens(mention)
+    size = F.size(tokens)
+    return F.transform(F.filter(tokens, lambda t, i: (i == size - 1) | ~_is_small(t)), F.lower)
+
+
 def with_untitled(texts: DataFrame) -> DataFrame:
     """``texts (blob, gaps, found)`` with the names of ``found`` also found in the gaps, and ``givens``: the
     words that a text has only as the first of full names."""
-    titled = F.filter("found", lambda m: m.rlike(f"^{_TITLE}"))
+    titled = F.filter("found", lambda m: type_of(m) == "name")
     texts = texts.withColumn("_names", F.transform(titled, _words))
     full = F.filter("_names", lambda n: F.size(n) > 1)
     texts = texts.withColumns({"_first": F.array_distinct(F.transform(full, lambda n: n[0])), "_last": F.transform(full, lambda n: n[1])})
     # names hold nothing that means something in a pattern
-    each = F.array_join(F.array_distinct(F.flatten("_names")), "|")
-    both = F.when(F.size("_first") > 0, F.concat(F.lit("(?:"), F.array_join("_first", "|"), F.lit(") (?:"), each, F.lit(f")(?![{_LETTERS}_])|")))
-    own = F.concat(F.lit(rf"(?<![{_LETTERS}_])(?=\p{{Lu}})(?:"), F.coalesce(both, F.lit("")), F.lit("(?:"), each, F.lit(f")(?![{_LETTERS}_]))"))
+    each = F.concat(F.lit("(?iu:"), F.array_join(F.array_distinct(F.flatten("_names")), "|"), F.lit(rf")(?![{_LETTERS}_])"))
+    both = F.concat(F.lit("(?iu:"), F.array_join("_first", "|"), F.lit(rf") {_INSIDE}{{0,3}}"), each, F.lit("|"))
+    both = F.when(F.size("_first") > 0, both).otherwise("")
+    own = F.concat(F.lit(rf"(?<![{_LETTERS}_])(?:"), both, F.lit(r"(?=\p{Lu})"), each, F.lit(")"))
     texts = texts.withColumn("_own", F.when(F.size("_names") > 0, own))
     gaps = F.flatten(F.transform("gaps", lambda g: F.split(g, F.col("_own"), -1)))
     # what a gap holds, then the mention that ends it; none ends the last
@@ -148,8 +187,9 @@ def parts_of(mention: Column, kind: Column, givens: Column) -> Column:
     """The entities of a mention: type, normal form and, for given names, the gender that its title tells
     (1, -1 or 0). A mail address has two (the name at its domain, and the domain), a name one for each
     word, given names (of one word, those of ``givens``) apart from family names."""
-    title = F.regexp_extract(mention, r"^(\p{L}+)\.? ", 1)
-    gender = F.when(title.isin(list(TITLES["f"])), 1).when(title.isin(list(TITLES["m"])), -1).otherwise(0)
+    titles = F.regexp_extract(mention, f"^({_TITLE})", 1)
+    tells = lambda g: titles.rlike(rf"(?<!\p{{L}})(?:{_titles(TITLES[g])})(?!\p{{L}})")
+    gender = F.when(tells("f"), 1).when(tells("m"), -1).otherwise(0)
     words = _words(mention)
     entity = lambda kind, form, gender=F.lit(0): F.struct(F.lit(kind).alias("type"), form.alias("form"), gender.alias("gender"))
     given, family = F.array(entity("given", words[0], gender)), F.array(entity("family", F.element_at(words, -1)))
@@ -270,6 +310,16 @@ def give_surrogates(entities: DataFrame, key: str) -> DataFrame:
             return given
 
 
+def _in_case_of(word: Column, surrogate: Column) -> Column:
+    """A surrogate with capitals where the word has them (letters whose capital is no single one stay)."""
+
+    def cased(sign: Column, i: Column) -> Column:
+        capital = F.substring(word, i + 1, F.lit(1)).rlike(r"^\p{Lu}$") & (F.length(F.upper(sign)) == 1)
+        return F.when(capital, F.upper(sign)).otherwise(sign)
+
+    return F.array_join(F.transform(_signs(surrogate), cased), "")
+
+
 def _written(mention: Column, kind: Column, subs: Column) -> Column:
     """The surrogates of a mention's entities, written as the mention is."""
     digits = _signs(subs[0])
@@ -286,9 +336,15 @@ def _written(mention: Column, kind: Column, subs: Column) -> Column:
         lambda acc: F.concat(acc["out"], F.array_join(F.slice(digits, acc["k"] + 1, F.size(digits)), "")),
     )
     title = F.regexp_extract(mention, f"^({_TITLE})", 1)
+    tokens = _tokens(mention)
+    last = F.size(tokens) - 1
+    name = F.transform(
+        tokens,
+        lambda t, i: F.when(i == last, _in_case_of(t, F.element_at(subs, -1))).when(_is_small(t), t).otherwise(_in_case_of(t, subs[0])),
+    )
     return (
         F.when(kind == "email", F.concat_ws("@", subs[0], subs[1]))
-        .when(kind == "name", F.concat(title, F.array_join(subs, " ")))
+        .when(kind == "name", F.concat(title, F.array_join(name, " ")))
         .when(kind == "ip", subs[0])
         .otherwise(spread)
     )

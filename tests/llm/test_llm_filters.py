@@ -249,6 +249,36 @@ def test_names_keep_their_surrogate(spark):
     assert text[8] == f"Dr {rossi}, then plain {rossi} and rossi and xRossi"
 
 
+# what stands before a name, the name (its own words in angle brackets), later mentions, what stays
+PEOPLE = [
+    (("Herr Dr. ", "Prof. Dr. ", "Frau Prof. Dr. ", "Dr.", "HERR "), "<Müller>", ("<Müller>", "<MÜLLER>", "Dr. <Müller>"), ("müller", "Müllerin")),
+    (("Prof. Dr. ", "MRS. ", "MRS ", "Señora ", "DR. "), "<Anna> <Schmidt>", ("<Anna>", "<ANNA> <SCHMIDT>", "<anna> <schmidt>"), ("anna", "Annas")),
+    (("Mr. ", "SR. "), "de la <Cruz>", ("<Cruz>", "De La <Cruz>", "<CRUZ>"), ("cruz", "de la")),
+    (("Mr. ", "Herr "), "<Ludwig> van der <Berg>", ("<Ludwig> van der <Berg>", "<BERG>", "<ludwig> <berg>"), ("van der",)),
+    (("Mr ", "Dr. "), "<John> Q. <O'Neil>", ("<John>", "<JOHN> <O'NEIL>", "J. <O'Neil>"), ("john",)),
+    (("Mr. ",), "J. R. <Tolkien>", ("<Tolkien>", "<TOLKIEN>'s"), ("J. R.",)),
+]
+
+
+def test_no_found_name_stays(spark):
+    """Against plain Python: each marked word, and nothing else, becomes its own surrogate, in the word's case."""
+    rows = []
+    for titles, name, later, stays in PEOPLE:
+        for title in titles:
+            rows.append(f"To {title}{name} we wrote. " + "; ".join([*later, *stays]) + ". MS Word and DR Congo stay")
+    docs = spark.createDataFrame([(i, re.sub("[<>]", "", t)) for i, t in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.replace_entities(docs, "k").collect()}
+    surrogates: dict[str, str] = {}
+    for i, marked in enumerate(rows):
+        shown = re.compile("(.+?)".join(map(re.escape, re.split("<[^>]*>", marked))))
+        new = shown.fullmatch(got[i])
+        assert new, (marked, got[i])
+        for was, now in zip(re.findall(r"<([^>]*)>", marked), new.groups(), strict=True):
+            assert len(now) == len(was) and [c.isupper() for c in now] == [c.isupper() for c in was], (was, now)
+            assert surrogates.setdefault(was.lower(), now.lower()) == now.lower() != was.lower(), (was, now, got[i])
+    assert len(set(surrogates.values())) == len(surrogates)
+
+
 def test_entity_test_equals_the_whole_pattern(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").select("text")
     docs = docs.unionByName(spark.createDataFrame([(t,) for _, t in PRIVATE], "text string"))
