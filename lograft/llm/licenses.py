@@ -10,6 +10,11 @@ lines and windows whose bound reaches the threshold get their exact cosine. File
 enough of a template's terms to reach it have no windows. A file's licence is the best
 template's; "All rights reserved" names no licence, so it stands only where none is found.
 
+Licences of a family differ in a word or a number, which moves the cosine little. So a template fits
+only text that has the numbers of its licence's version and its telling words ("Lesser", "ShareAlike"),
+in the families of GNU and Creative Commons none of the others; an SPDX line needs all of its words.
+A notice does not fit after "not", unless it holds that word itself.
+
 A file without one takes the licence of the nearest directory above it that has a licence
 file: each distinct directory is joined to its ancestors' licences, the deepest is kept,
 and files are joined to their directory.
@@ -22,6 +27,7 @@ repeated rows get the same answer; an empty table gives no rows; other columns a
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import numpy as np
@@ -65,9 +71,22 @@ _GNU = (
 )
 NO_LICENCE = "Proprietary"
 
+_GNU_ONLY = (
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version {version} as published by the Free Software Foundation."
+)
+# Creative Commons licences: short form, and what their names add to "Attribution" (fixed values).
+_CC = (
+    ("BY", ""), ("BY-SA", "-ShareAlike"), ("BY-ND", "-NoDerivatives"), ("BY-NC", "-NonCommercial"),
+    ("BY-NC-SA", "-NonCommercial-ShareAlike"), ("BY-NC-ND", "-NonCommercial-NoDerivatives"),
+)
+# Words that tell the licences of a family apart, and the families (fixed values).
+TELLING = ("lesser", "affero", "noncommercial", "sharealike", "noderivatives", "nc", "sa", "nd")
+FAMILIES = r"^(?:[AL]?GPL|CC-)"
+_SPDX = "SPDX-License-Identifier: "
+
 # Licences and the notices that stand for them (fixed values, public texts). The long texts of Apache, GNU,
 # Mozilla and Creative Commons are known by the notice or title that they hold themselves.
-TEMPLATES = (
+NOTICES = (
     ("MIT", _MIT),
     ("BSD-3-Clause", _BSD + _NO_ENDORSEMENT + _AS_IS),
     ("BSD-2-Clause", _BSD + _AS_IS),
@@ -77,10 +96,16 @@ TEMPLATES = (
     ("LGPL-2.1", _GNU.format(what="library", name="Lesser General Public", version="2.1")),
     ("LGPL-3.0", _GNU.format(what="program", name="Lesser General Public", version="3")),
     ("AGPL-3.0", _GNU.format(what="program", name="Affero General Public", version="3")),
+    ("GPL-2.0", _GNU_ONLY.format(version="2")),
+    ("GPL-3.0", _GNU_ONLY.format(version="3")),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
     ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
-    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
-    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
-    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    *((f"CC-{short}-4.0", f"Creative Commons Attribution{full} 4.0 International Public License") for short, full in _CC),
     ("CC0-1.0", "Creative Commons CC0 1.0 Universal"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
@@ -94,12 +119,28 @@ TEMPLATES = (
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    *((f"CC-{short}-4.0", f"Licensed under CC {short} 4.0.") for short, _ in _CC),
     ("CC0-1.0", "Released under CC0 1.0 Universal."),
     (NO_LICENCE, "All rights reserved."),
 )
+#: The notices, and an SPDX line for each of their licences.
+TEMPLATES = (*NOTICES, *((name, _SPDX + name) for name in dict.fromkeys(n for n, _ in NOTICES) if name != NO_LICENCE))
+
+
+def _must_hold(licence: str, text: str) -> set[str]:
+    """The words that text must have to be this template's, however high its cosine."""
+    words = set(re.findall(r"[^\W_]+", text.lower()))
+    if text.startswith(_SPDX):
+        return words
+    version = re.search(r"(\d+)\.(\d+)$", licence)
+    return words & {*TELLING, *(version.groups() if version else ())}
+
+
+def _must_lack(licence: str, text: str) -> set[str]:
+    """The words that it must not have."""
+    words = set(re.findall(r"[^\W_]+", text.lower()))
+    told = TELLING if re.match(FAMILIES, licence) else ()
+    return {"not", *told} - words
 
 
 class Words:
@@ -128,6 +169,17 @@ class Templates:
         self.sizes = self.counts.sum(axis=0).astype(np.int64)
         #: Templates of a licence come before those that name none, whatever their scores.
         self.last = np.array([name == NO_LICENCE for name in self.licences], dtype=bool)
+        self.needs = self._table([_must_hold(*t) for t in templates])
+        self.bars = self._table([_must_lack(*t) for t in templates])
+        self.negation = int(self.number(Words(["not"]).names)[0])
+
+    def _table(self, words: Sequence[set[str]]) -> np.ndarray:
+        """Terms by templates: 1 where the template's set has the term. Words that no template has are left out."""
+        table = np.zeros((len(self.terms), len(words)), dtype=np.float32)
+        for t, own in enumerate(words):
+            term = self.number(Words([" ".join(sorted(own))]).names)
+            table[term[term >= 0], t] = 1
+        return table
 
     def number(self, names: np.ndarray) -> np.ndarray:
         """The number of each word among the terms, -1 for other words."""
@@ -169,6 +221,12 @@ class Templates:
         own = np.bincount(at.astype(np.int64), weights=(count * self.other) ** 2, minlength=n)
         at = some[likely]
         cosine = product[likely] / np.sqrt(square[at] + own[at])[:, None]
+        held = np.zeros((len(at), len(self.terms)), dtype=np.float32)
+        row = np.full(n, -1, dtype=np.int64)
+        row[at] = np.arange(len(at))
+        here = row[unit] >= 0
+        held[row[unit[here]], term_of[here]] = 1
+        cosine[(held @ self.needs < self.needs.sum(axis=0)) | (held @ self.bars > 0)] = 0
         top = cosine.argmax(axis=1)
         value = cosine[np.arange(len(at)), top]
         hit = value >= threshold
@@ -198,8 +256,15 @@ class Templates:
             start = ragged(np.cumsum(lengths) - lengths, count)
             end = start + np.repeat(np.minimum(lengths, size), count)
             bound = (product[end] - product[start]) / np.sqrt(np.maximum(square[end] - square[start], 1e-12))
-            likely = np.flatnonzero(bound >= threshold - 1e-6)
+            fits = bound >= threshold - 1e-6
             of = np.repeat(docs, count)
+            if self.negation >= 0 and self.bars[self.negation, t]:
+                begin = np.repeat(np.cumsum(lengths) - lengths, count)
+                for back in (1, 2):  # "not licensed under", "not be licensed under"
+                    before = words[np.maximum(start - back, 0)] if len(words) else start
+                    fits &= (start - back < begin) | (term[before] != self.negation)
+            likely = np.flatnonzero(fits)
+            needed = self.needs[:, t].sum()
             step = max(1, WINDOW_WORDS // size)
             best = np.zeros(n)
             for k in range(0, len(likely), step):
@@ -217,6 +282,10 @@ class Templates:
                 unit, word = unit[first], word[first]
                 length = np.bincount(unit, weights=(tf * weight[word]) ** 2, minlength=len(at))
                 score = np.bincount(unit, weights=np.where(known[word], tf * weight[word] * self.unit[term[word], t], 0.0), minlength=len(at))
+                terms, has_it = np.where(known[word], term[word], 0), known[word]
+                needs = np.bincount(unit, weights=np.where(has_it, self.needs[terms, t], 0.0), minlength=len(at))
+                bars = np.bincount(unit, weights=np.where(has_it, self.bars[terms, t], 0.0), minlength=len(at))
+                score[(needs < needed) | (bars > 0)] = 0
                 np.maximum.at(best, of[at], score / np.sqrt(length))
             out += [(int(t), int(d), float(best[d])) for d in np.flatnonzero(best >= threshold)]
         return out

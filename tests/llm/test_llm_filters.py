@@ -342,6 +342,39 @@ def test_notices_in_several_lines_or_inside_one(spark):
     assert all(got[k][1] > 0.99 for k in (1, 3, 4, 5, 6, 7, 8, 10, 11, 15))
 
 
+def test_every_template_names_its_own_licence(spark):
+    """Each template against all others: on one line, wrapped as a comment, in capitals, inside a longer line."""
+    code = "import os\nfor x in range(9):\n    print(x)\n" * 20
+    rows = []
+    for name, text in licenses.TEMPLATES:
+        words = text.split(" ")
+        wrapped = "\n".join(" * " + " ".join(words[i : i + 6]) for i in range(0, len(words), 6))
+        rows += [(name, t) for t in (text, f"{wrapped}\n{code}", f"{code}{text.upper()}\n{code}", f"This file is part of foo. {text} More words follow.")]
+    files = spark.createDataFrame([(i, f"d{i}/f.py", t) for i, (_, t) in enumerate(rows)], "doc_id long, path string, text string")
+    got = {r["id"]: r["own"] for r in licenses.own_licences(files, F.lit(False)).collect()}
+    assert [(i, rows[i], got[i]) for i in got if got[i] != rows[i][0]] == []
+
+
+def test_versions_families_and_negation(spark):
+    gnu = "it under the terms of the GNU {} as published by the Free Software Foundation"
+    rows = [
+        ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\nCopyright (C) 2007 Free Software Foundation, Inc."),
+        ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n\nCopyright (C) 1989, 1991 Free Software Foundation, Inc."),
+        ("GPL-2.0", " * This program is free software; you can redistribute it and/or modify\n * " + gnu.format("General Public License version 2") + ".\n"),
+        ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999"),
+        ("Apache-2.0", "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n"),
+        (None, "Apache License Version 1.1"), (None, "GNU General Public License Version 1, February 1989"),
+        ("Apache-2.0", "# SPDX-License-Identifier: Apache-2.0\nimport os\n"), ("GPL-2.0", "// SPDX-License-Identifier: GPL-2.0-only"),
+        ("LGPL-2.1", "/* SPDX-License-Identifier: LGPL-2.1-or-later */"), (None, "SPDX-License-Identifier: Zlib"), (None, "SPDX-License-Identifier: GPL-1.0"),
+        ("CC-BY-NC-SA-4.0", "<!-- SPDX-License-Identifier: CC-BY-NC-SA-4.0 -->"), ("CC-BY-SA-4.0", "Text is licensed under CC BY-SA 4.0, see below"),
+        (None, "This is not released under the MIT License."), (None, "It may not be licensed under the MIT License."),
+        ("MIT", "If not stated elsewhere in the tree, all of it is released under the MIT License."), (None, "not"), (None, "2 0 3"),
+    ]
+    files = spark.createDataFrame([(i, f"d{i}/f.py", t) for i, (_, t) in enumerate(rows)], "doc_id long, path string, text string")
+    got = {r["id"]: r["own"] for r in licenses.own_licences(files, F.lit(False)).collect()}
+    assert [(rows[i], got[i]) for i in got if got[i] != rows[i][0]] == []
+
+
 def test_windows_by_hand():
     import numpy as np
 
