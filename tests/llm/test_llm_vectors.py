@@ -109,3 +109,25 @@ def test_different_vectors_of_one_id(spark):
     labelled = [(1, [1.0, 0.0], 1, "", ""), (1, [0.0, 1.0], 1, "", ""), (2, [1.0, 0.01], 1, "", ""), (3, [1.0, 0.02], 1, "", ""), (4, [0.01, 1.0], 1, "", "")]
     found = embed_dedup.link_vectors(spark.createDataFrame(labelled, SCHEMA)).collect()
     assert sorted(tuple(r) for r in found) == [(1, 1, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 1, 1, False)]
+
+
+def test_parts_and_given_thresholds(monkeypatch):
+    """Part by part, with thresholds of another shard, ties and large numbers: as by sorting all scores."""
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(topk, "PART_ROWS", 7)
+    for kind, scale in ((np.float64, 1), (np.int64, 1), (np.int64, 2**28)):
+        weights = (rng.integers(-2, 3, (60, 4)) * scale).astype(kind)  # few values: many ties
+        asked = (rng.integers(-2, 3, (12, 4)) * scale).astype(kind)
+        ids = rng.permutation(90)[:60]
+        names = np.concatenate((ids[:8], [500, 501, 502, 503]))
+        scores = asked @ weights.T
+        want = []
+        for own, score in zip(names, scores, strict=True):
+            want.append(sorted((-s, i) for s, i in zip(score.tolist(), ids.tolist(), strict=True) if i != own)[:5])
+        for starts in ([-np.inf] * 12, [kind(-w[-1][0]) for w in want], [kind(-w[0][0] + 1) for w in want]):
+            got = topk.best_of_shard(weights, ids, asked, names, 5, starts)
+            got = [list(zip((-s).tolist(), i.tolist(), strict=True)) for i, s in got]
+            if starts[0] == -np.inf or starts[0] == -want[0][-1][0]:
+                assert got == want
+            else:  # a threshold above all: nothing that could have ranked is wrong, and nothing needs to be found
+                assert all(set(g) <= set(zip((-score).tolist(), ids.tolist(), strict=True)) for g, score in zip(got, scores, strict=True))
