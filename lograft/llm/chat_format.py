@@ -18,12 +18,17 @@ Method: token-level assembly.
   stand only at the beginning of marks, so places don't overlap and the way back is exact. The
   vocabulary's own special tokens count as control strings too: a text never gives their ids.
 
-Ids and mask are lists per turn, in order, so that a conversation of any length is never one
-row. ``read_turns`` gets roles, texts and the text under the mask back from ids and mask alone.
+Ids and mask are lists per turn, so that a conversation of any length is never one row, and a
+turn is formatted where its row lies: one conversation may hold any share of all turns.
+``in_order`` puts the turns in order over all partitions, again without one task per
+conversation. ``read_turns`` gets roles, texts and the text under the mask back from ids and
+mask alone. Only the query's digests need a conversation's turns in one task, since SHA-256 has
+no way to be merged: there they pass as a sorted stream, of which nothing is held.
 
 Defined cases: a null text or role is empty; turns are in the order of ``turn``, nulls first,
-those of one turn in the order of role and text; repeated rows are turns of their own; rows
-with a null id are one conversation; other columns are not read; an empty table gives no rows.
+those of one turn in the order of role and text (``in_order``: of role and formatted string);
+repeated rows are turns of their own; rows with a null id are one conversation; other columns
+are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -142,12 +147,12 @@ class Assembler:
         return [self.escapes.unescape(t) for t in self.encoder.decode(ids[ragged(starts, counts)].astype(np.int64), counts)]
 
 
-_TURN = "conv_id long, turn long, ids array<int>, loss_mask array<tinyint>, formatted string"
+_TURN = "conv_id long, turn long, role string, ids array<int>, loss_mask array<tinyint>, formatted string"
 
 
 def format_turns(conversations: DataFrame, vocab_path: str) -> DataFrame:
-    """``conv_id, turn, ids, loss_mask, formatted``: one row per turn. The turns of a conversation come one
-    after another, in order, within a partition; its example is their concatenation."""
+    """``conv_id, turn, role, ids, loss_mask, formatted``: one row per turn, where it lies. A conversation's
+    example is the concatenation of its turns in their order."""
     empty = F.lit("")
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"),
@@ -164,16 +169,24 @@ def format_turns(conversations: DataFrame, vocab_path: str) -> DataFrame:
                 ids, mask, counts, strings = maker.assemble(roles[i:j], texts[i:j])
                 offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("conv_id")[i:j], b.column("turn")[i:j], pa.ListArray.from_arrays(offsets, pa.array(ids)),
+                    [*(b.column(c)[i:j] for c in ("conv_id", "turn", "role")),
+                     pa.ListArray.from_arrays(offsets, pa.array(ids)),
                      pa.ListArray.from_arrays(offsets, pa.array(mask)), pa.array(strings, pa.string())],
-                    names=["conv_id", "turn", "ids", "loss_mask", "formatted"],
+                    names=["conv_id", "turn", "role", "ids", "loss_mask", "formatted"],
                 )
 
-    dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return dealt.mapInArrow(run, _TURN)
+    return rows.mapInArrow(run, _TURN)
 
 
-_READ = [("conv_id", pa.int64()), ("role", pa.string()), ("text", pa.string()), ("loss", pa.string()), ("chars", pa.int64())]
+def in_order(formatted: DataFrame) -> DataFrame:
+    """The formatted turns in order, within partitions and from one to the next. Ranges are cut between
+    turns as well as between conversations, so that a long conversation spreads over several tasks."""
+    place = ["conv_id", "turn", "role", "formatted"]
+    return formatted.repartitionByRange(*place).sortWithinPartitions(*place)
+
+
+_READ = [("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string()), ("loss", pa.string()),
+         ("chars", pa.int64())]
 
 
 def _read_batch(maker: Assembler, b: pa.RecordBatch) -> Iterator[tuple]:
@@ -183,16 +196,15 @@ def _read_batch(maker: Assembler, b: pa.RecordBatch) -> Iterator[tuple]:
     turns = maker.read(ids)
     loss = iter(maker.masked(ids, mask))
     at = 0
-    for conv, n, (role, text), formatted in zip(
-        b.column("conv_id").to_pylist(), counts, turns, b.column("formatted").to_pylist(), strict=True
-    ):
-        yield conv, role, text, next(loss) if mask[at : at + n].any() else "", len(formatted)
+    places = zip(b.column("conv_id").to_pylist(), b.column("turn").to_pylist(), strict=True)
+    for (conv, turn), n, (role, text), formatted in zip(places, counts, turns, b.column("formatted").to_pylist(), strict=True):
+        yield conv, turn, role, text, next(loss) if mask[at : at + n].any() else "", len(formatted)
         at += n
 
 
 def read_turns(formatted: DataFrame, vocab_path: str) -> DataFrame:
-    """``conv_id, role, text, loss, chars`` of every formatted turn, from its ids and mask: ``loss`` is the
-    text under the mask, ``chars`` the length of the formatted string."""
+    """``conv_id, turn, role, text, loss, chars`` of every formatted turn, from its ids and mask: ``loss`` is
+    the text under the mask, ``chars`` the length of the formatted string."""
 
     def run(batches):
         maker = Assembler(vocab_path)
@@ -202,7 +214,8 @@ def read_turns(formatted: DataFrame, vocab_path: str) -> DataFrame:
                 [pa.array(c, t) for c, (_, t) in zip(columns, _READ, strict=True)], names=[n for n, _ in _READ]
             )
 
-    return formatted.mapInArrow(run, "conv_id long, role string, text string, loss string, chars long")
+    needed = formatted.select("conv_id", "turn", "ids", "loss_mask", "formatted")
+    return needed.mapInArrow(run, "conv_id long, turn long, role string, text string, loss string, chars long")
 
 
 # ---------------------------------------------------------------- the query's digests
@@ -219,10 +232,14 @@ def with_control(spark: SparkSession, conversations: DataFrame) -> DataFrame:
 def digests(formatted: DataFrame, vocab_path: str) -> DataFrame:
     """One row per conversation of ``format_turns``: what is read back from its ids and mask, as digests.
 
-    The turns already lie together and in order, so nothing moves; a conversation's state is two
-    running digests and four counts."""
+    Turns are formatted and read back where they lie; what was read is dealt out by conversation, once,
+    and hashed in order. A conversation's state is two running digests and three counts."""
     kinds = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     names = [k.split()[0] for k in kinds.split(", ")]
+    same = F.col("loss") == F.col("text")  # then the text need not be sent twice
+    turns = read_turns(formatted, vocab_path).select(
+        "conv_id", "turn", "role", "text", F.when(~same, F.col("loss")).alias("loss"), "chars"
+    )
 
     def row(conv, state):
         n, turns, chars, loss, length = state
@@ -233,14 +250,15 @@ def digests(formatted: DataFrame, vocab_path: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     def run(batches):
-        maker = Assembler(vocab_path)
         current, state, out = None, None, []
         for b in batches:
-            for conv, role, text, loss, chars in _read_batch(maker, b):
+            columns = (b.column(c).to_pylist() for c in ("conv_id", "role", "text", "loss", "chars"))
+            for conv, role, text, loss, chars in zip(*columns, strict=True):
                 if state is None or conv != current:
                     if state:
                         out.append(row(current, state))
                     current, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                loss = text if loss is None else loss
                 state[0] += 1
                 state[1].update(f"{role}\n{text}\n".encode())
                 state[2] += len(loss)
@@ -252,4 +270,5 @@ def digests(formatted: DataFrame, vocab_path: str) -> DataFrame:
         if state:
             yield batch([*out, row(current, state)])
 
-    return formatted.mapInArrow(run, kinds)
+    dealt = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return dealt.mapInArrow(run, kinds)

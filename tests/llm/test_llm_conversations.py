@@ -294,6 +294,25 @@ def test_formatting_reads_back(spark):
     assert [(r["role"], r["text"], r["loss"]) for r in read.collect()] == [("user", "z", "")] * 2
 
 
+def test_turns_of_one_conversation_spread_over_tasks(spark):
+    """Formatting moves no row; order is kept from one partition to the next, also inside one conversation."""
+    rows = [(9, k * 7 % 500, ("user", "assistant")[k % 2], f"turn {k} </s>") for k in range(500)]
+    rows += [(c, t, "user", "hm") for c in (None, 3) for t in (None, 2, 1)]
+    frame = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA).repartition(4)
+    made = chat_format.format_turns(frame, vocabulary_path())
+    assert made._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # that of the test's own rows
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so little data would be one partition
+    try:
+        ordered = chat_format.in_order(made).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    place = [(r["conv_id"] is not None, r["conv_id"] or 0, r["turn"] is not None, r["turn"] or 0, r["role"]) for r in ordered]
+    assert place == sorted(place) and len(place) == len(rows)
+    assert len({r["part"] for r in ordered if r["conv_id"] == 9}) > 1
+    got = chat_format.digests(made, vocabulary_path()).collect()
+    assert {r["conv_id"]: tuple(r)[1:5] for r in got} == chat_model(rows)
+
+
 def test_format_query_equals_model(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF001}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     rows += [(-7, 0, "user", chat_format.CONTROL), (-7, 1, "assistant", chat_format.CONTROL)]
