@@ -42,6 +42,7 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
+MOST_LEVELS = 96  # of a cascade
 SHARD_KEYS = 4_000_000  # keys of one cascade: some 16 MB at the rates of a corpus of 10 ** 10 keys
 
 
@@ -136,12 +137,18 @@ def _taken_in(keys: DataFrame, level: Filter) -> DataFrame:
 
 
 def build_cascade(listed: DataFrame, others: DataFrame) -> Cascade:
-    """Filters for ``listed (key, one, two)`` among all keys of ``listed`` and ``others``, which share none."""
+    """Filters for ``listed (key, one, two)`` among all keys of ``listed`` and ``others``, which share none.
+
+    Each level leaves about half of the keys before it. Two keys of one pair of hashes would never part: that
+    is an error after ``MOST_LEVELS`` levels, which no number of keys comes near otherwise.
+    """
     n, m = listed.count(), others.count()
     levels: list[Filter] = []
     inside, outside, count = listed, others, n
     rate = min(0.5, n / (math.sqrt(2) * max(m, 1))) if n else 0.5
     while count:
+        if len(levels) == MOST_LEVELS:
+            raise RuntimeError(f"{count} keys share both hashes with keys of the other list")
         levels.append(Filter(count, rate, len(levels)).fill(inside))
         rate = 0.5
         wrong = cut(_taken_in(outside, levels[-1]))

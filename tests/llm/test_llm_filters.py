@@ -148,6 +148,14 @@ def test_cascade_is_exact(spark):
     assert {r["verdict"] for r in none} == {"allow"}
 
 
+def test_keys_of_one_hash_pair_are_an_error(spark, monkeypatch):
+    """A listed and an unlisted key that share both hashes can't be told apart: no endless search."""
+    monkeypatch.setattr(url_filter, "MOST_LEVELS", 4)
+    kinds = "key string, one long, two long"
+    with pytest.raises(RuntimeError):
+        url_filter.build_cascade(spark.createDataFrame([("a", 5, 6)], kinds), spark.createDataFrame([("b", 5, 6)], kinds))
+
+
 # ---------------------------------------------------------------- personal data
 PRIVATE = [
     (1, "Write to ana.b42@mail8.example.com or Ana.B42@mail8.example.com, +1 (265) 555-5428 or +1 265-555-5428."),
