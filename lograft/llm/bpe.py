@@ -32,7 +32,8 @@ _BATCH_BYTES = 1024  # longer pre-tokens are merged one by one
 _CELLS = 1 << 21  # tree nodes merged at once
 _CACHE_WORDS = 800_000
 
-_SPECIAL_MARKS = [chr(cp) for cp in range(0xD801, 0xD900)]
+# Code points that no text holds (lone surrogates) stand for special tokens while texts are cut.
+_SPECIAL_MARKS = [chr(cp) for cp in range(0xD801, 0xE000)]
 
 
 def byte_characters() -> dict[str, int]:
@@ -217,6 +218,8 @@ class Encoder:
     def __init__(self, path: str, cache_words: int = _CACHE_WORDS):
         self.vocab = Vocabulary(path)
         self.cache_words = cache_words
+        if len(self.vocab.special) > len(_SPECIAL_MARKS):
+            raise ValueError(f"a vocabulary may have up to {len(_SPECIAL_MARKS)} special tokens")
         self.marks = dict(zip(self.vocab.special, _SPECIAL_MARKS, strict=False))
         self.mark_ids = {ord(m): self.vocab.special[t] for t, m in self.marks.items()}
         self._forget()

@@ -1,5 +1,6 @@
 """BPE against the tokenizers library; packing against its rules."""
 
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -46,6 +47,29 @@ def test_one_tree_and_many_trees_agree():
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [bpe.merge_one(w, vocab) for w in words]
 
 
+def test_many_special_tokens(tmp_path):
+    """More special tokens than a vocabulary usually has: each is one id, none is plain text."""
+    with open(vocabulary_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    proto = spec["added_tokens"][0]
+    first = max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])]) + 1
+
+    def written(n):
+        own = [{**proto, "id": first + k, "content": f"<|mark{k:04}|>"} for k in range(n)]
+        path = tmp_path / f"{n}.json"
+        path.write_text(json.dumps({**spec, "added_tokens": spec["added_tokens"] + own}), encoding="utf-8")
+        return str(path)
+
+    path = written(700)
+    library, enc = Tokenizer.from_file(path), bpe.Encoder(path)
+    texts = ["".join(f"<|mark{k:04}|> and{k}" for k in range(i, 700, 90)) for i in range(90)] + ["<|mark0699|>", "<|mark9999|>"]
+    ids, counts = enc.encode(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert enc.decode(ids, counts) == texts
+    with pytest.raises(ValueError):
+        bpe.Encoder(written(2100))
+
+
 def frame(spark, texts):
     rows = [(i, t, "other", i) for i, t in enumerate(texts)]
     rows.append((0, texts[0], "other", 0))  # a repeated row
@@ -100,6 +124,25 @@ def test_packing_is_whole_and_without_padding(spark, library, pool):
     assert packing.pack_documents(docs.limit(0), vocabulary_path()).count() == 0
 
 
+def test_packing_of_nulls_repeats_and_clashing_columns(spark, library):
+    """Null texts are the end id alone, repeated rows are packed each, columns of like names are not read."""
+    rows = [(1, None, "a", 7), (2, "", "b", 7), (3, "same words", "c", 7), (3, "same words", "c", 7), (None, "no id", "d", 7),
+            (4, "long " * 3000, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, length long").repartition(2)
+    pieces = packing.pieces_digest(packing.pack_documents(docs, vocabulary_path())).collect()
+    assert sum(r["length"] for r in pieces) == sum(len(library.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, *_ in rows)
+    own = defaultdict(list)
+    for r in pieces:
+        own[r["doc_id"]].append((r["start"], r["length"], r["doc_tokens"], r["ids_crc32"]))
+    end = zlib.crc32(np.array([0], dtype="<u4").tobytes())
+    assert own[1] == own[2] == [(0, 1, 1, end)]
+    same = len(library.encode("same words", add_special_tokens=False).ids) + 1
+    assert sum(n for _, n, _, _ in own[3]) == 2 * same and all(t == same for *_, t, _ in own[3])
+    assert None in own
+    spaces = {(r["sequence_id"], r["offset"] + k) for r in pieces for k in range(r["length"])}
+    assert len(spaces) == sum(r["length"] for r in pieces)
+
+
 def test_closest_fill_is_the_best_sum():
     rnd = random.Random(5)
     for _ in range(200):
