@@ -7,9 +7,10 @@ with a penalty for each switch of language, labels spans; the text's language is
 the one whose spans hold the most letters, its score their share of all letters.
 
 The model is fitted on a bounded sample of labelled rows (``sample_per_lang`` rows
-of each language, in expectation, chosen by a hash of the id) and has a bounded
-size (``2 ** bits`` hashed features per language), so it can be broadcast. Every
-text is then labelled whole.
+of each language, in expectation, chosen by a hash of the id; only of the ``most_langs``
+languages with the most rows, of equally many those that sort first) and has a bounded
+size (``2 ** bits`` hashed features per language), so it can be broadcast. A column
+of dirty labels thus can't make it grow. Every text is then labelled whole.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, and
 so is every text where no language was learned; ties go to the language that sorts
@@ -31,9 +32,11 @@ from lograft.llm.spans import LETTER, TextBatch, chunks
 
 UNKNOWN = "und"
 SAMPLE_PER_LANG = 4000
+MOST_LANGS = 128
 FEATURE_BITS = 16
 SWITCH_PENALTY = 12.0
 CHUNK = 1 << 19
+CELLS = 1 << 22  # letters times languages that are scored at once
 
 # Unicode blocks of scripts (fixed values); letters outside them form one script of their own.
 SCRIPT_RANGES = {
@@ -143,8 +146,13 @@ class Model:
         words = Words(texts, self.bits)
         if not len(words.starts):
             return words, np.zeros(0, dtype=np.int64)
-        score = np.add.reduceat(self.table[words.trigram], words.first, axis=0)
-        score += self.table[words.word]
+        score = self.table[words.word]
+        # words that begin within the same stretch of letters are scored together
+        at = np.flatnonzero(np.diff(words.first // max(1, CELLS // len(self.langs)), prepend=-1)).tolist()
+        edges = np.append(words.first, len(words.trigram))
+        for i, j in zip(at, [*at[1:], len(words.first)], strict=True):
+            begin, end = edges[i], edges[j]
+            score[i:j] += np.add.reduceat(self.table[words.trigram[begin:end]], words.first[i:j] - begin, axis=0)
         score += self.barred[words.script]
         return words, viterbi(score, words.per_text, penalty)
 
@@ -192,22 +200,24 @@ def train(
     sample_per_lang: int = SAMPLE_PER_LANG,
     bits: int = FEATURE_BITS,
     least_share: float = 0.005,
+    most_langs: int = MOST_LANGS,
 ) -> Model:
-    """Fits the model on a sample of ``labelled``: about ``sample_per_lang`` rows of each language."""
+    """Fits the model on a sample of ``labelled``: about ``sample_per_lang`` rows of each of the ``most_langs``
+    languages that have the most rows."""
     rows = labelled.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).where("id is not null and text is not null and lang is not null")
-    totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    by_lang = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
+    totals = {r["lang"]: r["n"] for r in by_lang.limit(most_langs).collect()}
     langs = sorted(totals)
     counts = np.zeros((1 << bits, len(langs)), dtype=np.float64)
     letters = np.zeros((N_SCRIPTS, len(langs)), dtype=np.float64)
     if langs:
         grain = 1 << 20
-        keep = F.lit(0)
-        for lang in langs:
-            most = -(-grain * sample_per_lang // max(totals[lang], sample_per_lang))
-            keep = F.when(F.col("lang") == lang, F.lit(most)).otherwise(keep)
-        sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(grain)) < keep).select("lang", "text")
+        most = {lang: -(-grain * sample_per_lang // max(n, sample_per_lang)) for lang, n in totals.items()}
+        shares = labelled.sparkSession.createDataFrame(list(most.items()), "lang string, most long")  # up to most_langs rows
+        sample = rows.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("id"), F.lit(grain)) < F.col("most"))
+        sample = sample.select("lang", "text")
         # at most (features + scripts) rows of each language
         table = _count_features(sample, bits).toPandas()
         lang = np.searchsorted(np.array(langs), table["lang"].to_numpy(dtype=str))

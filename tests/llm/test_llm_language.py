@@ -62,3 +62,37 @@ def test_defined_cases_and_spans(spark):
     nothing = language.train(labelled.limit(0))
     assert {r["lang_pred"] for r in language.identify(docs, nothing).collect()} == {"und"}
     assert language.identify(docs.limit(0), model).count() == 0
+
+
+def test_dirty_labels_do_not_grow_the_model(spark):
+    """Of more labels than ``most_langs`` those with the most rows are learned, then those that sort first."""
+    rows = [(i, "the cat and the dog went over", "en") for i in range(9)] + [(i, "der hund und die katze", "de") for i in range(9, 14)]
+    rows += [(100 + i, f"word{chr(97 + i % 26)} other thing", f"dirt{i:03}") for i in range(400)] + [(None, "x y", "none"), (999, "z", None)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = language.train(labelled, most_langs=3)
+    assert model.langs == ["de", "dirt000", "en"] and model.table.shape == (1 << language.FEATURE_BITS, 3)
+    docs = spark.createDataFrame([(1, "the dog and the cat"), (2, "die katze und der hund")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in language.identify(docs, model).collect()} == {1: "en", 2: "de"}
+    assert len(language.train(labelled).langs) == language.MOST_LANGS
+
+
+def test_sample_is_bounded_per_language(spark):
+    rows = [(i, "aa bb", "big") for i in range(4000)] + [(-1 - i, "cc dd", "small") for i in range(30)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(labelled, sample_per_lang=100)
+    whole = language.train(labelled)
+    assert model.langs == whole.langs == ["big", "small"]
+    # all rows of the small language are learned, so that its words' share is what it is with all rows
+    small = language.Words(["cc dd"], language.FEATURE_BITS).word
+    assert np.allclose(model.table[small, 1], whole.table[small, 1])
+
+
+def test_scores_do_not_depend_on_the_size_of_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    counts = rng.integers(0, 50, (1 << 8, 5)).astype(float)
+    model = language.Model(list("abcde"), counts, np.ones((language.N_SCRIPTS, 5)), 8, 0.005)
+    texts = ["abc de fghij", None, "", "x" * 300 + " y", " ".join("".join(rng.choice(list("abcdefg"), 4)) for _ in range(500))]
+    want = model.label(texts, 2.0)[1]
+    for cells in (1, 35, 1000):
+        monkeypatch.setattr(language, "CELLS", cells)
+        assert model.label(texts, 2.0)[1].tolist() == want.tolist()
